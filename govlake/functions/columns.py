@@ -13,8 +13,13 @@ def pct(part: Column, whole: Column, scale: int | None = 2) -> Column:
 
 
 def change_pct(current: Column, previous: Column, scale: int | None = 2) -> Column:
-    """Percent change versus ``previous``: NULL when previous is NULL or 0."""
-    value = F.try_divide(current - previous, previous) * F.lit(100)
+    """Percent change versus ``previous``: NULL when previous is NULL or 0.
+
+    Computed in DOUBLE: a DECIMAL quotient is first rounded to 6 places by
+    Spark's precision rules, and rounding that again to 2 places can be off
+    by one cent of a percent.
+    """
+    value = F.try_divide((current - previous).cast("double"), previous.cast("double")) * F.lit(100)
     return F.round(value, scale) if scale is not None else value
 
 

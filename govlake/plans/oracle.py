@@ -143,3 +143,131 @@ LEFT JOIN (SELECT order_id, COUNT(payment_id) AS payment_count, SUM({SUCCESS}) A
            FROM payments GROUP BY order_id) p ON o.order_id = p.order_id
 LEFT JOIN (SELECT order_id, COUNT(refund_id) AS refund_count, SUM(refund_amount) AS refund_amount
            FROM (SELECT * FROM refunds WHERE (refund_amount > 0)) GROUP BY order_id) r ON o.order_id = r.order_id""")
+
+# ------------------------------------------------------------ signals, insights
+DM = """
+dm AS (
+SELECT order_date, total_orders, gross_revenue, net_revenue, payment_success_rate, refund_rate,
+  CASE WHEN gross_revenue IS NOT NULL THEN total_discount END AS total_discount,
+  CASE WHEN gross_revenue > 0 THEN ROUND(CAST(CASE WHEN gross_revenue IS NOT NULL THEN total_discount END AS DOUBLE) / CAST(gross_revenue AS DOUBLE) * 100, 2)
+       ELSE 0.0 END AS discount_pct
+FROM kpi_all WHERE net_revenue IS NOT NULL)"""
+
+TR = """
+tr AS (
+SELECT *,
+  CASE WHEN net_revenue_prev IS NOT NULL THEN ROUND(CAST(net_revenue - net_revenue_prev AS DOUBLE) / NULLIF(CAST(net_revenue_prev AS DOUBLE), 0) * 100, 2) END AS net_revenue_wow_pct,
+  CASE WHEN orders_prev IS NOT NULL THEN ROUND(CAST(total_orders - orders_prev AS DOUBLE) / NULLIF(orders_prev, 0) * 100, 2) END AS orders_wow_pct
+FROM (SELECT *, LAG(net_revenue, 1) OVER (ORDER BY order_date) AS net_revenue_prev,
+        LAG(total_orders, 1) OVER (ORDER BY order_date) AS orders_prev FROM dm))"""
+
+SIG = """
+sig AS (
+SELECT *,
+  CASE WHEN payment_success_rate >= 97 THEN 'HEALTHY' WHEN payment_success_rate >= 95 THEN 'WARNING' ELSE 'CRITICAL' END AS payment_health,
+  CASE WHEN refund_rate < 3 THEN 'LOW' WHEN refund_rate <= 8 THEN 'MEDIUM' ELSE 'HIGH' END AS refund_risk,
+  CASE WHEN discount_pct < 10 THEN 'EFFICIENT' WHEN discount_pct <= 20 THEN 'MODERATE' ELSE 'WASTEFUL' END AS discount_health,
+  (refund_rate > 8) OR (payment_success_rate < 95) OR (discount_pct > 20) AS risk_flag
+FROM tr)"""
+
+DRV = """
+drv AS (
+SELECT *,
+  CASE WHEN net_revenue_wow_pct IS NULL THEN 'UNKNOWN'
+       WHEN payment_success_rate < 95 AND net_revenue_wow_pct < 0 THEN 'OPERATIONAL_ISSUE'
+       WHEN sign(net_revenue_wow_pct) = sign(orders_wow_pct) AND abs(orders_wow_pct) >= abs(net_revenue_wow_pct) / 2 THEN 'ORDER_VOLUME'
+       WHEN discount_pct >= 10 AND net_revenue_wow_pct > 0 THEN 'PROMOTION'
+       ELSE 'PRICE_MIX' END AS revenue_driver
+FROM sig)"""
+
+
+def NUM(c: str) -> str:
+    return f"COALESCE(printf('%.2f', CAST(ROUND({c}, 2) AS DOUBLE)), 'n/a')"
+
+
+INS = f"""
+ins AS (
+SELECT order_date AS insight_date, net_revenue, net_revenue_wow_pct, total_orders AS orders_count, orders_wow_pct,
+  payment_success_rate, payment_health, refund_rate, refund_risk, discount_pct, discount_health, revenue_driver,
+  CAST(order_date AS VARCHAR) || ': net revenue ' || {NUM('net_revenue')} || ' (' || {NUM('net_revenue_wow_pct')}
+  || '% vs previous day) from ' || COALESCE(CAST(total_orders AS VARCHAR), 'n/a') || ' orders (' || {NUM('orders_wow_pct')}
+  || '%). Payments ' || payment_health || ' at ' || {NUM('payment_success_rate')} || '%, refunds ' || refund_risk
+  || ' at ' || {NUM('refund_rate')} || '%, discounts ' || discount_health || ' at ' || {NUM('discount_pct')}
+  || '%. Driver: ' || revenue_driver || '.'
+  || CASE WHEN risk_flag THEN ' Risk: ' || concat_ws('; ',
+        CASE WHEN refund_rate > 8 THEN 'refund rate above 8%' END,
+        CASE WHEN payment_success_rate < 95 THEN 'payment success below 95%' END,
+        CASE WHEN discount_pct > 20 THEN 'discount above 20% of gross' END) || '.' ELSE '' END AS executive_summary,
+  risk_flag, {AS_OF} AS generated_at
+FROM drv)"""
+
+WS = with_ctes(ENTITIES, FACT, KPI_DAILY_ALL, DM, TR, SIG, DRV, INS)
+
+DM_COLS = """order_date, total_orders, CAST(gross_revenue AS DOUBLE) AS gross_revenue, CAST(net_revenue AS DOUBLE) AS net_revenue,
+  payment_success_rate, refund_rate, CAST(total_discount AS DOUBLE) AS total_discount, CAST(discount_pct AS DOUBLE) AS discount_pct"""
+
+SQL["daily_metrics"] = WS(f"SELECT {DM_COLS} FROM dm")
+SQL["daily_metrics_joined"] = SQL["daily_metrics"]
+
+SQL["daily_trends"] = WS(f"""
+SELECT {DM_COLS}, CAST(net_revenue_prev AS DOUBLE) AS net_revenue_prev, orders_prev,
+  CAST(net_revenue_wow_pct AS DOUBLE) AS net_revenue_wow_pct, orders_wow_pct FROM tr""")
+
+SQL["weekly_change"] = WS("""
+SELECT d.order_date, CAST(d.net_revenue AS DOUBLE) AS net_revenue, CAST(p.net_revenue AS DOUBLE) AS net_revenue_7d_prev,
+  CAST(ROUND(CAST(d.net_revenue - p.net_revenue AS DOUBLE) / NULLIF(CAST(p.net_revenue AS DOUBLE), 0) * 100, 2) AS DOUBLE) AS net_revenue_7d_pct,
+  d.total_orders, p.total_orders AS orders_7d_prev,
+  ROUND(CAST(d.total_orders - p.total_orders AS DOUBLE) / NULLIF(p.total_orders, 0) * 100, 2) AS orders_7d_pct
+FROM dm d LEFT JOIN dm p ON d.order_date = CAST(p.order_date + INTERVAL 7 DAY AS DATE)""")
+
+SIG_COLS = f"""{DM_COLS}, CAST(net_revenue_prev AS DOUBLE) AS net_revenue_prev, orders_prev,
+  CAST(net_revenue_wow_pct AS DOUBLE) AS net_revenue_wow_pct, orders_wow_pct, payment_health, refund_risk, discount_health, risk_flag"""
+
+SQL["health_signals"] = WS(f"SELECT {SIG_COLS} FROM sig")
+
+SQL["insight_input"] = WS("""
+SELECT order_date AS date, CAST(net_revenue AS DOUBLE) AS net_revenue, CAST(net_revenue_wow_pct AS DOUBLE) AS net_revenue_wow_pct,
+  total_orders, orders_wow_pct, payment_success_rate, payment_health, refund_rate, refund_risk,
+  CAST(discount_pct AS DOUBLE) AS discount_pct, discount_health, risk_flag FROM sig""")
+
+SQL["revenue_driver"] = WS("""
+SELECT order_date, CAST(net_revenue_wow_pct AS DOUBLE) AS net_revenue_wow_pct, orders_wow_pct, revenue_driver FROM drv""")
+
+INS_COLS = """insight_date, CAST(net_revenue AS DOUBLE) AS net_revenue, CAST(net_revenue_wow_pct AS DOUBLE) AS net_revenue_wow_pct,
+  orders_count, orders_wow_pct, payment_success_rate, payment_health, refund_rate, refund_risk,
+  CAST(discount_pct AS DOUBLE) AS discount_pct, discount_health, revenue_driver, executive_summary, risk_flag"""
+
+SQL["daily_insights"] = WS(f"SELECT {INS_COLS}, generated_at FROM ins")
+
+SQL["recent_insights"] = WS(f"SELECT {INS_COLS} FROM ins ORDER BY insight_date DESC LIMIT 14")
+
+
+def PY(c: str) -> str:
+    return f"COALESCE(CAST({c} AS VARCHAR), 'None')"
+
+
+SQL["insight_context"] = WS(f"""
+SELECT COUNT(*) AS days, string_agg(line, '\n' ORDER BY insight_date DESC) AS context_text FROM (
+  SELECT insight_date,
+    'Date: ' || {PY('insight_date')} || ', Net Revenue: ' || {NUM('net_revenue')}
+    || ', Net Revenue Week-over-week percent: ' || {NUM('net_revenue_wow_pct')}
+    || ', Orders Count: ' || {PY('orders_count')} || ', Orders week-over-week percent: ' || {NUM('orders_wow_pct')}
+    || ', Payment Success Rate: ' || {NUM('payment_success_rate')} || ', Payment Health : ' || {PY('payment_health')}
+    || ', Refund Rate: ' || {NUM('refund_rate')} || ', Refund Risk: ' || {PY('refund_risk')}
+    || ', Discount Percent: ' || {NUM('discount_pct')} || ', Driver: ' || {PY('revenue_driver')}
+    || ', Risk: ' || CASE WHEN risk_flag THEN 'True' WHEN NOT risk_flag THEN 'False' ELSE 'None' END
+    || chr(10) || 'Summary: ' || {PY('executive_summary')} AS line
+  FROM ins ORDER BY insight_date DESC LIMIT 14)""")
+
+_WS_RE = "[\\t\\n\\x0B\\f\\r ]"
+_STRIP = f"'^{_WS_RE}+|{_WS_RE}+$'"
+
+SQL["fenced_json"] = f"""
+WITH raw AS (SELECT conv_id, turn, role, regexp_replace(text, {_STRIP}, '', 'g') AS raw FROM conversations),
+f AS (SELECT *, CASE WHEN regexp_matches(raw, '(?s)```json(.*?)```') THEN 'json'
+                     WHEN regexp_matches(raw, '(?s)```(.*?)```') THEN 'plain' ELSE 'none' END AS fence FROM raw),
+b AS (SELECT conv_id, turn, role, fence,
+        CASE fence WHEN 'json' THEN regexp_replace(regexp_extract(raw, '(?s)```json(.*?)```', 1), {_STRIP}, '', 'g')
+                   WHEN 'plain' THEN regexp_replace(regexp_extract(raw, '(?s)```(.*?)```', 1), {_STRIP}, '', 'g')
+                   ELSE raw END AS json_text FROM f)
+SELECT conv_id, turn, role, fence, json_text, COALESCE(json_valid(json_text), FALSE) AS is_json FROM b"""

@@ -90,3 +90,84 @@ def q_fact_orders_dedup(spark, sf_dir):
     return report(
         facts.fact_orders_dedup(e["orders"], e["customers"], e["payments"], e["refunds"], BASE_POLICY["row_rules"])
     )
+
+
+# ---------------------------------------------------------------- step 3, 9
+from govlake.plans import insights, signals  # noqa: E402
+
+
+def base_kpi_all(spark, sf_dir):
+    return kpis.kpi_daily_all(base_fact(spark, sf_dir))
+
+
+def base_signals(spark, sf_dir):
+    return signals.signals_from_kpi_all(base_kpi_all(spark, sf_dir))
+
+
+def base_insights(spark, sf_dir):
+    return insights.daily_insights(base_signals(spark, sf_dir))
+
+
+@register("daily_metrics")
+def q_daily_metrics(spark, sf_dir):
+    return report(signals.daily_metrics_onepass(base_kpi_all(spark, sf_dir)))
+
+
+@register("daily_metrics_joined")
+def q_daily_metrics_joined(spark, sf_dir):
+    fact = base_fact(spark, sf_dir)
+    return report(
+        signals.daily_metrics(
+            kpis.kpi_daily_order_revenue(fact),
+            kpis.kpi_payment_success_rate(fact),
+            kpis.kpi_refund_rate(fact),
+            kpis.kpi_discount_impact(fact),
+        )
+    )
+
+
+@register("daily_trends")
+def q_daily_trends(spark, sf_dir):
+    return report(signals.daily_trends(signals.daily_metrics_onepass(base_kpi_all(spark, sf_dir))))
+
+
+@register("weekly_change")
+def q_weekly_change(spark, sf_dir):
+    return report(signals.weekly_change(signals.daily_metrics_onepass(base_kpi_all(spark, sf_dir))))
+
+
+@register("health_signals")
+def q_health_signals(spark, sf_dir):
+    return report(base_signals(spark, sf_dir))
+
+
+@register("insight_input")
+def q_insight_input(spark, sf_dir):
+    return report(signals.insight_input(base_signals(spark, sf_dir)))
+
+
+@register("revenue_driver")
+def q_revenue_driver(spark, sf_dir):
+    s = insights.revenue_driver(base_signals(spark, sf_dir))
+    return report(s.select("order_date", "net_revenue_wow_pct", "orders_wow_pct", "revenue_driver"))
+
+
+@register("daily_insights")
+def q_daily_insights(spark, sf_dir):
+    return report(base_insights(spark, sf_dir))
+
+
+@register("recent_insights")
+def q_recent_insights(spark, sf_dir):
+    return report(insights.recent_insights(base_insights(spark, sf_dir)))
+
+
+@register("insight_context")
+def q_insight_context(spark, sf_dir):
+    return insights.insight_context(base_insights(spark, sf_dir))
+
+
+@register("fenced_json")
+def q_fenced_json(spark, sf_dir):
+    conv = tables.load(spark, sf_dir, "conversations")
+    return insights.extract_fenced_json(conv).select("conv_id", "turn", "role", "fence", "json_text", "is_json")
