@@ -271,3 +271,72 @@ b AS (SELECT conv_id, turn, role, fence,
                    WHEN 'plain' THEN regexp_replace(regexp_extract(raw, '(?s)```(.*?)```', 1), {_STRIP}, '', 'g')
                    ELSE raw END AS json_text FROM f)
 SELECT conv_id, turn, role, fence, json_text, COALESCE(json_valid(json_text), FALSE) AS is_json FROM b"""
+
+# ------------------------------------------------------------ silver gate
+ORDER_COLS = "order_id, customer_id, product_id, order_date, order_status"
+CUST_COLS = "customer_id, customer_name, age, city, segment"
+
+
+def _stamp_silver(strategy, severity):
+    return f"'{strategy}' AS guardian_strategy, '{severity}' AS drift_severity, {AS_OF} AS processed_at"
+
+
+def _stamp_q(reason, strategy, severity):
+    return (f"'{reason}' AS quarantine_reason, '{strategy}' AS guardian_strategy, "
+            f"'{severity}' AS drift_severity, {AS_OF} AS quarantined_at")
+
+
+SILVER_ORDERS_BODY = f"""
+SELECT {ORDER_COLS}, CAST(amount AS DOUBLE) AS amount, CAST(discount_amount AS DOUBLE) AS discount_amount
+FROM (SELECT {ORDER_COLS}, ABS(amount) AS amount, COALESCE(discount_amount, 0) AS discount_amount FROM sales_orders)
+WHERE amount > 0 AND discount_amount <= amount"""
+
+SQL["silver_orders"] = W(f"SELECT *, {_stamp_silver('BOTH', 'LOW')} FROM ({SILVER_ORDERS_BODY})")
+SQL["quarantine_orders"] = W(f"""
+SELECT {ORDER_COLS}, CAST(amount AS DOUBLE) AS amount, CAST(discount_amount AS DOUBLE) AS discount_amount,
+  {_stamp_q('GUARDIAN_FILTER_FAILED', 'BOTH', 'LOW')}
+FROM sales_orders WHERE NOT (amount > 0 AND discount_amount <= amount)""")
+
+SQL["silver_customers"] = W(f"""
+SELECT {CUST_COLS}, {_stamp_silver('QUARANTINE', 'MEDIUM')} FROM customers WHERE age BETWEEN 0 AND 120""")
+SQL["quarantine_customers"] = W(f"""
+SELECT {CUST_COLS}, {_stamp_q('GUARDIAN_FILTER_FAILED', 'QUARANTINE', 'MEDIUM')}
+FROM customers WHERE NOT (age BETWEEN 0 AND 120)""")
+
+SQL["silver_payments"] = W(f"""
+SELECT payment_id, order_id, upper(trim(payment_status)) AS payment_status, payment_method, CAST(amount AS DOUBLE) AS amount,
+  {_stamp_silver('CORRECT', 'LOW')} FROM payments WHERE amount > 0""")
+SQL["quarantine_payments"] = W(f"""
+SELECT payment_id, order_id, payment_status, payment_method, CAST(amount AS DOUBLE) AS amount,
+  {_stamp_q('GUARDIAN_FILTER_FAILED', 'CORRECT', 'LOW')} FROM payments WHERE NOT (amount > 0)""")
+
+REFUND_COLS = "refund_id, order_id, refund_status, CAST(refund_amount AS DOUBLE) AS refund_amount, refund_reason"
+SQL["silver_refunds"] = W(f"""
+SELECT {REFUND_COLS}, {_stamp_silver('QUARANTINE', 'LOW')} FROM refunds WHERE refund_amount > 0""")
+SQL["quarantine_refunds"] = W(f"""
+SELECT {REFUND_COLS}, {_stamp_q('GUARDIAN_FILTER_FAILED', 'QUARANTINE', 'LOW')} FROM refunds WHERE NOT (refund_amount > 0)""")
+
+SQL["quarantine_guardian_block"] = W(f"""
+SELECT {ORDER_COLS}, CAST(amount AS DOUBLE) AS amount, CAST(discount_amount AS DOUBLE) AS discount_amount,
+  {_stamp_q('GUARDIAN_BLOCK', 'BLOCK', 'LOW')} FROM sales_orders""")
+
+SQL["quarantine_drift_high"] = W(f"""
+SELECT payment_id, order_id, payment_status, payment_method, CAST(amount AS DOUBLE) AS amount,
+  {_stamp_q('DRIFT_HIGH_SEVERITY', 'CORRECT', 'HIGH')} FROM payments""")
+
+SQL["silver_gate_closed"] = W(f"""
+SELECT {ORDER_COLS}, CAST(amount AS DOUBLE) AS amount, CAST(discount_amount AS DOUBLE) AS discount_amount,
+  {_stamp_silver('BLOCK', 'LOW')} FROM sales_orders WHERE FALSE""")
+
+SQL["route_orders"] = W(f"""
+SELECT *, 'BOTH' AS guardian_strategy, 'LOW' AS drift_severity, {AS_OF} AS stamped_at FROM (
+  SELECT *, 'silver' AS route FROM ({SILVER_ORDERS_BODY})
+  UNION ALL
+  SELECT {ORDER_COLS}, CAST(amount AS DOUBLE), CAST(discount_amount AS DOUBLE), 'GUARDIAN_FILTER_FAILED'
+  FROM sales_orders WHERE NOT (amount > 0 AND discount_amount <= amount))""")
+
+SQL["route_nullsafe"] = W(f"""
+SELECT {CUST_COLS},
+  CASE WHEN COALESCE(age BETWEEN 0 AND 120, FALSE) THEN 'silver' ELSE 'GUARDIAN_FILTER_FAILED' END AS route,
+  'QUARANTINE' AS guardian_strategy, 'MEDIUM' AS drift_severity, {AS_OF} AS stamped_at
+FROM customers""")

@@ -171,3 +171,80 @@ def q_insight_context(spark, sf_dir):
 def q_fenced_json(spark, sf_dir):
     conv = tables.load(spark, sf_dir, "conversations")
     return insights.extract_fenced_json(conv).select("conv_id", "turn", "role", "fence", "json_text", "is_json")
+
+
+# ---------------------------------------------------------------- step 4: gate
+from govlake.operators import control, gate  # noqa: E402
+from govlake.plans import scenarios  # noqa: E402
+
+ENTITY_OF = {"bronze_orders": "orders", "bronze_customers": "customers",
+             "bronze_payments": "payments", "bronze_refunds": "refunds"}
+
+
+def scenario_controls(spark, guardian_overrides=None, drift_overrides=None):
+    g = spark.createDataFrame(scenarios.guardian_control_rows(guardian_overrides), scenarios.GUARDIAN_CONTROL_SCHEMA)
+    d = spark.createDataFrame(scenarios.drift_control_rows(drift_overrides), scenarios.DRIFT_CONTROL_SCHEMA)
+    return g, d
+
+
+def scenario_decision(spark, bronze, guardian_overrides=None, drift_overrides=None):
+    g, d = scenario_controls(spark, guardian_overrides, drift_overrides)
+    return control.read_decision(g, d, bronze)
+
+
+def bronze(spark, sf_dir, bronze_name):
+    return tables.entities(spark, sf_dir)[ENTITY_OF[bronze_name]]
+
+
+def _silver_query(bronze_name):
+    def q(spark, sf_dir):
+        dec = scenario_decision(spark, bronze_name)
+        return report(gate.to_silver(bronze(spark, sf_dir, bronze_name), dec))
+
+    return q
+
+
+def _quarantine_query(bronze_name):
+    def q(spark, sf_dir):
+        dec = scenario_decision(spark, bronze_name)
+        return report(gate.to_quarantine(bronze(spark, sf_dir, bronze_name), dec))
+
+    return q
+
+
+for _b, _e in ENTITY_OF.items():
+    register(f"silver_{_e}")(_silver_query(_b))
+    register(f"quarantine_{_e}")(_quarantine_query(_b))
+
+_BLOCK = {"bronze_orders": {"strategy": "BLOCK", "silver_filter_condition": "amount > 0", "correction_expression": {}}}
+
+
+@register("quarantine_guardian_block")
+def q_quarantine_guardian_block(spark, sf_dir):
+    dec = scenario_decision(spark, "bronze_orders", guardian_overrides=_BLOCK)
+    return report(gate.to_quarantine(bronze(spark, sf_dir, "bronze_orders"), dec))
+
+
+@register("quarantine_drift_high")
+def q_quarantine_drift_high(spark, sf_dir):
+    dec = scenario_decision(spark, "bronze_payments", drift_overrides={"bronze_payments": "HIGH"})
+    return report(gate.to_quarantine(bronze(spark, sf_dir, "bronze_payments"), dec))
+
+
+@register("silver_gate_closed")
+def q_silver_gate_closed(spark, sf_dir):
+    dec = scenario_decision(spark, "bronze_orders", guardian_overrides=_BLOCK)
+    return report(gate.to_silver(bronze(spark, sf_dir, "bronze_orders"), dec))
+
+
+@register("route_orders")
+def q_route_orders(spark, sf_dir):
+    dec = scenario_decision(spark, "bronze_orders")
+    return report(gate.route(bronze(spark, sf_dir, "bronze_orders"), dec))
+
+
+@register("route_nullsafe")
+def q_route_nullsafe(spark, sf_dir):
+    dec = scenario_decision(spark, "bronze_customers")
+    routed = gate.route(bronze(spark, sf_dir, "bronze_customers"), dec, null_policy="quarantine", quarantine_on="corrected")
+    return report(routed)
