@@ -340,3 +340,215 @@ SELECT {CUST_COLS},
   CASE WHEN COALESCE(age BETWEEN 0 AND 120, FALSE) THEN 'silver' ELSE 'GUARDIAN_FILTER_FAILED' END AS route,
   'QUARANTINE' AS guardian_strategy, 'MEDIUM' AS drift_severity, {AS_OF} AS stamped_at
 FROM customers""")
+
+# ------------------------------------------------------------ profiles and drift
+ENTITY_COLS = {
+    "orders": ("sales_orders", [("order_id", "n"), ("customer_id", "n"), ("product_id", "n"), ("order_date", "t"),
+                                ("order_status", "s"), ("amount", "n"), ("discount_amount", "n")]),
+    "customers": ("customers", [("customer_id", "n"), ("customer_name", "s"), ("age", "n"), ("city", "s"),
+                                ("segment", "s")]),
+    "payments": ("payments", [("payment_id", "n"), ("order_id", "n"), ("payment_status", "s"),
+                              ("payment_method", "s"), ("amount", "n")]),
+    "refunds": ("refunds", [("refund_id", "n"), ("order_id", "n"), ("refund_status", "s"), ("refund_amount", "n"),
+                            ("refund_reason", "s")]),
+}
+TABLE_ORDER = ("orders", "customers", "payments", "refunds")
+
+SNAP1 = """
+orders1 AS (SELECT * FROM sales_orders WHERE order_date < TIMESTAMP '1998-05-01'),
+customers1 AS (SELECT * FROM customers WHERE customer_id IN (SELECT customer_id FROM orders1)),
+payments1 AS (SELECT * FROM payments WHERE order_id IN (SELECT order_id FROM orders1)),
+refunds1 AS (SELECT * FROM refunds WHERE order_id IN (SELECT order_id FROM orders1))"""
+SNAP1_SRC = {"orders": "orders1", "customers": "customers1", "payments": "payments1", "refunds": "refunds1"}
+
+
+def _cols(t, kind=None):
+    return [c for c, k in ENTITY_COLS[t][1] if kind is None or k == kind]
+
+
+def sql_column_profile(t, src):
+    parts = [
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+        f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) * 100.0 AS null_percent, "
+        f"COUNT(DISTINCT {c}) AS distinct_count FROM {src}"
+        for c in _cols(t)
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+def sql_numeric_profile(t, src):
+    parts = [f"SELECT '{t}' AS table_name, 'row_count' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM {src}"]
+    parts += [
+        f"SELECT '{t}', '{c}_avg', CAST(SUM({c}) AS DOUBLE) / NULLIF(CAST(COUNT({c}) AS DOUBLE), 0) FROM {src}"
+        for c in _cols(t, "n")
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+def sql_category_profile(t, src, top=50):
+    parts = [
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, value, CAST(n AS DOUBLE) / CAST(total AS DOUBLE) * 100.0 AS share_pct,
+  CAST(rank AS INTEGER) AS rank FROM (
+  SELECT CAST({c} AS VARCHAR) AS value, COUNT(*) AS n,
+    ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, CAST({c} AS VARCHAR) ASC NULLS FIRST) AS rank, SUM(COUNT(*)) OVER () AS total
+  FROM {src} GROUP BY 1) WHERE rank <= {top}"""
+        for c in _cols(t, "s")
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+def sql_drift_metrics(t, src):
+    prof = sql_column_profile(t, src)
+    cat = sql_category_profile(t, src)
+    return f"""{sql_numeric_profile(t, src)}
+UNION ALL SELECT table_name, column_name || '_null_pct', null_percent FROM ({prof})
+UNION ALL SELECT table_name, column_name || '_distinct_cnt', CAST(distinct_count AS DOUBLE) FROM ({prof})
+UNION ALL SELECT table_name, column_name || '::' || COALESCE(value, 'None'), share_pct FROM ({cat})"""
+
+
+def _all_tables(fn):
+    return "\nUNION ALL ".join(f"SELECT * FROM ({fn(t, ENTITY_COLS[t][0])})" for t in TABLE_ORDER)
+
+
+SQL["column_profile"] = W(_all_tables(sql_column_profile))
+SQL["numeric_profile"] = W(_all_tables(sql_numeric_profile))
+SQL["category_profile"] = W(_all_tables(sql_category_profile))
+SQL["drift_metrics"] = W(_all_tables(sql_drift_metrics))
+
+HIST = "hist AS (\n" + "\nUNION ALL ".join(
+    [f"SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS captured_at FROM ({sql_drift_metrics(t, SNAP1_SRC[t])})" for t in TABLE_ORDER]
+    + [f"SELECT *, TIMESTAMP '2024-01-02 00:00:00' AS captured_at FROM ({sql_drift_metrics(t, ENTITY_COLS[t][0])})" for t in TABLE_ORDER]
+) + ")"
+
+PAIRS = """
+latest AS (SELECT table_name, MAX(captured_at) AS latest_at FROM hist GROUP BY 1),
+prev_at AS (SELECT h.table_name, h.metric_name, MAX(h.captured_at) AS prev_at FROM hist h JOIN latest l USING (table_name)
+            WHERE h.captured_at < l.latest_at AND h.metric_value IS NOT NULL GROUP BY 1, 2),
+pairs AS (
+  SELECT h.table_name, h.metric_name,
+    MAX(CASE WHEN h.captured_at = l.latest_at THEN h.metric_value END) AS current_value,
+    MAX(CASE WHEN h.captured_at = p.prev_at AND h.metric_value IS NOT NULL THEN h.metric_value END) AS previous_value,
+    MAX(CASE WHEN h.captured_at = l.latest_at THEN 1 ELSE 0 END) = 1 AS in_current
+  FROM hist h JOIN latest l USING (table_name) LEFT JOIN prev_at p ON h.table_name = p.table_name AND h.metric_name = p.metric_name
+  GROUP BY 1, 2)"""
+
+WD = with_ctes(ENTITIES, SNAP1, HIST, PAIRS)
+
+SQL["drift_pairs"] = WD("SELECT table_name, metric_name, current_value, previous_value, in_current FROM pairs")
+
+
+def _action(sev, change):
+    return (f"CASE WHEN {sev} = 'HIGH' THEN 'BLOCK_SILVER' WHEN {sev} = 'MEDIUM' THEN 'FLAG_AND_ALERT' "
+            f"WHEN COALESCE({change}, 0.0) <> 0 THEN 'INVESTIGATE_SOURCE' ELSE 'ALLOW' END")
+
+
+def _direction(change):
+    return (f"CASE WHEN {change} IS NULL THEN 'not comparable' WHEN {change} > 0 THEN 'increase' "
+            f"WHEN {change} < 0 THEN 'decrease' ELSE 'no change' END")
+
+
+def _issue_select(issue_type, column, sev, change, source, where):
+    return f"""SELECT table_name, '{issue_type}' AS issue_type, column_, metric_name, severity,
+  '{issue_type}' || ' on ' || column_ || ': ' || severity || ' ' || {_direction('change_pct')} AS message,
+  {_action('severity', 'change_pct')} AS recommended_action, current_value, previous_value, change_pct
+FROM (SELECT table_name, {column} AS column_, metric_name, {sev} AS severity, current_value, previous_value, {change} AS change_pct
+      FROM {source} WHERE {where})"""
+
+
+def _rel(cur="current_value", prev="previous_value"):
+    return f"(({cur}) - ({prev})) / NULLIF(ABS({prev}), 0) * 100.0"
+
+
+COMPARABLE = "in_current AND previous_value IS NOT NULL"
+
+
+def _in_config(mapping, col_expr):
+    return "(" + " OR ".join(
+        f"(table_name = '{t}' AND {col_expr} IN ({', '.join(repr(c) for c in cols)}))" for t, cols in mapping.items()
+    ) + ")"
+
+
+_NUMERIC_CFG = {"orders": ("amount", "discount_amount"), "payments": ("amount",), "refunds": ("refund_amount",),
+                "customers": ("age",)}
+_CATEGORY_CFG = {"orders": ("order_status", "payment_status"), "payments": ("payment_status",),
+                 "refunds": ("refund_status",), "customers": ("city",)}
+_PK_CFG = {"orders": ("order_id",), "payments": ("payment_id",), "refunds": ("refund_id",), "customers": ("customer_id",)}
+_POS = "('SUCCESS', 'COMPLETED', 'APPROVED', 'ACTIVE')"
+_NEG = "('FAILED', 'PENDING', 'UNKNOWN', 'CANCELLED', 'REJECTED')"
+
+_VOL_CHANGE = f"ABS({_rel()})"
+DRIFT_VOLUME = _issue_select(
+    "VOLUME_DRIFT", "'row_count'",
+    f"CASE WHEN {_VOL_CHANGE} > 50 THEN 'HIGH' WHEN {_VOL_CHANGE} >= 25 THEN 'MEDIUM' ELSE 'LOW' END",
+    _VOL_CHANGE, "pairs", f"metric_name = 'row_count' AND {COMPARABLE}")
+
+_NULL_CHANGE = "(current_value - previous_value)"
+DRIFT_NULL = _issue_select(
+    "NULL_DRIFT", "substring(metric_name, 1, length(metric_name) - 9)",
+    f"CASE WHEN {_NULL_CHANGE} > 40 THEN 'HIGH' WHEN {_NULL_CHANGE} >= 20 THEN 'MEDIUM' ELSE 'LOW' END",
+    _NULL_CHANGE, "pairs", f"suffix(metric_name, '_null_pct') AND {COMPARABLE}")
+
+SHARES = f"""
+shares AS (
+  SELECT table_name,
+    SUM(CASE WHEN val IN {_POS} THEN current_value ELSE 0.0 END) AS pos_share,
+    SUM(CASE WHEN val IN {_NEG} THEN current_value ELSE 0.0 END) AS neg_share
+  FROM (SELECT table_name, split_part(metric_name, '::', 1) AS col, substring(metric_name, strpos(metric_name, '::') + 2) AS val,
+          current_value FROM pairs WHERE strpos(metric_name, '::') > 0 AND in_current)
+  WHERE {_in_config(_CATEGORY_CFG, 'col')}
+  GROUP BY table_name)"""
+
+_CARD_CHANGE = _rel()
+_CARD_SRC = "(SELECT p.*, s.pos_share, s.neg_share FROM pairs p LEFT JOIN shares s USING (table_name))"
+DRIFT_CARD = _issue_select(
+    "CARDINALITY_DRIFT", "substring(metric_name, 1, length(metric_name) - 13)",
+    f"""CASE WHEN {_CARD_CHANGE} < -30 THEN 'HIGH' WHEN {_CARD_CHANGE} <= -15 THEN 'MEDIUM'
+         WHEN {_CARD_CHANGE} > 0 AND NOT (COALESCE(pos_share, 0.0) >= COALESCE(neg_share, 0.0)) THEN 'MEDIUM' ELSE 'LOW' END""",
+    _CARD_CHANGE, _CARD_SRC,
+    f"{COMPARABLE} AND " + _in_config({t: tuple(f'{c}_distinct_cnt' for c in cs) for t, cs in _PK_CFG.items()}, "metric_name"))
+
+_NUM_CHANGE = _rel()
+DRIFT_NUMERIC = _issue_select(
+    "NUMERIC_DRIFT", "substring(metric_name, 1, length(metric_name) - 4)",
+    f"""CASE WHEN {_NUM_CHANGE} < -70 THEN 'HIGH' WHEN {_NUM_CHANGE} <= -40 THEN 'MEDIUM'
+         WHEN {_NUM_CHANGE} > 90 THEN 'MEDIUM' ELSE 'LOW' END""",
+    _NUM_CHANGE, "pairs",
+    f"{COMPARABLE} AND suffix(metric_name, '_avg') AND "
+    + _in_config(_NUMERIC_CFG, "substring(metric_name, 1, length(metric_name) - 4)"))
+
+_CAT_SRC = ("(SELECT table_name, metric_name, COALESCE(current_value, 0.0) AS current_value, previous_value, in_current, "
+            "split_part(metric_name, '::', 1) AS col, substring(metric_name, strpos(metric_name, '::') + 2) AS val "
+            "FROM pairs WHERE strpos(metric_name, '::') > 0 AND previous_value IS NOT NULL)")
+_CAT_CHANGE = _rel()
+DRIFT_CATEGORY = _issue_select(
+    "CATEGORY_DRIFT", "metric_name",
+    f"""CASE WHEN val IN {_POS} AND {_CAT_CHANGE} < -30 THEN 'HIGH' WHEN val IN {_POS} AND {_CAT_CHANGE} <= -15 THEN 'MEDIUM'
+         WHEN val IN {_NEG} AND {_CAT_CHANGE} > 50 THEN 'HIGH' WHEN val IN {_NEG} AND {_CAT_CHANGE} >= 25 THEN 'MEDIUM'
+         ELSE 'LOW' END""",
+    _CAT_CHANGE, _CAT_SRC, _in_config(_CATEGORY_CFG, "col"))
+
+ISSUE_COLS_SQL = ("table_name, issue_type, column_ AS \"column\", metric_name, severity, message, recommended_action, "
+                  "current_value, previous_value, change_pct")
+
+WDS = with_ctes(ENTITIES, SNAP1, HIST, PAIRS, SHARES)
+SQL["drift_volume"] = WDS(f"SELECT {ISSUE_COLS_SQL} FROM ({DRIFT_VOLUME})")
+SQL["drift_null"] = WDS(f"SELECT {ISSUE_COLS_SQL} FROM ({DRIFT_NULL})")
+SQL["drift_cardinality"] = WDS(f"SELECT {ISSUE_COLS_SQL} FROM ({DRIFT_CARD})")
+SQL["drift_numeric"] = WDS(f"SELECT {ISSUE_COLS_SQL} FROM ({DRIFT_NUMERIC})")
+SQL["drift_category"] = WDS(f"SELECT {ISSUE_COLS_SQL} FROM ({DRIFT_CATEGORY})")
+
+ISSUES = ("issues AS (" + "\nUNION ALL ".join(f"SELECT {ISSUE_COLS_SQL} FROM ({q})" for q in
+                                              (DRIFT_VOLUME, DRIFT_NULL, DRIFT_CARD, DRIFT_NUMERIC, DRIFT_CATEGORY)) + ")")
+DRIFT_DECISION = """
+drift_dec AS (
+  SELECT t.table_name,
+    COALESCE(CASE MAX(CASE severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END)
+             WHEN 3 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 1 THEN 'LOW' END, 'LOW') AS overall_severity,
+    COALESCE(MAX(CASE WHEN recommended_action = 'BLOCK_SILVER' THEN 1 ELSE 0 END), 0) = 0 AS allow_processing,
+    COUNT(i.table_name) AS issue_count,
+    CAST(COALESCE(SUM(CASE WHEN severity = 'HIGH' THEN 1 ELSE 0 END), 0) AS BIGINT) AS high_count,
+    CAST(COALESCE(SUM(CASE WHEN severity = 'MEDIUM' THEN 1 ELSE 0 END), 0) AS BIGINT) AS medium_count
+  FROM (VALUES ('orders'), ('customers'), ('payments'), ('refunds')) t(table_name)
+  LEFT JOIN issues i ON t.table_name = i.table_name GROUP BY t.table_name)"""
+WDD = with_ctes(ENTITIES, SNAP1, HIST, PAIRS, SHARES, ISSUES, DRIFT_DECISION)
+SQL["drift_decision"] = WDD("SELECT * FROM drift_dec")

@@ -248,3 +248,63 @@ def q_route_nullsafe(spark, sf_dir):
     dec = scenario_decision(spark, "bronze_customers")
     routed = gate.route(bronze(spark, sf_dir, "bronze_customers"), dec, null_policy="quarantine", quarantine_on="corrected")
     return report(routed)
+
+
+# ---------------------------------------------------------------- step 6, 8: profile, drift
+from govlake.operators import drift, profile  # noqa: E402
+from govlake.plans import snapshots  # noqa: E402
+
+
+def _per_table(spark, sf_dir, fn):
+    e = tables.entities(spark, sf_dir)
+    return snapshots.union_all([fn(e[t], t) for t in snapshots.TABLE_ORDER])
+
+
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    return _per_table(spark, sf_dir, lambda df, t: profile.column_profile(df, t))
+
+
+@register("column_profile_approx")
+def q_column_profile_approx(spark, sf_dir):
+    return _per_table(spark, sf_dir, lambda df, t: profile.column_profile(df, t, approx=True))
+
+
+@register("numeric_profile")
+def q_numeric_profile(spark, sf_dir):
+    return _per_table(spark, sf_dir, lambda df, t: profile.numeric_profile(df, t))
+
+
+@register("category_profile")
+def q_category_profile(spark, sf_dir):
+    return _per_table(spark, sf_dir, lambda df, t: profile.category_profile(df, t))
+
+
+@register("drift_metrics")
+def q_drift_metrics(spark, sf_dir):
+    return _per_table(spark, sf_dir, lambda df, t: profile.drift_metrics(df, t))
+
+
+def drift_pairs_of(spark, sf_dir):
+    return drift.drift_pairs(snapshots.metrics_history(tables.entities(spark, sf_dir)))
+
+
+@register("drift_pairs")
+def q_drift_pairs(spark, sf_dir):
+    return drift_pairs_of(spark, sf_dir)
+
+
+for _name, _rule in (("drift_volume", drift.drift_volume), ("drift_null", drift.drift_null),
+                     ("drift_cardinality", drift.drift_cardinality), ("drift_numeric", drift.drift_numeric),
+                     ("drift_category", drift.drift_category)):
+    register(_name)((lambda rule: (lambda spark, sf_dir: rule(drift_pairs_of(spark, sf_dir))))(_rule))
+
+
+def _table_list(spark):
+    return spark.createDataFrame([(t,) for t in snapshots.TABLE_ORDER], "table_name string")
+
+
+@register("drift_decision")
+def q_drift_decision(spark, sf_dir):
+    issues = drift.drift_issues(drift_pairs_of(spark, sf_dir))
+    return drift.drift_decision(issues, _table_list(spark))
