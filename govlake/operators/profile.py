@@ -50,17 +50,23 @@ def _as_text(df: DataFrame, name: str) -> Column:
 
 
 def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column_name, value, n): row count per distinct value of each column,
-    NULL being one value. One scan, one shuffle of distinct pairs."""
+    """(column_name, value, n, is_text): row count per distinct value of each
+    column, NULL being one value. One scan, one shuffle of distinct pairs."""
     columns = list(columns if columns is not None else df.columns)
+    texts = set(string_columns(df))
     pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value")) for c in columns])
+        F.array(*[
+            F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value"), F.lit(c in texts).alias("is_text"))
+            for c in columns
+        ])
     )
+    # ``is_text`` is an aggregate output, not a key: a filter on it stays
+    # above the aggregate, so every reader shares the one exchange.
     return (
         df.select(pairs.alias("kv"))
-        .select("kv.column_name", "kv.value")
+        .select("kv.column_name", "kv.value", "kv.is_text")
         .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("is_text").alias("is_text"))
     )
 
 
@@ -70,7 +76,9 @@ def _column_list(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- E1
-def column_profile(df: DataFrame, table: str, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
+def column_profile(
+    df: DataFrame, table: str, columns: list[str] | None = None, approx: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
     """(table_name, column_name, null_percent, distinct_count) per column.
 
     ``null_percent`` is NULL for an empty table (the reference divided by
@@ -95,7 +103,7 @@ def column_profile(df: DataFrame, table: str, columns: list[str] | None = None,
             ).alias("null_percent"),
             F.col("distinct_count").cast("bigint").alias("distinct_count"),
         )
-    counts = value_counts(df, columns)
+    counts = counts if counts is not None else value_counts(df, columns)
     per_col = counts.groupBy("column_name").agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).alias("nulls"),
@@ -144,8 +152,10 @@ def category_profile(
     receives more than ``top`` values per column from each map task.
     """
     columns = list(columns if columns is not None else string_columns(df))
-    vc = counts if counts is not None else value_counts(df, columns)
-    vc = vc.filter(F.col("column_name").isin(columns))
+    if counts is None:
+        vc = value_counts(df, columns)
+    else:
+        vc = counts.filter(F.col("is_text"))
     totals = vc.groupBy("column_name").agg(F.sum("n").alias("total"))
 
     w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
@@ -167,12 +177,12 @@ def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFra
     ``<c>::<value>`` (value share in %, NULL labelled ``None``)."""
     columns = df.columns
     counts = value_counts(df, columns)
-    prof = column_profile(df, table, columns)
+    prof = column_profile(df, table, columns, counts=counts)
     null_pct = prof.select("table_name", F.concat(F.col("column_name"), F.lit("_null_pct")).alias("metric_name"),
                            F.col("null_percent").alias("metric_value"))
     distinct = prof.select("table_name", F.concat(F.col("column_name"), F.lit("_distinct_cnt")).alias("metric_name"),
                            F.col("distinct_count").cast("double").alias("metric_value"))
-    cat = category_profile(df, table, string_columns(df), top, counts=counts).select(
+    cat = category_profile(df, table, top=top, counts=counts).select(
         "table_name",
         F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None"))).alias("metric_name"),
         F.col("share_pct").alias("metric_value"),

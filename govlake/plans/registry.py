@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from govlake.operators import facts, kpis
 from govlake.plans.scenarios import BASE_POLICY
 from govlake.sources import tables
+from govlake.sources.bronze import bronze_tables
+from govlake.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,8 +40,13 @@ def report(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four bronze feeds, materialised once per data directory."""
+    return bronze_tables(spark, sf_dir)
+
+
 def base_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = tables.entities(spark, sf_dir)
+    e = entities(spark, sf_dir)
     return facts.fact_orders(e["orders"], e["customers"], e["payments"], e["refunds"], BASE_POLICY["row_rules"])
 
 
@@ -86,7 +93,7 @@ def q_kpi_daily_all(spark, sf_dir):
 
 @register("fact_orders_dedup")
 def q_fact_orders_dedup(spark, sf_dir):
-    e = tables.entities(spark, sf_dir)
+    e = entities(spark, sf_dir)
     return report(
         facts.fact_orders_dedup(e["orders"], e["customers"], e["payments"], e["refunds"], BASE_POLICY["row_rules"])
     )
@@ -193,7 +200,7 @@ def scenario_decision(spark, bronze, guardian_overrides=None, drift_overrides=No
 
 
 def bronze(spark, sf_dir, bronze_name):
-    return tables.entities(spark, sf_dir)[ENTITY_OF[bronze_name]]
+    return entities(spark, sf_dir)[ENTITY_OF[bronze_name]]
 
 
 def _silver_query(bronze_name):
@@ -256,7 +263,7 @@ from govlake.plans import snapshots  # noqa: E402
 
 
 def _per_table(spark, sf_dir, fn):
-    e = tables.entities(spark, sf_dir)
+    e = entities(spark, sf_dir)
     return snapshots.union_all([fn(e[t], t) for t in snapshots.TABLE_ORDER])
 
 
@@ -286,7 +293,12 @@ def q_drift_metrics(spark, sf_dir):
 
 
 def drift_pairs_of(spark, sf_dir):
-    return drift.drift_pairs(snapshots.metrics_history(tables.entities(spark, sf_dir)))
+    """Pairs over the metric history. The history is a small table (schema
+    sized per snapshot) that every rule reads, so it is checkpointed to the
+    shared folder once: the rules then read it instead of re-profiling."""
+    checkpoint_dir(spark)
+    history = snapshots.metrics_history(entities(spark, sf_dir)).checkpoint(eager=True)
+    return drift.drift_pairs(history)
 
 
 @register("drift_pairs")

