@@ -552,3 +552,122 @@ drift_dec AS (
   LEFT JOIN issues i ON t.table_name = i.table_name GROUP BY t.table_name)"""
 WDD = with_ctes(ENTITIES, SNAP1, HIST, PAIRS, SHARES, ISSUES, DRIFT_DECISION)
 SQL["drift_decision"] = WDD("SELECT * FROM drift_dec")
+
+# ------------------------------------------------------------ quality, guardian, control
+from govlake.operators.quality import ALLOWED_VALUES, DEFAULT_CHECKS, VALID_RANGES  # noqa: E402
+
+SQL["null_spikes"] = None  # filled below
+QHIST = "qhist AS (\n" + "\nUNION ALL ".join(
+    [f"SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS captured_at FROM ({sql_column_profile(t, SNAP1_SRC[t])})" for t in TABLE_ORDER]
+    + [f"SELECT *, TIMESTAMP '2024-01-02 00:00:00' AS captured_at FROM ({sql_column_profile(t, ENTITY_COLS[t][0])})" for t in TABLE_ORDER]
+) + ")"
+SQL["null_spikes"] = with_ctes(ENTITIES, SNAP1, QHIST)("""
+SELECT table_name, column_name, captured_at, previous_null_percent, null_percent,
+  null_percent - previous_null_percent AS rise_points,
+  CASE WHEN null_percent - previous_null_percent > 40 THEN 'HIGH'
+       WHEN null_percent - previous_null_percent >= 20 THEN 'MEDIUM' END AS spike_severity
+FROM (SELECT *, LAG(null_percent) OVER (PARTITION BY table_name, column_name ORDER BY captured_at) AS previous_null_percent
+      FROM qhist) WHERE previous_null_percent IS NOT NULL""")
+
+SQL["enum_violations"] = W("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS violations "
+    f"FROM {ENTITY_COLS[t][0]} WHERE NOT ({c} IN ({', '.join(repr(v) for v in vals)})) GROUP BY 3"
+    for t in TABLE_ORDER if t in ALLOWED_VALUES for c, vals in ALLOWED_VALUES[t].items()
+))
+
+
+def _range_bad(c, lo, hi):
+    parts = []
+    if lo is not None:
+        parts.append(f"{c} < {lo}")
+    if hi is not None:
+        parts.append(f"{c} > {hi}")
+    return " OR ".join(parts) or "FALSE"
+
+
+SQL["range_violations"] = W("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT({c}) AS checked_rows, "
+    f"CAST(SUM(CASE WHEN {_range_bad(c, lo, hi)} THEN 1 ELSE 0 END) AS BIGINT) AS violations, "
+    f"CAST(SUM(CASE WHEN {_range_bad(c, lo, hi)} THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(CAST(COUNT({c}) AS DOUBLE), 0) * 100.0 AS violation_pct "
+    f"FROM {ENTITY_COLS[t][0]}"
+    for t in TABLE_ORDER for c, (lo, hi) in VALID_RANGES[t].items()
+))
+
+
+def _sql_str(v):
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+CHECKS_VALUES = "checks AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({_sql_str(c.table)}, {_sql_str(c.name)}, {i}, {_sql_str(c.kind)}, {_sql_str(c.column)}, {_sql_str(c.condition)}, "
+    f"{'TRUE' if c.filter else 'FALSE'}, {_sql_str(c.correction)}, {_sql_str(c.severity)})"
+    for i, c in enumerate(DEFAULT_CHECKS)
+) + ") v(table_name, check_name, ordinal, kind, column_name, condition, is_filter, correction, severity))"
+
+
+def sql_failures(name, sources, tables=TABLE_ORDER):
+    parts = []
+    for t in tables:
+        for c in DEFAULT_CHECKS:
+            if c.table == t:
+                parts.append(
+                    f"SELECT '{t}' AS table_name, COUNT(*) AS rows, '{c.name}' AS check_name, "
+                    f"CAST(SUM(CASE WHEN NOT COALESCE(({c.condition}), FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failing "
+                    f"FROM {sources[t]}"
+                )
+    return f"{name} AS (" + "\nUNION ALL ".join(parts) + ")"
+
+
+def sql_issues(name, failures):
+    return f"""{name} AS (
+  SELECT f.table_name, f.check_name, c.kind AS issue_type,
+    CASE WHEN CAST(f.failing AS DOUBLE) / NULLIF(CAST(f.rows AS DOUBLE), 0) * 100.0 > 50.0 THEN 'HIGH' ELSE c.severity END AS severity,
+    c.column_name, f.check_name || ' failed on ' || CAST(f.failing AS VARCHAR) || ' of ' || CAST(f.rows AS VARCHAR) || ' rows' AS message,
+    f.failing AS failing_rows, CAST(f.failing AS DOUBLE) / NULLIF(CAST(f.rows AS DOUBLE), 0) * 100.0 AS failing_pct,
+    c.ordinal, c.condition, c.is_filter, c.correction
+  FROM {failures} f JOIN checks c ON f.table_name = c.table_name AND f.check_name = c.check_name WHERE f.failing > 0)"""
+
+
+def sql_decision(name, issues, tables=TABLE_ORDER):
+    values = ", ".join(f"('{t}')" for t in tables)
+    return f"""{name} AS (
+  SELECT t.table_name,
+    CASE WHEN MAX(CASE i.severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 ELSE 0 END) = 3 THEN 'BLOCK'
+         WHEN COUNT(CASE WHEN i.is_filter THEN 1 END) > 0 AND COUNT(i.correction) > 0 THEN 'BOTH'
+         WHEN COUNT(i.correction) > 0 THEN 'CORRECT' ELSE 'QUARANTINE' END AS strategy,
+    COALESCE(string_agg(CASE WHEN i.is_filter THEN '(' || i.condition || ')' END, ' AND ' ORDER BY i.ordinal), '') AS silver_filter_condition,
+    COALESCE(string_agg(CASE WHEN i.correction IS NOT NULL THEN i.column_name || ' := ' || i.correction END, '; ' ORDER BY i.ordinal), '') AS corrections,
+    COALESCE(CASE MAX(CASE i.severity WHEN 'HIGH' THEN 3 WHEN 'MEDIUM' THEN 2 WHEN 'LOW' THEN 1 END)
+             WHEN 3 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 1 THEN 'LOW' END, 'LOW') AS overall_severity,
+    COUNT(i.table_name) AS issue_count
+  FROM (VALUES {values}) t(table_name) LEFT JOIN {issues} i ON t.table_name = i.table_name
+  GROUP BY t.table_name)"""
+
+
+FULL_SRC = {t: ENTITY_COLS[t][0] for t in TABLE_ORDER}
+WG = with_ctes(ENTITIES, SNAP1, CHECKS_VALUES, sql_failures("fails2", FULL_SRC), sql_issues("issues2", "fails2"),
+               sql_decision("dec2", "issues2"), sql_failures("fails1", SNAP1_SRC), sql_issues("issues1", "fails1"),
+               sql_decision("dec1", "issues1"),
+               sql_failures("fails2op", FULL_SRC, ("orders", "payments")), sql_issues("issues2op", "fails2op"),
+               sql_decision("dec2op", "issues2op", ("orders", "payments")))
+
+SQL["guardian_issues"] = WG("""
+SELECT table_name, check_name, issue_type, severity, column_name, message, failing_rows, failing_pct FROM issues2""")
+
+SQL["guardian_decision"] = WG("""
+SELECT table_name, strategy, silver_filter_condition, corrections, overall_severity,
+  overall_severity <> 'HIGH' AS allow_processing, issue_count FROM dec2""")
+
+_BRONZE = "CASE table_name WHEN 'orders' THEN 'bronze_orders' WHEN 'customers' THEN 'bronze_customers' " \
+          "WHEN 'payments' THEN 'bronze_payments' ELSE 'bronze_refunds' END"
+
+
+def _ctrl_cols(dec, ts):
+    return (f"SELECT {_BRONZE} AS table_name, strategy, silver_filter_condition, corrections, {ts} AS updated_at, "
+            f"overall_severity <> 'HIGH' AS allow_processing, overall_severity AS severity FROM {dec}")
+
+
+SQL["control_latest"] = WG(_ctrl_cols("dec2", "TIMESTAMP '2024-01-02 00:00:00'"))
+SQL["control_upsert"] = WG(
+    _ctrl_cols("dec2op", "TIMESTAMP '2024-01-02 00:00:00'") + "\nUNION ALL "
+    + _ctrl_cols("(SELECT * FROM dec1 WHERE table_name IN ('customers', 'refunds'))", "TIMESTAMP '2024-01-01 00:00:00'"))

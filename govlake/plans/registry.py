@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from govlake.operators import facts, kpis
@@ -320,3 +321,106 @@ def _table_list(spark):
 def q_drift_decision(spark, sf_dir):
     issues = drift.drift_issues(drift_pairs_of(spark, sf_dir))
     return drift.drift_decision(issues, _table_list(spark))
+
+
+# ---------------------------------------------------------------- step 7: quality, guardian, control
+from govlake.config import FEEDS_BY_NAME  # noqa: E402
+from govlake.operators import quality  # noqa: E402
+
+BRONZE_NAMES = {t: FEEDS_BY_NAME[t].bronze for t in snapshots.TABLE_ORDER}
+
+
+def _evolved_orders(df):
+    """The orders feed as a later file drop: amount arrives as DOUBLE, a
+    channel column is added and product_id is gone."""
+    return df.select(
+        "order_id", "customer_id", "order_date", "order_status",
+        F.col("amount").cast("double").alias("amount"), "discount_amount", F.lit("web").alias("channel"),
+    )
+
+
+@register("schema_drift")
+def q_schema_drift(spark, sf_dir):
+    e = entities(spark, sf_dir)
+    snaps = []
+    for t in snapshots.TABLE_ORDER:
+        snaps.append(quality.schema_snapshot(e[t], t, scenarios.T1))
+        later = _evolved_orders(e[t]) if t == "orders" else e[t]
+        snaps.append(quality.schema_snapshot(later, t, scenarios.T2))
+    return quality.schema_drift(snapshots.union_all(snaps))
+
+
+@register("null_spikes")
+def q_null_spikes(spark, sf_dir):
+    checkpoint_dir(spark)
+    history = snapshots.quality_history(entities(spark, sf_dir)).checkpoint(eager=True)
+    return quality.null_spikes(history)
+
+
+@register("enum_violations")
+def q_enum_violations(spark, sf_dir):
+    e = entities(spark, sf_dir)
+    return snapshots.union_all(
+        [quality.enum_violations(e[t], t, quality.ALLOWED_VALUES[t]) for t in snapshots.TABLE_ORDER if t in quality.ALLOWED_VALUES]
+    )
+
+
+@register("range_violations")
+def q_range_violations(spark, sf_dir):
+    e = entities(spark, sf_dir)
+    return snapshots.union_all([quality.range_violations(e[t], t, quality.VALID_RANGES[t]) for t in snapshots.TABLE_ORDER])
+
+
+@register("guardian_issues")
+def q_guardian_issues(spark, sf_dir):
+    issues, _ = quality.guardian_run(entities(spark, sf_dir))
+    return issues.select("table_name", "check_name", "issue_type", "severity", "column_name", "message",
+                         "failing_rows", "failing_pct")
+
+
+def _decision_report(decision):
+    return decision.select(
+        "table_name", "strategy", "silver_filter_condition",
+        quality.corrections_text("corrections").alias("corrections"),
+        "overall_severity", "allow_processing", "issue_count",
+    )
+
+
+@register("guardian_decision")
+def q_guardian_decision(spark, sf_dir):
+    _, decision = quality.guardian_run(entities(spark, sf_dir))
+    return _decision_report(decision)
+
+
+def _guardian_controls(spark, sf_dir, early_tables=snapshots.TABLE_ORDER, late_tables=snapshots.TABLE_ORDER):
+    e = entities(spark, sf_dir)
+    early = snapshots.as_of(e)
+    _, d1 = quality.guardian_run({t: early[t] for t in early_tables})
+    _, d2 = quality.guardian_run({t: e[t] for t in late_tables})
+    return (quality.guardian_control(d1, scenarios.T1, BRONZE_NAMES),
+            quality.guardian_control(d2, scenarios.T2, BRONZE_NAMES))
+
+
+def _control_report(ctrl):
+    parsed = control.parse_guardian(ctrl).select(
+        "table_name", "strategy", "silver_filter_condition",
+        quality.corrections_text("corrections").alias("corrections"), "updated_at",
+    )
+    return parsed.join(ctrl.select("table_name", "allow_processing", "severity"), "table_name")
+
+
+@register("guardian_control")
+def q_guardian_control(spark, sf_dir):
+    return _guardian_controls(spark, sf_dir)[1]
+
+
+@register("control_latest")
+def q_control_latest(spark, sf_dir):
+    c1, c2 = _guardian_controls(spark, sf_dir)
+    return _control_report(control.latest_control(c1.unionByName(c2)))
+
+
+@register("control_upsert")
+def q_control_upsert(spark, sf_dir):
+    c1, c2 = _guardian_controls(spark, sf_dir, late_tables=("orders", "payments"))
+    return _control_report(control.upsert_latest(c1, c2, ["table_name"], "updated_at"))
