@@ -297,24 +297,30 @@ def policy_decision_json(decision: DataFrame) -> DataFrame:
     """Fold the violated rules into the decision document (one row).
 
     The rule list is bounded by the number of laws, so one group is safe.
+    Rules are sorted by (table, name) so the document is reproducible.
     """
-    row_rule = F.create_map(
-        F.lit("table"), F.col("table"), F.lit("rule_name"), F.col("name"),
-        F.lit("expression"), F.col("expression"), F.lit("severity"), F.col("severity"),
-        F.lit("on_fail"), F.col("on_fail"),
-    )
-    metric_rule = F.create_map(
-        F.lit("table"), F.col("table"), F.lit("metric"), F.col("name"),
-        F.lit("threshold_pct"), F.regexp_replace(F.col("threshold_pct").cast("string"), r"\.0$", ""), F.lit("severity"), F.col("severity"),
-        F.lit("on_fail"), F.col("on_fail"),
-    )
+    fields = F.struct("table", "name", "expression", "threshold_pct", "severity", "on_fail")
     agg = decision.agg(
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "row", F.struct(F.col("table"), F.col("name"), row_rule.alias("m"))))).alias("rr"),
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "metric", F.struct(F.col("table"), F.col("name"), metric_rule.alias("m"))))).alias("mr"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "row", fields))).alias("rr"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "metric", fields))).alias("mr"),
     )
+
+    def row_rule(x):
+        return F.create_map(
+            F.lit("table"), x["table"], F.lit("rule_name"), x["name"], F.lit("expression"), x["expression"],
+            F.lit("severity"), x["severity"], F.lit("on_fail"), x["on_fail"],
+        )
+
+    def metric_rule(x):
+        threshold = F.regexp_replace(x["threshold_pct"].cast("string"), r"\.0$", "")
+        return F.create_map(
+            F.lit("table"), x["table"], F.lit("metric"), x["name"], F.lit("threshold_pct"), threshold,
+            F.lit("severity"), x["severity"], F.lit("on_fail"), x["on_fail"],
+        )
+
     doc = F.struct(
         F.when(F.size("rr") + F.size("mr") > 0, F.lit("ENFORCE")).otherwise(F.lit("ALLOW")).alias("strategy"),
-        F.transform("rr", lambda s: s["m"]).alias("row_rules"),
-        F.transform("mr", lambda s: s["m"]).alias("metric_rules"),
+        F.transform("rr", row_rule).alias("row_rules"),
+        F.transform("mr", metric_rule).alias("metric_rules"),
     )
     return agg.select(F.to_json(doc).alias("policy_decision_json"))

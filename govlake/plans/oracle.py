@@ -671,3 +671,94 @@ SQL["control_latest"] = WG(_ctrl_cols("dec2", "TIMESTAMP '2024-01-02 00:00:00'")
 SQL["control_upsert"] = WG(
     _ctrl_cols("dec2op", "TIMESTAMP '2024-01-02 00:00:00'") + "\nUNION ALL "
     + _ctrl_cols("(SELECT * FROM dec1 WHERE table_name IN ('customers', 'refunds'))", "TIMESTAMP '2024-01-01 00:00:00'"))
+
+# ------------------------------------------------------------ policy, gold
+from govlake.functions.rules import and_all, normalize_expression  # noqa: E402
+from govlake.plans.scenarios import FULL_POLICY  # noqa: E402
+
+SILVER = f"""
+silver_o AS (SELECT *, {_stamp_silver('BOTH', 'LOW')} FROM (
+  SELECT {ORDER_COLS}, ABS(amount) AS amount, COALESCE(discount_amount, 0) AS discount_amount FROM sales_orders)
+  WHERE amount > 0 AND discount_amount <= amount),
+silver_c AS (SELECT {CUST_COLS}, {_stamp_silver('QUARANTINE', 'MEDIUM')} FROM customers WHERE age BETWEEN 0 AND 120),
+silver_p AS (SELECT payment_id, order_id, upper(trim(payment_status)) AS payment_status, payment_method, amount,
+  {_stamp_silver('CORRECT', 'LOW')} FROM payments WHERE amount > 0),
+silver_r AS (SELECT *, {_stamp_silver('QUARANTINE', 'LOW')} FROM refunds WHERE refund_amount > 0)"""
+SILVER_SRC = {"orders": "silver_o", "customers": "silver_c", "payments": "silver_p", "refunds": "silver_r"}
+
+POLICY_METRICS = """
+pm AS (
+  SELECT 'customers' AS table_name, 'total_rows' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM silver_c
+  UNION ALL SELECT 'customers', 'invalid_age_count', CAST(SUM(CASE WHEN age < 0 OR age > 120 THEN 1 ELSE 0 END) AS DOUBLE) FROM silver_c
+  UNION ALL SELECT 'orders', 'total_rows', CAST(COUNT(*) AS DOUBLE) FROM silver_o
+  UNION ALL SELECT 'orders', 'invalid_amount', CAST(SUM(CASE WHEN amount <= 0 THEN 1 ELSE 0 END) AS DOUBLE) FROM silver_o
+  UNION ALL SELECT 'orders', 'invalid_discount', CAST(SUM(CASE WHEN discount_amount > amount THEN 1 ELSE 0 END) AS DOUBLE) FROM silver_o
+  UNION ALL SELECT 'payments', 'total_rows', CAST(COUNT(*) AS DOUBLE) FROM silver_p
+  UNION ALL SELECT 'payments', 'failure_rate',
+    CAST(SUM(CASE WHEN payment_status IN ('FAILED','PENDING') THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) FROM silver_p
+  UNION ALL SELECT 'refunds', 'total_rows', CAST(COUNT(*) AS DOUBLE) FROM silver_r
+  UNION ALL SELECT 'refunds', 'invalid_refunds', CAST(SUM(CASE WHEN refund_amount <= 0 THEN 1 ELSE 0 END) AS DOUBLE) FROM silver_r)"""
+
+METRIC_LAWS = "mlaws AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({_sql_str(r['table'])}, {_sql_str(r['metric'])}, CAST({float(r['threshold_pct'])} AS DOUBLE), "
+    f"{_sql_str(r.get('severity'))}, {_sql_str(r.get('on_fail'))})" for r in FULL_POLICY["metric_rules"]
+) + ") v(\"table\", metric, threshold_pct, severity, on_fail))"
+
+ROW_FAILS = "rfails AS (" + "\nUNION ALL ".join(
+    f"SELECT {_sql_str(r['table'])} AS \"table\", {_sql_str(r['rule_name'])} AS rule_name, {_sql_str(r['expression'])} AS expression, "
+    f"CAST(SUM(CASE WHEN NOT COALESCE(({normalize_expression(r['expression'])}), FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failing_rows, "
+    f"{_sql_str(r.get('severity'))} AS severity, {_sql_str(r.get('on_fail'))} AS on_fail FROM {SILVER_SRC[r['table']]}"
+    for r in FULL_POLICY["row_rules"]
+) + ")"
+
+POLICY_DECISION = """
+pdec AS (
+  SELECT 'row' AS kind, "table", rule_name AS name, expression, CAST(NULL AS DOUBLE) AS threshold_pct,
+    CAST(failing_rows AS DOUBLE) AS observed, severity, on_fail FROM rfails WHERE failing_rows > 0
+  UNION ALL
+  SELECT 'metric', l."table", l.metric, CAST(NULL AS VARCHAR), l.threshold_pct, m.metric_value, l.severity, l.on_fail
+  FROM mlaws l JOIN pm m ON l."table" = m.table_name AND l.metric = m.metric_name WHERE m.metric_value > l.threshold_pct)"""
+
+WP = with_ctes(ENTITIES, SILVER, POLICY_METRICS, METRIC_LAWS, ROW_FAILS, POLICY_DECISION)
+
+SQL["policy_metrics"] = WP("SELECT * FROM pm")
+SQL["policy_metric_violations"] = WP("""
+SELECT l."table", l.metric, l.threshold_pct, m.metric_value, l.severity, l.on_fail
+FROM mlaws l JOIN pm m ON l."table" = m.table_name AND l.metric = m.metric_name WHERE m.metric_value > l.threshold_pct""")
+SQL["policy_decision"] = WP("SELECT * FROM pdec")
+SQL["policy_rules"] = WP("""
+SELECT "table", name AS rule_name, expression, severity, on_fail FROM pdec WHERE kind = 'row'""")
+
+
+def _row_cond(table):
+    return and_all(normalize_expression(r["expression"]) for r in FULL_POLICY["row_rules"] if r["table"] == table)
+
+
+_SILVER_OUT = {
+    "orders": f"{ORDER_COLS}, CAST(amount AS DOUBLE) AS amount, CAST(discount_amount AS DOUBLE) AS discount_amount",
+    "customers": CUST_COLS,
+    "payments": "payment_id, order_id, payment_status, payment_method, CAST(amount AS DOUBLE) AS amount",
+    "refunds": REFUND_COLS,
+}
+for _t in TABLE_ORDER:
+    SQL[f"gold_quarantine_{_t}"] = WP(
+        f"SELECT {_SILVER_OUT[_t]}, guardian_strategy, drift_severity, processed_at FROM {SILVER_SRC[_t]} "
+        f"WHERE NOT ({_row_cond(_t)})")
+
+_PK = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id", "refunds": "refund_id"}
+SQL["policy_failed_rules"] = WP("\nUNION ALL ".join(
+    f"SELECT * FROM (SELECT '{t}' AS table_name, {_PK[t]} AS row_key, concat_ws(',', "
+    + ", ".join(f"CASE WHEN NOT COALESCE(({normalize_expression(r['expression'])}), FALSE) THEN '{r['rule_name']}' END"
+                for r in FULL_POLICY["row_rules"] if r["table"] == t)
+    + f") AS failed_rules FROM {SILVER_SRC[t]}) WHERE failed_rules <> ''"
+    for t in TABLE_ORDER))
+
+SQL["fact_orders_governed"] = WP(f"""
+SELECT o.order_id, o.customer_id, p.payment_id, r.refund_id, o.order_date, o.order_status, p.payment_status, p.payment_method,
+  CAST(p.amount AS DOUBLE) AS payment_amount, r.refund_status, CAST(r.refund_amount AS DOUBLE) AS refund_amount, r.refund_reason,
+  CAST(o.discount_amount AS DOUBLE) AS discount_amount, CAST(p.amount - o.discount_amount AS DOUBLE) AS net_amount,
+  {AS_OF} AS processed_at
+FROM (SELECT * FROM silver_o WHERE {_row_cond('orders')}) o
+LEFT JOIN (SELECT * FROM silver_c WHERE {_row_cond('customers')}) c ON o.customer_id = c.customer_id
+LEFT JOIN (SELECT * FROM silver_p WHERE {_row_cond('payments')}) p ON o.order_id = p.order_id
+LEFT JOIN (SELECT * FROM silver_r WHERE {_row_cond('refunds')}) r ON o.order_id = r.order_id""")

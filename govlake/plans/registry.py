@@ -424,3 +424,94 @@ def q_control_latest(spark, sf_dir):
 def q_control_upsert(spark, sf_dir):
     c1, c2 = _guardian_controls(spark, sf_dir, late_tables=("orders", "payments"))
     return _control_report(control.upsert_latest(c1, c2, ["table_name"], "updated_at"))
+
+
+# ---------------------------------------------------------------- step 5: policy, gold
+from govlake.operators import policy  # noqa: E402
+from govlake.plans.scenarios import FULL_POLICY  # noqa: E402
+
+PK = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id", "refunds": "refund_id"}
+
+
+def silver_tables(spark, sf_dir):
+    """The four silver tables under the scenario decisions."""
+    g, d = scenario_controls(spark)
+    out = {}
+    for b, t in ENTITY_OF.items():
+        out[t] = gate.to_silver(bronze(spark, sf_dir, b), control.read_decision(g, d, b))
+    return out
+
+
+def _policy_metrics(s):
+    return policy.policy_metrics(s["customers"], s["orders"], s["payments"], s["refunds"])
+
+
+@register("policy_metrics")
+def q_policy_metrics(spark, sf_dir):
+    return _policy_metrics(silver_tables(spark, sf_dir))
+
+
+def _metric_rules_frame(spark, laws):
+    return spark.createDataFrame(
+        [(r["table"], r["metric"], float(r["threshold_pct"]), r.get("severity"), r.get("on_fail"))
+         for r in laws["metric_rules"]],
+        "table string, metric string, threshold_pct double, severity string, on_fail string",
+    )
+
+
+@register("policy_metric_violations")
+def q_policy_metric_violations(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    return policy.metric_violations(_policy_metrics(s), F.broadcast(_metric_rules_frame(spark, FULL_POLICY)))
+
+
+def _policy_decision(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    return policy.policy_decision(s, _policy_metrics(s), FULL_POLICY)
+
+
+@register("policy_decision")
+def q_policy_decision(spark, sf_dir):
+    return _policy_decision(spark, sf_dir)
+
+
+@register("policy_decision_json")
+def q_policy_decision_json(spark, sf_dir):
+    return policy.policy_decision_json(_policy_decision(spark, sf_dir))
+
+
+@register("policy_rules")
+def q_policy_rules(spark, sf_dir):
+    return policy.policy_rules(policy.policy_decision_json(_policy_decision(spark, sf_dir)))
+
+
+def _gold_quarantine_query(table):
+    def q(spark, sf_dir):
+        return report(policy.gold_quarantine(silver_tables(spark, sf_dir)[table], table, FULL_POLICY["row_rules"]))
+
+    return q
+
+
+for _t in snapshots.TABLE_ORDER:
+    register(f"gold_quarantine_{_t}")(_gold_quarantine_query(_t))
+
+
+@register("policy_failed_rules")
+def q_policy_failed_rules(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    frames = []
+    for t in snapshots.TABLE_ORDER:
+        marked = policy.failed_rules(s[t], t, FULL_POLICY["row_rules"])
+        frames.append(
+            marked.filter(F.size("failed_rules") > 0).select(
+                F.lit(t).alias("table_name"), F.col(PK[t]).alias("row_key"),
+                F.array_join("failed_rules", ",").alias("failed_rules"),
+            )
+        )
+    return snapshots.union_all(frames)
+
+
+@register("fact_orders_governed")
+def q_fact_orders_governed(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    return report(facts.fact_orders(s["orders"], s["customers"], s["payments"], s["refunds"], FULL_POLICY["row_rules"]))
