@@ -762,3 +762,89 @@ FROM (SELECT * FROM silver_o WHERE {_row_cond('orders')}) o
 LEFT JOIN (SELECT * FROM silver_c WHERE {_row_cond('customers')}) c ON o.customer_id = c.customer_id
 LEFT JOIN (SELECT * FROM silver_p WHERE {_row_cond('payments')}) p ON o.order_id = p.order_id
 LEFT JOIN (SELECT * FROM silver_r WHERE {_row_cond('refunds')}) r ON o.order_id = r.order_id""")
+
+# ------------------------------------------------------------ streams
+_ORDERS_STREAM = f"""
+SELECT order_id, customer_id, product_id, order_date, order_status,
+  CAST(CASE WHEN order_date >= TIMESTAMP '1998-05-01' AND order_status = 'CANCELLED' THEN NULL ELSE amount END AS DOUBLE) AS amount,
+  CAST(discount_amount AS DOUBLE) AS discount_amount,
+  CASE WHEN order_date >= TIMESTAMP '1998-05-01' AND order_status = 'CANCELLED'
+       THEN '{{"amount":"USD ' || CAST(amount AS VARCHAR) || '"}}' END AS _rescued_data
+FROM sales_orders"""
+SQL["bronze_stream_orders"] = W(_ORDERS_STREAM)
+SQL["bronze_rescued"] = W(f"SELECT order_id, amount, _rescued_data FROM ({_ORDERS_STREAM}) WHERE _rescued_data IS NOT NULL")
+SQL["stream_route"] = SQL["route_orders"]
+
+# ------------------------------------------------------------ governance
+SQL["quarantine_summary"] = W("""
+SELECT CAST(TIMESTAMP '2024-01-03 00:00:00' AS DATE) AS quarantine_day, table_name, 'GUARDIAN_FILTER_FAILED' AS quarantine_reason,
+  COUNT(*) AS records FROM (
+  SELECT 'orders' AS table_name FROM sales_orders WHERE NOT (amount > 0 AND discount_amount <= amount)
+  UNION ALL SELECT 'customers' FROM customers WHERE NOT (age BETWEEN 0 AND 120)
+  UNION ALL SELECT 'payments' FROM payments WHERE NOT (amount > 0)
+  UNION ALL SELECT 'refunds' FROM refunds WHERE NOT (refund_amount > 0))
+GROUP BY table_name""")
+
+SQL["drift_alerts_weekly"] = WDD("""
+SELECT CAST(date_trunc('week', TIMESTAMP '2024-01-02 00:00:00') AS DATE) AS week_start, issue_type, severity,
+  COUNT(*) AS alerts, COUNT(DISTINCT table_name) AS tables
+FROM issues WHERE severity IN ('MEDIUM', 'HIGH') GROUP BY issue_type, severity""")
+
+SQL["top_failed_rules"] = WP("\n".join([
+    "SELECT table_name, rule_name, COUNT(*) AS failed_rows FROM (",
+    "\nUNION ALL ".join(
+        f"SELECT '{r['table']}' AS table_name, '{r['rule_name']}' AS rule_name FROM {SILVER_SRC[r['table']]} "
+        f"WHERE NOT COALESCE(({normalize_expression(r['expression'])}), FALSE)"
+        for r in FULL_POLICY["row_rules"]),
+    ") GROUP BY 1, 2 ORDER BY failed_rows DESC, table_name, rule_name LIMIT 10"]))
+
+SQL["churn_rate"] = with_ctes(
+    ENTITIES,
+    "\nref AS (SELECT MAX(CAST(order_date AS DATE)) AS reference_day FROM sales_orders)",
+    "\nlast AS (SELECT customer_id, MAX(CAST(order_date AS DATE)) AS last_day FROM sales_orders GROUP BY 1)")("""
+SELECT ref.reference_day, COUNT(*) AS customers,
+  CAST(SUM(CASE WHEN last_day < CAST(ref.reference_day - INTERVAL 90 DAY AS DATE) THEN 1 ELSE 0 END) AS BIGINT) AS churned,
+  CAST(SUM(CASE WHEN last_day < CAST(ref.reference_day - INTERVAL 90 DAY AS DATE) THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+    / NULLIF(CAST(COUNT(*) AS DOUBLE), 0) AS churn_rate
+FROM last, ref GROUP BY ref.reference_day""")
+
+SQL["kpi_anomaly_score"] = WS("""
+SELECT order_date, CAST(net_revenue AS DOUBLE) AS net_revenue, window_days, window_mean, window_std,
+  (CAST(net_revenue AS DOUBLE) - window_mean) / NULLIF(window_std, 0) AS z_score,
+  COALESCE(ABS((CAST(net_revenue AS DOUBLE) - window_mean) / NULLIF(window_std, 0)) > 3.0, FALSE) AS is_anomaly
+FROM (
+  SELECT *, s1 / NULLIF(CAST(window_days AS DOUBLE), 0) AS window_mean,
+    CASE WHEN (s2 - s1 * s1 / CAST(window_days AS DOUBLE)) / NULLIF(CAST(window_days - 1 AS DOUBLE), 0) > 0
+         THEN sqrt((s2 - s1 * s1 / CAST(window_days AS DOUBLE)) / NULLIF(CAST(window_days - 1 AS DOUBLE), 0)) END AS window_std
+  FROM (
+    SELECT order_date, net_revenue,
+      COUNT(net_revenue) OVER w AS window_days,
+      CAST(SUM(net_revenue) OVER w AS DOUBLE) AS s1,
+      CAST(SUM(CAST(net_revenue AS DECIMAL(38,4)) * CAST(net_revenue AS DECIMAL(38,4))) OVER w AS DOUBLE) AS s2
+    FROM dm WINDOW w AS (ORDER BY order_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)))""")
+
+SQL["freshness_sla"] = WP("""
+SELECT table_name, rows, last_processed_at,
+  CAST(epoch(TIMESTAMP '2024-01-03 01:00:00') - epoch(last_processed_at) AS DOUBLE) / 3600.0 AS lag_hours,
+  COALESCE(CAST(epoch(TIMESTAMP '2024-01-03 01:00:00') - epoch(last_processed_at) AS DOUBLE) / 3600.0 <= 24.0, FALSE) AS within_sla
+FROM (
+  SELECT 'orders' AS table_name, COUNT(*) AS rows, MAX(processed_at) AS last_processed_at FROM silver_o
+  UNION ALL SELECT 'customers', COUNT(*), MAX(processed_at) FROM silver_c
+  UNION ALL SELECT 'payments', COUNT(*), MAX(processed_at) FROM silver_p
+  UNION ALL SELECT 'refunds', COUNT(*), MAX(processed_at) FROM silver_r)""")
+
+# ------------------------------------------------------------ end to end
+# Guardian decisions derived from the data equal the gate of ``SILVER`` except
+# that payments need no correction (their statuses are already normalised);
+# the drift rules find no earlier snapshot (first run), and the policy keeps
+# only the payment-status row rule, the one any silver row breaks.
+PIPE_FACT = f"""
+fact AS (
+  SELECT o.order_id, o.customer_id, p.payment_id, r.refund_id, o.order_date, o.order_status,
+    p.payment_status, p.payment_method, p.amount AS payment_amount, r.refund_status, r.refund_amount, r.refund_reason,
+    o.discount_amount, p.amount - o.discount_amount AS net_amount, {AS_OF} AS processed_at
+  FROM silver_o o LEFT JOIN silver_c c ON o.customer_id = c.customer_id
+  LEFT JOIN (SELECT * FROM silver_p WHERE payment_status = 'SUCCESS') p ON o.order_id = p.order_id
+  LEFT JOIN silver_r r ON o.order_id = r.order_id)"""
+SQL["pipeline_kpi_daily"] = with_ctes(ENTITIES, SILVER, PIPE_FACT, KPI_DAILY_ALL, DM, TR, SIG, DRV, INS)(
+    f"SELECT {INS_COLS}, generated_at FROM ins")

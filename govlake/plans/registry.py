@@ -7,12 +7,14 @@ columns match the oracle SQL in ``govlake.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from govlake.config import DEFAULT_AS_OF
 from govlake.operators import facts, kpis
 from govlake.plans.scenarios import BASE_POLICY
 from govlake.sources import tables
@@ -515,3 +517,115 @@ def q_policy_failed_rules(spark, sf_dir):
 def q_fact_orders_governed(spark, sf_dir):
     s = silver_tables(spark, sf_dir)
     return report(facts.fact_orders(s["orders"], s["customers"], s["payments"], s["refunds"], FULL_POLICY["row_rules"]))
+
+
+# ---------------------------------------------------------------- step 10: streams
+from govlake.sources.sinks import scratch_dir  # noqa: E402
+from govlake.streaming import bronze as streaming  # noqa: E402
+
+
+def _write_drops(spark, sf_dir, bad_text: bool):
+    """Two CSV drops of the orders feed in a fresh folder: orders before the
+    snapshot cut-off, then the rest (optionally with amounts of cancelled
+    orders written as text with a currency prefix, which do not parse)."""
+    orders = entities(spark, sf_dir)["orders"]
+    root = scratch_dir(spark, "stream")
+    early = F.col("order_date") < F.lit(snapshots.CUTOFF).cast("timestamp_ntz")
+    first = orders.filter(early)
+    second = orders.filter(~early)
+    if bad_text:
+        second = second.withColumn(
+            "amount",
+            F.when(F.col("order_status") == "CANCELLED", F.concat(F.lit("USD "), F.col("amount").cast("string")))
+            .otherwise(F.col("amount").cast("string")),
+        )
+    return orders.schema, root, first, second
+
+
+def _ingest_two_drops(spark, sf_dir, bad_text):
+    schema, root, first, second = _write_drops(spark, sf_dir, bad_text)
+    feed, table, ckpt = f"{root}/feed", f"{root}/bronze", f"{root}/checkpoint"
+    first.write.option("header", True).csv(feed)
+    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)
+    second.write.mode("append").option("header", True).csv(feed)
+    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)
+    return spark.read.parquet(table)
+
+
+@register("bronze_stream_orders")
+def q_bronze_stream_orders(spark, sf_dir):
+    return report(_ingest_two_drops(spark, sf_dir, bad_text=True))
+
+
+@register("bronze_rescued")
+def q_bronze_rescued(spark, sf_dir):
+    df = _ingest_two_drops(spark, sf_dir, bad_text=True)
+    return report(df.filter(F.col("_rescued_data").isNotNull()).select("order_id", "amount", "_rescued_data"))
+
+
+@register("stream_route")
+def q_stream_route(spark, sf_dir):
+    schema, root, first, second = _write_drops(spark, sf_dir, bad_text=False)
+    feed, out, ckpt = f"{root}/feed", f"{root}/routed", f"{root}/checkpoint"
+    dec = scenario_decision(spark, "bronze_orders")
+    first.write.option("header", True).csv(feed)
+    streaming.stream_route(streaming.bronze_stream(spark, feed, schema).drop("_rescued_data"), dec, out, ckpt)
+    second.write.mode("append").option("header", True).csv(feed)
+    streaming.stream_route(streaming.bronze_stream(spark, feed, schema).drop("_rescued_data"), dec, out, ckpt)
+    routed = spark.read.parquet(out)
+    return report(routed.select(*[c for c in gate.route(entities(spark, sf_dir)["orders"], dec).columns]))
+
+
+# ---------------------------------------------------------------- step 11: governance
+from govlake.operators import governance  # noqa: E402
+from govlake.plans import pipeline  # noqa: E402
+
+
+def _scenario_quarantine(spark, sf_dir):
+    g, d = scenario_controls(spark)
+    return {t: gate.to_quarantine(bronze(spark, sf_dir, b), control.read_decision(g, d, b)) for b, t in ENTITY_OF.items()}
+
+
+@register("quarantine_summary")
+def q_quarantine_summary(spark, sf_dir):
+    return governance.quarantine_summary(pipeline.quarantine_union(_scenario_quarantine(spark, sf_dir)))
+
+
+@register("drift_alerts_weekly")
+def q_drift_alerts_weekly(spark, sf_dir):
+    issues = drift.drift_issues(drift_pairs_of(spark, sf_dir))
+    dec = drift.drift_decision(issues, _table_list(spark))
+    return governance.drift_alerts_weekly(drift.drift_audit(issues, dec, scenarios.T2))
+
+
+@register("top_failed_rules")
+def q_top_failed_rules(spark, sf_dir):
+    s = silver_tables(spark, sf_dir)
+    marked = snapshots.union_all([
+        policy.failed_rules(s[t], t, FULL_POLICY["row_rules"]).select(F.lit(t).alias("table_name"), "failed_rules")
+        for t in snapshots.TABLE_ORDER
+    ])
+    return governance.top_failed_rules(marked, k=10)
+
+
+@register("churn_rate")
+def q_churn_rate(spark, sf_dir):
+    return governance.churn(entities(spark, sf_dir)["orders"], days=90)
+
+
+@register("kpi_anomaly_score")
+def q_kpi_anomaly_score(spark, sf_dir):
+    daily = signals.daily_metrics_onepass(base_kpi_all(spark, sf_dir))
+    return report(governance.kpi_anomaly_score(daily, "net_revenue", window=28))
+
+
+@register("freshness_sla")
+def q_freshness_sla(spark, sf_dir):
+    check_time = DEFAULT_AS_OF + datetime.timedelta(hours=1)
+    return governance.freshness_sla(silver_tables(spark, sf_dir), check_time, limit_hours=24.0)
+
+
+# ---------------------------------------------------------------- step 12: end to end
+@register("pipeline_kpi_daily")
+def q_pipeline_kpi_daily(spark, sf_dir):
+    return report(pipeline.run(entities(spark, sf_dir), FULL_POLICY).insights)
