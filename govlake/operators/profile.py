@@ -174,18 +174,34 @@ def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFra
     """All drift metrics of one table snapshot in long format
     (table_name, metric_name, metric_value double):
     ``row_count``, ``<c>_null_pct``, ``<c>_distinct_cnt``, ``<c>_avg`` and
-    ``<c>::<value>`` (value share in %, NULL labelled ``None``)."""
-    columns = df.columns
-    counts = value_counts(df, columns)
-    prof = column_profile(df, table, columns, counts=counts)
-    null_pct = prof.select("table_name", F.concat(F.col("column_name"), F.lit("_null_pct")).alias("metric_name"),
-                           F.col("null_percent").alias("metric_value"))
-    distinct = prof.select("table_name", F.concat(F.col("column_name"), F.lit("_distinct_cnt")).alias("metric_name"),
-                           F.col("distinct_count").cast("double").alias("metric_value"))
-    cat = category_profile(df, table, top=top, counts=counts).select(
-        "table_name",
+    ``<c>::<value>`` (value share in %, NULL labelled ``None``).
+
+    Two scans: the global aggregate (row count, averages) and the per-value
+    counts, from which the per-column figures and the category shares are
+    derived (the per-column totals double as the share denominators).
+    """
+    counts = value_counts(df, df.columns)
+    per_col = counts.groupBy("column_name").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).alias("nulls"),
+        F.count("value").alias("distinct_count"),
+    )
+    null_pct = per_col.select(
+        F.lit(table).alias("table_name"),
+        F.concat(F.col("column_name"), F.lit("_null_pct")).alias("metric_name"),
+        (F.try_divide(F.col("nulls").cast("double"), F.col("rows").cast("double")) * F.lit(100.0)).alias("metric_value"),
+    )
+    distinct = per_col.select(
+        F.lit(table).alias("table_name"),
+        F.concat(F.col("column_name"), F.lit("_distinct_cnt")).alias("metric_name"),
+        F.col("distinct_count").cast("double").alias("metric_value"),
+    )
+    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    ranked = counts.filter(F.col("is_text")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    cat = ranked.join(F.broadcast(per_col.select("column_name", "rows")), "column_name").select(
+        F.lit(table).alias("table_name"),
         F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None"))).alias("metric_name"),
-        F.col("share_pct").alias("metric_value"),
+        (F.col("n").cast("double") / F.col("rows").cast("double") * F.lit(100.0)).alias("metric_value"),
     )
     return numeric_profile(df, table).unionByName(null_pct).unionByName(distinct).unionByName(cat)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from govlake import config as C
 from govlake.operators import control, drift, facts, gate, kpis, policy, profile, quality
 from govlake.plans import insights, signals
-from govlake.plans.snapshots import TABLE_ORDER, union_all
+from govlake.plans.snapshots import TABLE_ORDER, compact, union_all
 from govlake.session import checkpoint_dir
 
 
@@ -53,7 +53,9 @@ def run(
     # Drift: this run's metrics appended to the history, rules over pairs.
     current = union_all([profile.stamp(profile.drift_metrics(bronze[t], t), as_of) for t in TABLE_ORDER])
     hist = current if history is None else history.unionByName(current)
-    issues = drift.drift_issues(drift.drift_pairs(hist))
+    # The metric history is small and read by every rule: cut it once.
+    pairs = compact(drift.drift_pairs(compact(hist).checkpoint(eager=True))).checkpoint(eager=True)
+    issues = drift.drift_issues(pairs)
     tables = spark.createDataFrame([(t,) for t in TABLE_ORDER], "table_name string")
     d_dec = drift.drift_decision(issues, tables)
     d_ctrl = drift.drift_control(issues, d_dec, as_of, names).checkpoint(eager=True)

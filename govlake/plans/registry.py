@@ -300,8 +300,8 @@ def drift_pairs_of(spark, sf_dir):
     sized per snapshot) that every rule reads, so it is checkpointed to the
     shared folder once: the rules then read it instead of re-profiling."""
     checkpoint_dir(spark)
-    history = snapshots.metrics_history(entities(spark, sf_dir)).checkpoint(eager=True)
-    return drift.drift_pairs(history)
+    history = snapshots.compact(snapshots.metrics_history(entities(spark, sf_dir))).checkpoint(eager=True)
+    return snapshots.compact(drift.drift_pairs(history)).checkpoint(eager=True)
 
 
 @register("drift_pairs")
@@ -355,7 +355,7 @@ def q_schema_drift(spark, sf_dir):
 @register("null_spikes")
 def q_null_spikes(spark, sf_dir):
     checkpoint_dir(spark)
-    history = snapshots.quality_history(entities(spark, sf_dir)).checkpoint(eager=True)
+    history = snapshots.compact(snapshots.quality_history(entities(spark, sf_dir))).checkpoint(eager=True)
     return quality.null_spikes(history)
 
 

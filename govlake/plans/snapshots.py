@@ -57,3 +57,11 @@ def quality_history(entities: dict[str, DataFrame], first: _dt.datetime = T1, se
         for t in TABLE_ORDER:
             frames.append(profile.stamp(profile.column_profile(snap[t], t), stamp_at))
     return union_all(frames)
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """Merge the many small partitions a union of per-table metric frames
+    has (no shuffle), down to the session's shuffle parallelism: metric
+    tables are schema-sized, not data-sized."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(1, n))
