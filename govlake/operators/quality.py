@@ -317,3 +317,41 @@ def guardian_run(tables: dict[str, DataFrame], checks=DEFAULT_CHECKS) -> tuple[D
     issues = guardian_issues(check_failures(tables, checks), cf)
     names = spark.createDataFrame([(t,) for t in tables], "table_name string")
     return issues, guardian_decision(issues, names)
+
+
+def guardian_audit(issues: DataFrame, decision: DataFrame, event_time, table_names: dict | None = None) -> DataFrame:
+    """Audit rows, one per issue, with the table's fix document and overall
+    severity; a table without issues gets one NO_ISSUE row (S18)."""
+    fix = F.to_json(F.struct(
+        F.col("strategy").alias("strategy"),
+        F.col("silver_filter_condition").alias("silver_filter_condition"),
+        F.map_from_entries("corrections").alias("correction_expression"),
+    ))
+    dec = decision.select("table_name", fix.alias("recommended_fix_code"), "overall_severity", "issue_count")
+    rows = issues.join(dec, "table_name").select(
+        "table_name", "issue_type", "severity", "column_name", "message", "recommended_fix_code", "overall_severity",
+    )
+    none = dec.filter(F.col("issue_count") == 0).select(
+        "table_name", F.lit("NO_ISSUE").alias("issue_type"), F.lit("LOW").alias("severity"),
+        F.lit("NONE").alias("column_name"), F.lit("No issue detected").alias("message"),
+        "recommended_fix_code", "overall_severity",
+    )
+    out = rows.unionByName(none).withColumn("event_time", F.lit(event_time).cast("timestamp"))
+    if table_names:
+        out = out.replace(table_names, subset=["table_name"])
+    return out
+
+
+def guardian_events(audit: DataFrame, decision: DataFrame, pipeline_name: str, table_names: dict | None = None) -> DataFrame:
+    """Event rows (pipeline, table, issue, action taken, processing allowed,
+    fix applied) from the audit and the decision."""
+    d = decision.select("table_name", "allow_processing", "strategy")
+    if table_names:
+        d = d.replace(table_names, subset=["table_name"])
+    return audit.join(d, "table_name").select(
+        F.lit(pipeline_name).alias("pipeline_name"), "table_name", "issue_type", "severity", "message",
+        F.col("recommended_fix_code").alias("action_taken"),
+        F.col("allow_processing").alias("processing_allowed"),
+        F.col("strategy").isin("CORRECT", "BOTH").alias("fix_applied"),
+        "event_time",
+    )

@@ -848,3 +848,37 @@ fact AS (
   LEFT JOIN silver_r r ON o.order_id = r.order_id)"""
 SQL["pipeline_kpi_daily"] = with_ctes(ENTITIES, SILVER, PIPE_FACT, KPI_DAILY_ALL, DM, TR, SIG, DRV, INS)(
     f"SELECT {INS_COLS}, generated_at FROM ins")
+
+# ------------------------------------------------------------ audit logs
+FIX_JSON = """
+fixdoc AS (
+  SELECT t.table_name, '{"strategy":"' || d.strategy || '","silver_filter_condition":"' || d.silver_filter_condition
+    || '","correction_expression":{' || COALESCE((
+       SELECT string_agg('"' || column_name || '":"' || correction || '"', ',' ORDER BY ordinal)
+       FROM issues2 i WHERE i.table_name = t.table_name AND i.correction IS NOT NULL), '') || '}}' AS recommended_fix_code,
+    d.overall_severity, d.issue_count
+  FROM (VALUES ('orders'), ('customers'), ('payments'), ('refunds')) t(table_name) JOIN dec2 d USING (table_name))"""
+WGA = with_ctes(ENTITIES, SNAP1, CHECKS_VALUES, sql_failures("fails2", FULL_SRC), sql_issues("issues2", "fails2"),
+                sql_decision("dec2", "issues2"), FIX_JSON)
+GUARDIAN_AUDIT = f"""
+SELECT {_BRONZE} AS table_name, issue_type, severity, column_name, message, recommended_fix_code, overall_severity,
+  TIMESTAMP '2024-01-02 00:00:00' AS event_time FROM (
+  SELECT i.table_name, i.issue_type, i.severity, i.column_name, i.message, f.recommended_fix_code, f.overall_severity
+  FROM issues2 i JOIN fixdoc f USING (table_name)
+  UNION ALL
+  SELECT table_name, 'NO_ISSUE', 'LOW', 'NONE', 'No issue detected', recommended_fix_code, overall_severity
+  FROM fixdoc WHERE issue_count = 0)"""
+SQL["guardian_audit"] = WGA(GUARDIAN_AUDIT)
+SQL["guardian_events"] = WGA(f"""
+SELECT 'AI_BASED_SALES_PIPELINE' AS pipeline_name, a.table_name, a.issue_type, a.severity, a.message,
+  a.recommended_fix_code AS action_taken, d.overall_severity <> 'HIGH' AS processing_allowed,
+  d.strategy IN ('CORRECT', 'BOTH') AS fix_applied, a.event_time
+FROM ({GUARDIAN_AUDIT}) a JOIN (SELECT {_BRONZE} AS table_name, overall_severity, strategy FROM dec2) d USING (table_name)""")
+
+SQL["drift_audit"] = WDD("""
+SELECT i.table_name, i.issue_type, i."column", i.severity, i.message, i.recommended_action, d.overall_severity,
+  TIMESTAMP '2024-01-02 00:00:00' AS event_time
+FROM issues i JOIN drift_dec d USING (table_name)
+UNION ALL
+SELECT table_name, 'NO_DRIFT', 'NONE', 'LOW', 'No drift detected', 'NONE', 'LOW', TIMESTAMP '2024-01-02 00:00:00'
+FROM drift_dec WHERE issue_count = 0""")

@@ -629,3 +629,31 @@ def q_freshness_sla(spark, sf_dir):
 @register("pipeline_kpi_daily")
 def q_pipeline_kpi_daily(spark, sf_dir):
     return report(pipeline.run(entities(spark, sf_dir), FULL_POLICY).insights)
+
+
+# ---------------------------------------------------------------- audit logs
+@register("guardian_audit")
+def q_guardian_audit(spark, sf_dir):
+    issues, decision = quality.guardian_run(entities(spark, sf_dir))
+    return quality.guardian_audit(issues, decision, scenarios.T2, BRONZE_NAMES)
+
+
+@register("guardian_events")
+def q_guardian_events(spark, sf_dir):
+    issues, decision = quality.guardian_run(entities(spark, sf_dir))
+    audit = quality.guardian_audit(issues, decision, scenarios.T2, BRONZE_NAMES)
+    return quality.guardian_events(audit, decision, "AI_BASED_SALES_PIPELINE", BRONZE_NAMES)
+
+
+@register("drift_audit")
+def q_drift_audit(spark, sf_dir):
+    issues = drift.drift_issues(drift_pairs_of(spark, sf_dir))
+    dec = drift.drift_decision(issues, _table_list(spark))
+    return drift.drift_audit(issues, dec, scenarios.T2)
+
+
+@register("drift_control")
+def q_drift_control(spark, sf_dir):
+    issues = drift.drift_issues(drift_pairs_of(spark, sf_dir))
+    dec = drift.drift_decision(issues, _table_list(spark))
+    return drift.drift_control(issues, dec, scenarios.T2, BRONZE_NAMES)

@@ -143,3 +143,13 @@ def entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "payments": payments(spark, sf_dir),
         "refunds": refunds(spark, sf_dir),
     }
+
+
+def register_views(spark: SparkSession, frames: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose DataFrames to SQL users as temp views (A11); returns the names."""
+    names = []
+    for name, df in frames.items():
+        view = f"{prefix}{name}"
+        df.createOrReplaceTempView(view)
+        names.append(view)
+    return names

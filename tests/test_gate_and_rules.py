@@ -111,3 +111,37 @@ def test_bad_rule_text_is_refused_before_running(spark, people):
     d = Decision("t", "QUARANTINE", "no_such_column > 1", (), "LOW")
     with pytest.raises(Exception):
         gate.to_silver(people, d)
+
+
+def test_active_laws_and_latest_policy(spark):
+    laws = spark.createDataFrame(
+        [('{"row_rules": []}', True, dt.datetime(2024, 1, 1)), ('{"row_rules": [{"table": "x"}]}', True, dt.datetime(2024, 1, 2)),
+         ('{"old": 1}', False, dt.datetime(2024, 1, 3))],
+        "policy_json string, is_active boolean, created_at timestamp")
+    assert policy.active_laws(laws).first()["policy_json"] == '{"row_rules": [{"table": "x"}]}'
+    ctrl = spark.createDataFrame(
+        [("p", ["orders"], json.dumps({"strategy": "A", "row_rules": [], "metric_rules": []}), dt.datetime(2024, 1, 1)),
+         ("p", ["orders"], json.dumps({"strategy": "B", "row_rules": [{"table": "orders", "rule_name": "r",
+                                                                       "expression": "amount > 0"}],
+                                       "metric_rules": [{"table": "payments", "metric": "failure_rate",
+                                                         "threshold_pct": 10}]}), dt.datetime(2024, 1, 2))],
+        "pipeline_name string, table_name_list array<string>, policy_decision_json string, updated_timestamp timestamp")
+    doc = policy.read_policy(policy.latest_policy(ctrl, "p"))
+    assert doc["strategy"] == "B" and doc["row_rules"][0]["expression"] == "amount > 0"
+    # numbers inside the rule maps arrive as strings
+    assert doc["metric_rules"][0]["threshold_pct"] == "10"
+    assert policy.metric_rules(policy.latest_policy(ctrl, "p")).first()["threshold_pct"] == 10.0
+
+
+def test_malformed_policy_gives_no_rules(spark):
+    ctrl = spark.createDataFrame([("not json",)], "policy_decision_json string")
+    doc = policy.read_policy(ctrl)
+    assert doc["row_rules"] == [] and doc["metric_rules"] == []
+
+
+def test_register_views(spark):
+    from govlake.sources.tables import register_views
+
+    df = spark.createDataFrame([(1,)], "a int")
+    assert register_views(spark, {"t_view": df}) == ["t_view"]
+    assert spark.sql("SELECT SUM(a) AS s FROM t_view").first()["s"] == 1
