@@ -1,6 +1,8 @@
-"""KPI tables over the fact.
+"""KPI tables (E11-E17), over the fact or over per-order contributions.
 
-Every KPI is a grouped aggregate: Spark plans a partial aggregate per map
+The ``*_orders`` forms give the same tables without materialising the
+fact's payments x refunds fan-out (see ``order_contributions``); the
+registered queries and the pipeline use them. Every KPI is a grouped aggregate: Spark plans a partial aggregate per map
 task, so a hot day or customer is combined before the shuffle. The single
 ``countDistinct(order_id)`` is rewritten by Catalyst into a two-level
 aggregate keyed first by (group, order_id), which stays distributed.
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from govlake.functions.columns import pct, success_flag
+from govlake.operators.policy import apply_row_rules
 
 
 def _day() -> F.Column:
@@ -105,3 +108,162 @@ def kpi_daily_all(fact: DataFrame) -> DataFrame:
         pct(F.count("refund_id"), F.countDistinct("order_id")).alias("refund_rate"),
         F.sum("discount_amount").alias("total_discount"),
     )
+
+
+# ---------------------------------------------------------------------------
+# KPIs without the fan-out.
+#
+# The fact holds one row per (order, payment, refund) combination, so an
+# order with many payments and refunds contributes their product in rows.
+# Every KPI above is a count or a sum over those rows, and each such total
+# is a closed form of per-order aggregates: with C matching customer rows,
+# P payment rows and R refund rows, an order stands for C * max(P,1) *
+# max(R,1) fact rows, a payment amount is repeated C * max(R,1) times, a
+# refund amount C * max(P,1) times. ``order_contributions`` pre-aggregates
+# payments and refunds per order (map-side partial aggregation, so a hot
+# order never reaches one task whole) and joins them 1:1 to the orders; the
+# KPIs then aggregate one row per order. No pair is ever materialised and
+# the totals are exactly those of the fan-out fact (DECIMAL arithmetic).
+# ---------------------------------------------------------------------------
+
+
+def _pay_aggs(prefix: str = ""):
+    return [
+        F.count(F.lit(1)).alias(f"{prefix}p_rows"),
+        F.count("payment_id").alias(f"{prefix}p_ids"),
+        F.count("amount").alias(f"{prefix}p_amts"),
+        F.sum(success_flag(F.col("payment_status"))).cast("bigint").alias(f"{prefix}p_success"),
+        F.sum("amount").alias(f"{prefix}p_sum"),
+    ]
+
+
+def order_contributions(orders: DataFrame, customers: DataFrame, payments: DataFrame, refunds: DataFrame,
+                        rules=()) -> DataFrame:
+    """One row per (policy-valid) order with the multiplicities and sums the
+    fan-out fact would spread over its rows."""
+    o, _ = apply_row_rules(orders, "orders", rules)
+    c, _ = apply_row_rules(customers, "customers", rules)
+    p, _ = apply_row_rules(payments, "payments", rules)
+    r, _ = apply_row_rules(refunds, "refunds", rules)
+    cust = c.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c_rows"))
+    pay = p.groupBy("order_id").agg(*_pay_aggs())
+    ref = r.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("r_rows"),
+        F.count("refund_id").alias("r_ids"),
+        F.sum("refund_amount").alias("r_sum"),
+    )
+    one = F.lit(1).cast("bigint")
+    return (
+        o.select("order_id", "customer_id", "order_date", "discount_amount")
+        .join(cust, "customer_id", "left")
+        .join(pay, "order_id", "left")
+        .join(ref, "order_id", "left")
+        .select(
+            "order_id", "customer_id", "order_date", "discount_amount",
+            F.coalesce("c_rows", one).alias("cm"),
+            F.greatest(F.coalesce("p_rows", one), one).alias("pm"),
+            F.greatest(F.coalesce("r_rows", one), one).alias("rm"),
+            F.coalesce("p_ids", F.lit(0)).alias("p_ids"),
+            F.coalesce("p_amts", F.lit(0)).alias("p_amts"),
+            F.coalesce("p_success", F.lit(0)).alias("p_success"),
+            "p_sum",
+            F.coalesce("r_ids", F.lit(0)).alias("r_ids"),
+            "r_sum",
+        )
+    )
+
+
+def _net(p_sum, p_amts, discount):
+    """Sum of (payment amount - discount) over an order's payments; NULL
+    when there is no payment amount or no discount (as every fact row's
+    ``net_amount`` would be)."""
+    return F.when(discount.isNotNull() & (p_amts > 0), p_sum - p_amts * discount)
+
+
+def _contrib_cols():
+    cm, pm, rm = F.col("cm"), F.col("pm"), F.col("rm")
+    disc = F.col("discount_amount")
+    return {
+        "payments": cm * F.col("p_ids") * rm,
+        "successes": cm * F.col("p_success") * rm,
+        "gross": cm * rm * F.col("p_sum"),
+        "net": cm * rm * _net(F.col("p_sum"), F.col("p_amts"), disc),
+        "net_rows": F.when(disc.isNotNull(), cm * rm * F.col("p_amts")).otherwise(F.lit(0)),
+        "refund_ids": cm * pm * F.col("r_ids"),
+        "refund_sum": cm * pm * F.col("r_sum"),
+        "discount": cm * pm * rm * disc,
+    }
+
+
+def kpi_daily_all_orders(contrib: DataFrame) -> DataFrame:
+    """E17 from ``order_contributions``: equal to ``kpi_daily_all(fact)``."""
+    k = _contrib_cols()
+    successes = F.sum(k["successes"]).cast("bigint")
+    payments_n = F.sum(k["payments"]).cast("bigint")
+    refunds_n = F.sum(k["refund_ids"]).cast("bigint")
+    return contrib.groupBy(_day()).agg(
+        F.countDistinct("order_id").alias("total_orders"),
+        F.sum(k["gross"]).alias("gross_revenue"),
+        F.sum(k["net"]).alias("net_revenue"),
+        payments_n.alias("total_payments"),
+        successes.alias("successful_payments"),
+        pct(successes, payments_n).alias("payment_success_rate"),
+        refunds_n.alias("refunded_orders"),
+        F.sum(k["refund_sum"]).alias("total_refund_amount"),
+        pct(refunds_n, F.countDistinct("order_id")).alias("refund_rate"),
+        F.sum(k["discount"]).alias("total_discount"),
+    )
+
+
+def kpi_daily_order_revenue_orders(contrib: DataFrame) -> DataFrame:
+    return kpi_daily_all_orders(contrib).select("order_date", "total_orders", "gross_revenue", "net_revenue")
+
+
+def kpi_payment_success_rate_orders(contrib: DataFrame) -> DataFrame:
+    return kpi_daily_all_orders(contrib).select(
+        "order_date", "total_payments", "successful_payments", "payment_success_rate")
+
+
+def kpi_refund_rate_orders(contrib: DataFrame) -> DataFrame:
+    return kpi_daily_all_orders(contrib).select(
+        "order_date", "total_orders", "refunded_orders", "total_refund_amount", "refund_rate")
+
+
+def kpi_discount_impact_orders(contrib: DataFrame) -> DataFrame:
+    return kpi_daily_all_orders(contrib).select("order_date", "total_discount", "gross_revenue", "net_revenue")
+
+
+def kpi_customer_lifetime_value_orders(contrib: DataFrame) -> DataFrame:
+    """E14 from ``order_contributions``."""
+    k = _contrib_cols()
+    return contrib.groupBy("customer_id").agg(
+        F.countDistinct("order_id").alias("total_orders"),
+        F.sum(k["net"]).alias("lifetime_value"),
+        F.try_divide(F.sum(k["net"]).cast("double"), F.sum(k["net_rows"]).cast("double")).alias("avg_order_value"),
+    )
+
+
+def kpi_payment_method_performance_orders(orders: DataFrame, customers: DataFrame, payments: DataFrame,
+                                          refunds: DataFrame, rules=()) -> DataFrame:
+    """E15 without the fan-out: payments pre-aggregated per (order, method);
+    an order without payments counts in the NULL method group, as its fact
+    row has no method."""
+    contrib = order_contributions(orders, customers, payments, refunds, rules)
+    p, _ = apply_row_rules(payments, "payments", rules)
+    per_method = p.groupBy("order_id", "payment_method").agg(*_pay_aggs("m_"))
+    base = contrib.select("order_id", "discount_amount", "cm", "rm")
+    with_pay = base.join(per_method, "order_id", "inner")
+    without = base.join(p.select("order_id"), "order_id", "left_anti").select(
+        "order_id", "discount_amount", "cm", "rm",
+        F.lit(None).cast("string").alias("payment_method"),
+        F.lit(0).cast("bigint").alias("m_p_rows"), F.lit(0).cast("bigint").alias("m_p_ids"),
+        F.lit(0).cast("bigint").alias("m_p_amts"), F.lit(0).cast("bigint").alias("m_p_success"),
+        F.lit(None).cast(per_method.schema["m_p_sum"].dataType).alias("m_p_sum"),
+    )
+    rows = with_pay.unionByName(without)
+    cm, rm = F.col("cm"), F.col("rm")
+    return rows.groupBy("payment_method").agg(
+        F.sum(cm * F.col("m_p_ids") * rm).cast("bigint").alias("total_transactions"),
+        F.sum(cm * F.col("m_p_success") * rm).cast("bigint").alias("successful_transactions"),
+        F.sum(cm * rm * _net(F.col("m_p_sum"), F.col("m_p_amts"), F.col("discount_amount"))).alias("total_revenue"),
+    )

@@ -73,7 +73,10 @@ def run(
     rules = policy.read_policy(policy.policy_decision_json(p_dec))["row_rules"]
 
     fact = facts.fact_orders(silver["orders"], silver["customers"], silver["payments"], silver["refunds"], rules, as_of)
-    kpi = kpis.kpi_daily_all(fact)
+    # KPIs from per-order contributions: the same totals as over ``fact``
+    # without producing its payments x refunds rows.
+    contrib = kpis.order_contributions(silver["orders"], silver["customers"], silver["payments"], silver["refunds"], rules)
+    kpi = kpis.kpi_daily_all_orders(contrib)
     out = insights.daily_insights(signals.signals_from_kpi_all(kpi), as_of)
     return PipelineResult(g_ctrl, d_ctrl, silver, quarantine, p_dec, fact, kpi, out)
 

@@ -59,39 +59,47 @@ def q_fact_orders(spark, sf_dir):
     return report(base_fact(spark, sf_dir))
 
 
+def base_contrib(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-order contributions under the base policy (KPIs without fan-out)."""
+    e = entities(spark, sf_dir)
+    return kpis.order_contributions(e["orders"], e["customers"], e["payments"], e["refunds"], BASE_POLICY["row_rules"])
+
+
 @register("kpi_daily_order_revenue")
 def q_kpi_daily_order_revenue(spark, sf_dir):
-    return report(kpis.kpi_daily_order_revenue(base_fact(spark, sf_dir)))
+    return report(kpis.kpi_daily_order_revenue_orders(base_contrib(spark, sf_dir)))
 
 
 @register("kpi_payment_success_rate")
 def q_kpi_payment_success_rate(spark, sf_dir):
-    return report(kpis.kpi_payment_success_rate(base_fact(spark, sf_dir)))
+    return report(kpis.kpi_payment_success_rate_orders(base_contrib(spark, sf_dir)))
 
 
 @register("kpi_refund_rate")
 def q_kpi_refund_rate(spark, sf_dir):
-    return report(kpis.kpi_refund_rate(base_fact(spark, sf_dir)))
+    return report(kpis.kpi_refund_rate_orders(base_contrib(spark, sf_dir)))
 
 
 @register("kpi_customer_lifetime_value")
 def q_kpi_customer_lifetime_value(spark, sf_dir):
-    return report(kpis.kpi_customer_lifetime_value(base_fact(spark, sf_dir)))
+    return report(kpis.kpi_customer_lifetime_value_orders(base_contrib(spark, sf_dir)))
 
 
 @register("kpi_payment_method_performance")
 def q_kpi_payment_method_performance(spark, sf_dir):
-    return report(kpis.kpi_payment_method_performance(base_fact(spark, sf_dir)))
+    e = entities(spark, sf_dir)
+    return report(kpis.kpi_payment_method_performance_orders(
+        e["orders"], e["customers"], e["payments"], e["refunds"], BASE_POLICY["row_rules"]))
 
 
 @register("kpi_discount_impact")
 def q_kpi_discount_impact(spark, sf_dir):
-    return report(kpis.kpi_discount_impact(base_fact(spark, sf_dir)))
+    return report(kpis.kpi_discount_impact_orders(base_contrib(spark, sf_dir)))
 
 
 @register("kpi_daily_all")
 def q_kpi_daily_all(spark, sf_dir):
-    return report(kpis.kpi_daily_all(base_fact(spark, sf_dir)))
+    return report(kpis.kpi_daily_all_orders(base_contrib(spark, sf_dir)))
 
 
 @register("fact_orders_dedup")
@@ -107,7 +115,7 @@ from govlake.plans import insights, signals  # noqa: E402
 
 
 def base_kpi_all(spark, sf_dir):
-    return kpis.kpi_daily_all(base_fact(spark, sf_dir))
+    return kpis.kpi_daily_all_orders(base_contrib(spark, sf_dir))
 
 
 def base_signals(spark, sf_dir):
@@ -125,13 +133,13 @@ def q_daily_metrics(spark, sf_dir):
 
 @register("daily_metrics_joined")
 def q_daily_metrics_joined(spark, sf_dir):
-    fact = base_fact(spark, sf_dir)
+    contrib = base_contrib(spark, sf_dir)
     return report(
         signals.daily_metrics(
-            kpis.kpi_daily_order_revenue(fact),
-            kpis.kpi_payment_success_rate(fact),
-            kpis.kpi_refund_rate(fact),
-            kpis.kpi_discount_impact(fact),
+            kpis.kpi_daily_order_revenue_orders(contrib),
+            kpis.kpi_payment_success_rate_orders(contrib),
+            kpis.kpi_refund_rate_orders(contrib),
+            kpis.kpi_discount_impact_orders(contrib),
         )
     )
 

@@ -100,3 +100,51 @@ def test_stream_exactly_once_equals_batch(spark, sf_dir):
     routed_stream = registry.QUERIES["stream_route"](spark, sf_dir)
     routed_batch = registry.QUERIES["route_orders"](spark, sf_dir)
     assert bag(routed_stream) == bag(routed_batch)
+
+
+def test_kpis_without_fanout_equal_fact_kpis(spark, sf_dir):
+    from govlake.operators import facts
+    from govlake.plans.scenarios import BASE_POLICY
+
+    e = registry.entities(spark, sf_dir)
+    rules = BASE_POLICY["row_rules"]
+    args = (e["orders"], e["customers"], e["payments"], e["refunds"])
+    fact = facts.fact_orders(*args, rules)
+    contrib = kpis.order_contributions(*args, rules)
+
+    def fbag(df):
+        return collections.Counter(tuple(float(x) if hasattr(x, "as_tuple") else x for x in r)
+                                   for r in df.select(*sorted(df.columns)).collect())
+
+    assert fbag(kpis.kpi_daily_all(fact)) == fbag(kpis.kpi_daily_all_orders(contrib))
+    assert fbag(kpis.kpi_customer_lifetime_value(fact)) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
+    assert fbag(kpis.kpi_payment_method_performance(fact)) == fbag(kpis.kpi_payment_method_performance_orders(*args, rules))
+
+
+def test_kpis_without_fanout_on_duplicates(spark):
+    """Duplicate customers, several payments and refunds per order, NULLs."""
+    from decimal import Decimal as D
+
+    from govlake.operators import facts
+
+    o = spark.createDataFrame([(1, 10, "2024-01-01", D("5.0000")), (2, 11, "2024-01-01", None), (3, 12, "2024-01-02", D("1.0000"))],
+                              "order_id bigint, customer_id bigint, order_date string, discount_amount decimal(18,4)") \
+        .selectExpr("order_id", "customer_id", "CAST(order_date AS TIMESTAMP_NTZ) AS order_date", "'COMPLETED' AS order_status",
+                    "CAST(10 AS DECIMAL(18,2)) AS amount", "discount_amount")
+    c = spark.createDataFrame([(10,), (10,), (11,)], "customer_id bigint")
+    p = spark.createDataFrame([(100, 1, "SUCCESS", "CARD", D("10.00")), (101, 1, "FAILED", "UPI", D("7.50")),
+                               (102, 2, "SUCCESS", None, None), (103, 3, None, "CARD", D("3.00"))],
+                              "payment_id bigint, order_id bigint, payment_status string, payment_method string, amount decimal(18,2)")
+    r = spark.createDataFrame([(1000, 1, "APPROVED", D("1.0000"), "LATE"), (1001, 1, "REJECTED", None, "LATE"),
+                               (1002, 1, "PENDING", D("2.0000"), "LATE")],
+                              "refund_id bigint, order_id bigint, refund_status string, refund_amount decimal(18,4), refund_reason string")
+    fact = facts.fact_orders(o, c, p, r)
+    contrib = kpis.order_contributions(o, c, p, r)
+
+    def fbag(df):
+        return collections.Counter(tuple(float(x) if hasattr(x, "as_tuple") else x for x in row)
+                                   for row in df.select(*sorted(df.columns)).collect())
+
+    assert fbag(kpis.kpi_daily_all(fact)) == fbag(kpis.kpi_daily_all_orders(contrib))
+    assert fbag(kpis.kpi_customer_lifetime_value(fact)) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
+    assert fbag(kpis.kpi_payment_method_performance(fact)) == fbag(kpis.kpi_payment_method_performance_orders(o, c, p, r))
