@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,12 +57,16 @@ def upsert_latest(current: DataFrame, updates: DataFrame, keys: list[str], ts: s
     current row (and the newer of two updates winning), other keys kept.
 
     Built-in tables refuse MERGE and no row-level table format is assumed, so
-    the new version of the table is computed and written whole (A6). Ties on
-    ``ts`` prefer the update; the result is idempotent.
+    the new version of the table is computed and written whole (A6). It is
+    one aggregate per key (``max_by`` on (ts, source)), so a key with very
+    many versions is combined map-side instead of sorted in one task. Ties on
+    ``ts`` prefer the update; NULL ``ts`` loses; the result is idempotent.
     """
-    tagged = current.withColumn("_src", F.lit(0)).unionByName(updates.withColumn("_src", F.lit(1)))
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last(), F.col("_src").desc())
-    return tagged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+    cols = current.columns
+    tagged = current.withColumn("_src", F.lit(0)).unionByName(updates.select(*cols).withColumn("_src", F.lit(1)))
+    order = F.struct(F.col(ts).isNotNull().alias("_has_ts"), F.col(ts).alias("_ts"), F.col("_src"))
+    best = tagged.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row"))
+    return best.select(*[F.col("_row")[c].alias(c) for c in cols])
 
 
 # --------------------------------------------------------------------------- C2
