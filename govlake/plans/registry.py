@@ -18,7 +18,7 @@ from govlake.config import DEFAULT_AS_OF
 from govlake.operators import facts, kpis
 from govlake.plans.scenarios import BASE_POLICY
 from govlake.sources import tables
-from govlake.sources.bronze import bronze_tables
+from govlake.sources.bronze import bronze_tables, stored_table
 from govlake.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -304,11 +304,17 @@ def q_drift_metrics(spark, sf_dir):
 
 
 def drift_pairs_of(spark, sf_dir):
-    """Pairs over the metric history. The history is a small table (schema
-    sized per snapshot) that every rule reads, so it is checkpointed to the
-    shared folder once: the rules then read it instead of re-profiling."""
+    """A drift run: the earlier snapshot's metrics are the stored history
+    table (written by the earlier run, here once per data folder); this run
+    profiles the current feeds, appends, and pairs the metrics. History and
+    pairs are small tables read by every rule, so they are checkpointed to
+    the shared folder once instead of being recomputed per rule."""
     checkpoint_dir(spark)
-    history = snapshots.compact(snapshots.metrics_history(entities(spark, sf_dir))).checkpoint(eager=True)
+    e = entities(spark, sf_dir)
+    earlier = stored_table(spark, "drift-history-t1",
+                           lambda: snapshots.snapshot_metrics(snapshots.as_of(e), scenarios.T1), sf_dir)
+    history = earlier.unionByName(snapshots.snapshot_metrics(e, scenarios.T2))
+    history = snapshots.compact(history).checkpoint(eager=True)
     return snapshots.compact(drift.drift_pairs(history)).checkpoint(eager=True)
 
 
@@ -363,7 +369,10 @@ def q_schema_drift(spark, sf_dir):
 @register("null_spikes")
 def q_null_spikes(spark, sf_dir):
     checkpoint_dir(spark)
-    history = snapshots.compact(snapshots.quality_history(entities(spark, sf_dir))).checkpoint(eager=True)
+    e = entities(spark, sf_dir)
+    earlier = stored_table(spark, "quality-history-t1",
+                           lambda: snapshots.snapshot_quality(snapshots.as_of(e), scenarios.T1), sf_dir)
+    history = snapshots.compact(earlier.unionByName(snapshots.snapshot_quality(e, scenarios.T2))).checkpoint(eager=True)
     return quality.null_spikes(history)
 
 

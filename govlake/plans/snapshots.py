@@ -39,24 +39,24 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def snapshot_metrics(snap: dict[str, DataFrame], captured_at: _dt.datetime) -> DataFrame:
+    """One run of the drift profiler: the metrics of every feed, stamped."""
+    return union_all([profile.stamp(profile.drift_metrics(snap[t], t), captured_at) for t in TABLE_ORDER])
+
+
 def metrics_history(entities: dict[str, DataFrame], first: _dt.datetime = T1, second: _dt.datetime = T2) -> DataFrame:
     """drift_metrics_history: (table_name, metric_name, metric_value, captured_at)."""
-    early = as_of(entities)
-    frames = []
-    for stamp_at, snap in ((first, early), (second, entities)):
-        for t in TABLE_ORDER:
-            frames.append(profile.stamp(profile.drift_metrics(snap[t], t), stamp_at))
-    return union_all(frames)
+    return snapshot_metrics(as_of(entities), first).unionByName(snapshot_metrics(entities, second))
+
+
+def snapshot_quality(snap: dict[str, DataFrame], captured_at: _dt.datetime) -> DataFrame:
+    """One run of the guardian profiler: column metrics of every feed, stamped."""
+    return union_all([profile.stamp(profile.column_profile(snap[t], t), captured_at) for t in TABLE_ORDER])
 
 
 def quality_history(entities: dict[str, DataFrame], first: _dt.datetime = T1, second: _dt.datetime = T2) -> DataFrame:
     """bronze_quality_metrics: (table_name, column_name, null_percent, distinct_count, captured_at)."""
-    early = as_of(entities)
-    frames = []
-    for stamp_at, snap in ((first, early), (second, entities)):
-        for t in TABLE_ORDER:
-            frames.append(profile.stamp(profile.column_profile(snap[t], t), stamp_at))
-    return union_all(frames)
+    return snapshot_quality(as_of(entities), first).unionByName(snapshot_quality(entities, second))
 
 
 def compact(df: DataFrame) -> DataFrame:

@@ -29,14 +29,52 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+SOURCE_TABLES = ("customer", "nation", "orders", "lineitem")
+
+
+def source_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Path plus size and modification time of every input file (a metadata
+    listing, as the scan itself does): stored tables derived from changed
+    inputs get a new folder instead of being reused stale."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir, BRONZE_VERSION]
+    for name in SOURCE_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(conf)
+        files = fs.listFiles(p, True)
+        total, latest = 0, 0
+        while files.hasNext():
+            st = files.next()
+            total += st.getLen()
+            latest = max(latest, st.getModificationTime())
+        parts.append(f"{name}:{total}:{latest}")
+    return "|".join(parts)
+
+
 def bronze_root(spark: SparkSession, sf_dir: str) -> str:
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{BRONZE_VERSION}".encode()).hexdigest()[:12]
+    key = hashlib.sha1(source_signature(spark, sf_dir).encode()).hexdigest()[:12]
     return f"{checkpoint_dir(spark).rstrip('/')}/govlake-bronze/{key}"
 
 
+def stored_table(spark: SparkSession, name: str, build, key: str) -> DataFrame:
+    """A derived table written once under the shared folder and read back.
+
+    ``build`` is called only when the table is missing; the folder is keyed
+    by the signature of the data directory's files and the version, so later
+    jobs and later sessions on the same cluster folder reuse it.
+    """
+    digest = hashlib.sha1(f"{source_signature(spark, key)}|{name}".encode()).hexdigest()[:12]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/govlake-tables/{name}-{digest}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four bronze feeds, written on first use and then read from files."""
-    cache_key = (id(spark), os.path.abspath(sf_dir))
+    sc = spark.sparkContext
+    cache_key = (sc.applicationId, sc.startTime, os.path.abspath(sf_dir))
     if cache_key in _CACHE:
         return dict(_CACHE[cache_key])
     root = bronze_root(spark, sf_dir)
