@@ -49,6 +49,9 @@ def with_rescued(df_text: DataFrame, schema: T.StructType) -> DataFrame:
     bad = []
     for f in schema.fields:
         raw = F.col(f.name)
+        if not isinstance(f.dataType, T.StringType):
+            # a blank field of a typed column is missing, not malformed
+            raw = F.when(F.trim(raw) != "", raw)
         value = raw.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else raw
         typed.append(value.alias(f.name))
         if not isinstance(f.dataType, T.StringType):
