@@ -127,26 +127,22 @@ def kpi_daily_all(fact: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _pay_aggs(prefix: str = ""):
+def _pay_aggs():
     return [
-        F.count(F.lit(1)).alias(f"{prefix}p_rows"),
-        F.count("payment_id").alias(f"{prefix}p_ids"),
-        F.count("amount").alias(f"{prefix}p_amts"),
-        F.sum(success_flag(F.col("payment_status"))).cast("bigint").alias(f"{prefix}p_success"),
-        F.sum("amount").alias(f"{prefix}p_sum"),
+        F.count(F.lit(1)).alias("p_rows"),
+        F.count("payment_id").alias("p_ids"),
+        F.count("amount").alias("p_amts"),
+        F.sum(success_flag(F.col("payment_status"))).cast("bigint").alias("p_success"),
+        F.sum("amount").alias("p_sum"),
     ]
 
 
-def order_contributions(orders: DataFrame, customers: DataFrame, payments: DataFrame, refunds: DataFrame,
-                        rules=()) -> DataFrame:
-    """One row per (policy-valid) order with the multiplicities and sums the
-    fan-out fact would spread over its rows."""
+def _order_base(orders: DataFrame, customers: DataFrame, refunds: DataFrame, rules=()) -> DataFrame:
+    """Valid orders with their customer multiplicity and refund aggregates."""
     o, _ = apply_row_rules(orders, "orders", rules)
     c, _ = apply_row_rules(customers, "customers", rules)
-    p, _ = apply_row_rules(payments, "payments", rules)
     r, _ = apply_row_rules(refunds, "refunds", rules)
     cust = c.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c_rows"))
-    pay = p.groupBy("order_id").agg(*_pay_aggs())
     ref = r.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("r_rows"),
         F.count("refund_id").alias("r_ids"),
@@ -156,23 +152,39 @@ def order_contributions(orders: DataFrame, customers: DataFrame, payments: DataF
     return (
         o.select("order_id", "customer_id", "order_date", "discount_amount")
         .join(cust, "customer_id", "left")
-        .join(pay, "order_id", "left")
         .join(ref, "order_id", "left")
         .select(
             "order_id", "customer_id", "order_date", "discount_amount",
             F.coalesce("c_rows", one).alias("cm"),
-            F.greatest(F.coalesce("p_rows", one), one).alias("pm"),
             F.greatest(F.coalesce("r_rows", one), one).alias("rm"),
-            F.coalesce("p_ids", F.lit(0)).alias("p_ids"),
-            F.coalesce("p_amts", F.lit(0)).alias("p_amts"),
-            F.coalesce("p_success", F.lit(0)).alias("p_success"),
-            "p_sum",
             F.coalesce("r_ids", F.lit(0)).alias("r_ids"),
             "r_sum",
         )
     )
 
 
+def _with_payments(base: DataFrame, pay: DataFrame) -> DataFrame:
+    one = F.lit(1).cast("bigint")
+    return base.join(pay, "order_id", "left").select(
+        *base.columns,
+        *[c for c in pay.columns if c not in ("order_id", "p_rows", "p_ids", "p_amts", "p_success", "p_sum")],
+        F.greatest(F.coalesce("p_rows", one), one).alias("pm"),
+        F.coalesce("p_ids", F.lit(0)).alias("p_ids"),
+        F.coalesce("p_amts", F.lit(0)).alias("p_amts"),
+        F.coalesce("p_success", F.lit(0)).alias("p_success"),
+        "p_sum",
+    )
+
+
+def order_contributions(orders: DataFrame, customers: DataFrame, payments: DataFrame, refunds: DataFrame,
+                        rules=()) -> DataFrame:
+    """One row per (policy-valid) order with the multiplicities and sums the
+    fan-out fact would spread over its rows."""
+    p, _ = apply_row_rules(payments, "payments", rules)
+    pay = p.groupBy("order_id").agg(*_pay_aggs())
+    return _with_payments(_order_base(orders, customers, refunds, rules), pay)
+
+
 def _net(p_sum, p_amts, discount):
     """Sum of (payment amount - discount) over an order's payments; NULL
     when there is no payment amount or no discount (as every fact row's
@@ -245,25 +257,15 @@ def kpi_customer_lifetime_value_orders(contrib: DataFrame) -> DataFrame:
 
 def kpi_payment_method_performance_orders(orders: DataFrame, customers: DataFrame, payments: DataFrame,
                                           refunds: DataFrame, rules=()) -> DataFrame:
-    """E15 without the fan-out: payments pre-aggregated per (order, method);
-    an order without payments counts in the NULL method group, as its fact
-    row has no method."""
-    contrib = order_contributions(orders, customers, payments, refunds, rules)
+    """E15 without the fan-out: payments pre-aggregated per (order, method)
+    and left-joined to the orders, so an order without payments is one row
+    of the NULL method group, as its fact row has no method."""
     p, _ = apply_row_rules(payments, "payments", rules)
-    per_method = p.groupBy("order_id", "payment_method").agg(*_pay_aggs("m_"))
-    base = contrib.select("order_id", "discount_amount", "cm", "rm")
-    with_pay = base.join(per_method, "order_id", "inner")
-    without = base.join(p.select("order_id"), "order_id", "left_anti").select(
-        "order_id", "discount_amount", "cm", "rm",
-        F.lit(None).cast("string").alias("payment_method"),
-        F.lit(0).cast("bigint").alias("m_p_rows"), F.lit(0).cast("bigint").alias("m_p_ids"),
-        F.lit(0).cast("bigint").alias("m_p_amts"), F.lit(0).cast("bigint").alias("m_p_success"),
-        F.lit(None).cast(per_method.schema["m_p_sum"].dataType).alias("m_p_sum"),
-    )
-    rows = with_pay.unionByName(without)
+    per_method = p.groupBy("order_id", "payment_method").agg(*_pay_aggs())
+    rows = _with_payments(_order_base(orders, customers, refunds, rules), per_method)
     cm, rm = F.col("cm"), F.col("rm")
     return rows.groupBy("payment_method").agg(
-        F.sum(cm * F.col("m_p_ids") * rm).cast("bigint").alias("total_transactions"),
-        F.sum(cm * F.col("m_p_success") * rm).cast("bigint").alias("successful_transactions"),
-        F.sum(cm * rm * _net(F.col("m_p_sum"), F.col("m_p_amts"), F.col("discount_amount"))).alias("total_revenue"),
+        F.sum(cm * F.col("p_ids") * rm).cast("bigint").alias("total_transactions"),
+        F.sum(cm * F.col("p_success") * rm).cast("bigint").alias("successful_transactions"),
+        F.sum(cm * rm * _net(F.col("p_sum"), F.col("p_amts"), F.col("discount_amount"))).alias("total_revenue"),
     )
