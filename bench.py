@@ -58,6 +58,33 @@ def reference_silver_quarantine_apart(spark, sf_dir):
     run_df(gate.to_quarantine(orders, dec))
 
 
+def reference_drift_metrics(spark, sf_dir):
+    """The reference's drift profiler: a count, one job per column, one per
+    numeric column and one per string column (collecting up to 50 groups)."""
+    from govlake.operators import profile
+
+    df = registry.entities(spark, sf_dir)["orders"]
+    df.count()
+    for c in df.columns:
+        df.select((F.count(F.when(F.col(c).isNull(), 1)) / F.count(F.lit(1)) * 100), F.countDistinct(F.col(c))).first()
+    for c in profile.numeric_columns(df):
+        df.select(F.avg(c)).first()
+    total = df.count()
+    for c in profile.string_columns(df):
+        df.groupBy(c).count().withColumn("pct", F.col("count") / F.lit(total) * 100).limit(50).collect()
+
+
+def orders_drift_metrics(spark, sf_dir):
+    from govlake.operators import profile
+
+    run_df(profile.drift_metrics(registry.entities(spark, sf_dir)["orders"], "orders"))
+
+
+def reference_kpi_over_fanout(spark, sf_dir):
+    """kpi_daily_all over the materialised payments x refunds fact."""
+    run_df(kpis.kpi_daily_all(registry.base_fact(spark, sf_dir)))
+
+
 def library(name):
     return lambda spark, sf_dir: run_df(registry.QUERIES[name](spark, sf_dir))
 
@@ -72,9 +99,12 @@ BENCH = {
     "fact_orders": library("fact_orders"),
     "kpi_daily_all": library("kpi_daily_all"),
     "kpi_four_apart_reference": reference_kpis_apart,
+    "kpi_daily_all_over_fanout_reference": reference_kpi_over_fanout,
     "column_profile_orders": orders_profile(False),
     "column_profile_orders_approx": orders_profile(True),
     "column_profile_per_column_reference": reference_column_profile,
+    "drift_metrics_orders": orders_drift_metrics,
+    "drift_metrics_per_column_reference": reference_drift_metrics,
     "route_orders": library("route_orders"),
     "silver_quarantine_apart_reference": reference_silver_quarantine_apart,
     "guardian_decision": library("guardian_decision"),

@@ -148,3 +148,12 @@ def test_kpis_without_fanout_on_duplicates(spark):
     assert fbag(kpis.kpi_daily_all(fact)) == fbag(kpis.kpi_daily_all_orders(contrib))
     assert fbag(kpis.kpi_customer_lifetime_value(fact)) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
     assert fbag(kpis.kpi_payment_method_performance(fact)) == fbag(kpis.kpi_payment_method_performance_orders(o, c, p, r))
+
+
+def test_native_and_unpivot_profiles_agree(spark, sf_dir, monkeypatch):
+    orders = registry.entities(spark, sf_dir)["orders"]
+    native_dm = bag(profile.drift_metrics(orders, "orders"))
+    native_cp = bag(profile.column_profile(orders, "orders"))
+    monkeypatch.setattr(profile, "NATIVE_DISTINCT_MAX_COLUMNS", 0)
+    assert bag(profile.drift_metrics(orders, "orders")) == native_dm
+    assert bag(profile.column_profile(orders, "orders")) == native_cp
