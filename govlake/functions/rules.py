@@ -37,15 +37,6 @@ def condition_column(text: str | None) -> Column:
     return F.expr(text)
 
 
-def keep(cond: Column, null_policy: str = "parity") -> Column:
-    """Predicate for the valid side of a split.
-
-    ``parity`` keeps rows where ``cond`` is TRUE (NULL rows go nowhere, S1);
-    ``quarantine`` keeps the same rows (NULL goes to the failing side).
-    """
-    return cond
-
-
 def reject(cond: Column, null_policy: str = "parity") -> Column:
     """Predicate for the failing side of a split.
 
