@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from govlake.session import checkpoint_dir
 from govlake.functions.rules import and_all, condition_column, normalize_expression, reject, validate_expressions
 
 RULE_MAP = T.MapType(T.StringType(), T.StringType())
@@ -142,52 +143,88 @@ def failed_rules(df: DataFrame, table: str, rules: Sequence[dict], column: str =
 
 
 # --------------------------------------------------------------------------- E10
-def policy_metrics(customers: DataFrame, orders: DataFrame, payments: DataFrame, refunds: DataFrame) -> DataFrame:
-    """The policy agent's silver metrics in long format:
-    (table_name, metric_name, metric_value double).
-
-    One aggregate per table (partial aggregation, a single small exchange).
-    """
+def _count_if(cond: str):
+    return F.sum(F.when(F.expr(cond), 1).otherwise(0)).cast("bigint")
 
-    def _long(df: DataFrame, table: str, metrics: dict) -> DataFrame:
-        agg = df.agg(*[c.alias(name) for name, c in metrics.items()])
-        stack = ", ".join(f"'{name}', CAST(`{name}` AS DOUBLE)" for name in metrics)
-        return agg.select(
-            F.lit(table).alias("table_name"),
-            F.expr(f"stack({len(metrics)}, {stack}) AS (metric_name, metric_value)"),
-        )
-
-    def _count_if(cond: str):
-        return F.sum(F.when(F.expr(cond), 1).otherwise(0)).cast("bigint")
 
-    frames = [
-        _long(customers, "customers", {
-            "total_rows": F.count(F.lit(1)),
-            "invalid_age_count": _count_if("age < 0 OR age > 120"),
-        }),
-        _long(orders, "orders", {
+def _metric_columns(table: str) -> dict:
+    """The policy agent's metrics of one silver table, as aggregate columns."""
+    if table == "customers":
+        return {"total_rows": F.count(F.lit(1)), "invalid_age_count": _count_if("age < 0 OR age > 120")}
+    if table == "orders":
+        return {
             "total_rows": F.count(F.lit(1)),
             "invalid_amount": _count_if("amount <= 0"),
             "invalid_discount": _count_if("discount_amount > amount"),
-        }),
-        _long(payments, "payments", {
+        }
+    if table == "payments":
+        return {
             "total_rows": F.count(F.lit(1)),
             "failure_rate": F.try_divide(
                 _count_if("payment_status IN ('FAILED','PENDING')").cast("double") * F.lit(100.0),
                 F.count(F.lit(1)).cast("double"),
             ),
-        }),
-        _long(refunds, "refunds", {
-            "total_rows": F.count(F.lit(1)),
-            "invalid_refunds": _count_if("refund_amount <= 0"),
-        }),
-    ]
+        }
+    if table == "refunds":
+        return {"total_rows": F.count(F.lit(1)), "invalid_refunds": _count_if("refund_amount <= 0")}
+    return {"total_rows": F.count(F.lit(1))}
+
+
+def _applicable(rules: Sequence[dict], table: str) -> list[dict]:
+    return [r for r in rules if r.get("table") == table and (r.get("expression") or "").strip()]
+
+
+def policy_aggregates(tables: dict[str, DataFrame], row_rules: Sequence[dict] = ()) -> DataFrame:
+    """All policy figures of the silver tables in one long frame:
+    (table, kind, name, expression, value), kind ``metric`` or ``rule``.
+
+    One global aggregate per table computes the metrics and the failing-row
+    count of each row rule; a single ``stack`` emits both, so one scan per
+    table yields every figure (``policy_decision`` checkpoints this small
+    frame before splitting it). A row whose rule condition is NULL fails it.
+    """
+    frames = []
+    for table, df in tables.items():
+        rules = _applicable(row_rules, table)
+        validate_expressions(df, [normalize_expression(r["expression"]) for r in rules])
+        metrics = _metric_columns(table)
+        aggs = [c.alias(f"m_{name}") for name, c in metrics.items()]
+        aggs += [
+            F.sum(
+                F.when(~F.coalesce(F.expr(f"({normalize_expression(r['expression'])})"), F.lit(False)), 1).otherwise(0)
+            ).cast("bigint").alias(f"r{i}")
+            for i, r in enumerate(rules)
+        ]
+        parts = [f"'metric', '{n}', CAST(NULL AS STRING), CAST(`m_{n}` AS DOUBLE)" for n in metrics]
+        parts += [
+            f"'rule', {json.dumps(r.get('rule_name'))}, {json.dumps(r['expression'])}, CAST(`r{i}` AS DOUBLE)"
+            for i, r in enumerate(rules)
+        ]
+        frames.append(df.agg(*aggs).select(
+            F.lit(table).alias("table"),
+            F.expr(f"stack({len(parts)}, {', '.join(parts)}) AS (kind, name, expression, value)"),
+        ))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def _metrics_long(figures: DataFrame) -> DataFrame:
+    return figures.filter(F.col("kind") == "metric").select(
+        F.col("table").alias("table_name"), F.col("name").alias("metric_name"), F.col("value").alias("metric_value"))
+
+
+def policy_metrics(customers: DataFrame, orders: DataFrame, payments: DataFrame, refunds: DataFrame) -> DataFrame:
+    """The policy agent's silver metrics in long format:
+    (table_name, metric_name, metric_value double).
+
+    One aggregate per table (partial aggregation, a single small exchange).
+    """
+    return _metrics_long(policy_aggregates(
+        {"customers": customers, "orders": orders, "payments": payments, "refunds": refunds}))
+
+
 # --------------------------------------------------------------------------- G6
 def metric_violations(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Metric rules whose metric value is over the threshold.
@@ -206,58 +243,43 @@ def metric_violations(metrics: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- G7
-def row_rule_failures(tables: dict[str, DataFrame], rules: Sequence[dict]) -> DataFrame:
-    """Count failing rows per row rule: (table, rule_name, failing_rows).
+def row_rule_failures(tables: dict[str, DataFrame], rules: Sequence[dict],
+                      aggregates: DataFrame | None = None) -> DataFrame:
+    """Count failing rows per row rule: (table, rule_name, expression, failing_rows).
 
     One pass per table with one conditional count per rule; a rule whose
     condition is NULL for a row counts that row as failing (as G5).
     """
-    frames = []
-    for table, df in tables.items():
-        applicable = [r for r in rules if r.get("table") == table and (r.get("expression") or "").strip()]
-        if not applicable:
-            continue
-        validate_expressions(df, [normalize_expression(r["expression"]) for r in applicable])
-        aggs = [
-            F.sum(
-                F.when(~F.coalesce(F.expr(f"({normalize_expression(r['expression'])})"), F.lit(False)), 1).otherwise(0)
-            ).cast("bigint").alias(f"r{i}")
-            for i, r in enumerate(applicable)
-        ]
-        stack = ", ".join(
-            f"{json.dumps(r.get('rule_name'))}, {json.dumps(r['expression'])}, `r{i}`" for i, r in enumerate(applicable)
-        )
-        frames.append(
-            df.agg(*aggs).select(
-                F.lit(table).alias("table"),
-                F.expr(f"stack({len(applicable)}, {stack}) AS (rule_name, expression, failing_rows)"),
-            )
-        )
-    if not frames:
+    if not any(_applicable(rules, t) for t in tables):
         raise ValueError("no row rule applies to the given tables")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    figures = aggregates if aggregates is not None else policy_aggregates(tables, rules)
+    return figures.filter(F.col("kind") == "rule").select(
+        "table", F.col("name").alias("rule_name"), "expression", F.col("value").cast("bigint").alias("failing_rows"))
 
 
-def policy_decision(
-    tables: dict[str, DataFrame], metrics: DataFrame, laws: dict
-) -> DataFrame:
+def policy_decision(tables: dict[str, DataFrame], laws: dict) -> DataFrame:
     """Laws + data -> the rules that are violated, one row per rule.
 
     Row laws are kept when at least one row breaks them, metric laws when
     the metric is over its threshold. Columns: kind, table, name, expression,
-    threshold_pct, observed, severity, on_fail.
+    threshold_pct, observed, severity, on_fail. Metrics and rule failures
+    come from one aggregate per table.
     """
-    spark = metrics.sparkSession
+    spark = next(iter(tables.values())).sparkSession
     row_laws = laws.get("row_rules") or []
     metric_laws = laws.get("metric_rules") or []
+    # The figures are a few rows per table (bounded by the rule set): cut
+    # them once so the metric and rule branches below do not each rescan
+    # the silver tables (exchange reuse across union branches is not
+    # guaranteed under AQE).
+    checkpoint_dir(spark)
+    aggregates = policy_aggregates(tables, row_laws).coalesce(1).checkpoint(eager=True)
+    metrics = _metrics_long(aggregates)
     law_rows = spark.createDataFrame(
         [(r.get("table"), r.get("rule_name"), r.get("severity"), r.get("on_fail")) for r in row_laws],
         "table string, rule_name string, severity string, on_fail string",
     )
-    failures = row_rule_failures(tables, row_laws)
+    failures = row_rule_failures(tables, row_laws, aggregates)
     rows = (
         failures.join(F.broadcast(law_rows), ["table", "rule_name"], "left")
         .filter(F.col("failing_rows") > 0)

@@ -68,8 +68,7 @@ def run(
         quarantine[t] = gate.to_quarantine(bronze[t], decision, as_of)
 
     # Policy: laws x silver metrics -> decision document -> rules for gold.
-    metrics = policy.policy_metrics(silver["customers"], silver["orders"], silver["payments"], silver["refunds"])
-    p_dec = policy.policy_decision(silver, metrics, laws).checkpoint(eager=True)
+    p_dec = policy.policy_decision(silver, laws).checkpoint(eager=True)
     rules = policy.read_policy(policy.policy_decision_json(p_dec))["row_rules"]
 
     fact = facts.fact_orders(silver["orders"], silver["customers"], silver["payments"], silver["refunds"], rules, as_of)

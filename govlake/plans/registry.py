@@ -486,7 +486,7 @@ def q_policy_metric_violations(spark, sf_dir):
 
 def _policy_decision(spark, sf_dir):
     s = silver_tables(spark, sf_dir)
-    return policy.policy_decision(s, _policy_metrics(s), FULL_POLICY)
+    return policy.policy_decision(s, FULL_POLICY)
 
 
 @register("policy_decision")
