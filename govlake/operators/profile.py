@@ -174,32 +174,33 @@ def numeric_profile(df: DataFrame, table: str, columns: list[str] | None = None)
 
 
 # --------------------------------------------------------------------------- E5
+def _top_values(counts: DataFrame, top: int) -> DataFrame:
+    """The ``top`` most frequent values per column (ties by value, NULL
+    first), as a ``row_number`` filter that Spark plans as a partial
+    ``WindowGroupLimit`` before the exchange: no task receives more than
+    ``top`` values per column from each map task."""
+    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+
+
 def category_profile(
-    df: DataFrame, table: str, columns: list[str] | None = None, top: int = CATEGORY_TOP, counts: DataFrame | None = None
+    df: DataFrame, table: str, columns: list[str] | None = None, top: int = CATEGORY_TOP
 ) -> DataFrame:
     """(table_name, column_name, value, share_pct, rank): share of rows per
     value of each string column, the ``top`` most frequent values per column
     (ties by value, NULL first; S16).
 
-    The per-column total is an aggregate of the per-value counts (one row
-    per column, broadcast); the top-k is a ``row_number`` filter that Spark
-    plans as a partial ``WindowGroupLimit`` before the shuffle, so no task
-    receives more than ``top`` values per column from each map task.
+    NULL is a value, so every column's total is the table's row count: a
+    one-row aggregate looked up by table name (broadcast, one row).
     """
     columns = list(columns if columns is not None else string_columns(df))
-    if counts is None:
-        vc = value_counts(df, columns)
-    else:
-        vc = counts.filter(F.col("is_text"))
-    totals = vc.groupBy("column_name").agg(F.sum("n").alias("total"))
-
-    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
-    ranked = vc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
-    return ranked.join(F.broadcast(totals), "column_name").select(
-        F.lit(table).alias("table_name"),
+    ranked = _top_values(value_counts(df, columns), top).withColumn("table_name", F.lit(table))
+    rows = df.agg(F.count(F.lit(1)).alias("__rows")).withColumn("table_name", F.lit(table))
+    return ranked.join(F.broadcast(rows), "table_name").select(
+        "table_name",
         "column_name",
         "value",
-        (F.col("n").cast("double") / F.col("total").cast("double") * F.lit(100.0)).alias("share_pct"),
+        (F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0)).alias("share_pct"),
         F.col("rank").cast("int").alias("rank"),
     )
 
@@ -211,27 +212,46 @@ def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFra
     ``row_count``, ``<c>_null_pct``, ``<c>_distinct_cnt``, ``<c>_avg`` and
     ``<c>::<value>`` (value share in %, NULL labelled ``None``).
 
-    Two scans: one aggregate for the row count, null shares, exact distinct
-    counts and averages, and the per-value counts of the string columns for
-    the category shares (their per-column totals are the denominators).
+    Two scans: one aggregate (row count, null shares, exact distinct counts,
+    averages) and the per-value counts of the string columns. The one-row
+    aggregate is left-joined to the top values by table name, and every
+    metric is emitted from those joined rows, so neither input is computed
+    twice (Spark does not always reuse a shared subplan across branches).
     """
     columns = df.columns
     texts = string_columns(df)
     if len(columns) > NATIVE_DISTINCT_MAX_COLUMNS:
         return _drift_metrics_unpivot(df, table, top)
     numeric = numeric_columns(df)
-    parts = ["'row_count', CAST(`__rows` AS DOUBLE)"]
+    scalar = [("row_count", F.col("__rows").cast("double"))]
     for i, c in enumerate(columns):
-        parts.append(f"'{c}_null_pct', try_divide(CAST(`__rows` - `__nn{i}` AS DOUBLE), CAST(`__rows` AS DOUBLE)) * 100.0")
-        parts.append(f"'{c}_distinct_cnt', CAST(`__d{i}` AS DOUBLE)")
-    parts += [f"'{c}_avg', `__a{i}`" for i, c in enumerate(numeric)]
-    scalar = _native_aggregate(df, columns, numeric).select(
-        F.lit(table).alias("table_name"),
-        F.expr(f"stack({len(parts)}, {', '.join(parts)}) AS (metric_name, metric_value)"),
-    )
+        scalar.append((f"{c}_null_pct", F.try_divide((F.col("__rows") - F.col(f"__nn{i}")).cast("double"),
+                                                     F.col("__rows").cast("double")) * F.lit(100.0)))
+        scalar.append((f"{c}_distinct_cnt", F.col(f"__d{i}").cast("double")))
+    scalar += [(f"{c}_avg", F.col(f"__a{i}")) for i, c in enumerate(numeric)]
+
+    def metric(name, value):
+        return F.struct(name.alias("metric_name"), value.cast("double").alias("metric_value"))
+
+    scalar_arr = F.array(*[metric(F.lit(n), v) for n, v in scalar])
+    agg = _native_aggregate(df, columns, numeric).withColumn("__t", F.lit(table))
     if not texts:
-        return scalar
-    return scalar.unionByName(_category_metrics(value_counts(df, texts), table, top))
+        rows = agg.select(F.explode(scalar_arr).alias("m"))
+    else:
+        ranked = _top_values(value_counts(df, texts), top).withColumn("__t", F.lit(table))
+        joined = agg.join(ranked, "__t", "left")
+        anchor = F.col("column_name").isNull() | ((F.col("column_name") == texts[0]) & (F.col("rank") == 1))
+        share = metric(
+            F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None"))),
+            F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0),
+        )
+        empty = F.array().cast("array<struct<metric_name:string,metric_value:double>>")
+        items = F.concat(
+            F.when(anchor, scalar_arr).otherwise(empty),
+            F.when(F.col("column_name").isNotNull(), F.array(share)).otherwise(empty),
+        )
+        rows = joined.select(F.explode(items).alias("m"))
+    return rows.select(F.lit(table).alias("table_name"), F.col("m.metric_name"), F.col("m.metric_value"))
 
 
 def _category_metrics(counts: DataFrame, table: str, top: int) -> DataFrame:

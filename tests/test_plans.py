@@ -32,3 +32,10 @@ def test_exact_profile_scans_once(spark, sf_dir):
     orders = registry.entities(spark, sf_dir)["orders"]
     p = profile.column_profile(orders, "orders")._jdf.queryExecution().sparkPlan().toString()
     assert p.count("FileScan parquet") == 1
+
+
+def test_drift_metrics_scans_twice(spark, sf_dir):
+    """One aggregate and one value count; nothing computed twice."""
+    df = profile.drift_metrics(registry.entities(spark, sf_dir)["customers"], "customers")
+    df.write.format("noop").mode("overwrite").save()
+    assert plan(df).count("FileScan parquet") == 2
