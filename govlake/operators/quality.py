@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from govlake import config as C
 from govlake.functions.columns import rank_severity, severity_rank
 from govlake.functions.rules import validate_expressions
+from govlake.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -313,8 +314,11 @@ def guardian_control(decision: DataFrame, updated_at, table_names: dict | None =
 def guardian_run(tables: dict[str, DataFrame], checks=DEFAULT_CHECKS) -> tuple[DataFrame, DataFrame]:
     """Failures -> issues -> decision for all given tables in one plan."""
     spark = next(iter(tables.values())).sparkSession
+    checkpoint_dir(spark)
     cf = checks_frame(spark, checks)
-    issues = guardian_issues(check_failures(tables, checks), cf)
+    # Issues are at most one row per check: cut them once, as the decision,
+    # the audit and the events all read them.
+    issues = guardian_issues(check_failures(tables, checks), cf).coalesce(1).checkpoint(eager=True)
     names = spark.createDataFrame([(t,) for t in tables], "table_name string")
     return issues, guardian_decision(issues, names)
 
