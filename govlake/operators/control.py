@@ -139,3 +139,28 @@ def read_decision(guardian_ctrl: DataFrame, drift_ctrl: DataFrame, table: str) -
         corrections=corrections,
         drift_severity=d["overall_severity"] if d else None,
     )
+
+
+def read_decisions(guardian_ctrl: DataFrame, drift_ctrl: DataFrame, tables: list[str]) -> dict[str, Decision]:
+    """``read_decision`` for several tables with one read per control table:
+    the latest row of each wanted table (one row per table) is collected."""
+    wanted = list(tables)
+    g_rows = {
+        r["table_name"]: r
+        for r in parse_guardian(latest_control(guardian_ctrl.filter(F.col("table_name").isin(wanted)))).collect()
+    }
+    d_rows = {
+        r["table_name"]: r
+        for r in parse_drift(latest_control(drift_ctrl.filter(F.col("table_name").isin(wanted)))).collect()
+    }
+    out = {}
+    for t in wanted:
+        g, d = g_rows.get(t), d_rows.get(t)
+        out[t] = Decision(
+            table=t,
+            strategy=g["strategy"] if g else None,
+            filter_condition=g["silver_filter_condition"] if g else None,
+            corrections=tuple((e["key"], e["value"]) for e in (g["corrections"] or [])) if g else (),
+            drift_severity=d["overall_severity"] if d else None,
+        )
+    return out

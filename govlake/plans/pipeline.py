@@ -62,8 +62,9 @@ def run(
 
     # Silver gate per table, decisions read once.
     silver, quarantine = {}, {}
+    decisions = control.read_decisions(g_ctrl, d_ctrl, [names[t] for t in TABLE_ORDER])
     for t in TABLE_ORDER:
-        decision = control.read_decision(g_ctrl, d_ctrl, names[t])
+        decision = decisions[names[t]]
         silver[t] = gate.to_silver(bronze[t], decision, as_of)
         quarantine[t] = gate.to_quarantine(bronze[t], decision, as_of)
 

@@ -455,10 +455,8 @@ PK = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id"
 def silver_tables(spark, sf_dir):
     """The four silver tables under the scenario decisions."""
     g, d = scenario_controls(spark)
-    out = {}
-    for b, t in ENTITY_OF.items():
-        out[t] = gate.to_silver(bronze(spark, sf_dir, b), control.read_decision(g, d, b))
-    return out
+    decisions = control.read_decisions(g, d, list(ENTITY_OF))
+    return {t: gate.to_silver(bronze(spark, sf_dir, b), decisions[b]) for b, t in ENTITY_OF.items()}
 
 
 def _policy_metrics(s):
@@ -600,7 +598,8 @@ from govlake.plans import pipeline  # noqa: E402
 
 def _scenario_quarantine(spark, sf_dir):
     g, d = scenario_controls(spark)
-    return {t: gate.to_quarantine(bronze(spark, sf_dir, b), control.read_decision(g, d, b)) for b, t in ENTITY_OF.items()}
+    decisions = control.read_decisions(g, d, list(ENTITY_OF))
+    return {t: gate.to_quarantine(bronze(spark, sf_dir, b), decisions[b]) for b, t in ENTITY_OF.items()}
 
 
 @register("quarantine_summary")

@@ -145,3 +145,13 @@ def test_register_views(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert register_views(spark, {"t_view": df}) == ["t_view"]
     assert spark.sql("SELECT SUM(a) AS s FROM t_view").first()["s"] == 1
+
+
+def test_read_decisions_equals_read_decision(spark):
+    from govlake.plans import registry
+
+    g, d = registry.scenario_controls(spark)
+    tables = list(registry.ENTITY_OF) + ["bronze_missing"]
+    many = control.read_decisions(g, d, tables)
+    for t in tables:
+        assert many[t] == control.read_decision(g, d, t)
