@@ -190,14 +190,18 @@ def category_profile(
     value of each string column, the ``top`` most frequent values per column
     (ties by value, NULL first; S16).
 
-    NULL is a value, so every column's total is the table's row count: a
-    one-row aggregate looked up by table name (broadcast, one row).
+    NULL is a value, so every column's total is the table's row count, from
+    a one-row aggregate spread over the column names (broadcast, one row per
+    column).
     """
     columns = list(columns if columns is not None else string_columns(df))
-    ranked = _top_values(value_counts(df, columns), top).withColumn("table_name", F.lit(table))
-    rows = df.agg(F.count(F.lit(1)).alias("__rows")).withColumn("table_name", F.lit(table))
-    return ranked.join(F.broadcast(rows), "table_name").select(
-        "table_name",
+    ranked = _top_values(value_counts(df, columns), top)
+    # One row per profiled column carrying the table's row count: an
+    # equi-join on the column name with a schema-sized side.
+    rows = df.agg(F.count(F.lit(1)).alias("__rows")).select(
+        "__rows", F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
+    return ranked.join(F.broadcast(rows), "column_name").select(
+        F.lit(table).alias("table_name"),
         "column_name",
         "value",
         (F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0)).alias("share_pct"),
@@ -214,7 +218,7 @@ def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFra
 
     Two scans: one aggregate (row count, null shares, exact distinct counts,
     averages) and the per-value counts of the string columns. The one-row
-    aggregate is left-joined to the top values by table name, and every
+    aggregate is left-joined to the top values by column name, and every
     metric is emitted from those joined rows, so neither input is computed
     twice (Spark does not always reuse a shared subplan across branches).
     """
@@ -234,13 +238,16 @@ def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFra
         return F.struct(name.alias("metric_name"), value.cast("double").alias("metric_value"))
 
     scalar_arr = F.array(*[metric(F.lit(n), v) for n, v in scalar])
-    agg = _native_aggregate(df, columns, numeric).withColumn("__t", F.lit(table))
+    agg = _native_aggregate(df, columns, numeric)
     if not texts:
         rows = agg.select(F.explode(scalar_arr).alias("m"))
     else:
-        ranked = _top_values(value_counts(df, texts), top).withColumn("__t", F.lit(table))
-        joined = agg.join(ranked, "__t", "left")
-        anchor = F.col("column_name").isNull() | ((F.col("column_name") == texts[0]) & (F.col("rank") == 1))
+        ranked = _top_values(value_counts(df, texts), top)
+        # The one-row aggregate spread over the string column names, joined
+        # to their top values on the column name (schema-sized left side).
+        per_col = agg.select("*", F.explode(F.array(*[F.lit(c) for c in texts])).alias("column_name"))
+        joined = per_col.join(ranked, "column_name", "left")
+        anchor = (F.col("column_name") == texts[0]) & (F.col("rank").isNull() | (F.col("rank") == 1))
         share = metric(
             F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None"))),
             F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0),
@@ -248,7 +255,7 @@ def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFra
         empty = F.array().cast("array<struct<metric_name:string,metric_value:double>>")
         items = F.concat(
             F.when(anchor, scalar_arr).otherwise(empty),
-            F.when(F.col("column_name").isNotNull(), F.array(share)).otherwise(empty),
+            F.when(F.col("n").isNotNull(), F.array(share)).otherwise(empty),
         )
         rows = joined.select(F.explode(items).alias("m"))
     return rows.select(F.lit(table).alias("table_name"), F.col("m.metric_name"), F.col("m.metric_value"))

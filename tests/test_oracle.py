@@ -48,6 +48,9 @@ def test_query_matches_oracle(spark, sf_dir, duck, name):
     df = entry.queries()[name](spark, sf_dir)
     s_names = df.columns
     s_rows = rows(s_names, [tuple(r) for r in df.collect()])
+    executed = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in executed and "CartesianProduct" not in executed, "cross join in plan"
+    assert "EvalPython" not in executed, "Python UDF in plan"
     sql = entry.oracle_sql().get(name)
     if sql is None:
         return
