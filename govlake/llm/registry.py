@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from govlake.llm.decontamination import op1_decontamination
 from govlake.llm.substring_dedup import op5_substring_dedup
 from govlake.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
 }

@@ -39,3 +39,25 @@ def suffix(docs, length=100):
         spans = len(re.findall(rb"\x01+", bytes(flags)))
         out.append((d, len(b), sum(flags), spans, sha(bytes(c for c, f in zip(b, flags) if not f))))
     return sorted(out, key=repr)
+
+
+def decontaminate(docs, items, window=10):
+    passages = {}
+    for i, t in items:
+        w = ALNUM.findall((t or "").translate(UPPER))
+        size = min(len(w), window)
+        for a in range(len(w) - size + 1 if size else 0):
+            passages.setdefault(tuple(w[a : a + size]), set()).add("" if i is None else str(i))
+    sizes = {len(p) for p in passages}
+    out = []
+    for d, t in docs:
+        w = ALNUM.findall((t or "").translate(UPPER))
+        hit, found = set(), set()
+        for size in sizes:
+            for a in range(len(w) - size + 1):
+                p = tuple(w[a : a + size])
+                if p in passages:
+                    hit.update(range(a, a + size))
+                    found |= passages[p]
+        out.append((d, len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
+    return sorted(out, key=repr)
