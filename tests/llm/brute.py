@@ -61,3 +61,29 @@ def decontaminate(docs, items, window=10):
                     found |= passages[p]
         out.append((d, len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
     return sorted(out, key=repr)
+
+
+def jaccard(docs, shingle=3, share=90):
+    sets = []
+    for _, t in docs:
+        w = SPACED.findall((t or "").translate(UPPER))
+        sets.append({tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set())
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 10 * min(len(a), len(b)) >= 8 * max(len(a), len(b)):
+                shared = len(a & b)
+                if 100 * shared >= share * (len(a) + len(b) - shared):
+                    parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return sorted(((d, len(s), least.get(find(i), d)) for i, ((d, _), s) in enumerate(zip(docs, sets))), key=repr)
