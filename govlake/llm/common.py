@@ -31,12 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    del df  # its plan holds the shuffle files
     release(spark)
-    return out
+    return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
