@@ -8,6 +8,7 @@ recomputed from stored rows, whose ids are data and never change.
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -34,15 +35,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    del df  # its plan holds the shuffle files
-    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of stored steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the context cleaner drop the shuffle files of stored steps before a step that needs room.
+
+    Plans are let go of in two turns: Python's references reach the JVM with a
+    delay of about a second, and only then can it collect them.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1.2)
+        spark.sparkContext._jvm.System.gc()
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:

@@ -49,6 +49,7 @@ from govlake.llm.common import (
     chunked,
     mix,
     partitions,
+    release,
     signed,
     stored,
     table,
@@ -298,6 +299,7 @@ def jaccard_join(
     near = chunks.mapInArrow(route, "key long, f long").repartition(n, "key").mapInArrow(star, "a long, b long").distinct()
     of_class = classes.select("f", "member")
     near = stored(near, "near")
+    release(spark)
     near = (
         near.join(of_class.select(F.col("f").alias("a"), F.col("member").alias("x")), "a")
         .join(of_class.select(F.col("f").alias("b"), F.col("member").alias("y")), "b")
@@ -323,6 +325,7 @@ def jaccard_join(
     )
     sets = shingles_of(chunks, placed, shingle)
 
+    release(spark)
     big = placed.where("large")
     pivot = big.groupBy("grp", "level").agg(F.min_by("member", F.xxhash64("member")).alias("member"))
     homes = big.select("grp", "leaf", "level").distinct()

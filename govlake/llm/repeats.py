@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govlake.llm.common import U64, Rolling, minimizers, mix, partitions, signed, stored
+from govlake.llm.common import U64, Rolling, minimizers, mix, partitions, release, signed, stored
 
 #: Decisions about a run: bit 1, every window is marked; bit 2, its windows are compared one by one.
 MARK, OPEN = 1, 2
@@ -122,6 +122,7 @@ def find(
                 yield key_rows(runs.h[first], runs.x[first], ids[runs.doc[first]], batch.column("chunk")[k], first, counts > 1)
 
     run_table = stored(decide(chunks.mapInArrow(seeds, KEYS), n, earlier, whole=False), "runs")
+    release(chunks.sparkSession)
     with_runs = chunks.join(gathered(run_table, "run"), "chunk", "left")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,6 +143,7 @@ def find(
                 yield key_rows(h[first], x[first], ids[runs.doc[opened[owner[first]]]], batch.column("chunk")[k], starts[first], sure)
 
     window_table = stored(decide(with_runs.mapInArrow(windows, KEYS), n, earlier, whole=True), "windows")
+    release(chunks.sparkSession)
     decided = with_runs.join(gathered(window_table, "window"), "chunk", "left")
 
     def marked(batch: pa.RecordBatch, k: int, runs: Runs) -> np.ndarray:
