@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from govlake.llm.decontamination import op1_decontamination
 from govlake.llm.jaccard_join import op9_jaccard_join
+from govlake.llm.packing import op3_best_fit_packing
 from govlake.llm.substring_dedup import op5_substring_dedup
 from govlake.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
