@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from govlake.llm.decontamination import op1_decontamination
 from govlake.llm.jaccard_join import op9_jaccard_join
 from govlake.llm.packing import op3_best_fit_packing
+from govlake.llm import quality_rules, revisits
 from govlake.llm.substring_dedup import op5_substring_dedup
 from govlake.llm.suffix_dedup import op7_suffix_dedup
 
@@ -17,7 +18,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_revisits": revisits.op10_revisits,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_quality_rules": quality_rules.SQL,
+    "op10_revisits": revisits.SQL,
+}

@@ -87,3 +87,26 @@ def jaccard(docs, shingle=3, share=90):
         if d is not None:
             least[find(i)] = min(least.get(find(i), d), d)
     return sorted(((d, len(s), least.get(find(i), d)) for i, ((d, _), s) in enumerate(zip(docs, sets))), key=repr)
+
+
+def quality(docs, min_docs=10, max_share=0.01, min_left=30):
+    """docs: (doc_id, text, host); the figures of the quality rules."""
+    normal = lambda x: re.sub("[0-9]", "0", re.sub(r"[\x20\x09-\x0D]+", " ", x.lower())).strip(" ")
+    texts, sharing, rows = {}, {}, []
+    for d, t, h in docs:
+        t = t or ""
+        lines = [x for x in t.split("\n") if SPACED.search(x)]
+        texts.setdefault(h, set()).add(t)
+        for x in lines:
+            sharing.setdefault((h, normal(x)), set()).add(t)
+        rows.append((d, t, h, lines))
+    out = []
+    for d, t, h, lines in rows:
+        w = SPACED.findall(t)
+        at = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        rep = {j for i in range(len(w) - 4) if at[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+        gone = sum(len(SPACED.findall(x)) for x in lines if len(sharing[h, normal(x)]) > max(min_docs, max_share * len(texts[h])))
+        failed = len(w) < 10 or 100 * len(rep) > 20 * len(w)
+        kept = not failed and not 100 * (len(w) - gone) < min_left * len(w)
+        out.append((d, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(rep), failed, kept, gone))
+    return sorted(out, key=repr)
