@@ -61,7 +61,7 @@ from govlake.llm.repeats import list_of
 SHINGLE = 3
 SHARE = 90
 #: Members of a leaf; a task holds two leaves.
-LEAF = 512
+LEAF = 256
 BITS = 1024
 FANOUT = 8
 
@@ -401,7 +401,8 @@ def shingles_of(chunks: DataFrame, members: DataFrame, shingle: int) -> DataFram
                     names=["member", "grp", "leaf", "shingles"],
                 )
 
-    picked = chunks.join(wanted, "chunk").select("texts", "wanted")
+    # the list grows with the texts: a join by key at every size
+    picked = chunks.join(wanted.hint("merge"), "chunk").select("texts", "wanted")
     return stored(picked.mapInArrow(read, "member long, grp long, leaf int, shingles binary"), "shingles")
 
 

@@ -123,7 +123,7 @@ def find(
 
     run_table = stored(decide(chunks.mapInArrow(seeds, KEYS), n, earlier, whole=False), "runs")
     release(chunks.sparkSession)
-    with_runs = chunks.join(gathered(run_table, "run"), "chunk", "left")
+    with_runs = chunks.join(gathered(run_table, "run").hint("merge"), "chunk", "left")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,7 +144,7 @@ def find(
 
     window_table = stored(decide(with_runs.mapInArrow(windows, KEYS), n, earlier, whole=True), "windows")
     release(chunks.sparkSession)
-    decided = with_runs.join(gathered(window_table, "window"), "chunk", "left")
+    decided = with_runs.join(gathered(window_table, "window").hint("merge"), "chunk", "left")
 
     def marked(batch: pa.RecordBatch, k: int, runs: Runs) -> np.ndarray:
         total = len(runs.rolling[0].sums) - 1
@@ -259,7 +259,7 @@ def decide(keys: DataFrame, n: int, earlier: bool, whole: bool) -> DataFrame:
 
 
 def gathered(found: DataFrame, name: str) -> DataFrame:
-    """One row per chunk: its decisions, bounded by the chunk's own size."""
+    """One row per chunk: its decisions, bounded by the chunk's own size (joined by key, as they grow with the texts)."""
     return found.groupBy("chunk").agg(
         F.collect_list(F.struct("places", "codes")).alias(name),
     )

@@ -22,7 +22,7 @@ def test_shared_lines_and_copies(spark):
     docs = []
     for i in range(200):
         body = [" ".join(word() for _ in range(9)) for _ in range(rnd.randrange(4))]
-        notice = [f"Page {i}  of Our SITE notice"] * (i % 4 == 0) + ["\tshared by hosts, rarely"] * (i % 40 == 0)
+        notice = [f"Page {i}  of Our SITE notice and six more words that fill it"] * (i % 4 == 0) + ["\tshared by hosts, rarely"] * (i % 40 == 0)
         docs.append((i, "\n".join(notice * rnd.randrange(1, 3) + body), None if i % 5 == 0 else f"h{i % 2}"))
     docs += [(300 + i, "one long copy of a text that is here many times over, in exact form", "h0") for i in range(30)]
     expected = brute.quality(docs)
