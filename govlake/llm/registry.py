@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from govlake.llm import quality_rules, revisits
 from govlake.llm.decontamination import op1_decontamination
+from govlake.llm.html_extract import op2_html_extract
 from govlake.llm.jaccard_join import op9_jaccard_join
+from govlake.llm.language_id import op6_language_id
 from govlake.llm.packing import op3_best_fit_packing
-from govlake.llm import quality_rules, revisits
+from govlake.llm.pii import op4_pii_surrogates
 from govlake.llm.substring_dedup import op5_substring_dedup
 from govlake.llm.suffix_dedup import op7_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_html_extract": op2_html_extract,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_pii_surrogates": op4_pii_surrogates,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_language_id": op6_language_id,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
