@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govlake.llm.common import stored, table
+from govlake.llm.common import release, stored, table
 from govlake.llm.decontamination import decontaminate
 from govlake.llm.jaccard_join import jaccard_join
 from govlake.llm.language_id import UNKNOWN, fit, held_out, identify
@@ -47,6 +47,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates (op 9): the smallest doc_id, then the first row."""
     rows = numbered(docs)
     groups = stored(jaccard_join(rows, ROW, "text", SHINGLE, SHARE).select(F.col("doc_id").alias(ROW), "component_id"), "groups")
+    release(spark)
     ids = rows.select(ROW, "doc_id").join(groups.hint("merge"), ROW)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
     stays = stored(ids.groupBy("component_id").agg(F.min_by(ROW, order).alias(ROW)).select(ROW), "stays")

@@ -226,7 +226,7 @@ def links(sets: list[np.ndarray], guest: np.ndarray, label: np.ndarray, share: i
 
 
 # ------------------------------------------------------------------ the join
-MEMBER = "member long, grp long, leaf int, partner int, guest boolean, label long, shingles binary"
+KEYS = ("member", "grp", "leaf", "partner", "guest", "label")
 
 
 def jaccard_join(
@@ -327,17 +327,33 @@ def jaccard_join(
 
     release(spark)
     big = placed.where("large")
-    pivot = big.groupBy("grp", "level").agg(F.min_by("member", F.xxhash64("member")).alias("member"))
-    homes = big.select("grp", "leaf", "level").distinct()
-    guests = homes.join(pivot, ["grp", "level"]).select("member", "grp", "leaf")
-    first_round = sets.select("member", "grp", "leaf", F.lit(0).alias("partner"), F.lit(False).alias("guest"), F.col("member").alias("label"), "shingles").unionByName(
-        guests.join(sets.select("member", "shingles"), "member").select(
-            "member", "grp", "leaf", F.lit(0).alias("partner"), F.lit(True).alias("guest"), F.col("member").alias("label"), "shingles"
-        )
+    wide = not big.isEmpty()
+    round_one = sets.select("member", "grp", "leaf", *own_keys(guest=False), "shingles")
+    if wide:
+        # the large groups' pivots, one per level, are guests of all leaves of the level
+        pivot = big.groupBy("grp", "level").agg(F.min_by("member", F.xxhash64("member")).alias("member"))
+        homes = big.select("grp", "leaf", "level").distinct().join(pivot, ["grp", "level"])
+        guests = homes.select("member", "grp", "leaf", *own_keys(guest=True))
+        round_one = round_one.unionByName(guests.join(sets.select("member", "shingles"), "member").select(*KEYS, "shingles"))
+    found = stored(joined(round_one, n, share, own_pairs=True), "links")
+    if wide:
+        found = stored(found.unionByName(second_round(found, big, sets, n, share)), "links")
+
+    labels = graph.components(found)
+    named = (
+        classes.join(labels.withColumnRenamed("id", "member"), "member", "left")
+        .select("f", "g", "n_shingles", "least", F.coalesce("label", "member").alias("label"))
     )
-    found = stored(joined(first_round, n, share, own_pairs=True), "links")
+    named = stored(named, "named")
+    smallest = stored(named.groupBy("label").agg(F.min("least").alias("component_id")), "smallest")
+    of_set = stored(named.join(smallest, "label").select("f", "g", "n_shingles", "component_id"), "of-set")
+    return described.join(of_set, ["f", "g", "n_shingles"], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+    )
+
 
-    # round two: only groups of several leaves, only members outside the largest component
+def second_round(found: DataFrame, big: DataFrame, sets: DataFrame, n: int, share: int) -> DataFrame:
+    """Links of large groups' members outside their group's largest component, with all leaves of fitting size."""
     labels = graph.components(found)
     state = stored(
         big.join(labels.withColumnRenamed("id", "member"), "member", "left")
@@ -348,34 +364,20 @@ def jaccard_join(
     rest = state.join(stored(main, "main"), "grp").where("label <> main")
     counts = rest.groupBy("grp", "level").agg(F.ceil(F.count(F.lit(1)) / LEAF).cast("int").alias("k"))
     rest = stored(
-        rest.join(stored(counts, "rest-leaves"), ["grp", "level"]).select(
-            "member", "grp", "level", "label", leaf_of("k").alias("partner")
-        ),
-        "rest",
+        rest.join(stored(counts, "rest-leaves"), ["grp", "level"]).select("member", "grp", "level", "label", leaf_of("k").alias("partner")), "rest"
     )
-    meets = (
-        rest.select("grp", "partner", F.explode(F.array(*[F.col("level") + d for d in (-1, 0, 1)])).alias("level")).distinct()
-        .join(state.select("grp", "level", "leaf").distinct(), ["grp", "level"])
-        .select("grp", "leaf", "partner").distinct()
-    )
-    meets = stored(meets, "meets")
-    body = sets.select("member", "shingles")
+    near = F.explode(F.array(*[F.col("level") + d for d in (-1, 0, 1)])).alias("level")
+    meets = rest.select("grp", "partner", near).distinct().join(state.select("grp", "level", "leaf").distinct(), ["grp", "level"])
+    meets = stored(meets.select("grp", "leaf", "partner").distinct(), "meets")
     own = state.join(meets, ["grp", "leaf"]).select("member", "grp", "leaf", "partner", F.lit(False).alias("guest"), "label")
     visitors = rest.join(meets, ["grp", "partner"]).select("member", "grp", "leaf", "partner", F.lit(True).alias("guest"), "label")
-    second_round = own.unionByName(visitors).join(body, "member").select("member", "grp", "leaf", "partner", "guest", "label", "shingles")
-    found = stored(found.unionByName(joined(second_round, n, share, own_pairs=False)), "links")
+    rows = own.unionByName(visitors).join(sets.select("member", "shingles"), "member").select(*KEYS, "shingles")
+    return joined(rows, n, share, own_pairs=False)
 
-    labels = graph.components(found)
-    named = (
-        classes.join(labels.withColumnRenamed("id", "member"), "member", "left")
-        .select("f", "g", "n_shingles", "least", F.coalesce("label", "member").alias("label"))
-    )
-    named = stored(named, "named")
-    smallest = stored(named.groupBy("label").agg(F.min("least").alias("component_id")), "smallest")
-    of_set = stored(named.join(smallest, "label").select("f", "g", "n_shingles", "component_id"), "of-set")
-    return described.join(of_set, ["f", "g", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+
+def own_keys(guest: bool) -> list[Column]:
+    """Round one: no partner leaf, and every member is a component of its own."""
+    return [F.lit(0).alias("partner"), F.lit(guest).alias("guest"), F.col("member").alias("label")]
 
 
 def leaf_of(leaves: str) -> Column:
@@ -440,7 +442,7 @@ def joined(rows: DataFrame, n: int, share: int, own_pairs: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     keys = ["grp", "leaf", "partner"]
-    return rows.select(*[x.split()[0] for x in MEMBER.split(", ")]).repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
