@@ -32,6 +32,7 @@ The tokenizer's file is a parameter and must be present on every executor.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -49,8 +50,8 @@ TOKENIZER = "word_bpe_49k.json"
 #: (share, groups): pieces up to capacity / share tokens are small; the others are rounded to so many sizes.
 SCHEMES = ((2, 32), (3, 32), (4, 32), (8, 64))
 GOOD = 1.0005
-#: Words kept with their ids by a worker; when full it begins anew.
-CACHE = 400_000
+#: Words that a worker keeps with their ids, and as many of the time before; then the older ones go.
+CACHE = 500_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, rank int"
 
 
@@ -70,14 +71,27 @@ def encoder(name: str) -> Callable[[str], bytes]:
     def direct(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    model, printable = tokenizer.model, byte_characters()
+
+    def plain(word: str) -> bytes:
+        """Ids of a lower-case, composed word of letters: normalising and splitting leave it as it is."""
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(printable)
+        return np.array([x.id for x in model.tokenize(spelt)], "<u4").tobytes()
+
     class Words(dict):
+        older: dict[str, bytes] = {}
+
         def __missing__(self, word: str) -> bytes:
-            if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
-                ids = self[word[:-1]] + self[word[-1]]  # letters and punctuation are split from each other
-            elif word.isascii() and word.isalpha() and not word.islower():
-                ids = self[word.lower()]
-            else:
-                ids = direct(word)
+            ids = self.older.get(word)
+            if ids is None:
+                if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
+                    ids = self[word[:-1]] + self[word[-1]]  # letters and punctuation are split from each other
+                elif word.isalpha() and word.islower() and unicodedata.is_normalized("NFC", word):
+                    ids = plain(word)
+                elif word.isascii() and word.isalpha():
+                    ids = self[word.lower()]
+                else:
+                    ids = direct(word)
             self[word] = ids
             return ids
 
@@ -87,12 +101,20 @@ def encoder(name: str) -> Callable[[str], bytes]:
         if "<|" in text:
             return direct(text)
         if len(words) > CACHE:
+            words.older = dict(words)
             words.clear()
         return b"".join(map(words.__getitem__, text.split()))
 
     return encode
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
 _encoders: dict[str, Callable[[str], bytes]] = {}
 
 
