@@ -47,8 +47,8 @@ def reference_column_profile(spark, sf_dir):
 
 def reference_kpis_apart(spark, sf_dir):
     fact = registry.base_fact(spark, sf_dir)
-    for fn in (kpis.kpi_daily_order_revenue, kpis.kpi_payment_success_rate, kpis.kpi_refund_rate, kpis.kpi_discount_impact):
-        run_df(fn(fact))
+    for kpi in ("daily_order_revenue", "payment_success_rate", "refund_rate", "discount_impact"):
+        run_df(kpis.over_fact(fact, kpi))
 
 
 def reference_silver_quarantine_apart(spark, sf_dir):
@@ -82,7 +82,7 @@ def orders_drift_metrics(spark, sf_dir):
 
 def reference_kpi_over_fanout(spark, sf_dir):
     """kpi_daily_all over the materialised payments x refunds fact."""
-    run_df(kpis.kpi_daily_all(registry.base_fact(spark, sf_dir)))
+    run_df(kpis.over_fact(registry.base_fact(spark, sf_dir), "daily_all"))
 
 
 def library(name):

@@ -64,14 +64,9 @@ FLAG_AND_ALERT = "FLAG_AND_ALERT"
 INVESTIGATE_SOURCE = "INVESTIGATE_SOURCE"
 ALLOW = "ALLOW"
 
-SEVERITY_RANK = {"LOW": 1, "MEDIUM": 2, "HIGH": 3}
-
 # Default number of recent insight rows given as chat context.
 RECENT_INSIGHTS_K = 14
 
-# Category profile keeps this many values per column.
-CATEGORY_TOP = 50
-
 # The fixed "as of" stamp used by registered queries, so results do not
 # depend on the wall clock (processed_at, quarantined_at, generated_at).
 DEFAULT_AS_OF = _dt.datetime(2024, 1, 3, 0, 0, 0)
@@ -83,7 +78,7 @@ class Feed:
 
     name: str  # entity name, e.g. "orders"
     bronze: str  # bronze dataset name, e.g. "bronze_orders"
-    kind: str  # TRANSACTIONAL or DIMENSION
+    kind: str  # TRANSACTIONAL or DIMENSION: dimensions carry no daily volume rule
     primary_key: str
     numeric: tuple = field(default_factory=tuple)
     category: tuple = field(default_factory=tuple)
@@ -100,5 +95,4 @@ DATASETS = [
          NUMERIC_DRIFT_COLUMNS["refunds"], CATEGORY_DRIFT_COLUMNS["refunds"]),
 ]
 
-FEEDS_BY_BRONZE = {f.bronze: f for f in DATASETS}
 FEEDS_BY_NAME = {f.name: f for f in DATASETS}

@@ -23,10 +23,6 @@ def change_pct(current: Column, previous: Column, scale: int | None = 2) -> Colu
     return F.round(value, scale) if scale is not None else value
 
 
-def to_day(ts: Column) -> Column:
-    return F.to_date(ts)
-
-
 def success_flag(status: Column) -> Column:
     """1 for a SUCCESS payment, else 0 (NULL status counts 0)."""
     return F.when(status == "SUCCESS", 1).otherwise(0)
@@ -38,8 +34,3 @@ def severity_rank(severity: Column) -> Column:
 
 def rank_severity(rank: Column) -> Column:
     return F.when(rank == 3, "HIGH").when(rank == 2, "MEDIUM").when(rank == 1, "LOW")
-
-
-def money_out(c: Column) -> Column:
-    """Money leaves the library as DECIMAL; reports cast to DOUBLE at the edge."""
-    return c.cast("double")

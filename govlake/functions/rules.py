@@ -7,6 +7,7 @@ evaluation happens in the executors' generated code.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -50,15 +51,41 @@ def reject(cond: Column, null_policy: str = "parity") -> Column:
     return ~cond
 
 
-def validate_expressions(df: DataFrame, texts: Iterable[str]) -> None:
-    """Resolve each SQL text against ``df``'s schema without running a job.
+#: Functions that rule text may call: value expressions without side effects.
+ALLOWED_FUNCTIONS = frozenset(
+    "abs bround cast ceil ceiling char_length coalesce concat concat_ws current_date date date_add date_sub datediff day "
+    "endswith floor greatest if ifnull initcap isnotnull isnull lcase least left length lower lpad ltrim month nullif nvl "
+    "nvl2 pmod power regexp_replace replace right round rpad rtrim sign split_part startswith substr substring to_date "
+    "to_timestamp translate trim try_cast try_divide try_to_date ucase upper year".split()
+)
+#: Words that may stand before a parenthesis without being a function.
+_KEYWORDS = frozenset("and between case decimal else end in is like not numeric or rlike then varchar when".split())
+_LITERALS = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*\"""", re.DOTALL)
+
+
+def refuse_unsafe(text: str) -> None:
+    """Refuse rule text that is more than a value expression: subqueries,
+    comments, several statements, and functions outside the allow list (such
+    as those that call into the JVM or read files)."""
+    bare = _LITERALS.sub("''", text)
+    if re.search(r"--|/\*|;|\{|\b(select|from|exists|with|table|values|lateral)\b", bare, re.IGNORECASE):
+        raise ValueError(f"rule text must be a plain condition: {text!r}")
+    for called in re.findall(r"((?:`[^`]*`|[\w.])+)\s*\(", bare):
+        name = called.replace("`", "").lower()
+        if name not in ALLOWED_FUNCTIONS and name not in _KEYWORDS:
+            raise ValueError(f"rule text may not call {called}: {text!r}")
 
-    Analysis fails on unknown columns or bad syntax, so a bad decision is
-    refused before any data is read.
+
+def validate_expressions(df: DataFrame, texts: Iterable[str]) -> None:
+    """Refuse unsafe text and resolve the rest against ``df``'s schema without
+    running a job: analysis fails on unknown columns or bad syntax, so a bad
+    decision is refused before any data is read.
     """
-    exprs = [F.expr(t) for t in texts if t is not None and t.strip()]
-    if exprs:
-        df.limit(0).select(*exprs).schema  # noqa: B018 - forces analysis only
+    texts = [t for t in texts if t is not None and t.strip()]
+    for t in texts:
+        refuse_unsafe(t)
+    if texts:
+        df.limit(0).select(*[F.expr(t) for t in texts]).schema  # noqa: B018 - forces analysis only
 
 
 def apply_corrections(df: DataFrame, corrections: Iterable[tuple[str, str]] | Mapping[str, str]) -> DataFrame:
@@ -69,5 +96,6 @@ def apply_corrections(df: DataFrame, corrections: Iterable[tuple[str, str]] | Ma
     """
     items = corrections.items() if isinstance(corrections, Mapping) else corrections
     for column, text in items:
+        refuse_unsafe(text)
         df = df.withColumn(column, F.expr(text))
     return df

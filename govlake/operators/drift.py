@@ -7,7 +7,8 @@ column expressions over a table of metric pairs, for all tables at once.
 Every rule yields rows of one shape: table_name, issue_type, column,
 metric_name, severity, message, recommended_action, current_value,
 previous_value, change_pct. ``change_pct`` is the raw DOUBLE the band was
-chosen from (NULL when there is nothing to compare with).
+chosen from. A metric that did not change, or that cannot be compared, is no
+issue.
 """
 
 from __future__ import annotations
@@ -55,24 +56,18 @@ def _rel_change(cur: Column, prev: Column) -> Column:
     return F.try_divide((cur - prev), F.abs(prev)) * F.lit(100.0)
 
 
-def _action(severity: Column, change: Column) -> Column:
-    """F8: HIGH -> BLOCK_SILVER, MEDIUM -> FLAG_AND_ALERT, LOW -> INVESTIGATE_SOURCE
-    when the value moved, ALLOW when it did not (or cannot be compared)."""
+def _action(severity: Column) -> Column:
+    """F8: HIGH -> BLOCK_SILVER, MEDIUM -> FLAG_AND_ALERT, LOW -> INVESTIGATE_SOURCE.
+    A metric that did not move is no issue and needs no action."""
     return (
         F.when(severity == "HIGH", C.BLOCK_SILVER)
         .when(severity == "MEDIUM", C.FLAG_AND_ALERT)
-        .when(F.coalesce(change, F.lit(0.0)) != 0, C.INVESTIGATE_SOURCE)
-        .otherwise(C.ALLOW)
+        .otherwise(C.INVESTIGATE_SOURCE)
     )
 
 
 def _direction(change: Column) -> Column:
-    return (
-        F.when(change.isNull(), "not comparable")
-        .when(change > 0, "increase")
-        .when(change < 0, "decrease")
-        .otherwise("no change")
-    )
+    return F.when(change > 0, "increase").otherwise("decrease")
 
 
 def _issues(df: DataFrame, issue_type: str, column: Column, severity: Column, change: Column) -> DataFrame:
@@ -85,12 +80,12 @@ def _issues(df: DataFrame, issue_type: str, column: Column, severity: Column, ch
         "current_value",
         "previous_value",
         change.alias("change_pct"),
-    )
+    ).filter(F.coalesce(F.col("change_pct"), F.lit(0.0)) != 0)
     return out.select(
         "table_name", "issue_type", "column", "metric_name", "severity",
         F.concat(F.col("issue_type"), F.lit(" on "), F.col("column"), F.lit(": "), F.col("severity"), F.lit(" "),
                  _direction(F.col("change_pct"))).alias("message"),
-        _action(F.col("severity"), F.col("change_pct")).alias("recommended_action"),
+        _action(F.col("severity")).alias("recommended_action"),
         "current_value", "previous_value", "change_pct",
     )
 
@@ -271,8 +266,8 @@ def drift_audit(issues: DataFrame, decision: DataFrame, event_time) -> DataFrame
 
 def drift_control(issues: DataFrame, decision: DataFrame, updated_at, table_names: dict | None = None) -> DataFrame:
     """Drift control rows: (table_name, allow_processing, severity,
-    agent_result_json, updated_at). The drift list per table is bounded by
-    the table's metric count (schema-sized), so collecting it is safe."""
+    agent_result_json, updated_at). The drift list of a table holds only metrics
+    that moved, of declared columns."""
     items = issues.groupBy("table_name").agg(
         F.array_sort(
             F.collect_list(F.struct("issue_type", "column", "severity", "message", "recommended_action"))

@@ -1,19 +1,15 @@
 """Order fact table (H1-H3).
 
-Join plan. The reference joins orders -> customers -> payments -> refunds,
-all left outer with conditions on the orders side only, so the joins commute.
-Spark keeps the written order for outer joins; we join customers first so the
-fan-out rows (payments x refunds per order) are produced after the last
-shuffle by ``order_id``: orders+customers shuffle on ``customer_id`` once,
-then payments and refunds shuffle on ``order_id`` into one co-partitioned
-sort-merge chain (the second join reuses the first one's partitioning).
-
-Customers add no columns (S20); the join only multiplies rows of duplicate
-customer ids, so it is kept for parity. When the customer side's size is
-known to be small, Spark broadcasts it by its own size check
-(``spark.sql.autoBroadcastJoinThreshold``); a hot ``customer_id`` holding a
-third of the orders is split by AQE's skew-join handling (the left side of a
-left outer join may be split).
+An order is matched with its customers, payments and refunds, all left outer
+on the orders side, so the order of the joins does not matter. Customers add
+no columns (S20): they only multiply the rows of a repeated customer id. Ids
+with one row or none multiply by one, so only the repeated ones are joined;
+that table is small or empty and stored, and its real size decides the join.
+
+Payments and refunds are co-partitioned by ``order_id``. An order with very
+many payments or refunds (``HOT_ROWS``) would put their product into one task;
+such orders are found by a count per order and joined apart, with the larger
+side dealt over ``SALTS`` and the other side repeated per salt.
 """
 
 from __future__ import annotations
@@ -26,6 +22,7 @@ from pyspark.sql import functions as F
 
 from govlake.config import DEFAULT_AS_OF
 from govlake.operators.policy import apply_row_rules
+from govlake.sources.sinks import cut_lineage
 
 FACT_COLUMNS = (
     "order_id", "customer_id", "payment_id", "refund_id", "order_date", "order_status",
@@ -34,6 +31,61 @@ FACT_COLUMNS = (
 )
 
 
+#: Payments or refunds of one order from which it is joined apart, and over how many parts.
+HOT_ROWS, SALTS = 100_000, 64
+
+#: Fact columns taken over from each input, by the fact's name.
+_FROM = {
+    "payments": {"payment_id": "payment_id", "payment_status": "payment_status", "payment_method": "payment_method", "payment_amount": "amount"},
+    "refunds": {"refund_id": "refund_id", "refund_status": "refund_status", "refund_amount": "refund_amount", "refund_reason": "refund_reason"},
+}
+
+
+def _valid(frames: dict[str, DataFrame], rules: Sequence[dict]) -> dict[str, DataFrame]:
+    """Each input reduced to the rows that satisfy its policy row rules."""
+    return {name: apply_row_rules(df, name, rules)[0] for name, df in frames.items()}
+
+
+def _side(df: DataFrame, name: str) -> DataFrame:
+    return df.select("order_id", *[F.col(source).alias(out) for out, source in _FROM[name].items()])
+
+
+def _multiplied(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders, repeated as often as their customer id has rows."""
+    repeated = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    times = cut_lineage(repeated, "repeated-customers")
+    joined = orders.join(times, "customer_id", "left")
+    each = F.explode(F.array_repeat(F.lit(1), F.coalesce("_rows", F.lit(1)).cast("int")))
+    return joined.withColumn("_each", each).drop("_rows", "_each")
+
+
+def _salted(orders: DataFrame, many: DataFrame, other: DataFrame, key: str, salts: int) -> DataFrame:
+    """Orders x ``many`` x ``other`` with the rows of ``many`` dealt over salts."""
+    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    spread = lambda df: df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # every hot order has rows in ``many``, so an inner join loses none
+    return spread(orders).join(dealt, ["order_id", "_salt"]).join(spread(other), ["order_id", "_salt"], "left").drop("_salt")
+
+
+def _fan_out(orders: DataFrame, paid: DataFrame, refunded: DataFrame, hot_rows: int, salts: int) -> DataFrame:
+    """Orders with every (payment, refund) combination; hot orders are spread over tasks."""
+    plain = lambda o, p, r: o.join(p, "order_id", "left").join(r, "order_id", "left")
+    hot = []
+    for side in (paid, refunded):
+        per_order = side.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+        hot.append(cut_lineage(per_order.select("order_id"), "hot-orders"))
+    hot[1] = hot[1].join(hot[0], "order_id", "left_anti")
+    if hot[0].isEmpty() and hot[1].isEmpty():
+        return plain(orders, paid, refunded)
+    within = lambda keys: [df.join(keys, "order_id", "left_semi") for df in (orders, paid, refunded)]
+    by_payment = _salted(*within(hot[0]), "payment_id", salts)
+    o, p, r = within(hot[1])
+    by_refund = _salted(o, r, p, "refund_id", salts)
+    both = hot[0].unionByName(hot[1])
+    rest = plain(*[df.join(both, "order_id", "left_anti") for df in (orders, paid, refunded)])
+    return rest.unionByName(by_payment.select(rest.columns)).unionByName(by_refund.select(rest.columns))
+
+
 def fact_orders(
     orders: DataFrame,
     customers: DataFrame,
@@ -41,36 +93,19 @@ def fact_orders(
     refunds: DataFrame,
     rules: Sequence[dict] = (),
     as_of: _dt.datetime = DEFAULT_AS_OF,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """The 15-column order fact from four inputs, each first reduced to the
-    rows that satisfy its policy row rules (H1)."""
-    o, _ = apply_row_rules(orders, "orders", rules)
-    c, _ = apply_row_rules(customers, "customers", rules)
-    p, _ = apply_row_rules(payments, "payments", rules)
-    r, _ = apply_row_rules(refunds, "refunds", rules)
-    o, c, p, r = o.alias("o"), c.alias("c"), p.alias("p"), r.alias("r")
-    return (
-        o.join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left")
-        .join(p, F.col("o.order_id") == F.col("p.order_id"), "left")
-        .join(r, F.col("o.order_id") == F.col("r.order_id"), "left")
-        .select(
-            F.col("o.order_id"),
-            F.col("o.customer_id"),
-            F.col("p.payment_id"),
-            F.col("r.refund_id"),
-            F.col("o.order_date"),
-            F.col("o.order_status"),
-            F.col("p.payment_status"),
-            F.col("p.payment_method"),
-            F.col("p.amount").alias("payment_amount"),
-            F.col("r.refund_status"),
-            F.col("r.refund_amount"),
-            F.col("r.refund_reason"),
-            F.col("o.discount_amount"),
-            (F.col("p.amount") - F.col("o.discount_amount")).alias("net_amount"),
-            F.lit(as_of).cast("timestamp").alias("processed_at"),
-        )
+    """The 15-column order fact from four inputs (H1)."""
+    v = _valid({"orders": orders, "customers": customers, "payments": payments, "refunds": refunds}, rules)
+    base = v["orders"].select("order_id", "customer_id", "order_date", "order_status", "discount_amount")
+    rows = _fan_out(
+        _multiplied(base, v["customers"]), _side(v["payments"], "payments"), _side(v["refunds"], "refunds"), hot_rows, salts
     )
+    return rows.withColumns({
+        "net_amount": F.col("payment_amount") - F.col("discount_amount"),
+        "processed_at": F.lit(as_of).cast("timestamp"),
+    }).select(*FACT_COLUMNS)
 
 
 def fact_orders_dedup(
@@ -88,10 +123,8 @@ def fact_orders_dedup(
     joined; customers are reduced to distinct ids so duplicates cannot
     multiply orders.
     """
-    o, _ = apply_row_rules(orders, "orders", rules)
-    c, _ = apply_row_rules(customers, "customers", rules)
-    p, _ = apply_row_rules(payments, "payments", rules)
-    r, _ = apply_row_rules(refunds, "refunds", rules)
+    v = _valid({"orders": orders, "customers": customers, "payments": payments, "refunds": refunds}, rules)
+    o, c, p, r = v.values()
     pay = p.groupBy("order_id").agg(
         F.count("payment_id").alias("payment_count"),
         F.sum(F.when(F.col("payment_status") == "SUCCESS", 1).otherwise(0)).cast("bigint").alias("successful_payments"),
@@ -102,7 +135,8 @@ def fact_orders_dedup(
         F.count("refund_id").alias("refund_count"),
         F.sum("refund_amount").alias("refund_amount"),
     )
-    known = c.select("customer_id").distinct().withColumn("customer_known", F.lit(True))
+    # stored, so the join is between two plain inputs and a hot customer's orders can be split
+    known = cut_lineage(c.select("customer_id").distinct(), "customer-ids").withColumn("customer_known", F.lit(True))
     return (
         o.join(known, "customer_id", "left")
         .join(pay, "order_id", "left")

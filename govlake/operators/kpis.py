@@ -1,113 +1,67 @@
 """KPI tables (E11-E17), over the fact or over per-order contributions.
 
-The ``*_orders`` forms give the same tables without materialising the
-fact's payments x refunds fan-out (see ``order_contributions``); the
-registered queries and the pipeline use them. Every KPI is a grouped aggregate: Spark plans a partial aggregate per map
-task, so a hot day or customer is combined before the shuffle. The single
-``countDistinct(order_id)`` is rewritten by Catalyst into a two-level
-aggregate keyed first by (group, order_id), which stays distributed.
+A KPI is a grain and a list of measures (``KPIS``). ``over_fact`` evaluates
+them on the fact's payments x refunds rows; the ``*_orders`` forms give the
+same tables from one row per order (see ``order_contributions``), which the
+registered queries and the pipeline use. Every KPI is a grouped aggregate:
+Spark plans a partial aggregate per map task, so a hot day or customer is
+combined before the shuffle. The single ``countDistinct(order_id)`` is
+rewritten by Catalyst into a two-level aggregate keyed first by (group,
+order_id), which stays distributed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from govlake.functions.columns import pct, success_flag
 from govlake.operators.policy import apply_row_rules
-
-
-def _day() -> F.Column:
+from govlake.sources.sinks import cut_lineage
+
+#: Grain and measures of each KPI. Names are the output contract.
+KPIS = {
+    "daily_order_revenue": ("order_date", ("total_orders", "gross_revenue", "net_revenue")),
+    "payment_success_rate": ("order_date", ("total_payments", "successful_payments", "payment_success_rate")),
+    "refund_rate": ("order_date", ("total_orders", "refunded_orders", "total_refund_amount", "refund_rate")),
+    "discount_impact": ("order_date", ("total_discount", "gross_revenue", "net_revenue")),
+    "customer_lifetime_value": ("customer_id", ("total_orders", "lifetime_value", "avg_order_value")),
+    "payment_method_performance": ("payment_method", ("total_transactions", "successful_transactions", "total_revenue")),
+    "daily_all": ("order_date", (
+        "total_orders", "gross_revenue", "net_revenue", "total_payments", "successful_payments", "payment_success_rate",
+        "refunded_orders", "total_refund_amount", "refund_rate", "total_discount")),
+}
+
+
+def _day() -> Column:
     return F.to_date("order_date").alias("order_date")
 
 
-def _success_count():
-    return F.sum(success_flag(F.col("payment_status"))).cast("bigint")
-
-
-def kpi_daily_order_revenue(fact: DataFrame) -> DataFrame:
-    """Per day distinct orders, gross and net revenue."""
-    return fact.groupBy(_day()).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("payment_amount").alias("gross_revenue"),
-        F.sum("net_amount").alias("net_revenue"),
-    )
-
-
-def kpi_payment_success_rate(fact: DataFrame) -> DataFrame:
-    """Per day payments, successful payments and the success rate in %.
-
-    A day without payments has a NULL rate instead of a division error (S12).
-    """
-    return fact.groupBy(_day()).agg(
-        F.count("payment_id").alias("total_payments"),
-        _success_count().alias("successful_payments"),
-        pct(_success_count(), F.count("payment_id")).alias("payment_success_rate"),
-    )
-
-
-def kpi_refund_rate(fact: DataFrame) -> DataFrame:
-    """Per day orders, refund rows, refund amount and refund rate in %.
+def fact_measures() -> dict[str, Column]:
+    """Every measure as an aggregate over fact rows.
 
-    Counts refund rows, not distinct ids: with the fan-out the rate can pass
-    100 (S11), as in the reference.
+    Refunds and payments are counted as rows: with the fan-out a refund rate
+    can pass 100 (S11). A rate over nothing is NULL (S12). The average is the
+    exact decimal sum over the non-NULL count.
     """
-    return fact.groupBy(_day()).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.count("refund_id").alias("refunded_orders"),
-        F.sum("refund_amount").alias("total_refund_amount"),
-        pct(F.count("refund_id"), F.countDistinct("order_id")).alias("refund_rate"),
-    )
-
-
-def kpi_customer_lifetime_value(fact: DataFrame) -> DataFrame:
-    """Per customer distinct orders, summed and average net amount.
-
-    The average is the exact decimal sum over the non-NULL count.
-    """
-    return fact.groupBy("customer_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("net_amount").alias("lifetime_value"),
-        F.try_divide(F.sum("net_amount").cast("double"), F.count("net_amount").cast("double")).alias("avg_order_value"),
-    )
-
-
-def kpi_payment_method_performance(fact: DataFrame) -> DataFrame:
-    """Per payment method (NULL is a group) transactions, successes, revenue."""
-    return fact.groupBy("payment_method").agg(
-        F.count("payment_id").alias("total_transactions"),
-        _success_count().alias("successful_transactions"),
-        F.sum("net_amount").alias("total_revenue"),
-    )
-
-
-def kpi_discount_impact(fact: DataFrame) -> DataFrame:
-    """Per day discount, gross and net revenue."""
-    return fact.groupBy(_day()).agg(
-        F.sum("discount_amount").alias("total_discount"),
-        F.sum("payment_amount").alias("gross_revenue"),
-        F.sum("net_amount").alias("net_revenue"),
-    )
-
-
-def kpi_daily_all(fact: DataFrame) -> DataFrame:
-    """E11, E12, E13 and E16 in one scan and one shuffle.
-
-    Shared columns (``total_orders``, ``gross_revenue``, ``net_revenue``) are
-    the same expressions in each source KPI, so they appear once.
-    """
-    return fact.groupBy(_day()).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("payment_amount").alias("gross_revenue"),
-        F.sum("net_amount").alias("net_revenue"),
-        F.count("payment_id").alias("total_payments"),
-        _success_count().alias("successful_payments"),
-        pct(_success_count(), F.count("payment_id")).alias("payment_success_rate"),
-        F.count("refund_id").alias("refunded_orders"),
-        F.sum("refund_amount").alias("total_refund_amount"),
-        pct(F.count("refund_id"), F.countDistinct("order_id")).alias("refund_rate"),
-        F.sum("discount_amount").alias("total_discount"),
-    )
+    orders, paid, refunds = F.countDistinct("order_id"), F.count("payment_id"), F.count("refund_id")
+    good = F.sum(success_flag(F.col("payment_status"))).cast("bigint")
+    net = F.sum("net_amount")
+    out = {"total_orders": orders, "refunded_orders": refunds, "refund_rate": pct(refunds, orders)}
+    out |= {"payment_success_rate": pct(good, paid)}
+    out |= dict.fromkeys(("total_payments", "total_transactions"), paid)
+    out |= dict.fromkeys(("successful_payments", "successful_transactions"), good)
+    out |= dict.fromkeys(("net_revenue", "lifetime_value", "total_revenue"), net)
+    out |= {"avg_order_value": F.try_divide(net.cast("double"), F.count("net_amount").cast("double"))}
+    sums = {"gross_revenue": "payment_amount", "total_refund_amount": "refund_amount", "total_discount": "discount_amount"}
+    return out | {name: F.sum(source) for name, source in sums.items()}
+
+
+def over_fact(fact: DataFrame, kpi: str) -> DataFrame:
+    """One KPI table over the fact."""
+    grain, names = KPIS[kpi]
+    measures = fact_measures()
+    return fact.groupBy(_day() if grain == "order_date" else F.col(grain)).agg(*[measures[n].alias(n) for n in names])
 
 
 # ---------------------------------------------------------------------------
@@ -142,7 +96,12 @@ def _order_base(orders: DataFrame, customers: DataFrame, refunds: DataFrame, rul
     o, _ = apply_row_rules(orders, "orders", rules)
     c, _ = apply_row_rules(customers, "customers", rules)
     r, _ = apply_row_rules(refunds, "refunds", rules)
-    cust = c.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c_rows"))
+    # Only a customer with more than one row changes a total (none and one
+    # both count once). That table is small or empty, and stored, so its real
+    # size decides the join: normally a broadcast, and no shuffle of all
+    # orders on customer_id; else a join whose hot customers AQE can split.
+    repeated = c.groupBy("customer_id").agg(F.count(F.lit(1)).alias("c_rows")).filter(F.col("c_rows") > 1)
+    cust = cut_lineage(repeated, "repeated-customers")
     ref = r.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("r_rows"),
         F.count("refund_id").alias("r_ids"),
@@ -208,7 +167,7 @@ def _contrib_cols():
 
 
 def kpi_daily_all_orders(contrib: DataFrame) -> DataFrame:
-    """E17 from ``order_contributions``: equal to ``kpi_daily_all(fact)``."""
+    """E17 from ``order_contributions``: equal to ``over_fact(fact, "daily_all")``."""
     k = _contrib_cols()
     successes = F.sum(k["successes"]).cast("bigint")
     payments_n = F.sum(k["payments"]).cast("bigint")
@@ -227,22 +186,10 @@ def kpi_daily_all_orders(contrib: DataFrame) -> DataFrame:
     )
 
 
-def kpi_daily_order_revenue_orders(contrib: DataFrame) -> DataFrame:
-    return kpi_daily_all_orders(contrib).select("order_date", "total_orders", "gross_revenue", "net_revenue")
-
-
-def kpi_payment_success_rate_orders(contrib: DataFrame) -> DataFrame:
-    return kpi_daily_all_orders(contrib).select(
-        "order_date", "total_payments", "successful_payments", "payment_success_rate")
-
-
-def kpi_refund_rate_orders(contrib: DataFrame) -> DataFrame:
-    return kpi_daily_all_orders(contrib).select(
-        "order_date", "total_orders", "refunded_orders", "total_refund_amount", "refund_rate")
-
-
-def kpi_discount_impact_orders(contrib: DataFrame) -> DataFrame:
-    return kpi_daily_all_orders(contrib).select("order_date", "total_discount", "gross_revenue", "net_revenue")
+def daily_kpi(kpi_all: DataFrame, kpi: str) -> DataFrame:
+    """One of the day-grained KPIs (E11-E13, E16) as columns of E17."""
+    grain, names = KPIS[kpi]
+    return kpi_all.select(grain, *names)
 
 
 def kpi_customer_lifetime_value_orders(contrib: DataFrame) -> DataFrame:

@@ -248,10 +248,9 @@ def row_rule_failures(tables: dict[str, DataFrame], rules: Sequence[dict],
     """Count failing rows per row rule: (table, rule_name, expression, failing_rows).
 
     One pass per table with one conditional count per rule; a rule whose
-    condition is NULL for a row counts that row as failing (as G5).
+    condition is NULL for a row counts that row as failing (as G5). Without
+    rules for the tables there are no rows (S5).
     """
-    if not any(_applicable(rules, t) for t in tables):
-        raise ValueError("no row rule applies to the given tables")
     figures = aggregates if aggregates is not None else policy_aggregates(tables, rules)
     return figures.filter(F.col("kind") == "rule").select(
         "table", F.col("name").alias("rule_name"), "expression", F.col("value").cast("bigint").alias("failing_rows"))
@@ -346,3 +345,14 @@ def policy_decision_json(decision: DataFrame) -> DataFrame:
         F.transform("mr", metric_rule).alias("metric_rules"),
     )
     return agg.select(F.to_json(doc).alias("policy_decision_json"))
+
+
+def policy_control(document: DataFrame, pipeline_name: str, table_names: Sequence[str], updated_at) -> DataFrame:
+    """The policy control row: pipeline, its tables, the decision document and
+    the time of the decision."""
+    return document.select(
+        F.lit(pipeline_name).alias("pipeline_name"),
+        F.array(*[F.lit(t) for t in table_names]).alias("table_name_list"),
+        "policy_decision_json",
+        F.lit(updated_at).cast("timestamp").alias("updated_timestamp"),
+    )

@@ -1,32 +1,25 @@
 """Table profiles in long format.
 
 The reference ran one Spark job per column (and one more per numeric and per
-string column). Here a profile is one plan:
-
-* every column is unpivoted to ``(column_name, value)`` and grouped once by
-  ``(column_name, value)``; the partial (map-side) aggregate collapses repeated
-  values before the shuffle, so a value held by a third of all rows costs one
-  row per map task. Null share and exact distinct count per column, and the
-  top category shares, all come from that one grouped frame, whose exchange
-  Spark reuses when several outputs read it in one plan;
-* averages and the row count are one global aggregate.
-
-Exact distinct counts must see every distinct value once (there is no way
-around one shuffle of the distinct (column, value) pairs). For tables up to
-``NATIVE_DISTINCT_MAX_COLUMNS`` columns that shuffle is Catalyst's own
-multi-distinct aggregate over typed values (about twice as fast per row as
-the text unpivot); wider tables use the unpivot, whose rows do not carry a
-slot per column. ``approx=True`` uses HyperLogLog sketches and needs no
-shuffle of values at all.
+string column). Here every figure of a table is one global aggregate: row
+count, null shares, distinct counts and averages. Exact distinct counts are
+Catalyst's multi-distinct aggregate over typed values, the same plan at every
+width: each distinct (column, value) pair is shuffled once. ``approx=True``
+takes HyperLogLog sketches instead for every column but the primary key, which
+need no shuffle of values; it is meant for wide or very large tables.
+
+Value shares are counted for the feed's declared category columns, all values
+of them: the partial aggregate collapses repeated values before the shuffle,
+so a value held by a third of all rows costs one row per map task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlake.config import CATEGORY_TOP
+from govlake.config import CATEGORY_DRIFT_COLUMNS, PRIMARY_KEYS
 
 RESCUED = "_rescued_data"
 
@@ -53,104 +46,58 @@ def _as_text(df: DataFrame, name: str) -> Column:
     return c.cast("string")
 
 
-def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(column_name, value, n, is_text): row count per distinct value of each
-    column, NULL being one value. One scan, one shuffle of distinct pairs."""
-    columns = list(columns if columns is not None else df.columns)
-    texts = set(string_columns(df))
+def category_columns(df: DataFrame, table: str) -> list[str]:
+    """The feed's declared category columns that the frame has."""
+    return [c for c in CATEGORY_DRIFT_COLUMNS.get(table, ()) if c in df.columns]
+
+
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, n): rows per distinct value of each column, NULL
+    being one value. One scan, one shuffle of distinct pairs."""
     pairs = F.explode(
-        F.array(*[
-            F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value"), F.lit(c in texts).alias("is_text"))
-            for c in columns
-        ])
+        F.array(*[F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value")) for c in columns])
     )
-    # ``is_text`` is an aggregate output, not a key: a filter on it stays
-    # above the aggregate, so every reader shares the one exchange.
     return (
         df.select(pairs.alias("kv"))
-        .select("kv.column_name", "kv.value", "kv.is_text")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("is_text").alias("is_text"))
+        .groupBy(F.col("kv.column_name").alias("column_name"), F.col("kv.value").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-# Up to this many columns, exact distinct counts use one native aggregate
-# (Catalyst's Expand over typed values); wider tables use the text unpivot,
-# whose rows stay two fields wide instead of one slot per column.
-NATIVE_DISTINCT_MAX_COLUMNS = 32
-
-
-def _native_aggregate(df: DataFrame, columns: list[str], numeric: list[str]) -> DataFrame:
+def _figures(df: DataFrame, columns: list[str], numeric: list[str], sketched: set[str] = frozenset()) -> DataFrame:
     """One row: __rows, per column __nn{i} (non-null) and __d{i} (distinct),
     per numeric column __a{i} (exact sum over non-NULL count, DOUBLE)."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(columns):
-        aggs += [F.count(F.col(c)).alias(f"__nn{i}"), F.countDistinct(F.col(c)).alias(f"__d{i}")]
+        distinct = F.approx_count_distinct(_as_text(df, c)) if c in sketched else F.countDistinct(F.col(c))
+        aggs += [F.count(F.col(c)).alias(f"__nn{i}"), distinct.alias(f"__d{i}")]
     for i, c in enumerate(numeric):
         aggs.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"__a{i}"))
     return df.agg(*aggs)
 
 
-def _column_list(df: DataFrame, columns: list[str]) -> DataFrame:
-    spark = df.sparkSession
-    return spark.createDataFrame([(c, i) for i, c in enumerate(columns)], "column_name string, ordinal int")
+def _sketched(columns: list[str], table: str, approx: bool) -> set[str]:
+    return {c for c in columns if c != PRIMARY_KEYS.get(table)} if approx else set()
 
 
 # --------------------------------------------------------------------------- E1
-def column_profile(
-    df: DataFrame, table: str, columns: list[str] | None = None, approx: bool = False, counts: DataFrame | None = None
-) -> DataFrame:
+def column_profile(df: DataFrame, table: str, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
     """(table_name, column_name, null_percent, distinct_count) per column.
 
     ``null_percent`` is NULL for an empty table (the reference divided by
     zero); ``distinct_count`` ignores NULL, as ``count(DISTINCT)`` does.
     """
     columns = list(columns if columns is not None else df.columns)
-    if approx:
-        aggs = [F.count(F.lit(1)).alias("__rows")]
-        for i, c in enumerate(columns):
-            aggs.append(F.count(F.col(c)).alias(f"__nn{i}"))
-            aggs.append(F.approx_count_distinct(_as_text(df, c)).alias(f"__d{i}"))
-        stack = ", ".join(f"'{c}', `__nn{i}`, `__d{i}`" for i, c in enumerate(columns))
-        long = df.agg(*aggs).select(
-            "__rows", F.expr(f"stack({len(columns)}, {stack}) AS (column_name, non_null, distinct_count)")
-        )
-        return long.select(
-            F.lit(table).alias("table_name"),
-            "column_name",
-            (
-                F.try_divide((F.col("__rows") - F.col("non_null")).cast("double"), F.col("__rows").cast("double"))
-                * F.lit(100.0)
-            ).alias("null_percent"),
-            F.col("distinct_count").cast("bigint").alias("distinct_count"),
-        )
-    if counts is None and len(columns) <= NATIVE_DISTINCT_MAX_COLUMNS:
-        stack = ", ".join(f"'{c}', `__nn{i}`, `__d{i}`" for i, c in enumerate(columns))
-        long = _native_aggregate(df, columns, []).select(
-            "__rows", F.expr(f"stack({len(columns)}, {stack}) AS (column_name, non_null, distinct_count)")
-        )
-        return long.select(
-            F.lit(table).alias("table_name"),
-            "column_name",
-            (
-                F.try_divide((F.col("__rows") - F.col("non_null")).cast("double"), F.col("__rows").cast("double"))
-                * F.lit(100.0)
-            ).alias("null_percent"),
-            F.col("distinct_count").cast("bigint").alias("distinct_count"),
-        )
-    counts = counts if counts is not None else value_counts(df, columns)
-    per_col = counts.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).alias("nulls"),
-        F.count("value").alias("distinct_count"),
+    stack = ", ".join(f"'{c}', `__nn{i}`, `__d{i}`" for i, c in enumerate(columns))
+    long = _figures(df, columns, [], _sketched(columns, table, approx)).select(
+        "__rows", F.expr(f"stack({len(columns)}, {stack}) AS (column_name, non_null, distinct_count)")
     )
-    # The column list is schema-sized; it keeps columns of an empty table.
-    cols = F.broadcast(_column_list(df, columns))
-    return cols.join(per_col, "column_name", "left").select(
+    nulls = (F.col("__rows") - F.col("non_null")).cast("double")
+    return long.select(
         F.lit(table).alias("table_name"),
         "column_name",
-        (F.try_divide(F.col("nulls").cast("double"), F.col("rows").cast("double")) * F.lit(100.0)).alias("null_percent"),
-        F.coalesce(F.col("distinct_count"), F.lit(0)).cast("bigint").alias("distinct_count"),
+        (F.try_divide(nulls, F.col("__rows").cast("double")) * F.lit(100.0)).alias("null_percent"),
+        F.col("distinct_count").cast("bigint").alias("distinct_count"),
     )
 
 
@@ -174,124 +121,60 @@ def numeric_profile(df: DataFrame, table: str, columns: list[str] | None = None)
 
 
 # --------------------------------------------------------------------------- E5
-def _top_values(counts: DataFrame, top: int) -> DataFrame:
-    """The ``top`` most frequent values per column (ties by value, NULL
-    first), as a ``row_number`` filter that Spark plans as a partial
-    ``WindowGroupLimit`` before the exchange: no task receives more than
-    ``top`` values per column from each map task."""
-    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
-
-
-def category_profile(
-    df: DataFrame, table: str, columns: list[str] | None = None, top: int = CATEGORY_TOP
-) -> DataFrame:
-    """(table_name, column_name, value, share_pct, rank): share of rows per
-    value of each string column, the ``top`` most frequent values per column
-    (ties by value, NULL first; S16).
-
-    NULL is a value, so every column's total is the table's row count, from
-    a one-row aggregate spread over the column names (broadcast, one row per
-    column).
+def category_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """(table_name, column_name, value, n, share_pct): rows and share of rows
+    of every value of each category column (the feed's declared ones unless
+    given). NULL is a value, so a column's shares add up to 100.
     """
-    columns = list(columns if columns is not None else string_columns(df))
-    ranked = _top_values(value_counts(df, columns), top)
+    columns = list(columns if columns is not None else category_columns(df, table))
     # One row per profiled column carrying the table's row count: an
     # equi-join on the column name with a schema-sized side.
     rows = df.agg(F.count(F.lit(1)).alias("__rows")).select(
-        "__rows", F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
-    return ranked.join(F.broadcast(rows), "column_name").select(
+        "__rows", F.explode(F.array(*[F.lit(c) for c in columns]).cast("array<string>")).alias("column_name"))
+    if not columns:
+        return rows.select(F.lit(table).alias("table_name"), "column_name", F.lit(None).cast("string").alias("value"),
+                           F.col("__rows").alias("n"), F.lit(None).cast("double").alias("share_pct"))
+    return value_counts(df, columns).join(F.broadcast(rows), "column_name").select(
         F.lit(table).alias("table_name"),
         "column_name",
         "value",
+        "n",
         (F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0)).alias("share_pct"),
-        F.col("rank").cast("int").alias("rank"),
     )
 
 
 # --------------------------------------------------------------------------- F1
-def drift_metrics(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFrame:
+def drift_metrics(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
     """All drift metrics of one table snapshot in long format
     (table_name, metric_name, metric_value double):
     ``row_count``, ``<c>_null_pct``, ``<c>_distinct_cnt``, ``<c>_avg`` and
-    ``<c>::<value>`` (value share in %, NULL labelled ``None``).
+    ``<c>::<value>`` (value share in %) for the category columns. NULL is
+    labelled ``None``; a text ``None`` is the same metric, their rows add up.
 
-    Two scans: one aggregate (row count, null shares, exact distinct counts,
-    averages) and the per-value counts of the string columns. The one-row
-    aggregate is left-joined to the top values by column name, and every
-    metric is emitted from those joined rows, so neither input is computed
-    twice (Spark does not always reuse a shared subplan across branches).
+    One aggregate gives the table's figures; the value counts are divided by
+    the row count, which the file footers hold.
     """
-    columns = df.columns
-    texts = string_columns(df)
-    if len(columns) > NATIVE_DISTINCT_MAX_COLUMNS:
-        return _drift_metrics_unpivot(df, table, top)
-    numeric = numeric_columns(df)
+    columns, numeric = df.columns, numeric_columns(df)
     scalar = [("row_count", F.col("__rows").cast("double"))]
     for i, c in enumerate(columns):
-        scalar.append((f"{c}_null_pct", F.try_divide((F.col("__rows") - F.col(f"__nn{i}")).cast("double"),
-                                                     F.col("__rows").cast("double")) * F.lit(100.0)))
+        nulls = (F.col("__rows") - F.col(f"__nn{i}")).cast("double")
+        scalar.append((f"{c}_null_pct", F.try_divide(nulls, F.col("__rows").cast("double")) * F.lit(100.0)))
         scalar.append((f"{c}_distinct_cnt", F.col(f"__d{i}").cast("double")))
     scalar += [(f"{c}_avg", F.col(f"__a{i}")) for i, c in enumerate(numeric)]
-
-    def metric(name, value):
-        return F.struct(name.alias("metric_name"), value.cast("double").alias("metric_value"))
-
-    scalar_arr = F.array(*[metric(F.lit(n), v) for n, v in scalar])
-    agg = _native_aggregate(df, columns, numeric)
-    if not texts:
-        rows = agg.select(F.explode(scalar_arr).alias("m"))
-    else:
-        ranked = _top_values(value_counts(df, texts), top)
-        # The one-row aggregate spread over the string column names, joined
-        # to their top values on the column name (schema-sized left side).
-        per_col = agg.select("*", F.explode(F.array(*[F.lit(c) for c in texts])).alias("column_name"))
-        joined = per_col.join(ranked, "column_name", "left")
-        anchor = (F.col("column_name") == texts[0]) & (F.col("rank").isNull() | (F.col("rank") == 1))
-        share = metric(
-            F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None"))),
-            F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0),
-        )
-        empty = F.array().cast("array<struct<metric_name:string,metric_value:double>>")
-        items = F.concat(
-            F.when(anchor, scalar_arr).otherwise(empty),
-            F.when(F.col("n").isNotNull(), F.array(share)).otherwise(empty),
-        )
-        rows = joined.select(F.explode(items).alias("m"))
-    return rows.select(F.lit(table).alias("table_name"), F.col("m.metric_name"), F.col("m.metric_value"))
-
-
-def _category_metrics(counts: DataFrame, table: str, top: int) -> DataFrame:
-    totals = counts.groupBy("column_name").agg(F.sum("n").alias("rows"))
-    w = Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
-    ranked = counts.filter(F.col("is_text")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
-    return ranked.join(F.broadcast(totals), "column_name").select(
-        F.lit(table).alias("table_name"),
-        F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None"))).alias("metric_name"),
-        (F.col("n").cast("double") / F.col("rows").cast("double") * F.lit(100.0)).alias("metric_value"),
-    )
-
-
-def _drift_metrics_unpivot(df: DataFrame, table: str, top: int = CATEGORY_TOP) -> DataFrame:
-    """Wide tables: every figure from one unpivoted value count."""
-    counts = value_counts(df, df.columns)
-    per_col = counts.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(F.lit(0))).alias("nulls"),
-        F.count("value").alias("distinct_count"),
-    )
-    null_pct = per_col.select(
-        F.lit(table).alias("table_name"),
-        F.concat(F.col("column_name"), F.lit("_null_pct")).alias("metric_name"),
-        (F.try_divide(F.col("nulls").cast("double"), F.col("rows").cast("double")) * F.lit(100.0)).alias("metric_value"),
-    )
-    distinct = per_col.select(
-        F.lit(table).alias("table_name"),
-        F.concat(F.col("column_name"), F.lit("_distinct_cnt")).alias("metric_name"),
-        F.col("distinct_count").cast("double").alias("metric_value"),
-    )
-    return (numeric_profile(df, table).unionByName(null_pct).unionByName(distinct)
-            .unionByName(_category_metrics(counts, table, top)))
+    items = F.array(*[F.struct(F.lit(n).alias("metric_name"), v.cast("double").alias("metric_value")) for n, v in scalar])
+    figures = _figures(df, columns, numeric, _sketched(columns, table, approx))
+    out = figures.select(F.explode(items).alias("m")).select("m.metric_name", "m.metric_value")
+    categories = category_columns(df, table)
+    if categories:
+        counts = value_counts(df, categories)
+        name = F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None")))
+        named = counts.groupBy("column_name", name.alias("metric_name")).agg(F.sum("n").alias("n"))
+        total = df.agg(F.count(F.lit(1)).alias("__rows")).select(
+            "__rows", F.explode(F.array(*[F.lit(c) for c in categories])).alias("column_name"))
+        shares = named.join(F.broadcast(total), "column_name").select(
+            "metric_name", (F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0)).alias("metric_value"))
+        out = out.unionByName(shares)
+    return out.select(F.lit(table).alias("table_name"), "metric_name", "metric_value")
 
 
 def stamp(df: DataFrame, captured_at, column: str = "captured_at") -> DataFrame:

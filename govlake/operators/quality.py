@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,49 +25,68 @@ from govlake.session import checkpoint_dir
 
 @dataclass(frozen=True)
 class Check:
-    """One guardian rule: rows of ``table`` should satisfy ``condition``."""
+    """One guardian rule: rows of ``table`` should satisfy ``condition``.
+
+    ``allowed`` (ENUM), ``low`` and ``high`` (RANGE, inclusive) say what the
+    rule is about and give the condition; other rules write it as ``text``.
+    """
 
     table: str
     name: str
     kind: str  # NULL, RANGE, ENUM
     column: str
-    condition: str
-    filter: bool  # failing rows are kept out of silver
-    correction: str | None  # SQL that repairs ``column``
-    severity: str
-
-
-# Rule table (our fixed choice). Order matters: corrections are applied in
-# this order, so ``discount_amount`` is repaired before ``amount``.
+    text: str | None = None
+    filter: bool = False  # failing rows are kept out of silver
+    correction: str | None = None  # SQL that repairs ``column``
+    severity: str = "LOW"
+    allowed: tuple = ()
+    low: float | None = None
+    high: float | None = None
+
+    @property
+    def condition(self) -> str:
+        if self.text is not None:
+            return self.text
+        if self.allowed:
+            return f"{self.column} IN ({', '.join(repr(v) for v in self.allowed)})"
+        if self.low is None and self.high is None:
+            return f"{self.column} IS NOT NULL"
+        bounds = [f"{self.column} {op} {v}" for op, v in ((">=", self.low), ("<=", self.high)) if v is not None]
+        return " AND ".join(bounds)
+
+
+# The one rule table (our fixed choice): the enum check (E7), the range check
+# (E8) and the guardian decision (E9) all read it. Order matters: corrections
+# are applied in this order, so ``discount_amount`` is repaired before ``amount``.
 DEFAULT_CHECKS = (
-    Check("orders", "discount_not_null", "NULL", "discount_amount", "discount_amount IS NOT NULL",
-          False, "coalesce(discount_amount, 0)", "LOW"),
-    Check("orders", "positive_amount", "RANGE", "amount", "amount > 0", True, "abs(amount)", "MEDIUM"),
-    Check("orders", "discount_within_amount", "RANGE", "discount_amount", "discount_amount <= amount",
-          True, None, "MEDIUM"),
-    Check("orders", "known_order_status", "ENUM", "order_status",
-          "order_status IN ('COMPLETED', 'PENDING', 'CANCELLED')", True, None, "MEDIUM"),
-    Check("customers", "valid_age", "RANGE", "age", "age BETWEEN 0 AND 120", True, None, "MEDIUM"),
-    Check("payments", "normalised_status", "ENUM", "payment_status",
-          "payment_status = upper(trim(payment_status))", False, "upper(trim(payment_status))", "LOW"),
-    Check("payments", "positive_amount", "RANGE", "amount", "amount > 0", True, None, "MEDIUM"),
-    Check("refunds", "positive_refund", "RANGE", "refund_amount", "refund_amount > 0", True, None, "MEDIUM"),
+    Check("orders", "discount_not_null", "NULL", "discount_amount", correction="coalesce(discount_amount, 0)"),
+    Check("orders", "positive_amount", "RANGE", "amount", filter=True, correction="abs(amount)", severity="MEDIUM", low=0.01),
+    Check("orders", "discount_not_negative", "RANGE", "discount_amount", "coalesce(discount_amount, 0) >= 0", True,
+          severity="MEDIUM", low=0),
+    Check("orders", "discount_within_amount", "RANGE", "discount_amount", "discount_amount <= amount", True, severity="MEDIUM"),
+    Check("orders", "known_order_status", "ENUM", "order_status", filter=True, severity="MEDIUM",
+          allowed=("COMPLETED", "PENDING", "CANCELLED")),
+    Check("customers", "valid_age", "RANGE", "age", filter=True, severity="MEDIUM", low=0, high=120),
+    Check("payments", "normalised_status", "ENUM", "payment_status", "payment_status = upper(trim(payment_status))",
+          correction="upper(trim(payment_status))"),
+    Check("payments", "final_status", "ENUM", "payment_status", allowed=("SUCCESS", "FAILED")),
+    Check("payments", "online_method", "ENUM", "payment_method", allowed=("CARD", "UPI", "WALLET", "NETBANKING")),
+    Check("payments", "positive_amount", "RANGE", "amount", filter=True, severity="MEDIUM", low=0.01),
+    Check("refunds", "final_status", "ENUM", "refund_status", allowed=("APPROVED", "REJECTED")),
+    Check("refunds", "known_reason", "ENUM", "refund_reason", allowed=("DAMAGED", "LATE")),
+    Check("refunds", "positive_refund", "RANGE", "refund_amount", filter=True, severity="MEDIUM", low=0.01),
 )
 
-# Allowed values of enum-like columns.
-ALLOWED_VALUES = {
-    "orders": {"order_status": ("COMPLETED", "PENDING", "CANCELLED")},
-    "payments": {"payment_status": ("SUCCESS", "FAILED"), "payment_method": ("CARD", "UPI", "WALLET", "NETBANKING")},
-    "refunds": {"refund_status": ("APPROVED", "REJECTED"), "refund_reason": ("DAMAGED", "LATE")},
-}
-
-# Valid ranges (inclusive; None is open).
-VALID_RANGES = {
-    "orders": {"amount": (0.01, None), "discount_amount": (0, None)},
-    "customers": {"age": (0, 120)},
-    "payments": {"amount": (0.01, None)},
-    "refunds": {"refund_amount": (0.01, None)},
-}
+
+def allowed_values(table: str, checks=DEFAULT_CHECKS) -> dict[str, tuple]:
+    """Allowed values of a table's enum-like columns."""
+    return {c.column: c.allowed for c in checks if c.table == table and c.allowed}
+
+
+def valid_ranges(table: str, checks=DEFAULT_CHECKS) -> dict[str, tuple]:
+    """Valid ranges (inclusive; None is open) of a table's columns."""
+    return {c.column: (c.low, c.high) for c in checks if c.table == table and (c.low is not None or c.high is not None)}
+
 
 BLOCK_PCT = 50.0  # a check failing on more than this share of rows is HIGH
 
@@ -77,10 +96,11 @@ FIELDS_SCHEMA = "struct<fields:array<struct<name:string,type:string,nullable:boo
 
 
 def schema_snapshot(df: DataFrame, table: str, captured_at) -> DataFrame:
-    """One row: (table_name, schema_json, captured_at)."""
-    return df.sparkSession.createDataFrame(
-        [(table, df.schema.json())], "table_name string, schema_json string"
-    ).withColumn("captured_at", F.lit(captured_at).cast("timestamp"))
+    """One row: (table_name, schema_json, rows, captured_at) of a stored drop."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(table).alias("table_name"), F.lit(df.schema.json()).alias("schema_json"), "rows",
+        F.lit(captured_at).cast("timestamp").alias("captured_at"),
+    )
 
 
 def schema_drift(history: DataFrame) -> DataFrame:
@@ -247,6 +267,50 @@ def guardian_issues(failures: DataFrame, checks: DataFrame, block_pct: float = B
     )
 
 
+#: What an issue has besides its table: row checks fill all of it, the other detections the first part.
+ISSUE_SCHEMA = (
+    "table_name string, issue_type string, severity string, column_name string, message string, failing_rows bigint, "
+    "failing_pct double, check_name string, ordinal int, condition string, is_filter boolean, correction string"
+)
+
+
+def _as_issues(df: DataFrame, check: str, issue_type: str, severity, message) -> DataFrame:
+    fields = T.StructType.fromDDL(ISSUE_SCHEMA).fields
+    given = {
+        "table_name": F.col("table_name"), "issue_type": F.lit(issue_type), "severity": severity,
+        "column_name": F.col("column_name"), "message": message, "check_name": F.lit(check), "is_filter": F.lit(False),
+    }
+    return df.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def schema_issues(drift: DataFrame) -> DataFrame:
+    """Schema changes (E3) as issues: a removed or retyped column is HIGH."""
+    message = F.concat_ws(" ", F.lit("column"), "column_name", F.lower("change"), F.concat(F.lit("("), F.coalesce("previous_type", F.lit("none")),
+                          F.lit(" to "), F.coalesce("current_type", F.lit("none")), F.lit(")")))
+    return _as_issues(drift, "schema_drift", "SCHEMA", F.col("severity"), message)
+
+
+def null_spike_issues(spikes: DataFrame) -> DataFrame:
+    """NULL spikes (E6) of the latest capture as issues."""
+    last = spikes.groupBy("table_name").agg(F.max("captured_at").alias("captured_at"))
+    now = spikes.join(last, ["table_name", "captured_at"]).where("spike_severity IS NOT NULL")
+    message = F.concat(F.lit("NULL share of "), "column_name", F.lit(" rose by "), F.round("rise_points", 1).cast("string"), F.lit(" points"))
+    return _as_issues(now, "null_spike", "NULL_SPIKE", F.col("spike_severity"), message)
+
+
+def _chained(parts: Column) -> Column:
+    """Corrections in order, one entry per column: a later correction of a
+    column is applied to the earlier one's result."""
+    def put(done, x):
+        before = F.filter(done, lambda e: e["key"] == x["column_name"])
+        inner = F.concat(F.lit("("), F.get(before, 0)["value"], F.lit(")"))
+        text = F.when(F.size(before) > 0, F.regexp_replace(x["correction"], F.concat(F.lit("\\b"), x["column_name"], F.lit("\\b")), inner)).otherwise(x["correction"])
+        rest = F.filter(done, lambda e: e["key"] != x["column_name"])
+        return F.concat(rest, F.array(F.struct(x["column_name"].alias("key"), text.alias("value"))))
+
+    return F.aggregate(parts, F.array().cast("array<struct<key:string,value:string>>"), put)
+
+
 def guardian_decision(issues: DataFrame, tables: DataFrame) -> DataFrame:
     """Per table: strategy, silver filter, ordered corrections, overall
     severity, processing flag and issue count.
@@ -274,10 +338,7 @@ def guardian_decision(issues: DataFrame, tables: DataFrame) -> DataFrame:
         .otherwise("QUARANTINE")
     )
     filt = F.coalesce(F.array_join(F.transform("_f", lambda x: F.concat(F.lit("("), x["condition"], F.lit(")"))), " AND "), F.lit(""))
-    corrections = F.coalesce(
-        F.transform("_c", lambda x: F.struct(x["column_name"].alias("key"), x["correction"].alias("value"))),
-        F.array().cast("array<struct<key:string,value:string>>"),
-    )
+    corrections = F.coalesce(_chained(F.col("_c")), F.array().cast("array<struct<key:string,value:string>>"))
     overall = F.coalesce(rank_severity(F.col("_rank")), F.lit("LOW"))
     return j.select(
         "table_name",
@@ -311,14 +372,23 @@ def guardian_control(decision: DataFrame, updated_at, table_names: dict | None =
     return out
 
 
-def guardian_run(tables: dict[str, DataFrame], checks=DEFAULT_CHECKS) -> tuple[DataFrame, DataFrame]:
-    """Failures -> issues -> decision for all given tables in one plan."""
+def guardian_run(
+    tables: dict[str, DataFrame], checks=DEFAULT_CHECKS, schema_history: DataFrame | None = None, null_history: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """All detections -> issues -> decision for the given tables: row checks
+    (enum, range, NULL), and where their histories are given schema drift and
+    NULL spikes. A HIGH issue of any of them blocks the table's silver."""
     spark = next(iter(tables.values())).sparkSession
     checkpoint_dir(spark)
     cf = checks_frame(spark, checks)
     # Issues are at most one row per check: cut them once, as the decision,
     # the audit and the events all read them.
-    issues = guardian_issues(check_failures(tables, checks), cf).coalesce(1).checkpoint(eager=True)
+    issues = guardian_issues(check_failures(tables, checks), cf)
+    if schema_history is not None:
+        issues = issues.unionByName(schema_issues(schema_drift(schema_history)))
+    if null_history is not None:
+        issues = issues.unionByName(null_spike_issues(null_spikes(null_history)))
+    issues = issues.coalesce(1).checkpoint(eager=True)
     names = spark.createDataFrame([(t,) for t in tables], "table_name string")
     return issues, guardian_decision(issues, names)
 

@@ -41,7 +41,7 @@ refunds AS (
     CASE WHEN l_linenumber = 7 THEN CAST(0 AS DECIMAL(18,4))
          ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) END AS refund_amount,
     CASE l_linestatus WHEN 'F' THEN 'DAMAGED' ELSE 'LATE' END AS refund_reason
-  FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 3 = 0)"""
+  FROM lineitem WHERE l_returnflag = 'R')"""
 
 # Fact over the base policy (orders amount > 0, refunds refund_amount > 0),
 # money still DECIMAL so KPIs sum exactly.
@@ -263,7 +263,13 @@ _WS_RE = "[\\t\\n\\x0B\\f\\r ]"
 _STRIP = f"'^{_WS_RE}+|{_WS_RE}+$'"
 
 SQL["fenced_json"] = f"""
-WITH raw AS (SELECT conv_id, turn, role, regexp_replace(text, {_STRIP}, '', 'g') AS raw FROM conversations),
+WITH said AS (
+  SELECT conv_id, turn, role,
+    CASE (conv_id + turn) % 3 WHEN 0 THEN 'Sure:' || chr(10) || '```json' || chr(10) || '{{"turn": ' || turn || '}}' || chr(10) || '```' || chr(10) || text
+         WHEN 1 THEN '```' || chr(10) || text || chr(10) || '```'
+         ELSE CASE WHEN turn % 2 = 0 THEN '{{"turn": ' || turn || '}}' ELSE text END END AS text
+  FROM conversations),
+raw AS (SELECT conv_id, turn, role, regexp_replace(text, {_STRIP}, '', 'g') AS raw FROM said),
 f AS (SELECT *, CASE WHEN regexp_matches(raw, '(?s)```json(.*?)```') THEN 'json'
                      WHEN regexp_matches(raw, '(?s)```(.*?)```') THEN 'plain' ELSE 'none' END AS fence FROM raw),
 b AS (SELECT conv_id, turn, role, fence,
@@ -305,10 +311,10 @@ FROM customers WHERE NOT (age BETWEEN 0 AND 120)""")
 
 SQL["silver_payments"] = W(f"""
 SELECT payment_id, order_id, upper(trim(payment_status)) AS payment_status, payment_method, CAST(amount AS DOUBLE) AS amount,
-  {_stamp_silver('CORRECT', 'LOW')} FROM payments WHERE amount > 0""")
+  {_stamp_silver('CORRECT', 'LOW')} FROM payments WHERE amount > 5000""")
 SQL["quarantine_payments"] = W(f"""
 SELECT payment_id, order_id, payment_status, payment_method, CAST(amount AS DOUBLE) AS amount,
-  {_stamp_q('GUARDIAN_FILTER_FAILED', 'CORRECT', 'LOW')} FROM payments WHERE NOT (amount > 0)""")
+  {_stamp_q('GUARDIAN_FILTER_FAILED', 'CORRECT', 'LOW')} FROM payments WHERE NOT (amount > 5000)""")
 
 REFUND_COLS = "refund_id, order_id, refund_status, CAST(refund_amount AS DOUBLE) AS refund_amount, refund_reason"
 SQL["silver_refunds"] = W(f"""
@@ -324,9 +330,15 @@ SQL["quarantine_drift_high"] = W(f"""
 SELECT payment_id, order_id, payment_status, payment_method, CAST(amount AS DOUBLE) AS amount,
   {_stamp_q('DRIFT_HIGH_SEVERITY', 'CORRECT', 'HIGH')} FROM payments""")
 
-SQL["silver_gate_closed"] = W(f"""
-SELECT {ORDER_COLS}, CAST(amount AS DOUBLE) AS amount, CAST(discount_amount AS DOUBLE) AS discount_amount,
-  {_stamp_silver('BLOCK', 'LOW')} FROM sales_orders WHERE FALSE""")
+SQL["silver_gate_closed"] = W("""
+SELECT 'orders' AS table_name, 'silver' AS side, FALSE AS gate_open, 0::BIGINT AS rows
+UNION ALL SELECT 'orders', 'quarantine', FALSE, COUNT(*) FROM sales_orders
+UNION ALL SELECT 'payments', 'silver', FALSE, 0
+UNION ALL SELECT 'payments', 'quarantine', FALSE, COUNT(*) FROM payments
+UNION ALL SELECT 'customers', 'silver', TRUE, COUNT(*) FROM customers WHERE age BETWEEN 0 AND 120
+UNION ALL SELECT 'customers', 'quarantine', TRUE, COUNT(*) FROM customers WHERE NOT (age BETWEEN 0 AND 120)
+UNION ALL SELECT 'refunds', 'silver', TRUE, COUNT(*) FROM refunds WHERE refund_amount > 0
+UNION ALL SELECT 'refunds', 'quarantine', TRUE, COUNT(*) FROM refunds WHERE NOT (refund_amount > 0)""")
 
 SQL["route_orders"] = W(f"""
 SELECT *, 'BOTH' AS guardian_strategy, 'LOW' AS drift_severity, {AS_OF} AS stamped_at FROM (
@@ -385,14 +397,14 @@ def sql_numeric_profile(t, src):
     return "\nUNION ALL ".join(parts)
 
 
-def sql_category_profile(t, src, top=50):
+CATEGORY_OF = {"orders": ("order_status",), "customers": ("city",), "payments": ("payment_status",), "refunds": ("refund_status",)}
+
+
+def sql_category_profile(t, src):
     parts = [
-        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, value, CAST(n AS DOUBLE) / CAST(total AS DOUBLE) * 100.0 AS share_pct,
-  CAST(rank AS INTEGER) AS rank FROM (
-  SELECT CAST({c} AS VARCHAR) AS value, COUNT(*) AS n,
-    ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, CAST({c} AS VARCHAR) ASC NULLS FIRST) AS rank, SUM(COUNT(*)) OVER () AS total
-  FROM {src} GROUP BY 1) WHERE rank <= {top}"""
-        for c in _cols(t, "s")
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, value, n, CAST(n AS DOUBLE) / CAST(total AS DOUBLE) * 100.0 AS share_pct
+  FROM (SELECT CAST({c} AS VARCHAR) AS value, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM {src} GROUP BY 1)"""
+        for c in CATEGORY_OF[t]
     ]
     return "\nUNION ALL ".join(parts)
 
@@ -403,7 +415,7 @@ def sql_drift_metrics(t, src):
     return f"""{sql_numeric_profile(t, src)}
 UNION ALL SELECT table_name, column_name || '_null_pct', null_percent FROM ({prof})
 UNION ALL SELECT table_name, column_name || '_distinct_cnt', CAST(distinct_count AS DOUBLE) FROM ({prof})
-UNION ALL SELECT table_name, column_name || '::' || COALESCE(value, 'None'), share_pct FROM ({cat})"""
+UNION ALL SELECT table_name, column_name || '::' || COALESCE(value, 'None'), share_pct FROM ({cat})"""  # no text 'None' in the feeds
 
 
 def _all_tables(fn):
@@ -437,22 +449,20 @@ WD = with_ctes(ENTITIES, SNAP1, HIST, PAIRS)
 SQL["drift_pairs"] = WD("SELECT table_name, metric_name, current_value, previous_value, in_current FROM pairs")
 
 
-def _action(sev, change):
-    return (f"CASE WHEN {sev} = 'HIGH' THEN 'BLOCK_SILVER' WHEN {sev} = 'MEDIUM' THEN 'FLAG_AND_ALERT' "
-            f"WHEN COALESCE({change}, 0.0) <> 0 THEN 'INVESTIGATE_SOURCE' ELSE 'ALLOW' END")
+def _action(sev):
+    return f"CASE WHEN {sev} = 'HIGH' THEN 'BLOCK_SILVER' WHEN {sev} = 'MEDIUM' THEN 'FLAG_AND_ALERT' ELSE 'INVESTIGATE_SOURCE' END"
 
 
 def _direction(change):
-    return (f"CASE WHEN {change} IS NULL THEN 'not comparable' WHEN {change} > 0 THEN 'increase' "
-            f"WHEN {change} < 0 THEN 'decrease' ELSE 'no change' END")
+    return f"CASE WHEN {change} > 0 THEN 'increase' ELSE 'decrease' END"
 
 
 def _issue_select(issue_type, column, sev, change, source, where):
     return f"""SELECT table_name, '{issue_type}' AS issue_type, column_, metric_name, severity,
   '{issue_type}' || ' on ' || column_ || ': ' || severity || ' ' || {_direction('change_pct')} AS message,
-  {_action('severity', 'change_pct')} AS recommended_action, current_value, previous_value, change_pct
+  {_action('severity')} AS recommended_action, current_value, previous_value, change_pct
 FROM (SELECT table_name, {column} AS column_, metric_name, {sev} AS severity, current_value, previous_value, {change} AS change_pct
-      FROM {source} WHERE {where})"""
+      FROM {source} WHERE {where}) WHERE change_pct <> 0"""
 
 
 def _rel(cur="current_value", prev="previous_value"):
@@ -554,7 +564,33 @@ WDD = with_ctes(ENTITIES, SNAP1, HIST, PAIRS, SHARES, ISSUES, DRIFT_DECISION)
 SQL["drift_decision"] = WDD("SELECT * FROM drift_dec")
 
 # ------------------------------------------------------------ quality, guardian, control
-from govlake.operators.quality import ALLOWED_VALUES, DEFAULT_CHECKS, VALID_RANGES  # noqa: E402
+ALLOWED_VALUES = {
+    "orders": {"order_status": ("COMPLETED", "PENDING", "CANCELLED")},
+    "payments": {"payment_status": ("SUCCESS", "FAILED"), "payment_method": ("CARD", "UPI", "WALLET", "NETBANKING")},
+    "refunds": {"refund_status": ("APPROVED", "REJECTED"), "refund_reason": ("DAMAGED", "LATE")},
+}
+VALID_RANGES = {
+    "orders": {"amount": (0.01, None), "discount_amount": (0, None)},
+    "customers": {"age": (0, 120)},
+    "payments": {"amount": (0.01, None)},
+    "refunds": {"refund_amount": (0.01, None)},
+}
+# table, name, kind, column, condition, filter, correction, severity
+CHECKS = [
+    ("orders", "discount_not_null", "NULL", "discount_amount", "discount_amount IS NOT NULL", False, "coalesce(discount_amount, 0)", "LOW"),
+    ("orders", "positive_amount", "RANGE", "amount", "amount >= 0.01", True, "abs(amount)", "MEDIUM"),
+    ("orders", "discount_not_negative", "RANGE", "discount_amount", "coalesce(discount_amount, 0) >= 0", True, None, "MEDIUM"),
+    ("orders", "discount_within_amount", "RANGE", "discount_amount", "discount_amount <= amount", True, None, "MEDIUM"),
+    ("orders", "known_order_status", "ENUM", "order_status", "order_status IN ('COMPLETED', 'PENDING', 'CANCELLED')", True, None, "MEDIUM"),
+    ("customers", "valid_age", "RANGE", "age", "age >= 0 AND age <= 120", True, None, "MEDIUM"),
+    ("payments", "normalised_status", "ENUM", "payment_status", "payment_status = upper(trim(payment_status))", False, "upper(trim(payment_status))", "LOW"),
+    ("payments", "final_status", "ENUM", "payment_status", "payment_status IN ('SUCCESS', 'FAILED')", False, None, "LOW"),
+    ("payments", "online_method", "ENUM", "payment_method", "payment_method IN ('CARD', 'UPI', 'WALLET', 'NETBANKING')", False, None, "LOW"),
+    ("payments", "positive_amount", "RANGE", "amount", "amount >= 0.01", True, None, "MEDIUM"),
+    ("refunds", "final_status", "ENUM", "refund_status", "refund_status IN ('APPROVED', 'REJECTED')", False, None, "LOW"),
+    ("refunds", "known_reason", "ENUM", "refund_reason", "refund_reason IN ('DAMAGED', 'LATE')", False, None, "LOW"),
+    ("refunds", "positive_refund", "RANGE", "refund_amount", "refund_amount >= 0.01", True, None, "MEDIUM"),
+]
 
 SQL["null_spikes"] = None  # filled below
 QHIST = "qhist AS (\n" + "\nUNION ALL ".join(
@@ -599,20 +635,20 @@ def _sql_str(v):
 
 
 CHECKS_VALUES = "checks AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({_sql_str(c.table)}, {_sql_str(c.name)}, {i}, {_sql_str(c.kind)}, {_sql_str(c.column)}, {_sql_str(c.condition)}, "
-    f"{'TRUE' if c.filter else 'FALSE'}, {_sql_str(c.correction)}, {_sql_str(c.severity)})"
-    for i, c in enumerate(DEFAULT_CHECKS)
+    f"({_sql_str(table)}, {_sql_str(name)}, {i}, {_sql_str(kind)}, {_sql_str(column)}, {_sql_str(condition)}, "
+    f"{'TRUE' if is_filter else 'FALSE'}, {_sql_str(correction)}, {_sql_str(severity)})"
+    for i, (table, name, kind, column, condition, is_filter, correction, severity) in enumerate(CHECKS)
 ) + ") v(table_name, check_name, ordinal, kind, column_name, condition, is_filter, correction, severity))"
 
 
 def sql_failures(name, sources, tables=TABLE_ORDER):
     parts = []
     for t in tables:
-        for c in DEFAULT_CHECKS:
-            if c.table == t:
+        for table, check, _, _, condition, _, _, _ in CHECKS:
+            if table == t:
                 parts.append(
-                    f"SELECT '{t}' AS table_name, COUNT(*) AS rows, '{c.name}' AS check_name, "
-                    f"CAST(SUM(CASE WHEN NOT COALESCE(({c.condition}), FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failing "
+                    f"SELECT '{t}' AS table_name, COUNT(*) AS rows, '{check}' AS check_name, "
+                    f"CAST(SUM(CASE WHEN NOT COALESCE(({condition}), FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failing "
                     f"FROM {sources[t]}"
                 )
     return f"{name} AS (" + "\nUNION ALL ".join(parts) + ")"
@@ -667,14 +703,57 @@ def _ctrl_cols(dec, ts):
             f"overall_severity <> 'HIGH' AS allow_processing, overall_severity AS severity FROM {dec}")
 
 
+SQL["guardian_control"] = WG(_ctrl_cols("dec2", "TIMESTAMP '2024-01-02 00:00:00'"))
 SQL["control_latest"] = WG(_ctrl_cols("dec2", "TIMESTAMP '2024-01-02 00:00:00'"))
 SQL["control_upsert"] = WG(
     _ctrl_cols("dec2op", "TIMESTAMP '2024-01-02 00:00:00'") + "\nUNION ALL "
     + _ctrl_cols("(SELECT * FROM dec1 WHERE table_name IN ('customers', 'refunds'))", "TIMESTAMP '2024-01-01 00:00:00'"))
 
+EVOLVED = """
+orders_e AS (SELECT order_id, customer_id, order_date, order_status, CAST(amount AS DOUBLE) AS amount, discount_amount, 'web' AS channel FROM sales_orders),
+refunds_e AS (SELECT refund_id, order_id, refund_status, refund_amount, CASE WHEN refund_id % 10 >= 3 THEN refund_reason END AS refund_reason FROM refunds),
+schema_changes AS (SELECT * FROM (VALUES
+  ('orders', 'amount', 'TYPE_CHANGED', 'decimal(18,2)', 'double', 'HIGH'),
+  ('orders', 'channel', 'ADDED', NULL, 'string', 'LOW'),
+  ('orders', 'product_id', 'REMOVED', 'long', NULL, 'HIGH')) v(table_name, column_name, change, previous_type, current_type, severity)),
+spike AS (
+  SELECT 'refunds' AS table_name, 'null_spike' AS check_name, 'NULL_SPIKE' AS issue_type, 'refund_reason' AS column_name,
+    CASE WHEN now - was > 40 THEN 'HIGH' WHEN now - was >= 20 THEN 'MEDIUM' END AS severity
+  FROM (SELECT (SELECT CAST(COUNT(*) - COUNT(refund_reason) AS DOUBLE) / COUNT(*) * 100.0 FROM refunds_e) AS now,
+               (SELECT CAST(COUNT(*) - COUNT(refund_reason) AS DOUBLE) / COUNT(*) * 100.0 FROM refunds1) AS was)
+  WHERE now - was >= 20)"""
+EVOLVED_SRC = {**FULL_SRC, "orders": "orders_e", "refunds": "refunds_e"}
+ALL_ISSUES = """
+issues_all AS (
+  SELECT table_name, check_name, issue_type, severity, column_name, failing_rows, ordinal, condition, is_filter, correction FROM issues_e
+  UNION ALL SELECT table_name, 'schema_drift', 'SCHEMA', severity, column_name, NULL, NULL, NULL, FALSE, NULL FROM schema_changes
+  UNION ALL SELECT table_name, check_name, issue_type, severity, column_name, NULL, NULL, NULL, FALSE, NULL FROM spike)"""
+WE = with_ctes(ENTITIES, SNAP1, CHECKS_VALUES, EVOLVED, sql_failures("fails_e", EVOLVED_SRC), sql_issues("issues_e", "fails_e"),
+               ALL_ISSUES, sql_decision("dec_e", "issues_all"))
+SQL["guardian_issues_all"] = WE("SELECT table_name, check_name, issue_type, severity, column_name, failing_rows FROM issues_all")
+SQL["guardian_decision_all"] = WE("""
+SELECT table_name, strategy, silver_filter_condition, corrections, overall_severity,
+  overall_severity <> 'HIGH' AS allow_processing, issue_count FROM dec_e""")
+SQL["schema_drift"] = WE("""
+SELECT s.*, (SELECT COUNT(*) FROM orders1) AS previous_rows, (SELECT COUNT(*) FROM orders_e) AS current_rows FROM schema_changes s""")
+SQL["column_profile_approx"] = W(
+    f"SELECT table_name, column_name, null_percent, distinct_count, TRUE AS within_bound FROM ({_all_tables(sql_column_profile)})")
+
 # ------------------------------------------------------------ policy, gold
-from govlake.functions.rules import and_all, normalize_expression  # noqa: E402
-from govlake.plans.scenarios import FULL_POLICY  # noqa: E402
+# The laws, written out: table, rule, text as stored, condition, severity, on_fail.
+ROW_LAWS = [
+    ("orders", "positive_amount", "amount > 0", "amount > 0", "HIGH"),
+    ("orders", "discount_within_limit", "discount_amount <= amount * 0.06", "discount_amount <= amount * 0.06", "MEDIUM"),
+    ("payments", "successful_payment", "payment_status = SUCCESS", "payment_status = 'SUCCESS'", "MEDIUM"),
+    ("refunds", "refund_worth_paying", "refund_amount > 2000", "refund_amount > 2000", "MEDIUM"),
+    ("customers", "adult_or_unknown", "age >= 18 OR age IS NULL", "(age >= 18 OR age IS NULL)", "LOW"),
+]
+GOLD_COND = {
+    "orders": "amount > 0 AND discount_amount <= amount * 0.06",
+    "payments": "payment_status = 'SUCCESS'",
+    "refunds": "refund_amount > 2000",
+    "customers": "(age >= 18 OR age IS NULL)",
+}
 
 SILVER = f"""
 silver_o AS (SELECT *, {_stamp_silver('BOTH', 'LOW')} FROM (
@@ -682,7 +761,7 @@ silver_o AS (SELECT *, {_stamp_silver('BOTH', 'LOW')} FROM (
   WHERE amount > 0 AND discount_amount <= amount),
 silver_c AS (SELECT {CUST_COLS}, {_stamp_silver('QUARANTINE', 'MEDIUM')} FROM customers WHERE age BETWEEN 0 AND 120),
 silver_p AS (SELECT payment_id, order_id, upper(trim(payment_status)) AS payment_status, payment_method, amount,
-  {_stamp_silver('CORRECT', 'LOW')} FROM payments WHERE amount > 0),
+  {_stamp_silver('CORRECT', 'LOW')} FROM payments WHERE amount > 5000),
 silver_r AS (SELECT *, {_stamp_silver('QUARANTINE', 'LOW')} FROM refunds WHERE refund_amount > 0)"""
 SILVER_SRC = {"orders": "silver_o", "customers": "silver_c", "payments": "silver_p", "refunds": "silver_r"}
 
@@ -699,16 +778,14 @@ pm AS (
   UNION ALL SELECT 'refunds', 'total_rows', CAST(COUNT(*) AS DOUBLE) FROM silver_r
   UNION ALL SELECT 'refunds', 'invalid_refunds', CAST(SUM(CASE WHEN refund_amount <= 0 THEN 1 ELSE 0 END) AS DOUBLE) FROM silver_r)"""
 
-METRIC_LAWS = "mlaws AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({_sql_str(r['table'])}, {_sql_str(r['metric'])}, CAST({float(r['threshold_pct'])} AS DOUBLE), "
-    f"{_sql_str(r.get('severity'))}, {_sql_str(r.get('on_fail'))})" for r in FULL_POLICY["metric_rules"]
-) + ") v(\"table\", metric, threshold_pct, severity, on_fail))"
+METRIC_LAWS = """mlaws AS (SELECT * FROM (VALUES ('payments', 'failure_rate', CAST(10 AS DOUBLE), 'HIGH', 'ALERT'))
+  v("table", metric, threshold_pct, severity, on_fail))"""
 
 ROW_FAILS = "rfails AS (" + "\nUNION ALL ".join(
-    f"SELECT {_sql_str(r['table'])} AS \"table\", {_sql_str(r['rule_name'])} AS rule_name, {_sql_str(r['expression'])} AS expression, "
-    f"CAST(SUM(CASE WHEN NOT COALESCE(({normalize_expression(r['expression'])}), FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failing_rows, "
-    f"{_sql_str(r.get('severity'))} AS severity, {_sql_str(r.get('on_fail'))} AS on_fail FROM {SILVER_SRC[r['table']]}"
-    for r in FULL_POLICY["row_rules"]
+    f"SELECT '{t}' AS \"table\", '{name}' AS rule_name, {_sql_str(text)} AS expression, "
+    f"CAST(SUM(CASE WHEN NOT COALESCE({cond}, FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failing_rows, "
+    f"'{sev}' AS severity, 'QUARANTINE' AS on_fail FROM {SILVER_SRC[t]}"
+    for t, name, text, cond, sev in ROW_LAWS
 ) + ")"
 
 POLICY_DECISION = """
@@ -726,12 +803,14 @@ SQL["policy_metric_violations"] = WP("""
 SELECT l."table", l.metric, l.threshold_pct, m.metric_value, l.severity, l.on_fail
 FROM mlaws l JOIN pm m ON l."table" = m.table_name AND l.metric = m.metric_name WHERE m.metric_value > l.threshold_pct""")
 SQL["policy_decision"] = WP("SELECT * FROM pdec")
+SQL["policy_decision_json"] = WP("""
+SELECT 'ENFORCE' AS strategy, kind, "table", name, expression, threshold_pct, severity, on_fail FROM pdec""")
 SQL["policy_rules"] = WP("""
 SELECT "table", name AS rule_name, expression, severity, on_fail FROM pdec WHERE kind = 'row'""")
 
 
 def _row_cond(table):
-    return and_all(normalize_expression(r["expression"]) for r in FULL_POLICY["row_rules"] if r["table"] == table)
+    return GOLD_COND[table]
 
 
 _SILVER_OUT = {
@@ -748,8 +827,7 @@ for _t in TABLE_ORDER:
 _PK = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id", "refunds": "refund_id"}
 SQL["policy_failed_rules"] = WP("\nUNION ALL ".join(
     f"SELECT * FROM (SELECT '{t}' AS table_name, {_PK[t]} AS row_key, concat_ws(',', "
-    + ", ".join(f"CASE WHEN NOT COALESCE(({normalize_expression(r['expression'])}), FALSE) THEN '{r['rule_name']}' END"
-                for r in FULL_POLICY["row_rules"] if r["table"] == t)
+    + ", ".join(f"CASE WHEN NOT COALESCE({cond}, FALSE) THEN '{name}' END" for table, name, _, cond, _ in ROW_LAWS if table == t)
     + f") AS failed_rules FROM {SILVER_SRC[t]}) WHERE failed_rules <> ''"
     for t in TABLE_ORDER))
 
@@ -764,12 +842,15 @@ LEFT JOIN (SELECT * FROM silver_p WHERE {_row_cond('payments')}) p ON o.order_id
 LEFT JOIN (SELECT * FROM silver_r WHERE {_row_cond('refunds')}) r ON o.order_id = r.order_id""")
 
 # ------------------------------------------------------------ streams
+_LATE = "order_date >= TIMESTAMP '1998-05-01'"
+_BAD = "order_status = 'CANCELLED'"
 _ORDERS_STREAM = f"""
 SELECT order_id, customer_id, product_id, order_date, order_status,
-  CAST(CASE WHEN order_date >= TIMESTAMP '1998-05-01' AND order_status = 'CANCELLED' THEN NULL ELSE amount END AS DOUBLE) AS amount,
+  CAST(CASE WHEN {_LATE} AND {_BAD} THEN NULL ELSE amount END AS DOUBLE) AS amount,
   CAST(discount_amount AS DOUBLE) AS discount_amount,
-  CASE WHEN order_date >= TIMESTAMP '1998-05-01' AND order_status = 'CANCELLED'
-       THEN '{{"amount":"USD ' || CAST(amount AS VARCHAR) || '"}}' END AS _rescued_data
+  CASE WHEN {_LATE} AND ({_BAD} OR order_id % 4 = 0) THEN '{{' || concat_ws(',',
+    CASE WHEN {_BAD} THEN '"amount":"USD ' || CAST(amount AS VARCHAR) || '"' END,
+    CASE WHEN order_id % 4 = 0 THEN '"channel":"web"' END) || '}}' END AS _rescued_data
 FROM sales_orders"""
 SQL["bronze_stream_orders"] = W(_ORDERS_STREAM)
 SQL["bronze_rescued"] = W(f"SELECT order_id, amount, _rescued_data FROM ({_ORDERS_STREAM}) WHERE _rescued_data IS NOT NULL")
@@ -781,7 +862,7 @@ SELECT CAST(TIMESTAMP '2024-01-03 00:00:00' AS DATE) AS quarantine_day, table_na
   COUNT(*) AS records FROM (
   SELECT 'orders' AS table_name FROM sales_orders WHERE NOT (amount > 0 AND discount_amount <= amount)
   UNION ALL SELECT 'customers' FROM customers WHERE NOT (age BETWEEN 0 AND 120)
-  UNION ALL SELECT 'payments' FROM payments WHERE NOT (amount > 0)
+  UNION ALL SELECT 'payments' FROM payments WHERE NOT (amount > 5000)
   UNION ALL SELECT 'refunds' FROM refunds WHERE NOT (refund_amount > 0))
 GROUP BY table_name""")
 
@@ -793,9 +874,8 @@ FROM issues WHERE severity IN ('MEDIUM', 'HIGH') GROUP BY issue_type, severity""
 SQL["top_failed_rules"] = WP("\n".join([
     "SELECT table_name, rule_name, COUNT(*) AS failed_rows FROM (",
     "\nUNION ALL ".join(
-        f"SELECT '{r['table']}' AS table_name, '{r['rule_name']}' AS rule_name FROM {SILVER_SRC[r['table']]} "
-        f"WHERE NOT COALESCE(({normalize_expression(r['expression'])}), FALSE)"
-        for r in FULL_POLICY["row_rules"]),
+        f"SELECT '{t}' AS table_name, '{name}' AS rule_name FROM {SILVER_SRC[t]} WHERE NOT COALESCE({cond}, FALSE)"
+        for t, name, _, cond, _ in ROW_LAWS),
     ") GROUP BY 1, 2 ORDER BY failed_rows DESC, table_name, rule_name LIMIT 10"]))
 
 SQL["churn_rate"] = with_ctes(
@@ -823,29 +903,29 @@ FROM (
       CAST(SUM(CAST(net_revenue AS DECIMAL(38,4)) * CAST(net_revenue AS DECIMAL(38,4))) OVER w AS DOUBLE) AS s2
     FROM dm WINDOW w AS (ORDER BY order_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)))""")
 
-SQL["freshness_sla"] = WP("""
-SELECT table_name, rows, last_processed_at,
-  CAST(epoch(TIMESTAMP '2024-01-03 01:00:00') - epoch(last_processed_at) AS DOUBLE) / 3600.0 AS lag_hours,
-  COALESCE(CAST(epoch(TIMESTAMP '2024-01-03 01:00:00') - epoch(last_processed_at) AS DOUBLE) / 3600.0 <= 24.0, FALSE) AS within_sla
+SQL["freshness_sla"] = W("""
+SELECT table_name, rows, CAST(last_processed_at AS TIMESTAMP) AS last_processed_at,
+  CAST(epoch(TIMESTAMP '2024-01-31 12:00:00') - floor(epoch(last_processed_at)) AS DOUBLE) / 3600.0 AS lag_hours,
+  CAST(epoch(TIMESTAMP '2024-01-31 12:00:00') - floor(epoch(last_processed_at)) AS DOUBLE) / 3600.0 <= 24.0 AS within_sla
 FROM (
-  SELECT 'orders' AS table_name, COUNT(*) AS rows, MAX(processed_at) AS last_processed_at FROM silver_o
-  UNION ALL SELECT 'customers', COUNT(*), MAX(processed_at) FROM silver_c
-  UNION ALL SELECT 'payments', COUNT(*), MAX(processed_at) FROM silver_p
-  UNION ALL SELECT 'refunds', COUNT(*), MAX(processed_at) FROM silver_r)""")
+  SELECT 'orders' AS table_name, COUNT(*) AS rows, MAX(order_date) AS last_processed_at FROM sales_orders
+  UNION ALL SELECT 'completed_orders', COUNT(*), MAX(order_date) FROM sales_orders WHERE order_status = 'COMPLETED'
+  UNION ALL SELECT 'events', COUNT(*), MAX(ts) FROM events)""")
 
 # ------------------------------------------------------------ end to end
-# Guardian decisions derived from the data equal the gate of ``SILVER`` except
-# that payments need no correction (their statuses are already normalised);
-# the drift rules find no earlier snapshot (first run), and the policy keeps
-# only the payment-status row rule, the one any silver row breaks.
+# Guardian decisions derived from the data: orders as in ``SILVER``, payments
+# keep all rows (no filter rule fails). The policy enforces every law that a
+# silver row breaks: all of them but the orders' positive amount, which silver has.
+# The refunds gate is closed: their number more than doubled since the run before.
 PIPE_FACT = f"""
 fact AS (
   SELECT o.order_id, o.customer_id, p.payment_id, r.refund_id, o.order_date, o.order_status,
     p.payment_status, p.payment_method, p.amount AS payment_amount, r.refund_status, r.refund_amount, r.refund_reason,
     o.discount_amount, p.amount - o.discount_amount AS net_amount, {AS_OF} AS processed_at
-  FROM silver_o o LEFT JOIN silver_c c ON o.customer_id = c.customer_id
-  LEFT JOIN (SELECT * FROM silver_p WHERE payment_status = 'SUCCESS') p ON o.order_id = p.order_id
-  LEFT JOIN silver_r r ON o.order_id = r.order_id)"""
+  FROM (SELECT * FROM silver_o WHERE {GOLD_COND['orders']}) o
+  LEFT JOIN (SELECT * FROM silver_c WHERE {GOLD_COND['customers']}) c ON o.customer_id = c.customer_id
+  LEFT JOIN (SELECT * FROM payments WHERE {GOLD_COND['payments']}) p ON o.order_id = p.order_id
+  LEFT JOIN (SELECT * FROM refunds WHERE FALSE) r ON o.order_id = r.order_id)"""
 SQL["pipeline_kpi_daily"] = with_ctes(ENTITIES, SILVER, PIPE_FACT, KPI_DAILY_ALL, DM, TR, SIG, DRV, INS)(
     f"SELECT {INS_COLS}, generated_at FROM ins")
 
@@ -870,7 +950,7 @@ SELECT {_BRONZE} AS table_name, issue_type, severity, column_name, message, reco
   FROM fixdoc WHERE issue_count = 0)"""
 SQL["guardian_audit"] = WGA(GUARDIAN_AUDIT)
 SQL["guardian_events"] = WGA(f"""
-SELECT 'AI_BASED_SALES_PIPELINE' AS pipeline_name, a.table_name, a.issue_type, a.severity, a.message,
+SELECT 'governed_sales' AS pipeline_name, a.table_name, a.issue_type, a.severity, a.message,
   a.recommended_fix_code AS action_taken, d.overall_severity <> 'HIGH' AS processing_allowed,
   d.strategy IN ('CORRECT', 'BOTH') AS fix_applied, a.event_time
 FROM ({GUARDIAN_AUDIT}) a JOIN (SELECT {_BRONZE} AS table_name, overall_severity, strategy FROM dec2) d USING (table_name)""")
@@ -882,3 +962,19 @@ FROM issues i JOIN drift_dec d USING (table_name)
 UNION ALL
 SELECT table_name, 'NO_DRIFT', 'NONE', 'LOW', 'No drift detected', 'NONE', 'LOW', TIMESTAMP '2024-01-02 00:00:00'
 FROM drift_dec WHERE issue_count = 0""")
+SQL["drift_control"] = WDD(f"""
+SELECT {_BRONZE.replace('table_name', 'd.table_name')} AS table_name, d.overall_severity, TIMESTAMP '2024-01-02 00:00:00' AS updated_at, i.issue_type, i."column",
+  i.severity AS drift_severity, i.recommended_action, d.allow_processing, d.overall_severity AS severity
+FROM drift_dec d LEFT JOIN issues i USING (table_name)""")
+SQL["pipeline_controls"] = W("""
+SELECT v.*, 'governed_sales' AS pipeline_name FROM (
+  SELECT 'bronze_orders' AS table_name, 'silver' AS side, COUNT(*) AS rows, 'MEDIUM' AS drift_severity, TRUE AS drift_allows, 'MEDIUM' AS guardian_severity
+  FROM (SELECT abs(amount) AS amount, coalesce(discount_amount, 0) AS discount_amount FROM sales_orders)
+  WHERE amount >= 0.01 AND discount_amount <= amount
+  UNION ALL SELECT 'bronze_orders', 'quarantine', COUNT(*), 'MEDIUM', TRUE, 'MEDIUM' FROM sales_orders WHERE NOT (amount >= 0.01 AND discount_amount <= amount)
+  UNION ALL SELECT 'bronze_customers', 'silver', COUNT(*), 'LOW', TRUE, 'MEDIUM' FROM customers WHERE age BETWEEN 0 AND 120
+  UNION ALL SELECT 'bronze_customers', 'quarantine', COUNT(*), 'LOW', TRUE, 'MEDIUM' FROM customers WHERE NOT (age BETWEEN 0 AND 120)
+  UNION ALL SELECT 'bronze_payments', 'silver', COUNT(*), 'LOW', TRUE, 'LOW' FROM payments
+  UNION ALL SELECT 'bronze_payments', 'quarantine', 0, 'LOW', TRUE, 'LOW'
+  UNION ALL SELECT 'bronze_refunds', 'silver', 0, 'HIGH', FALSE, 'MEDIUM'
+  UNION ALL SELECT 'bronze_refunds', 'quarantine', COUNT(*), 'HIGH', FALSE, 'MEDIUM' FROM refunds) v""")

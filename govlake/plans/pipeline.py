@@ -1,10 +1,18 @@
 """End-to-end flow: bronze -> guardian and drift decisions -> silver gate ->
 policy decision -> gold rules -> fact -> KPIs -> signals -> insights.
 
-Every step is a DataFrame function; the only driver reads are the small
-decision rows (one per table) that choose each gate's plan. The history of
-drift metrics is passed in (a stored table in production); with no earlier
-snapshot the drift rules find nothing to compare, as on a first run.
+A run leaves everything under one shared root:
+
+* ``history/drift``, ``history/quality``, ``history/schema``: appended per run;
+  the drift rules, NULL spikes and schema drift compare with earlier runs
+* ``control/guardian``, ``control/drift``, ``control/policy``: one row per key,
+  upserted; each upsert is a new version folder
+* ``runs/<stamp>/routed/<table>``: silver and quarantine, written by one pass
+  over bronze, partitioned by ``route``; nothing reads bronze after it
+* ``runs/<stamp>/``: policy decision, fact, KPI and insight tables
+
+The only driver reads are the small decision rows that choose each gate's
+plan and the law document. Laws come from a law table.
 """
 
 from __future__ import annotations
@@ -12,73 +20,129 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake import config as C
 from govlake.operators import control, drift, facts, gate, kpis, policy, profile, quality
 from govlake.plans import insights, signals
-from govlake.plans.snapshots import TABLE_ORDER, compact, union_all
-from govlake.session import checkpoint_dir
+from govlake.plans.snapshots import compact, union_all
+from govlake.sources.sinks import append_stamped, latest_version, materialise, path_exists, upsert_table, write_version
+
+SILVER_ROUTE = "silver"
 
 
 @dataclass
 class PipelineResult:
     guardian_control: DataFrame
     drift_control: DataFrame
-    silver: dict
-    quarantine: dict
-    policy_decision: DataFrame
+    policy_control: DataFrame
+    silver: dict[str, DataFrame]
+    quarantine: dict[str, DataFrame]
     fact: DataFrame
     kpi_daily: DataFrame
     insights: DataFrame
 
 
-def run(
-    bronze: dict[str, DataFrame],
-    laws: dict,
-    as_of: _dt.datetime = C.DEFAULT_AS_OF,
-    history: DataFrame | None = None,
-) -> PipelineResult:
-    spark = next(iter(bronze.values())).sparkSession
-    checkpoint_dir(spark)
-    names = {t: C.FEEDS_BY_NAME[t].bronze for t in TABLE_ORDER}
-
-    # Guardian: checks over bronze -> one control row per table.
-    _, g_dec = quality.guardian_run(bronze)
-    # Control rows are tiny and read by every gate below: checkpoint them once
-    # so each decision read does not recompute the checks.
-    g_ctrl = quality.guardian_control(g_dec, as_of, names).checkpoint(eager=True)
-
-    # Drift: this run's metrics appended to the history, rules over pairs.
-    current = union_all([profile.stamp(profile.drift_metrics(bronze[t], t), as_of) for t in TABLE_ORDER])
-    hist = current if history is None else history.unionByName(current)
-    # The metric history is small and read by every rule: cut it once.
-    pairs = compact(drift.drift_pairs(compact(hist).checkpoint(eager=True))).checkpoint(eager=True)
+class Store:
+    """The datasets of a pipeline under one root."""
+
+    def __init__(self, spark: SparkSession, root: str, as_of: _dt.datetime):
+        self.spark, self.root, self.as_of = spark, root.rstrip("/"), as_of
+        self.run = f"{self.root}/runs/{as_of:%Y%m%dT%H%M%S}"
+
+    def append(self, name: str, rows: DataFrame) -> DataFrame:
+        """Append this run's rows to a history; a rerun of the same stamp adds nothing."""
+        path = f"{self.root}/history/{name}"
+        if path_exists(self.spark, path):
+            stored = self.spark.read.parquet(path)
+            if not stored.where(F.col("captured_at") == F.lit(self.as_of)).isEmpty():
+                return stored
+        append_stamped(rows, path, self.as_of)
+        return self.spark.read.parquet(path)
+
+    def upsert(self, name: str, rows: DataFrame, keys: list[str], ts: str) -> DataFrame:
+        """Merge control rows into the current version of a control table."""
+        root = f"{self.root}/control/{name}"
+        current = latest_version(self.spark, root)
+        if current is None:
+            return self.spark.read.parquet(write_version(rows, root))
+        return upsert_table(current, rows, keys, ts, root)
+
+    def keep(self, name: str, rows: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        return materialise(rows, f"{self.run}/{name}", partition_by=partition_by)
+
+
+def _guardian(store: Store, bronze: dict[str, DataFrame], names: dict[str, str]) -> DataFrame:
+    """All detections over bronze and the stored histories -> control rows."""
+    schemas = union_all([quality.schema_snapshot(df, t, store.as_of).drop("captured_at") for t, df in bronze.items()])
+    nulls = union_all([profile.column_profile(df, t) for t, df in bronze.items()])
+    _, decision = quality.guardian_run(
+        bronze, schema_history=store.append("schema", schemas), null_history=store.append("quality", compact(nulls)))
+    return store.upsert("guardian", quality.guardian_control(decision, store.as_of, names), ["table_name"], "updated_at")
+
+
+def _drift(store: Store, bronze: dict[str, DataFrame], names: dict[str, str]) -> DataFrame:
+    """This run's metrics appended to the history, rules over pairs -> control rows."""
+    history = store.append("drift", compact(union_all([profile.drift_metrics(df, t) for t, df in bronze.items()])))
+    pairs = store.keep("drift_pairs", compact(drift.drift_pairs(history)))
     issues = drift.drift_issues(pairs)
-    tables = spark.createDataFrame([(t,) for t in TABLE_ORDER], "table_name string")
-    d_dec = drift.drift_decision(issues, tables)
-    d_ctrl = drift.drift_control(issues, d_dec, as_of, names).checkpoint(eager=True)
+    tables = store.spark.createDataFrame([(t,) for t in bronze], "table_name string")
+    decision = drift.drift_decision(issues, tables)
+    return store.upsert("drift", drift.drift_control(issues, decision, store.as_of, names), ["table_name"], "updated_at")
+
 
-    # Silver gate per table, decisions read once.
+def _route(store: Store, bronze: dict[str, DataFrame], decisions: dict, names: dict[str, str]):
+    """Silver and quarantine of every table, from one write each."""
     silver, quarantine = {}, {}
-    decisions = control.read_decisions(g_ctrl, d_ctrl, [names[t] for t in TABLE_ORDER])
-    for t in TABLE_ORDER:
-        decision = decisions[names[t]]
-        silver[t] = gate.to_silver(bronze[t], decision, as_of)
-        quarantine[t] = gate.to_quarantine(bronze[t], decision, as_of)
+    for t, df in bronze.items():
+        routed = store.keep(f"routed/{t}", gate.route(df, decisions[names[t]], store.as_of), ["route"])
+        silver[t] = routed.where(F.col("route") == SILVER_ROUTE).drop("route").withColumnRenamed("stamped_at", "processed_at")
+        quarantine[t] = routed.where(F.col("route") != SILVER_ROUTE).withColumnsRenamed(
+            {"route": "quarantine_reason", "stamped_at": "quarantined_at"})
+    return silver, quarantine
 
-    # Policy: laws x silver metrics -> decision document -> rules for gold.
-    p_dec = policy.policy_decision(silver, laws).checkpoint(eager=True)
-    rules = policy.read_policy(policy.policy_decision_json(p_dec))["row_rules"]
 
-    fact = facts.fact_orders(silver["orders"], silver["customers"], silver["payments"], silver["refunds"], rules, as_of)
+def _policy(store: Store, silver: dict[str, DataFrame], laws: DataFrame, names: dict[str, str], pipeline_name: str) -> DataFrame:
+    """Active laws x silver -> policy control row of this pipeline."""
+    document = policy.read_policy(policy.active_laws(laws), "policy_json")
+    decision = store.keep("policy_decision", policy.policy_decision(silver, document))
+    row = policy.policy_control(policy.policy_decision_json(decision), pipeline_name, [names[t] for t in silver], store.as_of)
+    return store.upsert("policy", row, ["pipeline_name"], "updated_timestamp")
+
+
+def run(
+    bronze: dict[str, DataFrame],
+    laws: DataFrame,
+    root: str,
+    as_of: _dt.datetime = C.DEFAULT_AS_OF,
+    pipeline_name: str = "governed_sales",
+) -> PipelineResult:
+    """One run over the bronze feeds (by entity name); see the module text for what it leaves."""
+    store = Store(next(iter(bronze.values())).sparkSession, root, as_of)
+    names = {t: C.FEEDS_BY_NAME[t].bronze for t in bronze}
+    guardian = _guardian(store, bronze, names)
+    drifts = _drift(store, bronze, names)
+    decisions = control.read_decisions(guardian, drifts, list(names.values()))
+    silver, quarantine = _route(store, bronze, decisions, names)
+    laws_in_force = _policy(store, silver, laws, names, pipeline_name)
+    rules = policy.read_policy(policy.latest_policy(laws_in_force, pipeline_name))["row_rules"]
+
+    inputs = [silver[t] for t in ("orders", "customers", "payments", "refunds")]
+    fact = store.keep("fact_orders", facts.fact_orders(*inputs, rules, as_of))
     # KPIs from per-order contributions: the same totals as over ``fact``
-    # without producing its payments x refunds rows.
-    contrib = kpis.order_contributions(silver["orders"], silver["customers"], silver["payments"], silver["refunds"], rules)
-    kpi = kpis.kpi_daily_all_orders(contrib)
-    out = insights.daily_insights(signals.signals_from_kpi_all(kpi), as_of)
-    return PipelineResult(g_ctrl, d_ctrl, silver, quarantine, p_dec, fact, kpi, out)
+    # without reading its payments x refunds rows.
+    kpi = store.keep("kpi_daily", kpis.kpi_daily_all_orders(kpis.order_contributions(*inputs, rules)))
+    out = store.keep("insights", insights.daily_insights(signals.signals_from_kpi_all(kpi), as_of))
+    return PipelineResult(guardian, drifts, laws_in_force, silver, quarantine, fact, kpi, out)
+
+
+def carry_over(spark: SparkSession, before: str, root: str) -> None:
+    """Begin a root with the histories and control tables of another."""
+    for name in ("drift", "quality", "schema"):
+        materialise(spark.read.parquet(f"{before}/history/{name}").coalesce(1), f"{root}/history/{name}")
+    for name in ("guardian", "drift", "policy"):
+        write_version(latest_version(spark, f"{before}/control/{name}").coalesce(1), f"{root}/control/{name}")
 
 
 def quarantine_union(quarantine: dict[str, DataFrame]) -> DataFrame:

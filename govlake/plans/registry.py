@@ -8,17 +8,19 @@ columns match the oracle SQL in ``govlake.plans.oracle``.
 from __future__ import annotations
 
 import datetime
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlake.config import DEFAULT_AS_OF
+from govlake.config import CATEGORY_DRIFT_COLUMNS, DEFAULT_AS_OF
 from govlake.operators import facts, kpis
 from govlake.plans.scenarios import BASE_POLICY
 from govlake.sources import tables
-from govlake.sources.bronze import bronze_tables, stored_table
+from govlake.sources.bronze import bronze_tables, stored_path, stored_table
+from govlake.sources.sinks import cut_lineage
 from govlake.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,17 +69,17 @@ def base_contrib(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("kpi_daily_order_revenue")
 def q_kpi_daily_order_revenue(spark, sf_dir):
-    return report(kpis.kpi_daily_order_revenue_orders(base_contrib(spark, sf_dir)))
+    return report(kpis.daily_kpi(base_kpi_all(spark, sf_dir), "daily_order_revenue"))
 
 
 @register("kpi_payment_success_rate")
 def q_kpi_payment_success_rate(spark, sf_dir):
-    return report(kpis.kpi_payment_success_rate_orders(base_contrib(spark, sf_dir)))
+    return report(kpis.daily_kpi(base_kpi_all(spark, sf_dir), "payment_success_rate"))
 
 
 @register("kpi_refund_rate")
 def q_kpi_refund_rate(spark, sf_dir):
-    return report(kpis.kpi_refund_rate_orders(base_contrib(spark, sf_dir)))
+    return report(kpis.daily_kpi(base_kpi_all(spark, sf_dir), "refund_rate"))
 
 
 @register("kpi_customer_lifetime_value")
@@ -94,7 +96,7 @@ def q_kpi_payment_method_performance(spark, sf_dir):
 
 @register("kpi_discount_impact")
 def q_kpi_discount_impact(spark, sf_dir):
-    return report(kpis.kpi_discount_impact_orders(base_contrib(spark, sf_dir)))
+    return report(kpis.daily_kpi(base_kpi_all(spark, sf_dir), "discount_impact"))
 
 
 @register("kpi_daily_all")
@@ -133,15 +135,10 @@ def q_daily_metrics(spark, sf_dir):
 
 @register("daily_metrics_joined")
 def q_daily_metrics_joined(spark, sf_dir):
-    contrib = base_contrib(spark, sf_dir)
-    return report(
-        signals.daily_metrics(
-            kpis.kpi_daily_order_revenue_orders(contrib),
-            kpis.kpi_payment_success_rate_orders(contrib),
-            kpis.kpi_refund_rate_orders(contrib),
-            kpis.kpi_discount_impact_orders(contrib),
-        )
-    )
+    # the day table is written once; its four KPI views are joined from files
+    kpi_all = cut_lineage(base_kpi_all(spark, sf_dir), "kpi-daily")
+    views = ("daily_order_revenue", "payment_success_rate", "refund_rate", "discount_impact")
+    return report(signals.daily_metrics(*[kpis.daily_kpi(kpi_all, v) for v in views]))
 
 
 @register("daily_trends")
@@ -187,7 +184,16 @@ def q_insight_context(spark, sf_dir):
 
 @register("fenced_json")
 def q_fenced_json(spark, sf_dir):
+    # every answer in one of the forms a model gives: a JSON fence, a plain fence, bare text
     conv = tables.load(spark, sf_dir, "conversations")
+    doc = F.format_string('{"turn": %d}', "turn")
+    form = (F.col("conv_id") + F.col("turn")) % 3
+    conv = conv.withColumn(
+        "text",
+        F.when(form == 0, F.concat(F.lit("Sure:\n```json\n"), doc, F.lit("\n```\n"), "text"))
+        .when(form == 1, F.concat(F.lit("```\n"), "text", F.lit("\n```")))
+        .otherwise(F.when(F.col("turn") % 2 == 0, doc).otherwise(F.col("text"))),
+    )
     return insights.extract_fenced_json(conv).select("conv_id", "turn", "role", "fence", "json_text", "is_json")
 
 
@@ -251,8 +257,16 @@ def q_quarantine_drift_high(spark, sf_dir):
 
 @register("silver_gate_closed")
 def q_silver_gate_closed(spark, sf_dir):
-    dec = scenario_decision(spark, "bronze_orders", guardian_overrides=_BLOCK)
-    return report(gate.to_silver(bronze(spark, sf_dir, "bronze_orders"), dec))
+    """Rows per table on both sides of closed and open gates: orders are
+    blocked by the guardian, payments by drift, the others pass."""
+    g, d = scenario_controls(spark, _BLOCK, {"bronze_payments": "HIGH"})
+    decisions = control.read_decisions(g, d, list(ENTITY_OF))
+    sides = []
+    for b, t in ENTITY_OF.items():
+        for side, f in (("silver", gate.to_silver), ("quarantine", gate.to_quarantine)):
+            rows = f(bronze(spark, sf_dir, b), decisions[b]).agg(F.count(F.lit(1)).alias("rows"))
+            sides.append(rows.select(F.lit(t).alias("table_name"), F.lit(side).alias("side"), F.lit(decisions[b].open).alias("gate_open"), "rows"))
+    return snapshots.union_all(sides)
 
 
 @register("route_orders")
@@ -285,7 +299,13 @@ def q_column_profile(spark, sf_dir):
 
 @register("column_profile_approx")
 def q_column_profile_approx(spark, sf_dir):
-    return _per_table(spark, sf_dir, lambda df, t: profile.column_profile(df, t, approx=True))
+    """Sketched distinct counts beside the exact ones: each must be within the
+    sketch's error bound (5 % standard error, three of them)."""
+    exact = _per_table(spark, sf_dir, lambda df, t: profile.column_profile(df, t))
+    sketch = _per_table(spark, sf_dir, lambda df, t: profile.column_profile(df, t, approx=True)).withColumnRenamed("distinct_count", "approx")
+    off = F.abs(F.col("approx") - F.col("distinct_count"))
+    return exact.join(sketch.drop("null_percent"), ["table_name", "column_name"]).select(
+        "table_name", "column_name", "null_percent", "distinct_count", (off <= 0.15 * F.col("distinct_count") + 1).alias("within_bound"))
 
 
 @register("numeric_profile")
@@ -312,7 +332,8 @@ def drift_pairs_of(spark, sf_dir):
     checkpoint_dir(spark)
     e = entities(spark, sf_dir)
     earlier = stored_table(spark, "drift-history-t1",
-                           lambda: snapshots.snapshot_metrics(snapshots.as_of(e), scenarios.T1), sf_dir)
+                           lambda: snapshots.snapshot_metrics(snapshots.as_of(e), scenarios.T1), sf_dir,
+                           snapshots.CUTOFF, sorted(CATEGORY_DRIFT_COLUMNS.items()))
     history = earlier.unionByName(snapshots.snapshot_metrics(e, scenarios.T2))
     history = snapshots.compact(history).checkpoint(eager=True)
     return snapshots.compact(drift.drift_pairs(history)).checkpoint(eager=True)
@@ -346,24 +367,59 @@ from govlake.operators import quality  # noqa: E402
 BRONZE_NAMES = {t: FEEDS_BY_NAME[t].bronze for t in snapshots.TABLE_ORDER}
 
 
-def _evolved_orders(df):
-    """The orders feed as a later file drop: amount arrives as DOUBLE, a
-    channel column is added and product_id is gone."""
-    return df.select(
-        "order_id", "customer_id", "order_date", "order_status",
-        F.col("amount").cast("double").alias("amount"), "discount_amount", F.lit("web").alias("channel"),
-    )
+def _evolved(t, df):
+    """The feeds as a later file drop: the orders' amount arrives as DOUBLE, a
+    channel column is added and product_id is gone; three in ten refunds have
+    lost their reason."""
+    if t == "orders":
+        return df.select(
+            "order_id", "customer_id", "order_date", "order_status",
+            F.col("amount").cast("double").alias("amount"), "discount_amount", F.lit("web").alias("channel"),
+        )
+    if t == "refunds":
+        return df.withColumn("refund_reason", F.when(F.col("refund_id") % 10 >= 3, F.col("refund_reason")))
+    return df
+
+
+def _drops(spark, sf_dir):
+    """Two written drops per feed: as of the cut-off day, and evolved."""
+    e = entities(spark, sf_dir)
+    early = snapshots.as_of(e)
+    first = {t: cut_lineage(early[t], "drop") for t in snapshots.TABLE_ORDER}
+    return first, {t: cut_lineage(_evolved(t, e[t]), "drop") for t in snapshots.TABLE_ORDER}
+
+
+def _schema_history(first, second):
+    at = [(d, s) for d, s in ((first, scenarios.T1), (second, scenarios.T2))]
+    return snapshots.union_all([quality.schema_snapshot(d[t], t, s) for d, s in at for t in snapshots.TABLE_ORDER])
 
 
 @register("schema_drift")
 def q_schema_drift(spark, sf_dir):
-    e = entities(spark, sf_dir)
-    snaps = []
-    for t in snapshots.TABLE_ORDER:
-        snaps.append(quality.schema_snapshot(e[t], t, scenarios.T1))
-        later = _evolved_orders(e[t]) if t == "orders" else e[t]
-        snaps.append(quality.schema_snapshot(later, t, scenarios.T2))
-    return quality.schema_drift(snapshots.union_all(snaps))
+    history = _schema_history(*_drops(spark, sf_dir))
+    rows = history.groupBy("table_name").agg(
+        F.min_by("rows", "captured_at").alias("previous_rows"), F.max_by("rows", "captured_at").alias("current_rows"))
+    return quality.schema_drift(history).join(rows, "table_name")
+
+
+def _guardian_all(spark, sf_dir):
+    """The guardian over the evolved drops with all four detections."""
+    first, second = _drops(spark, sf_dir)
+    checkpoint_dir(spark)
+    nulls = snapshots.snapshot_quality(first, scenarios.T1).unionByName(snapshots.snapshot_quality(second, scenarios.T2))
+    return quality.guardian_run(second, schema_history=_schema_history(first, second),
+                                null_history=snapshots.compact(nulls).checkpoint(eager=True))
+
+
+@register("guardian_issues_all")
+def q_guardian_issues_all(spark, sf_dir):
+    issues, _ = _guardian_all(spark, sf_dir)
+    return issues.select("table_name", "check_name", "issue_type", "severity", "column_name", "failing_rows")
+
+
+@register("guardian_decision_all")
+def q_guardian_decision_all(spark, sf_dir):
+    return _decision_report(_guardian_all(spark, sf_dir)[1])
 
 
 @register("null_spikes")
@@ -371,7 +427,8 @@ def q_null_spikes(spark, sf_dir):
     checkpoint_dir(spark)
     e = entities(spark, sf_dir)
     earlier = stored_table(spark, "quality-history-t1",
-                           lambda: snapshots.snapshot_quality(snapshots.as_of(e), scenarios.T1), sf_dir)
+                           lambda: snapshots.snapshot_quality(snapshots.as_of(e), scenarios.T1), sf_dir,
+                           snapshots.CUTOFF)
     history = snapshots.compact(earlier.unionByName(snapshots.snapshot_quality(e, scenarios.T2))).checkpoint(eager=True)
     return quality.null_spikes(history)
 
@@ -380,14 +437,14 @@ def q_null_spikes(spark, sf_dir):
 def q_enum_violations(spark, sf_dir):
     e = entities(spark, sf_dir)
     return snapshots.union_all(
-        [quality.enum_violations(e[t], t, quality.ALLOWED_VALUES[t]) for t in snapshots.TABLE_ORDER if t in quality.ALLOWED_VALUES]
+        [quality.enum_violations(e[t], t, quality.allowed_values(t)) for t in snapshots.TABLE_ORDER if quality.allowed_values(t)]
     )
 
 
 @register("range_violations")
 def q_range_violations(spark, sf_dir):
     e = entities(spark, sf_dir)
-    return snapshots.union_all([quality.range_violations(e[t], t, quality.VALID_RANGES[t]) for t in snapshots.TABLE_ORDER])
+    return snapshots.union_all([quality.range_violations(e[t], t, quality.valid_ranges(t)) for t in snapshots.TABLE_ORDER])
 
 
 @register("guardian_issues")
@@ -430,7 +487,8 @@ def _control_report(ctrl):
 
 @register("guardian_control")
 def q_guardian_control(spark, sf_dir):
-    return _guardian_controls(spark, sf_dir)[1]
+    _, decision = quality.guardian_run(entities(spark, sf_dir))
+    return _control_report(quality.guardian_control(decision, scenarios.T2, BRONZE_NAMES))
 
 
 @register("control_latest")
@@ -494,7 +552,14 @@ def q_policy_decision(spark, sf_dir):
 
 @register("policy_decision_json")
 def q_policy_decision_json(spark, sf_dir):
-    return policy.policy_decision_json(_policy_decision(spark, sf_dir))
+    """The decision document, read back rule by rule."""
+    doc = policy.policy_decision_json(_policy_decision(spark, sf_dir))
+    strategy = policy.parse_policy(doc).select(F.col("policy.strategy").alias("strategy"))
+    rows = policy.policy_rules(doc).select(F.lit("row").alias("kind"), "table", F.col("rule_name").alias("name"), "expression",
+                                           F.lit(None).cast("double").alias("threshold_pct"), "severity", "on_fail")
+    metrics = policy.metric_rules(doc).select(F.lit("metric").alias("kind"), "table", F.col("metric").alias("name"),
+                                              F.lit(None).cast("string").alias("expression"), "threshold_pct", "severity", "on_fail")
+    return rows.unionByName(metrics).withColumn("strategy", F.lit(strategy.first()["strategy"]))
 
 
 @register("policy_rules")
@@ -535,7 +600,7 @@ def q_fact_orders_governed(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 10: streams
-from govlake.sources.sinks import scratch_dir  # noqa: E402
+from govlake.sources.sinks import path_exists, scratch_dir  # noqa: E402
 from govlake.streaming import bronze as streaming  # noqa: E402
 
 
@@ -549,10 +614,12 @@ def _write_drops(spark, sf_dir, bad_text: bool):
     first = orders.filter(early)
     second = orders.filter(~early)
     if bad_text:
-        second = second.withColumn(
-            "amount",
-            F.when(F.col("order_status") == "CANCELLED", F.concat(F.lit("USD "), F.col("amount").cast("string")))
-            .otherwise(F.col("amount").cast("string")),
+        # the later drop has a new column, its columns in another order, and amounts that do not parse
+        usd = F.concat(F.lit("USD "), F.col("amount").cast("string"))
+        second = second.select(
+            F.when(F.col("order_id") % 4 == 0, "web").alias("channel"),
+            F.when(F.col("order_status") == "CANCELLED", usd).otherwise(F.col("amount").cast("string")).alias("amount"),
+            *[c for c in reversed(orders.columns) if c != "amount"],
         )
     return orders.schema, root, first, second
 
@@ -561,10 +628,10 @@ def _ingest_two_drops(spark, sf_dir, bad_text):
     schema, root, first, second = _write_drops(spark, sf_dir, bad_text)
     feed, table, ckpt = f"{root}/feed", f"{root}/bronze", f"{root}/checkpoint"
     first.write.option("header", True).csv(feed)
-    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)
+    streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
     second.write.mode("append").option("header", True).csv(feed)
-    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)
-    return spark.read.parquet(table)
+    streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
+    return spark.read.parquet(table).drop("batch")
 
 
 @register("bronze_stream_orders")
@@ -584,9 +651,9 @@ def q_stream_route(spark, sf_dir):
     feed, out, ckpt = f"{root}/feed", f"{root}/routed", f"{root}/checkpoint"
     dec = scenario_decision(spark, "bronze_orders")
     first.write.option("header", True).csv(feed)
-    streaming.stream_route(streaming.bronze_stream(spark, feed, schema).drop("_rescued_data"), dec, out, ckpt)
+    streaming.stream_route(streaming.bronze_stream(spark, feed), schema, dec, out, ckpt)
     second.write.mode("append").option("header", True).csv(feed)
-    streaming.stream_route(streaming.bronze_stream(spark, feed, schema).drop("_rescued_data"), dec, out, ckpt)
+    streaming.stream_route(streaming.bronze_stream(spark, feed), schema, dec, out, ckpt)
     routed = spark.read.parquet(out)
     return report(routed.select(*[c for c in gate.route(entities(spark, sf_dir)["orders"], dec).columns]))
 
@@ -637,14 +704,61 @@ def q_kpi_anomaly_score(spark, sf_dir):
 
 @register("freshness_sla")
 def q_freshness_sla(spark, sf_dir):
-    check_time = DEFAULT_AS_OF + datetime.timedelta(hours=1)
-    return governance.freshness_sla(silver_tables(spark, sf_dir), check_time, limit_hours=24.0)
+    """Hours since the newest row of the stored feeds that carry a data time."""
+    e = entities(spark, sf_dir)
+    stamped = {
+        "orders": e["orders"].select(F.col("order_date").alias("processed_at")),
+        "completed_orders": e["orders"].where("order_status = 'COMPLETED'").select(F.col("order_date").alias("processed_at")),
+        "events": tables.load(spark, sf_dir, "events").select(F.col("ts").alias("processed_at")),
+    }
+    return governance.freshness_sla(stamped, scenarios.FRESHNESS_CHECK, limit_hours=24.0)
 
 
 # ---------------------------------------------------------------- step 12: end to end
+def law_table(spark):
+    """Law documents as stored: an inactive draft, an older law and the one in force."""
+    rows = [
+        (json.dumps(dict(FULL_POLICY, row_rules=[])), True, scenarios.T1),
+        (json.dumps(FULL_POLICY), True, scenarios.T2),
+        (json.dumps({"strategy": "ALLOW", "row_rules": [], "metric_rules": []}), False, DEFAULT_AS_OF),
+    ]
+    return spark.createDataFrame(rows, "policy_json string, is_active boolean, created_at timestamp")
+
+
+def _pipeline_runs(spark, sf_dir):
+    """Two runs: over the feeds of two months earlier, when two thirds of the
+    refunds had not arrived, and over all of them now. The earlier run is
+    stored once per data folder; this one starts from what it left."""
+    e = entities(spark, sf_dir)
+    day = "2001-06-01"
+    before = stored_path(spark, "pipeline-t1", sf_dir, day)
+    if not path_exists(spark, f"{before}/done/_SUCCESS"):
+        early = snapshots.as_of(e, day)
+        early["refunds"] = early["refunds"].where("refund_id % 3 = 0")
+        pipeline.run(early, law_table(spark), before, scenarios.T1, scenarios.PIPELINE_NAME)
+        _table_list(spark).write.mode("overwrite").parquet(f"{before}/done")
+    root = scratch_dir(spark, "pipeline")
+    pipeline.carry_over(spark, before, root)
+    return pipeline.run(e, law_table(spark), root, DEFAULT_AS_OF, scenarios.PIPELINE_NAME)
+
+
 @register("pipeline_kpi_daily")
 def q_pipeline_kpi_daily(spark, sf_dir):
-    return report(pipeline.run(entities(spark, sf_dir), FULL_POLICY).insights)
+    return report(_pipeline_runs(spark, sf_dir).insights)
+
+
+@register("pipeline_controls")
+def q_pipeline_controls(spark, sf_dir):
+    """What the second run left: a control row per table and the rows on each side of its gate."""
+    out = _pipeline_runs(spark, sf_dir)
+    rows = snapshots.union_all([
+        part[t].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(BRONZE_NAMES[t]).alias("table_name"), F.lit(side).alias("side"), "rows")
+        for side, part in (("silver", out.silver), ("quarantine", out.quarantine)) for t in snapshots.TABLE_ORDER
+    ])
+    listed = out.policy_control.select("pipeline_name", F.explode("table_name_list").alias("table_name"))
+    d = out.drift_control.select("table_name", F.col("severity").alias("drift_severity"), F.col("allow_processing").alias("drift_allows"))
+    g = out.guardian_control.select("table_name", F.col("severity").alias("guardian_severity"))
+    return rows.join(d, "table_name").join(g, "table_name").join(listed, "table_name")
 
 
 # ---------------------------------------------------------------- audit logs
@@ -658,7 +772,7 @@ def q_guardian_audit(spark, sf_dir):
 def q_guardian_events(spark, sf_dir):
     issues, decision = quality.guardian_run(entities(spark, sf_dir))
     audit = quality.guardian_audit(issues, decision, scenarios.T2, BRONZE_NAMES)
-    return quality.guardian_events(audit, decision, "AI_BASED_SALES_PIPELINE", BRONZE_NAMES)
+    return quality.guardian_events(audit, decision, scenarios.PIPELINE_NAME, BRONZE_NAMES)
 
 
 @register("drift_audit")
@@ -672,4 +786,8 @@ def q_drift_audit(spark, sf_dir):
 def q_drift_control(spark, sf_dir):
     issues = drift.drift_issues(drift_pairs_of(spark, sf_dir))
     dec = drift.drift_decision(issues, _table_list(spark))
-    return drift.drift_control(issues, dec, scenarios.T2, BRONZE_NAMES)
+    ctrl = drift.drift_control(issues, dec, scenarios.T2, BRONZE_NAMES)
+    parsed = control.parse_drift(ctrl).withColumn("drift", F.explode_outer("drifts")).select(
+        "table_name", "overall_severity", "updated_at", "drift.issue_type", "drift.column", F.col("drift.severity").alias("drift_severity"),
+        "drift.recommended_action")
+    return parsed.join(ctrl.select("table_name", "allow_processing", "severity"), "table_name")

@@ -28,13 +28,13 @@ FULL_POLICY = {
     "row_rules": [
         {"table": "orders", "rule_name": "positive_amount", "expression": "amount > 0",
          "severity": "HIGH", "on_fail": "QUARANTINE"},
-        {"table": "orders", "rule_name": "discount_within_amount", "expression": "discount_amount <= amount",
+        {"table": "orders", "rule_name": "discount_within_limit", "expression": "discount_amount <= amount * 0.06",
          "severity": "MEDIUM", "on_fail": "QUARANTINE"},
         {"table": "payments", "rule_name": "successful_payment", "expression": "payment_status = SUCCESS",
          "severity": "MEDIUM", "on_fail": "QUARANTINE"},
-        {"table": "refunds", "rule_name": "positive_refund", "expression": "refund_amount > 0",
+        {"table": "refunds", "rule_name": "refund_worth_paying", "expression": "refund_amount > 2000",
          "severity": "MEDIUM", "on_fail": "QUARANTINE"},
-        {"table": "customers", "rule_name": "valid_age", "expression": "age >= 0 OR age IS NULL",
+        {"table": "customers", "rule_name": "adult_or_unknown", "expression": "age >= 18 OR age IS NULL",
          "severity": "LOW", "on_fail": "QUARANTINE"},
     ],
     "metric_rules": [
@@ -43,6 +43,8 @@ FULL_POLICY = {
     ],
 }
 
+PIPELINE_NAME = "governed_sales"
+FRESHNESS_CHECK = _dt.datetime(2024, 1, 31, 12, 0, 0)
 T1 = _dt.datetime(2024, 1, 1, 0, 0, 0)
 T2 = _dt.datetime(2024, 1, 2, 0, 0, 0)
 
@@ -61,7 +63,7 @@ GUARDIAN_FIX = {
     },
     "bronze_payments": {
         "strategy": "CORRECT",
-        "silver_filter_condition": "amount > 0",
+        "silver_filter_condition": "amount > 5000",
         "correction_expression": {"payment_status": "upper(trim(payment_status))"},
     },
     "bronze_refunds": {

@@ -7,6 +7,7 @@ These helpers are for tests, the bench and the entry point.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,12 +43,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session. Only where it is unset (a local test session) is a
-    scratch folder taken, as a cluster always names a shared one.
+    Read from the session. Only where it is unset in a local session (as in
+    tests) is a scratch folder taken; on a cluster it must be set, as executors
+    do not see each other's disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         current = tempfile.mkdtemp(prefix="govlake-ckpt-", dir="/tmp")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from govlake.session import checkpoint_dir
 from govlake.sources import tables
 
-BRONZE_VERSION = "1"
+#: Raised whenever the mapping of the feeds or a stored profile changes.
+BRONZE_VERSION = "2"
 
 _CACHE: dict[tuple, dict[str, DataFrame]] = {}
 
@@ -57,24 +58,30 @@ def bronze_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/govlake-bronze/{key}"
 
 
-def stored_table(spark: SparkSession, name: str, build, key: str) -> DataFrame:
+def stored_table(spark: SparkSession, name: str, build, key: str, *settings) -> DataFrame:
     """A derived table written once under the shared folder and read back.
 
     ``build`` is called only when the table is missing; the folder is keyed
-    by the signature of the data directory's files and the version, so later
+    by the signature of the data directory's files, the version and the
+    ``settings`` the table depends on (a cut-off day, a column list), so later
     jobs and later sessions on the same cluster folder reuse it.
     """
-    digest = hashlib.sha1(f"{source_signature(spark, key)}|{name}".encode()).hexdigest()[:12]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/govlake-tables/{name}-{digest}"
+    path = stored_path(spark, name, key, *settings)
     if not _exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def stored_path(spark: SparkSession, name: str, key: str, *settings) -> str:
+    """Where a derived table of a data directory is stored."""
+    digest = hashlib.sha1(f"{source_signature(spark, key)}|{name}|{settings!r}".encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/govlake-tables/{name}-{digest}"
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four bronze feeds, written on first use and then read from files."""
     sc = spark.sparkContext
-    cache_key = (sc.applicationId, sc.startTime, os.path.abspath(sf_dir))
+    cache_key = (sc.applicationId, sc.startTime, source_signature(spark, sf_dir))
     if cache_key in _CACHE:
         return dict(_CACHE[cache_key])
     root = bronze_root(spark, sf_dir)

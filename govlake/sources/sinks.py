@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govlake.operators.control import upsert_latest
@@ -39,11 +39,27 @@ def write_version(df: DataFrame, root: str) -> str:
     Used for tables rewritten whole (control tables after an upsert): the
     version being read is never overwritten while it is read.
     """
-    path = f"{root.rstrip('/')}/v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    path = f"{root.rstrip('/')}/v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a written dataset is at ``path``, on whatever store it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def latest_version(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest complete version under ``root``; names sort by time."""
+    if not path_exists(spark, root):
+        return None
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    listed = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    done = [s for s in sorted(x.getPath().toString() for x in listed) if path_exists(spark, f"{s}/_SUCCESS")]
+    return spark.read.parquet(done[-1]) if done else None
+
+
 def upsert_table(current: DataFrame, updates: DataFrame, keys: list[str], ts: str, root: str) -> DataFrame:
     """MERGE-like upsert (A9) written as a new version; returns the new table."""
     path = write_version(upsert_latest(current, updates, keys, ts), root)

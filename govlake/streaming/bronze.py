@@ -1,17 +1,20 @@
 """Incremental CSV ingestion into bronze, and the streaming silver gate
 (A1-A3, C7).
 
-A feed is a folder that receives CSV files. ``bronze_stream`` reads it as a
-file stream with an explicit schema: every value is read as text and typed
-with ``try_cast``, and values that do not fit their type are kept in
-``_rescued_data`` (a JSON object ``{column: text}``) instead of being lost.
-``ingest`` runs the stream with ``availableNow``: each file is read exactly
-once across runs, tracked by the checkpoint folder.
+A feed is a folder that receives CSV files, each with a header line. A file
+stream finds the new files of a run (``availableNow``: each file is read
+exactly once across runs, tracked by the checkpoint folder); every file is
+then read by its own header, so columns may come in any order. Values are read
+as text and typed with ``try_cast``. What does not fit, a value of the wrong
+type or a column the schema does not have, is kept in ``_rescued_data`` (a JSON
+object ``{column: text}``); a column that the file lacks is NULL.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,23 +42,30 @@ def text_schema(schema: T.StructType) -> T.StructType:
 
 
 # --------------------------------------------------------------------------- A3
+#: Marks a column of the file that the schema does not have.
+EXTRA = "__extra__"
+
+
 def with_rescued(df_text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Type text columns by ``schema``; failed values go to ``_rescued_data``.
+    """Type text columns by ``schema``; failed values and columns marked with
+    ``EXTRA`` go to ``_rescued_data``.
 
     An empty field is NULL, not a failure. ``_rescued_data`` is NULL when
-    every value of the row fitted its type.
+    every value of the row fitted its type and no other column had a value.
     """
-    typed = []
-    bad = []
+    typed, bad = [], []
     for f in schema.fields:
         raw = F.col(f.name)
-        if not isinstance(f.dataType, T.StringType):
-            # a blank field of a typed column is missing, not malformed
-            raw = F.when(F.trim(raw) != "", raw)
-        value = raw.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else raw
+        if isinstance(f.dataType, T.StringType):
+            typed.append(raw.alias(f.name))
+            continue
+        raw = F.when(F.trim(raw) != "", raw)  # a blank field of a typed column is missing, not malformed
+        value = raw.try_cast(f.dataType)
         typed.append(value.alias(f.name))
-        if not isinstance(f.dataType, T.StringType):
-            bad += [F.lit(f.name), F.when(raw.isNotNull() & value.isNull(), raw)]
+        bad += [F.lit(f.name), F.when(raw.isNotNull() & value.isNull(), raw)]
+    for c in df_text.columns:
+        if c.startswith(EXTRA):
+            bad += [F.lit(c[len(EXTRA):]), F.col(f"`{c}`")]
     if not bad:
         return df_text.select(*typed, F.lit(None).cast("string").alias(RESCUED))
     failed = F.map_filter(F.create_map(*bad), lambda k, v: v.isNotNull())
@@ -64,20 +74,59 @@ def with_rescued(df_text: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- A1
-def bronze_stream(spark: SparkSession, directory: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """A streaming DataFrame over the CSV files of one feed."""
-    reader = spark.readStream.schema(text_schema(schema)).option("header", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_rescued(reader.csv(directory), schema)
-
-
-def ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> None:
-    """Append all new files to the bronze parquet table and stop (availableNow)."""
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    query = writer.trigger(availableNow=True).start(path)
+#: New files that one micro-batch takes; bounds the file list the driver handles.
+MAX_FILES = 1000
+
+
+def bronze_stream(spark: SparkSession, directory: str, max_files: int = MAX_FILES) -> DataFrame:
+    """The stream of a feed's files: one row per line, with the file and the
+    place of its block in the file."""
+    lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(directory)
+    return lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+
+
+def read_by_header(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of the files of one batch, columns matched by header name.
+
+    A file's header is the first line of its first block, which one task
+    reads in order. Files with the same header are read together.
+    """
+    spark = lines.sparkSession
+    headers = lines.where("file_block_start = 0").groupBy("file_path").agg(F.first("value").alias("header"))
+    files: dict[str, list[str]] = {}
+    for r in headers.collect():  # at most ``max_files`` rows
+        files.setdefault(r["header"], []).append(r["file_path"])
+    out = None
+    for header, paths in sorted(files.items()):
+        names = [n.strip() for n in next(csv.reader([header]))]
+        found = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        rows = spark.read.schema(found).option("header", True).option("enforceSchema", True).csv(paths)
+        place = {n: i for i, n in reversed(list(enumerate(names)))}  # of equal names the first
+        known = [F.col(f"c{place[f.name]}").alias(f.name) if f.name in place else F.lit(None).cast("string").alias(f.name) for f in schema.fields]
+        extra = {n: f"c{i}" for i, n in enumerate(names) if place[n] != i or n not in schema.fieldNames()}
+        part = with_rescued(rows.select(*known, *[F.col(c).alias(f"{EXTRA}{n}") for n, c in extra.items()]), schema)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else with_rescued(spark.createDataFrame([], text_schema(schema)), schema)
+
+
+def ingest(
+    stream: DataFrame, schema: T.StructType, path: str, checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df, partition_by: list[str] | None = None,
+) -> None:
+    """Append the rows of all new files, passed through ``transform``, to the
+    parquet table at ``path``, and stop.
+
+    A batch is written to a folder of its own number, replacing what a failed
+    attempt left there, so a batch that is run again adds nothing twice.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        writer = transform(read_by_header(batch, schema)).write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{path}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
@@ -85,9 +134,9 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, partition_by: list[str
 
 # --------------------------------------------------------------------------- C7
 def stream_route(
-    stream: DataFrame, decision: Decision, path: str, checkpoint: str, as_of: _dt.datetime = C.DEFAULT_AS_OF
+    stream: DataFrame, schema: T.StructType, decision: Decision, path: str, checkpoint: str, as_of: _dt.datetime = C.DEFAULT_AS_OF
 ) -> None:
     """The silver gate on a stream: the same stateless ``route`` plan, written
     partitioned by ``route`` (silver and each quarantine reason), so one pass
     over each new file feeds both datasets. The decision is fixed for the run."""
-    ingest(route(stream, decision, as_of), path, checkpoint, partition_by=["route"])
+    ingest(stream, schema, path, checkpoint, lambda rows: route(rows.drop(RESCUED), decision, as_of), ["route"])

@@ -155,3 +155,54 @@ def test_read_decisions_equals_read_decision(spark):
     many = control.read_decisions(g, d, tables)
     for t in tables:
         assert many[t] == control.read_decision(g, d, t)
+
+
+@pytest.mark.parametrize("text", [
+    "(SELECT max(order_id) FROM t) > 1", "reflect('java.lang.Math', 'abs', 1) > 0", "`java_method`('a', 'b') = 'c'", "amount > 0; DROP TABLE t",
+    "amount > 0 -- always", "EXISTS (SELECT 1)",
+])
+def test_rule_text_is_a_plain_condition(spark, text):
+    from govlake.functions import rules
+
+    with pytest.raises(ValueError):
+        rules.validate_expressions(spark.range(1).selectExpr("id AS amount"), [text])
+
+
+def test_rule_text_may_use_listed_functions(spark):
+    from govlake.functions import rules
+
+    df = spark.range(1).selectExpr("id AS amount", "'x' AS status")
+    rules.validate_expressions(df, ["upper(trim(status)) IN ('A (b', 'select') AND (coalesce(amount, 0) BETWEEN 1 AND 2 OR NOT (amount > 3))"])
+
+
+def test_laws_without_row_rules(spark):
+    from govlake.operators import policy
+
+    silver = {"payments": spark.createDataFrame([("FAILED",), ("SUCCESS",)], "payment_status string")}
+    metric = {"metric_rules": [{"table": "payments", "metric": "failure_rate", "threshold_pct": "10", "severity": "HIGH", "on_fail": "ALERT"}]}
+    assert [(r["kind"], r["observed"]) for r in policy.policy_decision(silver, metric).collect()] == [("metric", 50.0)]
+    assert policy.policy_decision(silver, {}).count() == 0
+    assert policy.read_policy(policy.policy_decision_json(policy.policy_decision(silver, {})))["row_rules"] == []
+
+
+def test_two_corrections_of_one_column_are_chained(spark):
+    from govlake.operators import quality
+
+    checks = (quality.Check("t", "a", "ENUM", "s", "s = trim(s)", correction="trim(s)"),
+              quality.Check("t", "b", "ENUM", "s", "s = upper(s)", correction="upper(s)"),
+              quality.Check("t", "c", "NULL", "n", correction="coalesce(n, 0)"))
+    _, dec = quality.guardian_run({"t": spark.createDataFrame([(" x", None)], "s string, n int")}, checks)
+    dec.collect()
+    assert [tuple(e) for e in dec.first()["corrections"]] == [("s", "upper((trim(s)))"), ("n", "coalesce(n, 0)")]
+    assert quality.guardian_control(dec, "2024-01-01 00:00:00").first()["fix_json"]
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from govlake.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc))

@@ -35,9 +35,9 @@ def test_parity_split_covers_bronze_except_null_rows(spark, sf_dir):
 
 def test_kpi_daily_all_equals_four_kpis(spark, sf_dir):
     fact = registry.base_fact(spark, sf_dir)
-    allk = kpis.kpi_daily_all(fact)
-    rev, pay, ref, disc = (kpis.kpi_daily_order_revenue(fact), kpis.kpi_payment_success_rate(fact),
-                           kpis.kpi_refund_rate(fact), kpis.kpi_discount_impact(fact))
+    allk = kpis.over_fact(fact, "daily_all")
+    rev, pay, ref, disc = (kpis.over_fact(fact, "daily_order_revenue"), kpis.over_fact(fact, "payment_success_rate"),
+                           kpis.over_fact(fact, "refund_rate"), kpis.over_fact(fact, "discount_impact"))
     joined = (rev.join(pay, "order_date").join(ref.drop("total_orders"), "order_date")
               .join(disc.drop("gross_revenue", "net_revenue"), "order_date"))
     assert bag(allk) == bag(joined.select(*allk.columns))
@@ -45,9 +45,9 @@ def test_kpi_daily_all_equals_four_kpis(spark, sf_dir):
 
 def test_daily_metrics_onepass_equals_joins(spark, sf_dir):
     fact = registry.base_fact(spark, sf_dir)
-    one = signals.daily_metrics_onepass(kpis.kpi_daily_all(fact))
-    joined = signals.daily_metrics(kpis.kpi_daily_order_revenue(fact), kpis.kpi_payment_success_rate(fact),
-                                   kpis.kpi_refund_rate(fact), kpis.kpi_discount_impact(fact))
+    one = signals.daily_metrics_onepass(kpis.over_fact(fact, "daily_all"))
+    joined = signals.daily_metrics(kpis.over_fact(fact, "daily_order_revenue"), kpis.over_fact(fact, "payment_success_rate"),
+                                   kpis.over_fact(fact, "refund_rate"), kpis.over_fact(fact, "discount_impact"))
     assert bag(one) == bag(joined)
 
 
@@ -116,9 +116,9 @@ def test_kpis_without_fanout_equal_fact_kpis(spark, sf_dir):
         return collections.Counter(tuple(float(x) if hasattr(x, "as_tuple") else x for x in r)
                                    for r in df.select(*sorted(df.columns)).collect())
 
-    assert fbag(kpis.kpi_daily_all(fact)) == fbag(kpis.kpi_daily_all_orders(contrib))
-    assert fbag(kpis.kpi_customer_lifetime_value(fact)) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
-    assert fbag(kpis.kpi_payment_method_performance(fact)) == fbag(kpis.kpi_payment_method_performance_orders(*args, rules))
+    assert fbag(kpis.over_fact(fact, "daily_all")) == fbag(kpis.kpi_daily_all_orders(contrib))
+    assert fbag(kpis.over_fact(fact, "customer_lifetime_value")) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
+    assert fbag(kpis.over_fact(fact, "payment_method_performance")) == fbag(kpis.kpi_payment_method_performance_orders(*args, rules))
 
 
 def test_kpis_without_fanout_on_duplicates(spark):
@@ -145,15 +145,13 @@ def test_kpis_without_fanout_on_duplicates(spark):
         return collections.Counter(tuple(float(x) if hasattr(x, "as_tuple") else x for x in row)
                                    for row in df.select(*sorted(df.columns)).collect())
 
-    assert fbag(kpis.kpi_daily_all(fact)) == fbag(kpis.kpi_daily_all_orders(contrib))
-    assert fbag(kpis.kpi_customer_lifetime_value(fact)) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
-    assert fbag(kpis.kpi_payment_method_performance(fact)) == fbag(kpis.kpi_payment_method_performance_orders(o, c, p, r))
+    assert fbag(kpis.over_fact(fact, "daily_all")) == fbag(kpis.kpi_daily_all_orders(contrib))
+    assert fbag(kpis.over_fact(fact, "customer_lifetime_value")) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
+    assert fbag(kpis.over_fact(fact, "payment_method_performance")) == fbag(kpis.kpi_payment_method_performance_orders(o, c, p, r))
 
 
-def test_native_and_unpivot_profiles_agree(spark, sf_dir, monkeypatch):
-    orders = registry.entities(spark, sf_dir)["orders"]
-    native_dm = bag(profile.drift_metrics(orders, "orders"))
-    native_cp = bag(profile.column_profile(orders, "orders"))
-    monkeypatch.setattr(profile, "NATIVE_DISTINCT_MAX_COLUMNS", 0)
-    assert bag(profile.drift_metrics(orders, "orders")) == native_dm
-    assert bag(profile.column_profile(orders, "orders")) == native_cp
+def test_wide_tables_have_the_same_plan(spark):
+    """Forty columns: exact distinct counts as for a narrow table."""
+    df = spark.range(50).select(*[(F.col("id") % (i + 1)).alias(f"c{i}") for i in range(40)])
+    got = {r["column_name"]: r["distinct_count"] for r in profile.column_profile(df, "wide").collect()}
+    assert got == {f"c{i}": i + 1 for i in range(40)}

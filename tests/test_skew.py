@@ -40,10 +40,38 @@ def test_hot_customer_and_hot_order(spark):
     args = (orders, customers, payments, refunds)
     fact = facts.fact_orders(*args)
     contrib = kpis.order_contributions(*args)
-    assert fbag(kpis.kpi_daily_all(fact)) == fbag(kpis.kpi_daily_all_orders(contrib))
-    assert fbag(kpis.kpi_customer_lifetime_value(fact)) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
+    assert fbag(kpis.over_fact(fact, "daily_all")) == fbag(kpis.kpi_daily_all_orders(contrib))
+    assert fbag(kpis.over_fact(fact, "customer_lifetime_value")) == fbag(kpis.kpi_customer_lifetime_value_orders(contrib))
     assert contrib.count() == n  # one row per order, however hot
     hot = {r["customer_id"]: r["total_orders"] for r in kpis.kpi_customer_lifetime_value_orders(contrib).collect()}
     assert hot[7] == n // 3 + 1
     prof = {r["column_name"]: r for r in profile.column_profile(orders, "orders").collect()}
     assert prof["customer_id"]["distinct_count"] == orders.select("customer_id").distinct().count()
+
+
+def test_hot_order_is_spread_and_exact(spark):
+    """Orders over the limit are joined apart, by payments or by refunds, with the same rows."""
+    o = spark.range(1, 30).selectExpr("id AS order_id", "id % 5 AS customer_id", "TIMESTAMP_NTZ'2024-01-01' AS order_date",
+                                      "'COMPLETED' AS order_status", "CAST(10 AS DECIMAL(18,2)) AS amount", "CAST(1 AS DECIMAL(18,4)) AS discount_amount")
+    c = spark.createDataFrame([(1,), (1,), (2,)], "customer_id long")
+    p = spark.range(60).selectExpr("id AS payment_id", "CASE WHEN id < 40 THEN 3 ELSE id - 38 END AS order_id", "'SUCCESS' AS payment_status",
+                                   "'CARD' AS payment_method", "CAST(10 AS DECIMAL(18,2)) AS amount")
+    r = spark.range(50).selectExpr("id AS refund_id", "CASE WHEN id < 30 THEN 4 WHEN id < 35 THEN 3 ELSE id - 30 END AS order_id",
+                                   "'APPROVED' AS refund_status", "CAST(2 AS DECIMAL(18,4)) AS refund_amount", "'LATE' AS refund_reason")
+    plain = facts.fact_orders(o, c, p, r)
+    spread = facts.fact_orders(o, c, p, r, hot_rows=20, salts=7)
+    assert fbag(spread) == fbag(plain) and plain.count() > 40 * 5 + 30
+    assert spread.columns == list(facts.FACT_COLUMNS)
+
+
+def test_kpis_do_not_join_all_orders_on_the_customer(spark):
+    """A hot customer: with unique customers nothing is shuffled on customer_id."""
+    o = spark.range(3000).selectExpr("id AS order_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS customer_id", "TIMESTAMP_NTZ'2024-01-01' AS order_date",
+                                     "CAST(1 AS DECIMAL(18,4)) AS discount_amount")
+    c = spark.range(3000).selectExpr("id AS customer_id")
+    p = spark.range(10).selectExpr("id AS payment_id", "id AS order_id", "'SUCCESS' AS payment_status", "CAST(10 AS DECIMAL(18,2)) AS amount")
+    r = spark.range(10).selectExpr("id AS refund_id", "id AS order_id", "CAST(2 AS DECIMAL(18,4)) AS refund_amount")
+    contrib = kpis.order_contributions(o, c, p, r)
+    contrib.collect()
+    plan = contrib._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [customer_id" in plan and "hashpartitioning(customer_id" not in plan

@@ -40,9 +40,24 @@ def test_each_file_read_once(spark):
     feed, table, ckpt = f"{root}/feed", f"{root}/bronze", f"{root}/ckpt"
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
     _write(feed, "1.csv", "id,v\n1,1.0\n2,2.0\n")
-    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)
-    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)  # nothing new
+    streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
+    streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)  # nothing new
     _write(feed, "2.csv", "id,v\n3,3.0\n")
-    streaming.ingest(streaming.bronze_stream(spark, feed, schema), table, ckpt)
+    streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
     ids = sorted(r["id"] for r in spark.read.parquet(table).collect())
     assert ids == [1, 2, 3]
+
+
+def test_columns_go_by_header_name(spark):
+    root = tempfile.mkdtemp(prefix="govlake-feed-", dir="/tmp")
+    feed, table, ckpt = f"{root}/feed", f"{root}/bronze", f"{root}/ckpt"
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DoubleType()), T.StructField("note", T.StringType())])
+    _write(feed, "1.csv", "id,amt,note\n1,10,x\n")
+    _write(feed, "2.csv", 'amt,id,note,channel\n20,2,"y, z",web\nbad,3,,\n')
+    _write(feed, "3.csv", "note,id\nw,4\n")
+    streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
+    rows = {r["id"]: r for r in spark.read.parquet(table).collect()}
+    assert (rows[1]["amt"], rows[1]["note"], rows[1]["_rescued_data"]) == (10.0, "x", None)
+    assert (rows[2]["amt"], rows[2]["note"]) == (20.0, "y, z") and json.loads(rows[2]["_rescued_data"]) == {"channel": "web"}
+    assert rows[3]["amt"] is None and json.loads(rows[3]["_rescued_data"]) == {"amt": "bad"}
+    assert (rows[4]["amt"], rows[4]["note"], rows[4]["_rescued_data"]) == (None, "w", None)
