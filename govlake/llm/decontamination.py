@@ -229,3 +229,28 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         )
     )
+
+
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), it AS (
+  SELECT DISTINCT id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM it
+), dw AS (
+  SELECT row, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)
+), hit AS (SELECT DISTINCT dw.row, dw.i, dw.n, it.id FROM dw JOIN it ON dw.n = it.n AND dw.g = it.g
+), words AS (SELECT row, count(DISTINCT i + k) AS n FROM hit, (SELECT unnest(range(10)) AS k) WHERE k < n GROUP BY row
+), items AS (SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT row, id FROM hit) GROUP BY row)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (row) LEFT JOIN items USING (row)
+"""

@@ -447,3 +447,22 @@ def joined(rows: DataFrame, n: int, share: int, own_pairs: bool) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT row, array_to_string(w[i:i + 2], ' ') AS g
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i) WHERE len(w) > 0
+), n AS (SELECT row, count(*) AS n FROM s GROUP BY row
+), shared AS (SELECT a.row AS a, b.row AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.row < b.row GROUP BY 1, 2
+), link AS (SELECT a, b FROM shared JOIN n x ON x.row = a JOIN n y ON y.row = b WHERE 100 * k >= 90 * (x.n + y.n - k)
+), both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach(a, b) AS (SELECT row, row FROM d UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (row)
+JOIN (SELECT reach.a AS row, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.row = reach.b GROUP BY 1) c USING (row)
+"""

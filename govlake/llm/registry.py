@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from govlake.llm import quality_rules, revisits
+from govlake.llm import decontamination, jaccard_join, quality_rules, revisits, substring_dedup
 from govlake.llm.decontamination import op1_decontamination
 from govlake.llm.html_extract import op2_html_extract
 from govlake.llm.jaccard_join import op9_jaccard_join
@@ -30,6 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_decontamination": decontamination.SQL,
+    "op5_substring_dedup": substring_dedup.SQL,
     "op8_quality_rules": quality_rules.SQL,
+    "op9_jaccard_join": jaccard_join.SQL,
     "op10_revisits": revisits.SQL,
 }

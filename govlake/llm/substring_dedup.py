@@ -111,3 +111,20 @@ def rows(ids: pa.Array, words: Words, flags: np.ndarray, digest: bool) -> pa.Rec
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT row, i, array_to_string(w[i:i + 34], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 33)) AS i)
+), again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY g) AS n FROM win) WHERE n > 1
+), gone AS (SELECT DISTINCT row, i + k AS i FROM again, (SELECT unnest(range(35)) AS k)
+), words AS (SELECT row, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM d
+), kept AS (SELECT words.row, string_agg(x, ' ' ORDER BY words.i) AS t FROM words ANTI JOIN gone ON words.row = gone.row AND words.i = gone.i GROUP BY words.row
+), removed AS (SELECT row, count(*) AS n, count(*) FILTER (first) AS spans
+               FROM (SELECT row, i, coalesce(lag(i) OVER (PARTITION BY row ORDER BY i) < i - 1, TRUE) AS first FROM gone) GROUP BY row)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(removed.n, 0)::BIGINT AS n_removed, coalesce(removed.spans, 0)::BIGINT AS n_spans,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)
+"""
