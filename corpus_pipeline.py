@@ -25,7 +25,7 @@ from govlake.llm.packing import pack
 from govlake.llm.pii import replace_pii
 
 #: A document whose language is less certain than this, or that has no letter, is rejected.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 #: Near duplicates share this percentage of their five-word shingles.
 SHINGLE, SHARE = 5, 80
 ROW = "__row"
