@@ -978,3 +978,23 @@ SELECT v.*, 'governed_sales' AS pipeline_name FROM (
   UNION ALL SELECT 'bronze_payments', 'quarantine', 0, 'LOW', TRUE, 'LOW'
   UNION ALL SELECT 'bronze_refunds', 'silver', 0, 'HIGH', FALSE, 'MEDIUM'
   UNION ALL SELECT 'bronze_refunds', 'quarantine', COUNT(*), 'HIGH', FALSE, 'MEDIUM' FROM refunds) v""")
+
+# ------------------------------------------------------------ datasets
+SQL["dataset_registry"] = W("""
+SELECT 'bronze_orders' AS dataset, 'TRANSACTIONAL' AS kind, 'order_id' AS primary_key, COUNT(*) AS rows, COUNT(DISTINCT order_id) AS keys FROM sales_orders
+UNION ALL SELECT 'bronze_customers', 'DIMENSION', 'customer_id', COUNT(*), COUNT(DISTINCT customer_id) FROM customers
+UNION ALL SELECT 'bronze_payments', 'TRANSACTIONAL', 'payment_id', COUNT(*), COUNT(DISTINCT payment_id) FROM payments
+UNION ALL SELECT 'bronze_refunds', 'TRANSACTIONAL', 'refund_id', COUNT(*), COUNT(DISTINCT refund_id) FROM refunds""")
+SQL["sql_views"] = W("""
+SELECT o.order_status, p.payment_status, count(*) AS payments, CAST(sum(p.amount) AS DOUBLE) AS amount
+FROM sales_orders o JOIN payments p ON o.order_id = p.order_id GROUP BY ALL""")
+_CSV_TYPES = {
+    "orders": (("order_id", "int"), ("customer_id", "int"), ("product_id", "int"), ("order_date", "timestamp"), ("order_status", "string"),
+               ("amount", "double"), ("discount_amount", "double")),
+    "customers": (("customer_id", "int"), ("customer_name", "string"), ("age", "int"), ("city", "string"), ("segment", "string")),
+    "payments": (("payment_id", "int"), ("order_id", "int"), ("payment_status", "string"), ("payment_method", "string"), ("amount", "double")),
+    "refunds": (("refund_id", "int"), ("order_id", "int"), ("refund_status", "string"), ("refund_amount", "double"), ("refund_reason", "string")),
+}
+SQL["inferred_schema"] = W("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS type, (SELECT COUNT(*) FROM {ENTITY_COLS[t][0]}) AS rows"
+    for t, columns in _CSV_TYPES.items() for c, kind in columns))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlake.config import CATEGORY_DRIFT_COLUMNS, DEFAULT_AS_OF
+from govlake.config import CATEGORY_DRIFT_COLUMNS, DATASETS, DEFAULT_AS_OF
 from govlake.operators import facts, kpis
 from govlake.plans.scenarios import BASE_POLICY
 from govlake.sources import tables
@@ -201,8 +201,7 @@ def q_fenced_json(spark, sf_dir):
 from govlake.operators import control, gate  # noqa: E402
 from govlake.plans import scenarios  # noqa: E402
 
-ENTITY_OF = {"bronze_orders": "orders", "bronze_customers": "customers",
-             "bronze_payments": "payments", "bronze_refunds": "refunds"}
+ENTITY_OF = {f.bronze: f.name for f in DATASETS}
 
 
 def scenario_controls(spark, guardian_overrides=None, drift_overrides=None):
@@ -507,7 +506,7 @@ def q_control_upsert(spark, sf_dir):
 from govlake.operators import policy  # noqa: E402
 from govlake.plans.scenarios import FULL_POLICY  # noqa: E402
 
-PK = {"orders": "order_id", "customers": "customer_id", "payments": "payment_id", "refunds": "refund_id"}
+PK = {f.name: f.primary_key for f in DATASETS}
 
 
 def silver_tables(spark, sf_dir):
@@ -658,6 +657,41 @@ def q_stream_route(spark, sf_dir):
     return report(routed.select(*[c for c in gate.route(entities(spark, sf_dir)["orders"], dec).columns]))
 
 
+@register("inferred_schema")
+def q_inferred_schema(spark, sf_dir):
+    """The schema found in a written CSV drop of each feed, with the rows it was found in."""
+    out = []
+    for t, df in entities(spark, sf_dir).items():
+        drop = scratch_dir(spark, "drop")
+        df.write.option("header", True).csv(drop)
+        found = streaming.infer_feed_schema(spark, drop)
+        types = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type")) for f in found.fields])
+        rows = spark.read.schema(found).option("header", True).csv(drop).agg(F.count(F.lit(1)).alias("rows"))
+        out.append(rows.select(F.lit(t).alias("table_name"), "rows", F.explode(types).alias("f")).select("table_name", "f.column_name", "f.type", "rows"))
+    return snapshots.union_all(out)
+
+
+# ---------------------------------------------------------------- datasets
+@register("dataset_registry")
+def q_dataset_registry(spark, sf_dir):
+    """The registered feeds with their rows and the distinct values of their key."""
+    e = entities(spark, sf_dir)
+    return snapshots.union_all([
+        e[f.name].agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(f.primary_key).alias("keys")).select(
+            F.lit(f.bronze).alias("dataset"), F.lit(f.kind).alias("kind"), F.lit(f.primary_key).alias("primary_key"), "rows", "keys")
+        for f in DATASETS
+    ])
+
+
+@register("sql_views")
+def q_sql_views(spark, sf_dir):
+    """A SQL user's question over the feeds as temp views."""
+    tables.register_views(spark, entities(spark, sf_dir), "feed_")
+    return spark.sql("""
+        SELECT o.order_status, p.payment_status, count(*) AS payments, CAST(sum(p.amount) AS DOUBLE) AS amount
+        FROM feed_orders o JOIN feed_payments p ON o.order_id = p.order_id GROUP BY o.order_status, p.payment_status""")
+
+
 # ---------------------------------------------------------------- step 11: governance
 from govlake.operators import governance  # noqa: E402
 from govlake.plans import pipeline  # noqa: E402

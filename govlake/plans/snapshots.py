@@ -13,11 +13,12 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from govlake.config import DATASETS
 from govlake.operators import profile
 from govlake.plans.scenarios import T1, T2
 
 CUTOFF = "1998-05-01"
-TABLE_ORDER = ("orders", "customers", "payments", "refunds")
+TABLE_ORDER = tuple(f.name for f in DATASETS)
 
 
 def as_of(entities: dict[str, DataFrame], cutoff: str = CUTOFF) -> dict[str, DataFrame]:
