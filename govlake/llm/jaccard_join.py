@@ -5,12 +5,13 @@ Two documents link when ``share`` percent of the union of their distinct
 
 1. *Classes.* Documents with equal sets are one class (128-bit fingerprint);
    from here on a class is one member, whatever the number of its copies.
-2. *Forests.* Which members can meet in one tree. For sets of a and b shingles
-   that link, at most d = (100 - share) (a + b) / (100 + share) shingles are in one of them only.
-   Hash space is cut into d + 2 parts: at least two parts hold equal subsets,
-   so members are routed by the hash of each part's subset, within classes of
-   size that overlap such that both are in one. Members with an equal part are
-   candidates; the connected candidates are a tree group.
+2. *Forests.* Which members can meet in one tree. Put all shingles in one
+   order; two sets that link share one of their first
+   ``n - ceil(share * n / 100) + 1`` shingles, n being each set's size. Any
+   order will do; rare shingles come first, by counts in ``SLOTS`` hashed
+   slots over all documents, so what many documents share (passages, lines)
+   does not bring unrelated members together. Members are routed by each of
+   those shingles; the connected members are a tree group.
 3. *Trees.* A group is cut into leaves of bounded size by size range; each leaf
    is a task. A task builds a signature tree (nodes hold the OR and the AND of
    token bitmaps and a size range) and walks it against itself or another
@@ -62,6 +63,8 @@ SHINGLE = 3
 SHARE = 90
 #: Members of a leaf; a task holds two leaves.
 LEAF = 256
+#: Hashed counters of shingles, and the rows they are sent in.
+SLOTS, BLOCKS = 1 << 18, 16
 BITS = 1024
 FANOUT = 8
 
@@ -95,40 +98,42 @@ def sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return low + (high << U64(32))
 
 
-def levels(largest: int, share: int) -> np.ndarray:
-    """First size of each level: a level and the next hold both sizes of any link whose smaller is in it."""
-    out = [1]
-    while out[-1] <= largest:
-        out.append(out[-1] * 100 // share + 1)
-    return np.array(out, np.int64)
-
-
-def differing(size: np.ndarray, share: int) -> np.ndarray:
-    """Most shingles outside the overlap of a link whose smaller set has at most ``size``."""
-    return (100 - share) * (size + size * 100 // share) // (100 + share)
-
-
-def part_keys(h: np.ndarray, offsets: np.ndarray, level: np.ndarray, bounds: np.ndarray, share: int, docs: np.ndarray):
-    """(doc, key) of the parts of ``docs``, as members of the given level each."""
-    most = differing(bounds[level + 1] - 1, share)
-    docs, level, parts = docs[most > 0], level[most > 0], most[most > 0] + 2  # else only equal sets link
-    counts = offsets[docs + 1] - offsets[docs]
-    base = np.concatenate(([0], np.cumsum(parts)))
-    owner = np.repeat(np.arange(len(docs)), counts)
-    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + offsets[docs][owner]
-    scattered = mix(h[at] + U64(0x632BE59BD9B4E019))
-    part = ((scattered >> U64(32)) * parts[owner].astype(U64) >> U64(32)).astype(np.int64)
-    slot = base[owner] + part
-    total = int(base[-1])
-    value = sums(mix(scattered), slot, total)
-    filled = np.bincount(slot, minlength=total) > 0
-    whose = np.repeat(np.arange(len(docs)), parts)
-    # at least two parts are equal, so an empty part is needed only where two are empty
-    empty = np.bincount(whose[~filled], minlength=len(docs))
-    keep = filled | (empty[whose] >= 2)
-    number = np.arange(total) - base[:-1][whose]
-    key = mix(value + mix(number.astype(U64) + (level[whose].astype(U64) << U64(32))))
-    return docs[whose[keep]], key[keep]
+def prefix_keys(h: np.ndarray, offsets: np.ndarray, docs: np.ndarray, counts: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """(doc, shingle) of each given document's first shingles in order of (count of the slot, hash)."""
+    size = offsets[docs + 1] - offsets[docs]
+    owner = np.repeat(np.arange(len(docs)), size)
+    begin = np.cumsum(size) - size
+    at = np.arange(size.sum()) - begin[owner] + offsets[docs][owner]
+    key = h[at]
+    order = np.lexsort((key, counts[slot_of(key)], owner))
+    place = np.arange(len(order)) - begin[owner]  # sorted by owner first, so owners stay where they are
+    first = size - -(-share * size // 100) + 1
+    keep = place < first[owner]
+    return docs[owner[keep]], key[order[keep]]
+
+
+def slot_of(h: np.ndarray) -> np.ndarray:
+    return (h >> U64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def slot_counts(described: DataFrame, n: int) -> np.ndarray:
+    """Sets per slot over all documents: ``SLOTS`` numbers, whatever the input."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = np.frombuffer(counts.as_buffer(), "<i8")
+                total[block] = total[block] + part if block in total else part.copy()
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "counts"])
+
+    parts = described.where("block IS NOT NULL").select("block", "counts")
+    out = np.zeros(SLOTS, np.int64)
+    for r in parts.repartition(min(n, BLOCKS), "block").mapInArrow(add, "block int, counts binary").collect():  # BLOCKS rows
+        width = SLOTS // BLOCKS
+        out[r["block"] * width : (r["block"] + 1) * width] += np.frombuffer(r["counts"], "<i8")
+    return out
 
 
 # ------------------------------------------------------------------ trees
@@ -241,22 +246,31 @@ def jaccard_join(
     n = partitions(spark)
     chunks = chunked(docs, id_col, text_col)
 
+    names = ["chunk", "place", "doc_id", "n_shingles", "f", "g", "block", "counts"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per document, and at the end of a task its slot counts in ``BLOCKS`` rows."""
+        total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
                 ids = list_of(batch, "ids", k)
                 h, offsets = shingle_sets(list_of(batch, "texts", k), shingle)
+                total += np.bincount(slot_of(h), minlength=SLOTS)
                 doc = np.repeat(np.arange(len(ids)), np.diff(offsets))
                 one, two = (sums(mix(h + U64(c)), doc, len(ids)) for c in (1, 2))
                 chunk = np.full(len(ids), batch.column("chunk")[k].as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunk), pa.array(np.arange(len(ids), dtype=np.int32)), ids, pa.array(np.diff(offsets)), pa.array(signed(one)), pa.array(signed(two))],
-                    names=["chunk", "place", "doc_id", "n_shingles", "f", "g"],
-                )
-
-    described = stored(chunks.mapInArrow(describe, "chunk long, place int, doc_id long, n_shingles long, f long, g long"), "sets")
-    top = described.agg(F.max("n_shingles")).first()[0] or 0
-    bounds = levels(top, share)
+                rows = [chunk, np.arange(len(ids)), ids, np.diff(offsets), signed(one), signed(two)]
+                columns = [pa.array(x, t) if isinstance(x, np.ndarray) else x for x, t in zip(rows, kinds, strict=False)]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(ids), t) for t in kinds[6:])], names=names)
+        if total.any():
+            parts = [x.astype("<i8").tobytes() for x in total.reshape(BLOCKS, -1)]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(BLOCKS, t) for t in kinds[:6]), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=names)
+
+    schema = "chunk long, place int, doc_id long, n_shingles long, f long, g long, block int, counts binary"
+    described = stored(chunks.mapInArrow(describe, schema), "sets")
+    counts = spark.sparkContext.broadcast(slot_counts(described, n))
+    described = described.where("block IS NULL").drop("block", "counts")
 
     classes = stored(
         described.where("n_shingles > 0")
@@ -270,17 +284,10 @@ def jaccard_join(
         for batch in batches:
             for k in range(batch.num_rows):
                 h, offsets = shingle_sets(list_of(batch, "texts", k), shingle)
-                counts = np.diff(offsets)
-                doc = np.repeat(np.arange(len(counts)), counts)
-                f = sums(mix(h + U64(1)), doc, len(counts))
-                _, first = np.unique(f, return_index=True)
-                some = first[counts[first] > 0]
-                level = np.searchsorted(bounds, counts[some], "right") - 1
-                # as the smaller set in its own level, as the larger one in the level below
-                upper = level > 0
-                upper[upper] = counts[some[upper]] <= (bounds[level[upper]] - 1) * 100 // share
-                found = [part_keys(h, offsets, level, bounds, share, some), part_keys(h, offsets, level[upper] - 1, bounds, share, some[upper])]
-                whose, key = (np.concatenate(x) for x in zip(*found, strict=True))
+                size = np.diff(offsets)
+                f = sums(mix(h + U64(1)), np.repeat(np.arange(len(size)), size), len(size))
+                _, first = np.unique(f, return_index=True)  # of equal sets in a chunk one is routed
+                whose, key = prefix_keys(h, offsets, first[size[first] > 0], counts.value, share)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(signed(f[whose]))], names=["key", "f"])
 
     def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
