@@ -8,9 +8,12 @@ recomputed from stored rows, whose ids are data and never change.
 from __future__ import annotations
 
 import gc
+import tempfile
 import time
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +53,26 @@ def release(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, wherever it was imported from."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="govlake-code-")) / "govlake.zip"  # on the driver; Spark sends it on
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names; extra columns cannot clash."""
+    ship(df.sparkSession)
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 

@@ -11,7 +11,11 @@ Two documents link when ``share`` percent of the union of their distinct
    order will do; rare shingles come first, by counts in ``SLOTS`` hashed
    slots over all documents, so what many documents share (passages, lines)
    does not bring unrelated members together. Members are routed by each of
-   those shingles; the connected members are a tree group.
+   those shingles. Of the members that share one, two are connected only if
+   their parity bitmaps allow a link (a bit is the parity of the shingles that
+   hash to it, so bitmaps differ in no more bits than the sets in shingles,
+   and sets that differ in many differ in about half). The connected members
+   are a tree group.
 3. *Trees.* A group is cut into leaves of bounded size by size range; each leaf
    is a task. A task builds a signature tree (nodes hold the OR and the AND of
    token bitmaps and a size range) and walks it against itself or another
@@ -112,6 +116,52 @@ def prefix_keys(h: np.ndarray, offsets: np.ndarray, docs: np.ndarray, counts: np
     return docs[owner[keep]], key[order[keep]]
 
 
+def parity(h: np.ndarray) -> bytes:
+    """Parity bitmap of a set: as many bits as shingles, rounded up to a power of two, 64 at least."""
+    bits = max(64, 1 << int(len(h) - 1).bit_length())
+    odd = np.bincount((h & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def folded(words: np.ndarray) -> np.ndarray:
+    """Parity bitmaps at half their width."""
+    half = words.shape[1] // 2
+    return words[:, :half] ^ words[:, half:]
+
+
+def plausible(members: list[int], size: np.ndarray, bitmaps: list[bytes], share: int, find, union) -> None:
+    """Connect the members between which the bitmaps allow a link, each reached once.
+
+    From a member all that are not yet reached are compared at once; the rest
+    are compared from those that were reached, so a dense group costs little
+    more than its size.
+    """
+    width = np.array([len(b) for b in bitmaps])
+    for w in np.unique(width):
+        own = np.flatnonzero(width == w)
+        wide = np.flatnonzero(width == 2 * w)
+        at = np.concatenate((own, wide))
+        words = np.frombuffer(b"".join(bitmaps[i] for i in own), U64).reshape(len(own), -1)
+        if len(wide):
+            words = np.concatenate((words, folded(np.frombuffer(b"".join(bitmaps[i] for i in wide), U64).reshape(len(wide), -1))))
+        native = np.arange(len(at)) < len(own)
+        left = np.arange(len(at))
+        while len(left) > 1:
+            queue, left = [left[0]], left[1:]
+            while queue and len(left):
+                x = queue.pop()
+                a, b = size[at[x]], size[at[left]]
+                ok = (np.bitwise_count(words[left] ^ words[x]).sum(1, dtype=np.int64) * (100 + share) <= (100 - share) * (a + b)) & (
+                    100 * np.minimum(a, b) >= share * np.maximum(a, b)
+                )
+                if not native[x]:
+                    ok &= native[left]  # two wide ones are compared at their own width
+                for y in left[ok].tolist():
+                    union(members[at[x]], members[at[y]])
+                    queue.append(y)
+                left = left[~ok]
+
+
 def slot_of(h: np.ndarray) -> np.ndarray:
     return (h >> U64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
 
@@ -246,8 +296,8 @@ def jaccard_join(
     n = partitions(spark)
     chunks = chunked(docs, id_col, text_col)
 
-    names = ["chunk", "place", "doc_id", "n_shingles", "f", "g", "block", "counts"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["chunk", "place", "doc_id", "n_shingles", "f", "g", "bitmap", "block", "counts"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per document, and at the end of a task its slot counts in ``BLOCKS`` rows."""
@@ -262,12 +312,13 @@ def jaccard_join(
                 chunk = np.full(len(ids), batch.column("chunk")[k].as_py())
                 rows = [chunk, np.arange(len(ids)), ids, np.diff(offsets), signed(one), signed(two)]
                 columns = [pa.array(x, t) if isinstance(x, np.ndarray) else x for x, t in zip(rows, kinds, strict=False)]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(ids), t) for t in kinds[6:])], names=names)
+                columns.append(pa.array([parity(h[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(ids), t) for t in kinds[7:])], names=names)
         if total.any():
             parts = [x.astype("<i8").tobytes() for x in total.reshape(BLOCKS, -1)]
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(BLOCKS, t) for t in kinds[:6]), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(BLOCKS, t) for t in kinds[:7]), pa.array(range(BLOCKS), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
-    schema = "chunk long, place int, doc_id long, n_shingles long, f long, g long, block int, counts binary"
+    schema = "chunk long, place int, doc_id long, n_shingles long, f long, g long, bitmap binary, block int, counts binary"
     described = stored(chunks.mapInArrow(describe, schema), "sets")
     counts = spark.sparkContext.broadcast(slot_counts(described, n))
     described = described.where("block IS NULL").drop("block", "counts")
@@ -275,8 +326,8 @@ def jaccard_join(
     classes = stored(
         described.where("n_shingles > 0")
         .groupBy("f", "g", "n_shingles")
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("chunk", "place")).alias("at"))
-        .select("f", "g", "n_shingles", "least", (F.shiftleft(F.col("at.chunk"), 24) + F.col("at.place")).alias("member")),
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("chunk", "place")).alias("at"), F.first("bitmap").alias("bitmap"))
+        .select("f", "g", "n_shingles", "least", "bitmap", (F.shiftleft(F.col("at.chunk"), 24) + F.col("at.place")).alias("member")),
         "classes",
     )
 
@@ -290,7 +341,8 @@ def jaccard_join(
                 whose, key = prefix_keys(h, offsets, first[size[first] > 0], counts.value, share)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(signed(f[whose]))], names=["key", "f"])
 
-    def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The keys that several members have, with their members; of keys with the same members one."""
         held = [b for b in batches if b.num_rows]
         if not held:
             return
@@ -298,21 +350,24 @@ def jaccard_join(
         key, f = t.column("key").to_numpy(), t.column("f").to_numpy()
         order = np.lexsort((f, key))
         key, f = key[order], f[order]
-        new = np.diff(key, prepend=~key[:1]) != 0
-        least = f[new][np.cumsum(new) - 1]
-        pairs = np.unique(np.stack([least[f != least], f[f != least]], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
-
-    near = chunks.mapInArrow(route, "key long, f long").repartition(n, "key").mapInArrow(star, "a long, b long").distinct()
-    of_class = classes.select("f", "member")
-    near = stored(near, "near")
+        new_key = np.diff(key, prepend=~key[:1]) != 0
+        fresh = new_key | (np.diff(f, prepend=~f[:1]) != 0)
+        key, f, new_key = key[fresh], f[fresh], new_key[fresh]
+        group = np.cumsum(new_key) - 1
+        size = np.bincount(group)
+        members = sums(mix(f.view(U64)), group, len(size)) + size.astype(U64)
+        _, first = np.unique(members, return_index=True)
+        keep = np.zeros(len(size), bool)
+        keep[first] = True
+        keep = (keep & (size > 1))[group]
+        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(f[keep])], names=["key", "f"])
+
+    common = stored(chunks.mapInArrow(route, "key long, f long").repartition(n, "key").mapInArrow(shared, "key long, f long"), "common")
+    release(spark)
+    known = classes.select("f", "member", "n_shingles", "bitmap").hint("merge")
+    near = connected(common.join(known, "f").select("key", "member", "n_shingles", "bitmap"), n, share)
+    groups = graph.components(stored(near, "near"))
     release(spark)
-    near = (
-        near.join(of_class.select(F.col("f").alias("a"), F.col("member").alias("x")), "a")
-        .join(of_class.select(F.col("f").alias("b"), F.col("member").alias("y")), "b")
-        .select("x", "y")
-    )
-    groups = graph.components(near, "x", "y")
 
     # leaves: a small group is one leaf; a large one is cut by level of size, then by hash
     members = stored(
@@ -359,6 +414,65 @@ def jaccard_join(
     )
 
 
+def connected(rows: DataFrame, n: int, share: int) -> DataFrame:
+    """Edges that connect the members of each key between which a link is possible; per task a forest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            parent.setdefault(x, x)
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        edges: list[tuple[int, int]] = []
+
+        def union(a: int, b: int) -> None:
+            x, y = find(a), find(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                edges.append((a, b))
+
+        for held in grouped(batches, ["key"]):
+            t = pa.Table.from_batches(held)
+            members = t.column("member").to_pylist()
+            if len({find(x) for x in members}) > 1:
+                plausible(members, t.column("n_shingles").to_numpy(), t.column("bitmap").to_pylist(), share, find, union)
+            if len(edges) > 100_000:
+                yield edge_rows(edges)
+                edges.clear()
+        if edges:
+            yield edge_rows(edges)
+
+    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+
+
+def edge_rows(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*edges, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each key, of a partition sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in names], 1)
+        edges = np.concatenate(([0], np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1, [len(keys)]))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            key = tuple(keys[a])
+            if held and key != last:
+                yield held
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield held
+
+
 def second_round(found: DataFrame, big: DataFrame, sets: DataFrame, n: int, share: int) -> DataFrame:
     """Links of large groups' members outside their group's largest component, with all leaves of fitting size."""
     labels = graph.components(found)
@@ -419,34 +533,15 @@ def joined(rows: DataFrame, n: int, share: int, own_pairs: bool) -> DataFrame:
     """Tree join of every (group, leaf, partner): one link per merged component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("grp", "leaf", "partner")], 1)
-            if not len(keys):
+        for held in grouped(batches, keys):
+            t = pa.Table.from_batches(held)
+            member, guest, label = (t.column(c).to_numpy() for c in ("member", "guest", "label"))
+            if len(member) < 2:
                 continue
-            edges = np.concatenate(([0], np.flatnonzero((np.diff(keys, axis=0) != 0).any(1)) + 1, [len(keys)]))
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                key = tuple(keys[a])
-                if held and key != last:
-                    yield from leaf(held)
-                    held = []
-                held.append(batch.slice(a, b - a))
-                last = key
-        if held:
-            yield from leaf(held)
-
-    def leaf(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(held)
-        member, guest, label = (t.column(c).to_numpy() for c in ("member", "guest", "label"))
-        if len(member) < 2:
-            return
-        sets = [np.frombuffer(x.as_buffer(), U64) for c in t.column("shingles").chunks for x in c]
-        found = links(sets, guest, label, share, own_pairs)
-        a = [int(member[x]) for x, _ in found]
-        b = [int(member[y]) for _, y in found]
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            sets = [np.frombuffer(x.as_buffer(), U64) for c in t.column("shingles").chunks for x in c]
+            found = links(sets, guest, label, share, own_pairs)
+            if found:
+                yield edge_rows([(int(member[x]), int(member[y])) for x, y in found])
 
     keys = ["grp", "leaf", "partner"]
     return rows.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")

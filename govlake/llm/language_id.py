@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from govlake.llm.common import U64, mix, pick, stored, table
+from govlake.llm.common import U64, mix, pick, ship, table
 
 DIMENSIONS = 1 << 14
 LONGEST = 3
@@ -175,6 +175,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from all rows of ``docs`` (id, text, label) with a label."""
+    ship(docs.sparkSession)
     rows = docs.where("text IS NOT NULL AND label IS NOT NULL")
     df, total = document_frequencies(rows.select("text"))
     idf = np.log((1 + total) / (1 + df)) + 1
@@ -207,6 +208,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Adds lang_pred and score to ``docs``, which must have a ``text`` column."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     docs = docs.select(*[F.col(f"`{c}`") for c in kept])

@@ -72,3 +72,33 @@ def test_traversal_loses_no_pair(share):
             n = len(np.intersect1d(sets[i], sets[j]))
             if 100 * n >= share * (len(sets[i]) + len(sets[j]) - n):
                 assert frozenset((i, j)) in found
+
+
+@pytest.mark.parametrize("share", [70, 90])
+def test_bitmaps_never_rule_out_a_link(share):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 600).astype(np.uint64)
+    sets = []
+    for k in range(120):
+        n = rng.integers(1, 140) if k % 2 else rng.integers(400, 600)
+        start = base[: n] if k % 3 else base[rng.integers(0, 20) :][:n]
+        sets.append(np.unique(np.concatenate((start, rng.integers(0, 2**63, rng.integers(0, max(1, n // 6) + 1)).astype(np.uint64)))))
+    parent = list(range(120))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def union(a, b):
+        parent[find(a)] = find(b)
+
+    jj.plausible(list(range(120)), np.array([len(s) for s in sets]), [jj.parity(s) for s in sets], share, find, union)
+    linked = 0
+    for i in range(120):
+        for j in range(i):
+            k = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * k >= share * (len(sets[i]) + len(sets[j]) - k):
+                linked += 1
+                assert find(i) == find(j)
+    assert linked > 50 and len({find(x) for x in range(120)}) > 2
