@@ -2,7 +2,7 @@
 documents without code (O1-O3, P1-P3).
 
 All are grouped aggregates or windows over day-sized series; none pulls rows
-to the driver except the single reference day of ``churn``.
+to the driver.
 """
 
 from __future__ import annotations
@@ -52,18 +52,19 @@ def top_failed_rules(failed: DataFrame, k: int = 10, column: str = "failed_rules
 # --------------------------------------------------------------------------- P1
 def churn(orders: DataFrame, days: int = 90) -> DataFrame:
     """Share of customers with no order in the ``days`` before the data's
-    last order day. One row: reference_day, customers, churned, churn_rate.
+    last order day. One row: reference_day, customers, churned, churn_rate
+    (none for a feed without orders).
 
-    The reference day is one scalar (a global max), read once.
+    Customers are counted by the day of their last order; the reference day
+    and the shares come from that frame of one row per day.
     """
-    day = F.to_date("order_date")
-    ref_day = orders.agg(F.max(day)).first()[0]
-    last = orders.groupBy("customer_id").agg(F.max(day).alias("last_day"))
-    cutoff = F.date_sub(F.lit(ref_day), days)
-    return last.agg(
-        F.lit(ref_day).alias("reference_day"),
-        F.count(F.lit(1)).alias("customers"),
-        F.sum(F.when(F.col("last_day") < cutoff, 1).otherwise(0)).cast("bigint").alias("churned"),
+    last = orders.groupBy("customer_id").agg(F.max(F.to_date("order_date")).alias("last_day"))
+    by_day = last.groupBy("last_day").agg(F.count(F.lit(1)).alias("n"))
+    dated = by_day.withColumn("reference_day", F.max("last_day").over(Window.partitionBy(F.lit(1))))
+    gone = F.col("last_day") < F.date_sub("reference_day", days)
+    return dated.groupBy("reference_day").agg(
+        F.sum("n").alias("customers"),
+        F.sum(F.when(gone, F.col("n")).otherwise(0)).cast("bigint").alias("churned"),
     ).withColumn("churn_rate", F.try_divide(F.col("churned").cast("double") * 100.0, F.col("customers").cast("double")))
 
 
