@@ -342,7 +342,7 @@ def jaccard_join(
                 yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(signed(f[whose]))], names=["key", "f"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The keys that several members have, with their members; of keys with the same members one."""
+        """The members of every key that several have; the key is their own hash, so keys with equal members are one."""
         held = [b for b in batches if b.num_rows]
         if not held:
             return
@@ -360,9 +360,10 @@ def jaccard_join(
         keep = np.zeros(len(size), bool)
         keep[first] = True
         keep = (keep & (size > 1))[group]
-        yield pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(f[keep])], names=["key", "f"])
+        yield pa.RecordBatch.from_arrays([pa.array(signed(members)[group[keep]]), pa.array(f[keep])], names=["key", "f"])
 
-    common = stored(chunks.mapInArrow(route, "key long, f long").repartition(n, "key").mapInArrow(shared, "key long, f long"), "common")
+    routed = chunks.mapInArrow(route, "key long, f long").repartition(n, "key")
+    common = stored(routed.mapInArrow(shared, "key long, f long").distinct(), "common")
     release(spark)
     known = classes.select("f", "member", "n_shingles", "bitmap").hint("merge")
     near = connected(common.join(known, "f").select("key", "member", "n_shingles", "bitmap"), n, share)
