@@ -116,9 +116,11 @@ def prefix_keys(h: np.ndarray, offsets: np.ndarray, docs: np.ndarray, counts: np
     return docs[owner[keep]], key[order[keep]]
 
 
-def parity(h: np.ndarray) -> bytes:
-    """Parity bitmap of a set: as many bits as shingles, rounded up to a power of two, 64 at least."""
-    bits = max(64, 1 << int(len(h) - 1).bit_length())
+def parity(h: np.ndarray, share: int) -> bytes:
+    """Parity bitmap of a set: four bits for each shingle by which a link of its size
+    may differ, rounded up to a power of two, 64 at least."""
+    differ = (100 - share) * 2 * len(h) // (100 + share)
+    bits = max(64, 1 << max(0, 4 * differ - 1).bit_length())
     odd = np.bincount((h & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(bool), bitorder="little").tobytes()
 
@@ -312,7 +314,7 @@ def jaccard_join(
                 chunk = np.full(len(ids), batch.column("chunk")[k].as_py())
                 rows = [chunk, np.arange(len(ids)), ids, np.diff(offsets), signed(one), signed(two)]
                 columns = [pa.array(x, t) if isinstance(x, np.ndarray) else x for x, t in zip(rows, kinds, strict=False)]
-                columns.append(pa.array([parity(h[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()))
+                columns.append(pa.array([parity(h[a:b], share) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()))
                 yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(ids), t) for t in kinds[7:])], names=names)
         if total.any():
             parts = [x.astype("<i8").tobytes() for x in total.reshape(BLOCKS, -1)]

@@ -93,7 +93,7 @@ def test_bitmaps_never_rule_out_a_link(share):
     def union(a, b):
         parent[find(a)] = find(b)
 
-    jj.plausible(list(range(120)), np.array([len(s) for s in sets]), [jj.parity(s) for s in sets], share, find, union)
+    jj.plausible(list(range(120)), np.array([len(s) for s in sets]), [jj.parity(s, share) for s in sets], share, find, union)
     linked = 0
     for i in range(120):
         for j in range(i):
