@@ -32,6 +32,7 @@ The tokenizer's file is a parameter and must be present on every executor.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
@@ -52,6 +53,9 @@ SCHEMES = ((2, 32), (3, 32), (4, 32), (8, 64))
 GOOD = 1.0005
 #: Words that a worker keeps with their ids, and as many of the time before; then the older ones go.
 CACHE = 500_000
+#: The tokenizer's white space is str.split's without these, which are tokens of their own.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+WORDS = re.compile(rf"[\S{SEPARATORS}]+")
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, rank int"
 
 
@@ -61,6 +65,7 @@ def encoder(name: str) -> Callable[[str], bytes]:
 
     Exact for a vocabulary that drops white space: no token spans it, so a text's
     ids are those of its space-separated words, which are kept once computed.
+    White space is the tokenizer's, to which U+001C to U+001F do not belong.
     Texts with a special token's opening go to the tokenizer whole.
     """
     import public_tokenizers
@@ -103,7 +108,8 @@ def encoder(name: str) -> Callable[[str], bytes]:
         if len(words) > CACHE:
             words.older = dict(words)
             words.clear()
-        return b"".join(map(words.__getitem__, text.split()))
+        split = WORDS.findall(text) if any(c in text for c in SEPARATORS) else text.split()
+        return b"".join(map(words.__getitem__, split))
 
     return encode
 

@@ -48,6 +48,14 @@ def test_odd_rows(spark, odd):
     check(rows)
 
 
+def test_separators_that_are_no_white_space_keep_their_tokens(spark):
+    docs = [(k, f"one{c}two {c} three{c}\u2003 End.{c}") for k, c in enumerate("\x1c\x1d\x1e\x1f\x85\xa0\v\u3000")]
+    docs += [(20, "\x1f"), (21, "a \x1c\x1d\x1e\x1f\tb " * 700), (22, "x\x1cy <|endoftext|>")]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=repr) == expected_pieces(docs)
+    check(rows)
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
