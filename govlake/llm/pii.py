@@ -6,7 +6,9 @@ get equal surrogates wherever and however they are written (coreference);
 different ones get different surrogates (distinctness). The latter is checked
 over the corpus: Spark collects the distinct entities, and an entity whose
 surrogate another one also has, or which is itself a real entity of the corpus,
-tries again with the next number until none collides.
+tries again with the next number until none collides. From attempt ``WIDER`` on
+surrogates get longer, so that every entity finds a free one however many real
+entities share its format.
 
 Kinds and what a surrogate keeps:
 
@@ -43,6 +45,8 @@ from govlake.llm.common import pick, stored, table
 DEMO_KEY = "not a secret: pass your own key"
 #: Entities with a later attempt that are sent to the tasks; beyond it they are joined by row.
 SENT = 100_000
+#: From this attempt on a surrogate may be longer than its entity, and more so with each second one.
+WIDER = 4
 
 # Titles by gender, given names by script and gender, family names by script.
 TITLES = {
@@ -216,43 +220,52 @@ class Stream:
                 out.append(c)
         return "".join(out)
 
+    def like_hex(self, s: str) -> str:
+        return "".join(self.choice("0123456789abcdef") for _ in s)
+
 
 def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
     """The surrogate of a canonical form, in canonical form."""
     r = Stream(key, kind, canonical, attempt)
+    more = max(0, attempt - WIDER + 2) // 2
     if kind == "email":
         local, domain = canonical.rsplit("@", 1)
-        return f"{r.like(local)}@{domain_surrogate(key, domain, attempt)}"
+        return f"{r.like(local + 'a' * more)}@{domain_surrogate(key, domain, attempt)}"
     if kind == "ip":
         octets = canonical.split(".")
         fixed = 1 if octets[0] in ("10", "127") else 2 if octets[0] in ("192", "172") and octets[1] in ("168", *map(str, range(16, 32))) else 0
         ranges = {1: (1, 10), 2: (10, 100), 3: (100, 224)}
+        if more > 4:  # even the four octets are crowded: a unique local address
+            return "fd" + ":".join(r.like_hex("00" if k == 0 else "0000") for k in range(8))
+        if more:  # octets of any length, and at last the largest private range
+            out = ["10"] if fixed and more > 2 else octets[:fixed]
+            return ".".join(out + [str(1 + r.below(254)) if k or out else first_octet(r, 1, 224) for k in range(4 - len(out))])
         out = octets[:fixed]
         for k, o in enumerate(octets[fixed:]):
             low, high = ranges[len(o)]
             out.append(str(low + r.below(high - low)) if k or fixed else first_octet(r, low, high))
         return ".".join(out)
     if kind == "ssn":
-        return f"9{r.like(canonical[1:])}"
+        return f"9{r.like(canonical[1:] + '0' * more)}"
     if kind == "phone":
         plus, digits = ("+", canonical[1:]) if canonical[0] == "+" else ("", canonical)
         country = 0 if not plus else 1 if digits[0] in "17" else 2
-        return plus + digits[:country] + r.choice("23456789") + r.like(digits[country + 1 :])
+        return plus + digits[:country] + r.choice("23456789") + r.like(digits[country + 1 :] + "0" * more)
     if kind == "card":
-        body = canonical[0] + r.like(canonical[1:-1])
+        body = canonical[0] + r.like(canonical[1:-1] + "0" * more)
         ends = [d for d in "0123456789" if luhn(body + d) == luhn(canonical)]
         return body + r.choice(ends)
     if kind == "iban":
-        body = r.like(canonical[4:])
+        body = r.like(canonical[4:] + "0" * more)
         check = 98 - iban_check(canonical[:2] + "00" + body)
         return f"{canonical[:2]}{check:02d}{body}"
     if kind in ("key", "secret"):
         prefix = re.match(r"(?:AKIA|ASIA|gh[pousr]_|sk-|xox[baprs]-)?", canonical)[0]
         rest = canonical[len(prefix) :]
         if not prefix and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", rest):
-            hexes = "0123456789abcdef" if rest.lower() == rest else "0123456789ABCDEF"
-            return "".join(r.choice(hexes) for _ in rest)
-        return prefix + r.like(rest)
+            value = r.like_hex(rest + "0" * more)
+            return value if rest.lower() == rest else value.upper()
+        return prefix + r.like(rest + "0" * more)
     part, gender, script = kind.split(":")
     names = FAMILY[script] if part == "family" else GIVEN[script][gender or "n"]
     if attempt < 3:
@@ -279,9 +292,12 @@ def rendered(kind: str, value: str, mention: str) -> str:
     """A surrogate in the layout and capitals of the mention."""
     if kind in ("phone", "ssn", "card", "iban"):
         chars = iter(value.lstrip("+"))
-        return "".join(next(chars) if c.isalnum() else c for c in mention)
+        return "".join(next(chars) if c.isalnum() else c for c in mention) + "".join(chars)
     if kind == "email":
-        return "".join(v.upper() if c.isupper() else v for v, c in zip(value, mention, strict=True))
+        if mention.isupper():
+            return value.upper()
+        sides = zip(value.rsplit("@", 1), mention.rsplit("@", 1), strict=True)
+        return "@".join("".join(v.upper() if c.isupper() else v for v, c in zip(new, old.ljust(len(new)), strict=True)) for new, old in sides)
     if kind in ("key", "secret", "ip"):
         return value
     if len(mention) > 1 and mention.isupper():
