@@ -18,9 +18,10 @@ Kinds and what a surrogate keeps:
   and the Luhn check of a card; private address ranges (ssn: never-issued areas)
 * iban: country, layout, valid check digits
 * key, secret: vendor prefix, length, character classes; hexadecimal stays so
-* given and family names (after a title, or a known given name before a
-  capitalised word): gender, script, capitals; parts are mapped one by one, so
-  a family name alone is still the same person's
+* given and family names (after a title or an introduction such as "my name
+  is", or a known given name before a capitalised word): gender, script,
+  capitals; parts are mapped one by one, particles and initials stay. Every
+  other capitalised mention of a part in the same document is that name too
 
 A null text stays null, an empty one empty. Repeated rows are replaced alike.
 Texts without entities are returned unchanged, and all other columns as they
@@ -50,8 +51,8 @@ WIDER = 4
 
 # Titles by gender, given names by script and gender, family names by script.
 TITLES = {
-    "m": ("Mr", "Herr", "Monsieur", "Señor", "г-н"),
-    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "г-жа"),
+    "m": ("Mr", "Mister", "Sir", "Sr", "Herr", "Monsieur", "Señor", "г-н"),
+    "f": ("Mrs", "Ms", "Miss", "Lady", "Frau", "Fräulein", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Señorita", "Sra", "г-жа"),
     "n": ("Dr", "Prof", "Professor", "Doctor"),
 }
 GIVEN = {
@@ -66,15 +67,53 @@ FAMILY = {
     "latin": "Smith Johnson Brown Taylor Wilson Müller Schmidt Weber Wagner Martin Bernard Dubois Moreau García López Romero".split(),
     "cyrillic": "Иваненко Петренко Коваленко Шевченко Ткаченко Бондаренко".split(),
 }
+#: Given names that begin a person without a title; names that are common words (Will, Mark, May) are left out.
+KNOWN = {
+    "m": """Adam Adrian Ahmed Alan Albert Alejandro Alexander Alexandre Alfred Ali Álvaro Andreas Andrew Anthony Antoine Antonio Arthur Benjamin Bernd
+        Brian Bruce Bruno Charles Christian Christopher Daniel David Dennis Diego Dieter Dmitri Donald Douglas Edward Emil Emmanuel Enrique Eric Erik Ethan
+        Étienne Eduardo Felix Fernando Florian Francisco François Frank Frédéric Friedrich Fritz Gabriel Georg George Gerald Gerhard Guillaume Günter Günther Gustav
+        Guy Harold Harry Heinrich Heinz Helmut Henri Henry Herbert Hermann Horst Hugo Ian Ignacio Igor Isaac Ivan Jacob Jacques Jakob James Jason Javier Jeffrey
+        Jeremy Jerry Jesús Joachim Joaquín Johann Johannes John Jonas Jonathan Jorge Joseph Joshua Juan Julien Julio Justin Karl Kenneth Kevin Konrad Kurt Kyle
+        Larry Laurent Lawrence Leon Leonard Lorenzo Louis Luca Lucas Luis Lukas Ludwig Manuel Marcel Marco Marcus Mario Martin Mathieu Matthew Matthias Maurice Max
+        Maximilian Michel Mohamed Mohammed Muhammad Nathan Nicholas Nicolas Niklas Noah Olivier Oliver Oscar Otto Pablo Pascal Patrick Paul Pedro Peter Philip
+        Philippe Philipp Rafael Rainer Ralph Ramón Raúl Raymond Ricardo Richard Rodrigo Roger Roland Ronald Rudolf Russell Ryan Samuel Scott Sean Sebastian
+        Sergio Simon Stefan Stephen Stephan Steven Steve Theodor Theodore Thierry Timothy Tobias Tom Ulrich Uwe Vicente Victor Vincent Vladimir Walter Werner
+        Wilhelm William Wolfgang Yves Zachary Александр Алексей Антон Борис Виктор Владимир Григорий Евгений Игорь Кирилл Максим Михаил Олег Павел Роман Юрий""",
+    "f": """Abigail Adriana Agnes Aisha Alice Alicia Alison Amanda Amelia Amy Ana Andrea Angela Angelika Anja Anna Anne Annette Antje Barbara Beatrice Beatriz
+        Birgit Brigitte Carla Carol Caroline Catherine Cécile Céline Chantal Charlotte Chloé Christine Claire Clara Claudia Cristina Cynthia Deborah Diana Donna
+        Dorothy Elizabeth Elisabeth Élise Ella Emily Emma Erika Esther Eva Evelyn Fatima Franziska Frida Gabriela Gabriele Gisela Gloria Greta Hannah Helen Helena
+        Helga Hélène Inés Inge Ingrid Irene Isabel Isabella Isabelle Jana Jane Janet Jessica Joanna Johanna Josephine Juana Judith Julia Julie Karin Katharina
+        Katherine Kathleen Katrin Kimberly Kristin Laura Lena Léa Lisa Louise Lucie Lucy Luise Magdalena Manon Margaret Margarita María Maria Marta Martha Martina
+        Mathilde Megan Melanie Melissa Mercedes Michelle Mia Monica Monika Monique Nadia Nancy Natalia Nathalie Nicole Nina Olivia Pamela Patricia Paula Paulina
+        Petra Pilar Rachel Raquel Rebecca Renate Rita Rosa Ruth Samantha Sandra Sara Sharon Silvia Simone Sofia Sofía Sonia Sophia Sophie Stefanie Stephanie Susanne
+        Sylvie Tanja Teresa Theresa Ute Valérie Vanessa Vera Verena Véronique Virginie Yolanda Yvonne Александра Анастасия Валентина Вера Виктория Галина Дарья
+        Екатерина Ксения Людмила Марина Наталья Светлана Софья Юлия""",
+}
+GENDERS = {n: g for g, names in KNOWN.items() for n in names.split()} | {n: g for genders in GIVEN.values() for g, names in genders.items() for n in names}
+#: As they begin a person; in capitals too, but for MAX.
+BEGINS = frozenset(GENDERS) | {n.upper() for n in GENDERS if n != "Max"}
+#: Capitalised words that end a name, and are no mention of one.
+NO_NAME = frozenset(
+    """The A An And Or But In On At Of For To From By With As Is Was Are Were Has Had Have He She It We They You I His Her Their My Our Your This That These Those Who
+    When Where Why What How Not If So Then There Here After Before Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March June July September
+    October November December Der Die Das Den Dem Ein Eine Und Oder Aber Im Am Ist War Hat Er Sie Es Wir Ihr Ich Nicht Mit Auf Für Von Zu Aus Bei Nach Le La Les Un
+    Une Et Ou Mais Est Il Elle Nous Vous Je Ce Dans Pour Sur Avec De Du Des El Los Las Y O Pero Él Ella Con Para Por Del Van И В На Он Она Не Что Это""".split()
+) | {t for ts in TITLES.values() for t in ts}
 SYLLABLES = {"latin": "ba be bi bo da de do fa fe ga ka ke la le lo ma me mi na ne no ra re ri ro sa se ta te to va ve".split(), "cyrillic": "ба бе ва ве да де ка ко ла ле ма ми на не ра ро са се та то".split()}
 ENDINGS = {"latin": {"m": "n", "f": "a", "n": "y", "": "s"}, "cyrillic": {"m": "н", "f": "а", "n": "я", "": "ко"}}
 
 _octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_name = r"[^\W\d_][\w'’-]*"
+_upper = "".join(c for c in map(chr, range(0x590)) if c.isupper())
+# a capitalised word without its possessive; words in camel case or with digits are none
+_name = rf"[{_upper}](?<![^\W_].)[^\W\d_]*(?:['’](?!s\b)[^\W\d_]+)*(?![^\W_])"
+_lead = rf"(?:(?:van|von|zu|zur|vom|der|den|de|della|del|di|da|dos|do|du|la|le|el|al|bin|ibn|ter|ten|y|e|Van|Von|De|Du|La|Le|El|Al|Di|Da)[ ]|[{_upper}]\.[ ]?)"
+NAME = re.compile(_name)
+FIRST = re.compile(rf"{_lead}{{0,4}}({_name})")
+NEXT = re.compile(rf"(?:[ ]{_lead}{{0,4}}|-)({_name})")
 _titles = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
-_given = "|".join(sorted((g for s in GIVEN.values() for gs in s.values() for g in gs), key=len, reverse=True))
 PATTERN = re.compile(
     rf"""
+    (?<![A-Za-z])(?=[\w(+])(?:  # where any of them can begin
     (?P<email>(?<![\w.+%-])[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
   | (?P<iban>\b[A-Z]{{2}}\d{{2}}(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?\b)
   | (?P<key>\b(?:(?:AKIA|ASIA)[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{36,}}|sk-[A-Za-z0-9_-]{{20,}}|xox[baprs]-[\w-]{{10,}})(?![\w-]))
@@ -82,15 +121,29 @@ PATTERN = re.compile(
   | (?P<label>(?i:(?<![A-Za-z])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[:=]\s*["']?))(?P<value>[^\s"',;!<>]{{6,}})
   | (?P<ip>(?<![\w.]){_octet}(?:\.{_octet}){{3}}(?!\w|\.\d))
   | (?P<ssn>(?<![\w-])\d{{3}}-\d{{2}}-\d{{4}}(?![\w-]))
-  | (?P<phone>(?<![\w+])(?:\+\d{{1,3}}[ .-]?(?:\(\d{{2,4}}\)|\d{{2,4}})(?:[ .-]?\d{{2,4}}){{1,4}}|\(\d{{3}}\)[ ]?\d{{3}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}})(?!\w))
+  | (?P<phone>(?<![\w+])(?<!\d[.,/-])(?:
+        (?:\+|00(?=[1-9]))\d{{1,3}}[ ./-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:[ ./-]?\d{{2,4}}){{1,5}}
+      | (?:1[ .-])?(?:\(\d{{3}}\)[ .-]?|[2-9]\d{{2}}[ .-])\d{{3}}[ .-]\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}}|(?<!ISBN[ ])[2-9]\d{{9}}
+      | 0[1-9](?:(?P<gap>[ .-])\d\d)(?:(?P=gap)\d\d){{3}}
+      | \(0[1-9]\d{{1,3}}\)[ ]?\d{{3,8}}(?:[ -]\d{{2,4}}){{0,3}}
+      | 0[1-9]\d{{1,4}}[ /-]\d{{3,8}}(?:[ -]\d{{2,4}}){{0,3}}
+      | 0[1-9]\d{{8,10}}
+    )(?!(?!x\d)\w|[.,-]\d))
+  | (?P<cue>(?i:(?<![^\W_])(?:tel|telephone|phone|call|fax|mobile|cell|whatsapp|telefon|handy|mobil|téléphone|portable|teléfono|móvil|телефон|тел)\b[.:]?[ ]{{0,2}}))(?P<number>\(?\d(?:[ ()./-]{{0,2}}\d){{6,14}})(?!\w|[.,-]\d)
   | (?P<card>(?<![\w.+])\d(?:[ -]?\d){{12,18}}(?!\w))
-  | (?P<title>\b(?:{_titles})\.?\s+)(?P<person>{_name}(?:[ ]{_name})?)
-  | (?P<given>\b(?:{_given})(?=[ ]{_name}))(?P<gap>[ ])(?P<family>{_name})
+  | (?P<title>\b(?:(?:{_titles})\.?\s+)+)(?=[^\W\d_])
+  | (?P<intro>(?i:(?<![^\W_])(?:my[ ]name[ ]is|mein[ ]name[ ]ist|ich[ ]heiße|je[ ]m['’]appelle|mon[ ]nom[ ]est|me[ ]llamo|mi[ ]nombre[ ]es|меня[ ]зовут)[ ])))
     """,
     re.VERBOSE,
 )
-#: What every entity has some of; most texts have none.
-TRIGGER = re.compile(rf"@|\d{{3}}|\d\.\d|[=:]\s*\S{{6}}|AKIA|ASIA|gh[pousr]_|sk-|xox[baprs]-|[0-9a-fA-F]{{32}}|\b(?:{_titles})\b|\b(?:{_given})\b")
+#: After a word such as "call": a number of another kind, or a date.
+NO_PHONE = re.compile(r"\d{3}-\d{2}-\d{4}$|\d+(?:\.\d+){3}$|(?:19|20)\d\d-\d\d-\d\d|\d\d?([./-])\d\d?\1(?:19|20)\d\d(?!\d)")
+#: What every entity but a person has some of, and introductions; most texts have none.
+TRIGGER = re.compile(r"\d(?:\d\d|[ ()./-]{1,3}\d|[0-9a-fA-F]{15}|(?<=[0-9a-fA-F]{15}.))")
+SIGNS = ("@", "AKIA", "ASIA", "gh", "sk-", "xox", "г-")
+INTROS = ("name is", "name ist", "ich hei", "appelle", "nom est", "llamo", "nombre es", "зовут")
+LABELS = ("password", "passwd", "pwd", "secret", "token", "key")
+TITLE_WORDS = frozenset(t for ts in TITLES.values() for t in ts)
 
 Entity = tuple[int, int, str, str]  # begin, end, kind, canonical form
 
@@ -123,21 +176,69 @@ def script_of(name: str) -> str:
 
 
 def gender_of(given: str) -> str:
-    for genders in GIVEN.values():
-        for g, names in genders.items():
-            if given in names:
-                return g
-    return ""
+    return GENDERS.get(given) or GENDERS.get(given.capitalize(), "")
 
 
 def entities(text: str) -> list[Entity]:
     """Entities from left to right, without overlaps."""
-    out: list[Entity] = []
-    if not text or not TRIGGER.search(text):
+    if not text:
+        return []
+    words = NAME.findall(text)
+    out = marked(text) if may_be_marked(text, words) else []
+    if BEGINS.isdisjoint(words) and not any(kind.startswith(("given", "family")) for _, _, kind, _ in out):
         return out
+    return with_mentions(text, with_untitled(text, out))
+
+
+def may_be_marked(text: str, words: list[str]) -> bool:
+    if TRIGGER.search(text) or any(x in text for x in SIGNS) or not TITLE_WORDS.isdisjoint(words):
+        return True
+    low = text.lower()
+    return any(x in low for x in INTROS) or any(x in low for x in LABELS) and ("=" in low or ":" in low)
+
+
+def free(found: list[Entity], spans: Iterator[re.Match]) -> Iterator[re.Match]:
+    """Matches, from left to right, that overlap none of the entities."""
+    k = 0
+    for m in spans:
+        while k < len(found) and found[k][1] <= m.start():
+            k += 1
+        if k == len(found) or m.end() <= found[k][0]:
+            yield m
+
+
+def with_untitled(text: str, found: list[Entity]) -> list[Entity]:
+    """Adds persons that begin with a known given name and have another part."""
+    new: list[Entity] = []
+    at = 0
+    for m in free(found, NAME.finditer(text)):
+        if m.start() >= at and m[0] in BEGINS:
+            parts = person(text, m.start(), gender_of(m[0]))
+            if len({kind[:5] for _, _, kind, _ in parts}) > 1:  # given and family
+                new += parts
+            at = parts[-1][1] if parts else at
+    old = {(a, b) for a, b, *_ in found}
+    new = [e for e in new if (e[0], e[1]) not in old]
+    return sorted(found + new) if new else found
+
+
+def with_mentions(text: str, found: list[Entity]) -> list[Entity]:
+    """Adds the other capitalised mentions of the document's names, each name of one kind."""
+    names: dict[str, str] = {}
+    for _, _, kind, canonical in found:
+        if kind.startswith(("given", "family")) and (canonical not in names or kind.startswith("given") > names[canonical].startswith("given")):
+            names[canonical] = kind
+    found = [(a, b, names[c] if kind.startswith(("given", "family")) else kind, c) for a, b, kind, c in found]
+    more = [(*m.span(), names[m[0].lower()], m[0].lower()) for m in free(found, NAME.finditer(text)) if m[0].lower() in names and m[0] not in NO_NAME and len(m[0]) > 1]
+    return sorted(found + more) if more else found
+
+
+def marked(text: str) -> list[Entity]:
+    """Entities told by their format, a title or an introduction."""
+    out: list[Entity] = []
     at = 0
     while m := PATTERN.search(text, at):
-        kind, found = m.lastgroup, []
+        found = []
         a, b = m.span()
         if m["email"]:
             found = [(a, b, "email", m["email"].lower())]
@@ -154,39 +255,42 @@ def entities(text: str) -> list[Entity]:
                 found = [(m.start("value"), b, "secret", m["value"])]
         elif m["ip"]:
             found = [(a, b, "ip", m["ip"])]
-        elif kind in ("ssn", "phone"):
+        elif m["ssn"] or m["phone"]:
+            kind = "ssn" if m["ssn"] else "phone"
             if kind == "ssn" or 7 <= len(digits_of(m[0])) <= 15:
                 found = [(a, b, kind, ("+" if m[0][0] == "+" else "") + digits_of(m[0]))]
+                if kind == "phone" and m[0].startswith("00"):
+                    found = [(a, b, kind, "+" + digits_of(m[0])[2:])]
+        elif m["cue"]:
+            if not NO_PHONE.match(m["number"]):
+                digits = digits_of(m["number"])
+                found = [(m.start("number"), b, "phone", "+" + digits[2:] if digits.startswith("00") else digits)]
         elif m["card"]:
             if card_like(digits_of(m["card"])):
                 found = [(a, b, "card", digits_of(m["card"]))]
         else:
-            found = person(m)
+            titles = re.findall(r"[^\s.]+", m["title"] or "")
+            genders = [g for t in titles for g, ts in TITLES.items() if t in ts and g != "n"]
+            found = person(text, b, genders[0] if genders else "n")
         out += found
-        at = b if found else a + 1
+        at = found[-1][1] if found else b if m["title"] else a + 1
     return out
 
 
-def person(m: re.Match) -> list[Entity]:
-    if m["title"]:
-        parts = [(x.start() + m.start("person"), x[0]) for x in re.finditer(r"\S+", m["person"])]
-        title = m["title"].strip().rstrip(".")
-        gender = next(g for g, titles in TITLES.items() if title in titles)
-    else:
-        parts = [(m.start("given"), m["given"]), (m.start("family"), m["family"])]
-        gender = gender_of(m["given"])
-    while parts and not parts[-1][1][0].isupper():
-        parts.pop()
-    if not parts or not parts[0][1][0].isupper() or (m["title"] is None and len(parts) < 2):
-        return []
+def person(text: str, at: int, gender: str) -> list[Entity]:
+    """The parts of the name that begins here: given names, and the family name last."""
+    parts = []
+    m = FIRST.match(text, at)
+    while m and m[1] not in NO_NAME and (len(m[1]) > 1 or text[m.end() : m.end() + 1] != "."):  # initials stay
+        parts.append(m)
+        m = NEXT.match(text, m.end())
     out = []
-    for k, (at, name) in enumerate(parts):
-        if k < len(parts) - 1:
-            kind = f"given:{gender_of(name) or gender}:{script_of(name)}"
-        else:
-            kind = f"family::{script_of(name)}"
-        out.append((at, at + len(name), kind, name.lower()))
-    return out
+    last = True  # what hyphens join to the last part belongs to the family name
+    for x in reversed(parts):
+        kind = f"family::{script_of(x[1])}" if last else f"given:{gender_of(x[1]) or gender}:{script_of(x[1])}"
+        out.append((*x.span(1), kind, x[1].lower()))
+        last = last and x[0][0] == "-"
+    return out[::-1]
 
 
 # ------------------------------------------------------------------ surrogates
@@ -249,7 +353,9 @@ def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
         return f"9{r.like(canonical[1:] + '0' * more)}"
     if kind == "phone":
         plus, digits = ("+", canonical[1:]) if canonical[0] == "+" else ("", canonical)
-        country = 0 if not plus else 1 if digits[0] in "17" else 2
+        country = 1 if plus and digits[0] in "17" else 2 if plus else len(digits) - len(digits.lstrip("0"))  # or the trunk's zero
+        if not plus and len(digits) == 11 and digits[0] == "1":
+            country = 1
         return plus + digits[:country] + r.choice("23456789") + r.like(digits[country + 1 :] + "0" * more)
     if kind == "card":
         body = canonical[0] + r.like(canonical[1:-1] + "0" * more)
@@ -291,7 +397,7 @@ def domain_surrogate(key: str, domain: str, attempt: int) -> str:
 def rendered(kind: str, value: str, mention: str) -> str:
     """A surrogate in the layout and capitals of the mention."""
     if kind in ("phone", "ssn", "card", "iban"):
-        chars = iter(value.lstrip("+"))
+        chars = iter(("00" if kind == "phone" and value[0] == "+" and mention.startswith("00") else "") + value.lstrip("+"))
         return "".join(next(chars) if c.isalnum() else c for c in mention) + "".join(chars)
     if kind == "email":
         if mention.isupper():

@@ -89,6 +89,38 @@ def test_crowded_formats_find_free_surrogates(spark):
     assert all(r.n_replaced == 1 for r in out.values()) and all(x.startswith(("192.168.", "10.")) for x in new[:81])
 
 
+def test_untitled_persons_and_all_their_mentions(spark):
+    texts = ["Emma Thompson met EMMA's friend. Later Thompson left; emma stayed.", "Mary Jane Watson and Dr Mary Jane Watson; Watson, Jane.", "Hans Weber came. HANS was late, Weber's car too.",
+             "Prof. Dr. Klaus Meyer-Lang, Ludwig van Beethoven, Dr. J. Smith. Lang and Beethoven", "my name is Zorblat Quux. Quux!", "Thompson is no name here, nor is Emma"]
+    out = run(spark, texts)
+    new = [out[k].text for k in range(len(texts))]
+    given, family = new[0].split()[:2]
+    assert new[0] == f"{given} {family} met {given.upper()}'s friend. Later {family} left; emma stayed." and pii.gender_of(given) == "f"
+    a, b, c = new[1].split()[:3]
+    assert new[1] == f"{a} {b} {c} and Dr {a} {b} {c}; {c}, {b}." and len({a, b, c, "Mary", "Jane", "Watson"}) == 6
+    a, b = new[2].split()[:2]
+    assert new[2] == f"{a} {b} came. {a.upper()} was late, {b}'s car too."
+    assert not set(re.findall(r"\w+", new[3])) & {"Klaus", "Meyer", "Lang", "Ludwig", "Beethoven", "Smith"} and " van " in new[3] and "Dr. J. " in new[3]
+    assert not set(re.findall(r"\w+", new[4])) & {"Zorblat", "Quux"} and new[5] == texts[5]
+
+
+def test_phones_in_other_layouts():
+    for text in ["555.123.4567", "5551234567", "555 123 4567", "(555)123-4567", "1-800-555-1234", "030 1234567", "0171/1234567", "01 23 45 67 89", "0123456789", "(030) 1234567",
+                 "07700 900123", "+33 1 23 45 67 89", "0049 30 1234567", "call 555-1234", "Tel. 612 345 678"]:
+        (a, b, kind, c), *more = pii.entities(f"x {text}, y")
+        old = f"x {text}, y"[a:b]
+        assert kind == "phone" and not more and text.endswith(old)
+        new = pii.rendered(kind, pii.surrogate(KEY, kind, c, 0), old)
+        assert new != old and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", old)
+    assert pii.entities("0049 30 1234567")[0][3] == pii.entities("+49 30 1234567")[0][3]
+    assert not pii.entities("01.02.2024 10:30, 2024-01-02, 100 200 3000, 1700000000, call 2024-01-02 10:00, 1.000.000")
+
+
+def test_detection_is_linear():
+    for text in ("Dr ", "Emma ", "Emma-", "Emma The ", "A.", "de la ", "=a", "0 1 ", "00", "1-", "4 ", "token", "Th "):
+        assert len(pii.replaced(text * 10000, pii.entities(text * 10000), lambda kind, c: c))
+
+
 def test_documents_lose_every_planted_entity(spark, sf_small):
     planted = re.compile(r"[\w.]+@[\w.]+\w|\b\d{16}\b|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{1,3}(?:\.\d{1,3}){3}\b|\bAKIA\w{16}|password=\w+|\b[0-9a-f]{40}\b")
     for r in pii.op4_pii_surrogates(spark, sf_small).join(spark.read.parquet(f"{sf_small}/documents.parquet").selectExpr("doc_id", "text AS old"), "doc_id").collect():
