@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,6 +53,17 @@ BOILERPLATE = frozenset(
 #: Removed without ending the block they are in.
 INLINE = frozenset("script style noscript template svg math select button textarea audio video canvas object map".split())
 LANDMARKS = frozenset(("article", "main"))
+#: Elements whose end tag may be left out, and the start tags that end them.
+ENDED_BY = {
+    "p": BLOCKS - set("body caption frameset head html legend noframes option optgroup tbody tfoot thead title tr".split()),
+    "li": {"li"},
+    "dt": {"dt", "dd"},
+    "dd": {"dt", "dd"},
+    "tr": {"tr", "tbody", "tfoot", "thead"},
+    "td": {"td", "th", "tr", "tbody", "tfoot", "thead"},
+    "th": {"td", "th", "tr", "tbody", "tfoot", "thead"},
+    "option": {"option", "optgroup"},
+}
 NOISE = re.compile(
     r"^(ads?|adverts?|advertisements?|banners?|cookies?|consent|gdpr|notices?|alerts?|side-?bars?|menus?|nav|navbar|navigation|breadcrumbs?|"
     r"footer|site-?header|page-?header|masthead|top-?bar|comments?|commentlist|respond|disqus|replies|share|sharing|social|related|"
@@ -120,6 +132,8 @@ def lines_of(page: str) -> Lines:
     at, n = 0, len(page)
     landmarks: list[str] = []
     links = 0
+    opened: list[str] = []  # blocks that are kept
+    count: Counter[str] = Counter()  # of opened
     skip: list[str] = []  # names of open elements inside a removed one, itself first
     while at < n:
         m = TOKEN.search(page, at)
@@ -137,12 +151,18 @@ def lines_of(page: str) -> Lines:
             if m is None:
                 continue
         closing, name, attributes = m[1], m[2].lower(), m[3]
+        if name in BLOCKS and not closing and opened and len(skip) < 2 and name in ENDED_BY.get(opened[-1], ()):
+            if not skip or name in ENDED_BY.get(skip[0], ()):
+                count[opened.pop()] -= 1
+        if len(skip) == 1 and not closing and name in ENDED_BY.get(skip[0], ()):
+            skip.clear()  # its end tag was left out; this element is its sibling
+            out.gap(bool(landmarks))
         if skip:
             if closing:
                 if name in skip:
                     while skip.pop() != name:
                         pass
-                elif name in landmarks or name in ("body", "html"):
+                elif name in landmarks or count[name] or name in ("body", "html"):
                     skip.clear()
             elif name in LANDMARKS and skip[0] not in LANDMARKS and not landmarks:
                 skip.clear()  # what was removed was never closed: the article begins
@@ -161,6 +181,8 @@ def lines_of(page: str) -> Lines:
                     out.gap(bool(landmarks))
                 if name in landmarks:
                     close(landmarks, name)
+                if count[name]:
+                    end_block(opened, count, name)
                 continue
         if closing:
             if name == "a":
@@ -168,6 +190,8 @@ def lines_of(page: str) -> Lines:
             if name in BLOCKS:
                 out.end(bool(landmarks))
                 links = 0
+                if count[name]:
+                    end_block(opened, count, name)
             if name in LANDMARKS and name in landmarks:
                 close(landmarks, name)
                 out.gap(bool(landmarks))
@@ -182,6 +206,8 @@ def lines_of(page: str) -> Lines:
             continue
         if name in BLOCKS:
             out.end(bool(landmarks))
+            opened.append(name)
+            count[name] += 1
             if name in LANDMARKS:
                 if not landmarks:
                     out.gap(False)
@@ -199,6 +225,12 @@ def close(open_names: list[str], name: str) -> None:
         pass
 
 
+def end_block(opened: list[str], count: Counter[str], name: str) -> None:
+    while (last := opened.pop()) != name:
+        count[last] -= 1
+    count[name] -= 1
+
+
 def raw_end(page: str, at: int, name: str) -> int:
     m = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
     return m.end() if m else len(page)

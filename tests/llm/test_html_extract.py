@@ -68,6 +68,22 @@ def test_markup(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p class="ad">Buy<p>Real text<p>More</article>', "Real text\nMore"),
+        ('<article><p class="ad">Buy<div>Real</div><p>More</article>', "Real\nMore"),
+        ('<article><ul><li class="ad">Buy<li>Real</ul><p>More</article>', "Real\nMore"),
+        ('<article><ul><li>Real<li class="ad">Buy<ul><li>x<li>y</ul></ul><p>More</article>', "Real\nMore"),
+        ('<article><dl><dt class="ad">Buy<dd>Real<dd class="ad">Buy</dl>More</article>', "Real\nMore"),
+        ('<article><table><tr class="ad"><td>Buy<tr><td>Real<tr><td class="ad">Buy<td>Most</table>More</article>', "Real\nMost\nMore"),
+        ('<article><section><p>Real<p class="ad">Buy</section><p>More</article>', "Real\nMore"),
+    ],
+)
+def test_removed_elements_without_end_tags(page, text):
+    assert main_text(page) == text
+
+
 def test_hostile_markup_is_linear():
     for page in ("<" * 50000, "<a " * 20000, '<a b="' * 20000, "<!--" * 20000, "<article>" * 5000 + "x", "<div class=ad>" * 20000):
         main_text(page)
