@@ -111,7 +111,8 @@ def line_dedup(
     rows = pick(docs, doc=id_col, text=text_col).select(F.col("doc").cast("long"), "text")
     gone = keep_bitmaps(rows, least_chars, least_docs).withColumnsRenamed({"doc": "of", "text_key": "of_text"})
     all_rows = lines_of(rows)
-    out = all_rows.join(gone, all_rows["doc"].eqNullSafe(gone["of"]) & (all_rows["text_key"] == gone["of_text"]), "left")
+    # sorted by document at every size: memory is bounded, and texts move once
+    out = all_rows.join(gone.hint("merge"), all_rows["doc"].eqNullSafe(gone["of"]) & (all_rows["text_key"] == gone["of_text"]), "left")
     n = F.size("lines")
     # kept lines lie between one dropped line and the next
     before = F.concat(F.array(F.lit(-1)), F.coalesce("gone", F.array().cast("array<int>")))
