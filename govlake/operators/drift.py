@@ -13,11 +13,12 @@ issue.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from govlake import config as C
 from govlake.functions.columns import rank_severity, severity_rank
+from govlake.operators.profile import TOP_VALUES, column_of_value
 
 ISSUE_COLUMNS = (
     "table_name", "issue_type", "column", "metric_name", "severity", "message",
@@ -30,14 +31,24 @@ def drift_pairs(history: DataFrame) -> DataFrame:
     """Current and previous value of each metric per table.
 
     current: the value at the table's latest ``captured_at``; previous: the
-    most recent non-NULL value strictly before it. A single aggregate over
-    (table, metric) gives the full outer join of both sides; the latest time
-    per table is a table-sized aggregate joined back by broadcast.
+    most recent non-NULL value strictly before it. A value share
+    (``<c>::<value>``) is compared with the snapshot just before only, and only
+    if it was among that snapshot's largest shares of its column: those are the
+    ones that the latest snapshot counted again, so that a value missing there
+    is gone and not merely rarer. A single aggregate over (table, metric) gives
+    the full outer join of both sides; the times per table are a table-sized
+    aggregate joined back by broadcast.
     """
-    latest = history.groupBy("table_name").agg(F.max("captured_at").alias("latest_at"))
-    h = history.join(F.broadcast(latest), "table_name")
+    times = F.sort_array(F.collect_set("captured_at"), asc=False)
+    latest = history.groupBy("table_name").agg(times.alias("times")).select(
+        "table_name", F.get("times", 0).alias("latest_at"), F.get("times", 1).alias("before_at"))
+    h = history.join(F.broadcast(latest), "table_name").withColumn("column_of_value", column_of_value(F.col("metric_name")))
+    largest = Window.partitionBy("table_name", "captured_at", "column_of_value").orderBy(F.col("metric_value").desc(), "metric_name")  # one snapshot's report
+    h = h.withColumn("rank", F.row_number().over(largest))
     is_cur = F.col("captured_at") == F.col("latest_at")
-    is_prev = (F.col("captured_at") < F.col("latest_at")) & F.col("metric_value").isNotNull()
+    is_value = F.col("column_of_value").isNotNull()
+    compared = ~is_value | ((F.col("captured_at") == F.col("before_at")) & (F.col("rank") <= TOP_VALUES))
+    is_prev = (F.col("captured_at") < F.col("latest_at")) & F.col("metric_value").isNotNull() & compared
     return (
         h.groupBy("table_name", "metric_name")
         .agg(
@@ -252,6 +263,7 @@ def drift_audit(issues: DataFrame, decision: DataFrame, event_time) -> DataFrame
     rows = with_overall.select(
         "table_name", "issue_type", "column", "severity", "message", "recommended_action", "overall_severity"
     )
+    # fixed values of a table without drift, which must equal the reference's
     none = decision.filter(F.col("issue_count") == 0).select(
         "table_name",
         F.lit("NO_DRIFT").alias("issue_type"),

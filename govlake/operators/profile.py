@@ -1,30 +1,55 @@
 """Table profiles in long format.
 
 The reference ran one Spark job per column (and one more per numeric and per
-string column). Here every figure of a table is one global aggregate: row
-count, null shares, distinct counts and averages. Exact distinct counts are
-Catalyst's multi-distinct aggregate over typed values, the same plan at every
-width: each distinct (column, value) pair is shuffled once. ``approx=True``
-takes HyperLogLog sketches instead for every column but the primary key, which
-need no shuffle of values; it is meant for wide or very large tables.
-
-Value shares are counted for the feed's declared category columns, all values
-of them: the partial aggregate collapses repeated values before the shuffle,
-so a value held by a third of all rows costs one row per map task.
+string column). Here a table is measured by three plans, whatever its width:
+
+* figures: row count, null shares, averages and distinct counts, one aggregate
+  per ``BATCH`` columns. An exact distinct count makes Spark expand its input
+  once per column of the same aggregate, so the batch bounds that factor, and
+  each batch scans its own columns only. ``approx=True`` takes HyperLogLog
+  sketches instead for every column but the primary key: no value is shuffled.
+* candidates: a frequent-items sketch per string column, built in each task,
+  merged in buckets and then per column. It shuffles sketches, never values.
+* value counts: rows per candidate, counted exactly in a second scan against
+  the broadcast candidates, which the parameters below bound.
+
+A column reports its ``TOP_VALUES`` most frequent values (ties by value) of those
+that hold at least one row in ``LEAST_PART``; the sketch's error is a fifth of
+that, so none of them can be missing, and the count of each is exact. What is
+not reported is one "other" share. Values that someone asks for (``watched``:
+the ones reported last time, and the statuses that the drift rules read) are
+counted and reported too, be they rare or gone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlake.config import CATEGORY_DRIFT_COLUMNS, PRIMARY_KEYS
+from govlake.config import CATEGORY_DRIFT_COLUMNS, NEGATIVE_CATEGORIES, POSITIVE_CATEGORIES, PRIMARY_KEYS
 
 RESCUED = "_rescued_data"
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
+#: Columns whose exact distinct counts share one aggregate.
+BATCH = 8
+#: Values that a column reports, and the part of the rows one of them holds at least (1 in 1000).
+TOP_VALUES, LEAST_PART = 50, 1000
+#: Values a sketch tracks; its counts are off by at most 3.5 / 16384 of the rows.
+TRACKED = 8192
+#: Sketches of tasks are merged in this many groups before they are merged per column.
+BUCKETS = 64
+#: NULL as a value in metric names.
+NULL_LABEL = "None"
+#: Longest list of candidates of a column: twice the values that can hold 1 row in ``LEAST_PART``.
+CANDIDATES = 2 * LEAST_PART
+
+VALUES = "column_name string, value string"
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     """Numeric columns by type (B11); DECIMAL and SHORT count too."""
@@ -36,67 +61,65 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != RESCUED]
 
 
-def _as_text(df: DataFrame, name: str) -> Column:
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def as_text(df: DataFrame, name: str) -> Column:
     """A value as text that keeps distinctness: -0.0 and 0.0 are one value,
     as in Spark's own grouping of floating point keys."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, (T.FloatType, T.DoubleType)):
+    c = quoted(name)
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
         c = F.when(c == 0, F.lit(0.0)).otherwise(c)
     return c.cast("string")
 
 
-def category_columns(df: DataFrame, table: str) -> list[str]:
-    """The feed's declared category columns that the frame has."""
-    return [c for c in CATEGORY_DRIFT_COLUMNS.get(table, ()) if c in df.columns]
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, n): rows per distinct value of each column, NULL
-    being one value. One scan, one shuffle of distinct pairs."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), _as_text(df, c).alias("value")) for c in columns])
-    )
-    return (
-        df.select(pairs.alias("kv"))
-        .groupBy(F.col("kv.column_name").alias("column_name"), F.col("kv.value").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+# --------------------------------------------------------------------------- figures
+def figures(df: DataFrame, columns: list[str], sketched: set[str] = frozenset()) -> DataFrame:
+    """(column_name, n_rows, non_null, distinct_count, average) per column.
 
+    ``average`` is the exact sum over the non-NULL count in DOUBLE, NULL for a
+    column that is not numeric or has no values (S15). ``n_rows`` is in each row.
+    """
+    numeric = set(numeric_columns(df))
 
-def _figures(df: DataFrame, columns: list[str], numeric: list[str], sketched: set[str] = frozenset()) -> DataFrame:
-    """One row: __rows, per column __nn{i} (non-null) and __d{i} (distinct),
-    per numeric column __a{i} (exact sum over non-NULL count, DOUBLE)."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(columns):
-        distinct = F.approx_count_distinct(_as_text(df, c)) if c in sketched else F.countDistinct(F.col(c))
-        aggs += [F.count(F.col(c)).alias(f"__nn{i}"), distinct.alias(f"__d{i}")]
-    for i, c in enumerate(numeric):
-        aggs.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"__a{i}"))
-    return df.agg(*aggs)
+    def batch(names: list[str]) -> DataFrame:
+        aggs = [F.count(F.lit(1)).alias("n_rows")]
+        for i, c in enumerate(names):
+            distinct = F.approx_count_distinct(as_text(df, c)) if c in sketched else F.countDistinct(quoted(c))
+            total = F.sum(quoted(c)).cast("double") if c in numeric else F.lit(None).cast("double")
+            aggs += [F.count(quoted(c)).alias(f"nn{i}"), distinct.alias(f"d{i}"),
+                     F.try_divide(total, F.count(quoted(c)).cast("double")).alias(f"a{i}")]
+        rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"nn{i}").alias("non_null"),
+                         F.col(f"d{i}").alias("distinct_count"), F.col(f"a{i}").alias("average")) for i, c in enumerate(names)]
+        return df.agg(*aggs).select("n_rows", F.inline(F.array(*rows)))
+
+    return union_all([batch(columns[k : k + BATCH]) for k in range(0, len(columns), BATCH)])
 
 
-def _sketched(columns: list[str], table: str, approx: bool) -> set[str]:
+def sketched_columns(columns: list[str], table: str, approx: bool) -> set[str]:
     return {c for c in columns if c != PRIMARY_KEYS.get(table)} if approx else set()
 
 
+def share(n: Column, total: Column) -> Column:
+    """n in percent of the total; NULL for an empty table (the reference divided by zero)."""
+    return F.try_divide(n.cast("double"), total.cast("double")) * F.lit(100.0)
+
+
 # --------------------------------------------------------------------------- E1
 def column_profile(df: DataFrame, table: str, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
     """(table_name, column_name, null_percent, distinct_count) per column.
 
-    ``null_percent`` is NULL for an empty table (the reference divided by
-    zero); ``distinct_count`` ignores NULL, as ``count(DISTINCT)`` does.
+    ``distinct_count`` ignores NULL, as ``count(DISTINCT)`` does.
     """
     columns = list(columns if columns is not None else df.columns)
-    stack = ", ".join(f"'{c}', `__nn{i}`, `__d{i}`" for i, c in enumerate(columns))
-    long = _figures(df, columns, [], _sketched(columns, table, approx)).select(
-        "__rows", F.expr(f"stack({len(columns)}, {stack}) AS (column_name, non_null, distinct_count)")
-    )
-    nulls = (F.col("__rows") - F.col("non_null")).cast("double")
-    return long.select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        (F.try_divide(nulls, F.col("__rows").cast("double")) * F.lit(100.0)).alias("null_percent"),
+    return figures(df, columns, sketched_columns(columns, table, approx)).select(
+        F.lit(table).alias("table_name"), "column_name",
+        share(F.col("n_rows") - F.col("non_null"), F.col("n_rows")).alias("null_percent"),
         F.col("distinct_count").cast("bigint").alias("distinct_count"),
     )
 
@@ -104,79 +127,154 @@ def column_profile(df: DataFrame, table: str, columns: list[str] | None = None,
 # --------------------------------------------------------------------------- E2, E4
 def numeric_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
     """(table_name, metric_name, metric_value): ``row_count`` and ``<c>_avg``
-    for numeric columns, in one global aggregate.
-
-    The average is the exact sum over the non-NULL count in DOUBLE; a column
-    with no values keeps a NULL average (S15).
-    """
+    for numeric columns, in one global aggregate."""
     columns = list(columns if columns is not None else numeric_columns(df))
-    aggs = [F.count(F.lit(1)).cast("double").alias("__rows")]
-    for i, c in enumerate(columns):
-        aggs.append(F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double")).alias(f"__a{i}"))
-    parts = ["'row_count', `__rows`"] + [f"'{c}_avg', `__a{i}`" for i, c in enumerate(columns)]
-    return df.agg(*aggs).select(
-        F.lit(table).alias("table_name"),
-        F.expr(f"stack({len(parts)}, {', '.join(parts)}) AS (metric_name, metric_value)"),
-    )
+    aggs = [F.count(F.lit(1)).cast("double").alias("row_count")]
+    aggs += [F.try_divide(F.sum(quoted(c)).cast("double"), F.count(quoted(c)).cast("double")).alias(f"{c}_avg") for c in columns]
+    one = df.agg(*aggs)
+    items = [F.struct(F.lit(n).alias("metric_name"), quoted(n).alias("metric_value")) for n in one.columns]
+    return one.select(F.lit(table).alias("table_name"), F.inline(F.array(*items)))
 
 
 # --------------------------------------------------------------------------- E5
-def category_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
-    """(table_name, column_name, value, n, share_pct): rows and share of rows
-    of every value of each category column (the feed's declared ones unless
-    given). NULL is a value, so a column's shares add up to 100.
+def frequent_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, n_rows, non_null, items) per column, one scan: the items are
+    all values that may hold one row in ``LEAST_PART``, and some more."""
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i, c in enumerate(columns):
+        name = "`" + c.replace("`", "``") + "`"
+        aggs += [F.count(quoted(c)).alias(f"nn{i}"), F.expr(f"approx_top_k_accumulate({name}, {TRACKED})").alias(f"s{i}")]
+    parts = df.groupBy((F.spark_partition_id() % BUCKETS).alias("bucket")).agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"nn{i}").alias("non_null"), F.col(f"s{i}").alias("sketch"))
+            for i, c in enumerate(columns)]
+    per_column = parts.select("n_rows", F.inline(F.array(*rows))).groupBy("column_name").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("non_null").alias("non_null"),
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
+    items = F.expr(f"transform(approx_top_k_estimate(sketch, {CANDIDATES}), x -> x.item)")
+    return per_column.select("column_name", "n_rows", "non_null", items.alias("items"))
+
+
+def value_counts(df: DataFrame, columns: list[str], candidates: DataFrame) -> DataFrame:
+    """(column_name, value, n): rows per candidate, exact; only candidates are shuffled."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), quoted(c).alias("value")) for c in columns])
+    return df.select(F.inline(pairs)).join(F.broadcast(candidates), ["column_name", "value"]).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def top_values(df: DataFrame, columns: list[str], watched: DataFrame | None = None, label: str | None = None) -> DataFrame:
+    """(column_name, kind, value, n, n_rows): reported values (kind ``value``) and the rest (kind ``other``).
+
+    NULL is a value (kind ``null`` unless it has a ``label``, which then joins a
+    text that is spelt so). ``watched`` is (column_name, value); a watched value
+    without rows is reported with n = 0.
     """
-    columns = list(columns if columns is not None else category_columns(df, table))
-    # One row per profiled column carrying the table's row count: an
-    # equi-join on the column name with a schema-sized side.
-    rows = df.agg(F.count(F.lit(1)).alias("__rows")).select(
-        "__rows", F.explode(F.array(*[F.lit(c) for c in columns]).cast("array<string>")).alias("column_name"))
+    found = frequent_values(df, columns)
+    asked = df.sparkSession.createDataFrame([], VALUES) if watched is None else watched.select("column_name", "value")
+    asked = asked.where(F.col("column_name").isin(columns) & F.col("value").isNotNull()).distinct()
+    # the condition keeps all of a sketch scan's columns here too, so that one scan serves every use of ``found``
+    listed = found.where("n_rows > 0 AND non_null > 0").select("column_name", F.explode("items").alias("value")).where(F.col("value").isNotNull())
+    counted = value_counts(df, columns, listed.unionByName(asked).distinct())
+    # watched values without rows, and NULL, whose rows are known already
+    missing = found.withColumn("n", F.col("n_rows") - F.col("non_null")).where("n > 0").select("column_name", F.lit(label).alias("value"), "n")
+    zero = asked.select("column_name", "value", F.lit(0).cast("long").alias("n"))
+    counts = counted.unionByName(zero).unionByName(missing).groupBy("column_name", "value").agg(F.sum("n").alias("n"))
+    asked = asked.select("column_name", "value", F.lit(True).alias("asked"))
+    rows = counts.join(F.broadcast(found.select("column_name", "n_rows")), "column_name").join(F.broadcast(asked), ["column_name", "value"], "left")
+    often = F.col("n") * LEAST_PART >= F.col("n_rows")
+    first = Window.partitionBy("column_name", "often").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())  # CANDIDATES and the watched, at most
+    ranked = rows.withColumn("often", often).withColumn("rank", F.row_number().over(first))
+    reported = ranked.where((F.col("often") & (F.col("rank") <= TOP_VALUES)) | F.col("asked")).select(
+        "column_name", F.when(F.col("value").isNull(), "null").otherwise("value").alias("kind"), "value", "n", "n_rows")
+    rest = reported.groupBy("column_name").agg(F.sum("n").alias("told")).join(
+        F.broadcast(found.select("column_name", "n_rows")), "column_name", "right")
+    rest = rest.select("column_name", F.lit("other").alias("kind"), F.lit(None).cast("string").alias("value"),
+                       (F.col("n_rows") - F.coalesce("told", F.lit(0))).alias("n"), "n_rows")
+    return reported.unionByName(rest)
+
+
+def category_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """(table_name, column_name, kind, value, n, share_pct): the reported values
+    of every string column and, per column, one ``other`` row; a column's shares
+    add up to 100. Share NULL for an empty table."""
+    columns = list(columns if columns is not None else string_columns(df))
     if not columns:
-        return rows.select(F.lit(table).alias("table_name"), "column_name", F.lit(None).cast("string").alias("value"),
-                           F.col("__rows").alias("n"), F.lit(None).cast("double").alias("share_pct"))
-    return value_counts(df, columns).join(F.broadcast(rows), "column_name").select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        "value",
-        "n",
-        (F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0)).alias("share_pct"),
-    )
+        return df.sparkSession.createDataFrame([], f"table_name string, column_name string, kind string, value string, n long, share_pct double")
+    return top_values(df, columns).select(
+        F.lit(table).alias("table_name"), "column_name", "kind", "value", "n", share(F.col("n"), F.col("n_rows")).alias("share_pct"))
 
 
 # --------------------------------------------------------------------------- F1
-def drift_metrics(df: DataFrame, table: str, approx: bool = False) -> DataFrame:
-    """All drift metrics of one table snapshot in long format
-    (table_name, metric_name, metric_value double):
-    ``row_count``, ``<c>_null_pct``, ``<c>_distinct_cnt``, ``<c>_avg`` and
-    ``<c>::<value>`` (value share in %) for the category columns. NULL is
-    labelled ``None``; a text ``None`` is the same metric, their rows add up.
+#: Metric names end with these; a value's share is ``<column>::<value>``.
+NULL_PCT, DISTINCT, AVERAGE, OTHER = "_null_pct", "_distinct_cnt", "_avg", "_other_pct"
+
+
+def column_of_value(metric_name: Column) -> Column:
+    """The column of a value-share metric, NULL for other metrics."""
+    return F.when(metric_name.contains("::"), F.split(metric_name, "::", 2)[0])
+
+
+def reported_before(metrics: DataFrame) -> DataFrame:
+    """(column_name, value) to watch: per column the ``TOP_VALUES`` largest shares of a snapshot's metrics."""
+    parts = F.split("metric_name", "::", 2)
+    rows = metrics.where(F.col("metric_name").contains("::") & (F.col("metric_value") > 0)).select(
+        "table_name", parts[0].alias("column_name"), parts[1].alias("value"), "metric_value")
+    largest = Window.partitionBy("table_name", "column_name").orderBy(F.col("metric_value").desc(), "value")  # one snapshot's report
+    return rows.withColumn("rank", F.row_number().over(largest)).where(F.col("rank") <= TOP_VALUES).select("table_name", "column_name", "value")
 
-    One aggregate gives the table's figures; the value counts are divided by
-    the row count, which the file footers hold.
+
+def rule_values(df: DataFrame, table: str) -> DataFrame:
+    """(column_name, value) that the drift rules read, whatever their share."""
+    rows = [(c, v) for c in CATEGORY_DRIFT_COLUMNS.get(table, ()) if c in df.columns for v in (*POSITIVE_CATEGORIES, *NEGATIVE_CATEGORIES)]
+    return df.sparkSession.createDataFrame(rows, VALUES)
+
+
+def drift_metrics(df: DataFrame, table: str, approx: bool = False, previous: DataFrame | None = None) -> DataFrame:
+    """All drift metrics of one table snapshot in long format
+    (table_name, metric_name, metric_value double): ``row_count``,
+    ``<c>_null_pct``, ``<c>_distinct_cnt``, ``<c>_avg``, and for string columns
+    ``<c>::<value>`` (share in %, NULL labelled ``None``) and ``<c>_other_pct``.
+
+    ``previous`` are the metrics of the snapshot before: its largest values of
+    each column are counted again, so a value that is no longer among the most
+    frequent ones is not taken for gone; one without rows has the share 0.
+    Statuses that the drift rules read are reported when they have rows.
     """
     columns, numeric = df.columns, numeric_columns(df)
-    scalar = [("row_count", F.col("__rows").cast("double"))]
-    for i, c in enumerate(columns):
-        nulls = (F.col("__rows") - F.col(f"__nn{i}")).cast("double")
-        scalar.append((f"{c}_null_pct", F.try_divide(nulls, F.col("__rows").cast("double")) * F.lit(100.0)))
-        scalar.append((f"{c}_distinct_cnt", F.col(f"__d{i}").cast("double")))
-    scalar += [(f"{c}_avg", F.col(f"__a{i}")) for i, c in enumerate(numeric)]
-    items = F.array(*[F.struct(F.lit(n).alias("metric_name"), v.cast("double").alias("metric_value")) for n, v in scalar])
-    figures = _figures(df, columns, numeric, _sketched(columns, table, approx))
-    out = figures.select(F.explode(items).alias("m")).select("m.metric_name", "m.metric_value")
-    categories = category_columns(df, table)
-    if categories:
-        counts = value_counts(df, categories)
-        name = F.concat(F.col("column_name"), F.lit("::"), F.coalesce(F.col("value"), F.lit("None")))
-        named = counts.groupBy("column_name", name.alias("metric_name")).agg(F.sum("n").alias("n"))
-        total = df.agg(F.count(F.lit(1)).alias("__rows")).select(
-            "__rows", F.explode(F.array(*[F.lit(c) for c in categories])).alias("column_name"))
-        shares = named.join(F.broadcast(total), "column_name").select(
-            "metric_name", (F.col("n").cast("double") / F.col("__rows").cast("double") * F.lit(100.0)).alias("metric_value"))
-        out = out.unionByName(shares)
+    known = figures(df, columns, sketched_columns(columns, table, approx))
+    metric = lambda suffix, value: F.struct(F.lit(suffix).alias("suffix"), value.cast("double").alias("metric_value"))
+    items = F.array(
+        metric(NULL_PCT, share(F.col("n_rows") - F.col("non_null"), F.col("n_rows"))),
+        metric(DISTINCT, F.col("distinct_count")),
+        metric(AVERAGE, F.col("average")),
+    )
+    out = known.select("column_name", F.inline(items)).where((F.col("suffix") != AVERAGE) | F.col("column_name").isin(numeric))
+    out = out.select(F.concat("column_name", "suffix").alias("metric_name"), "metric_value").unionByName(
+        df.agg(F.count(F.lit(1)).cast("double").alias("metric_value")).select(F.lit("row_count").alias("metric_name"), "metric_value"))
+    strings = string_columns(df)
+    if strings:
+        watched = rule_values(df, table).withColumn("rule", F.lit(True))
+        if previous is not None:
+            before = reported_before(previous.where(F.col("table_name") == table)).select("column_name", "value", F.lit(False).alias("rule"))
+            watched = watched.unionByName(before).groupBy("column_name", "value").agg(F.min("rule").alias("rule"))
+        told = top_values(df, strings, watched, NULL_LABEL).join(F.broadcast(watched), ["column_name", "value"], "left")
+        told = told.where((F.col("n") > 0) | ~F.coalesce("rule", F.lit(False)))  # a status that never occurred is no metric
+        name = F.when(F.col("kind") == "other", F.concat("column_name", F.lit(OTHER))).otherwise(F.concat("column_name", F.lit("::"), "value"))
+        out = out.unionByName(told.select(name.alias("metric_name"), share(F.col("n"), F.col("n_rows")).alias("metric_value")))
     return out.select(F.lit(table).alias("table_name"), "metric_name", "metric_value")
 
 
+def profile_of_metrics(metrics: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """The column profile (E1) that a snapshot's drift metrics already hold; ``columns`` by table, from the schema."""
+    names = [(t, c, c + NULL_PCT, c + DISTINCT) for t, of in columns.items() for c in of]
+    wanted = metrics.sparkSession.createDataFrame(names, "table_name string, column_name string, null_name string, distinct_name string")
+    here = lambda name: F.col("metric_name") == F.col(name)
+    rows = metrics.join(F.broadcast(wanted), "table_name").where(here("null_name") | here("distinct_name"))
+    return rows.groupBy("table_name", "column_name").agg(
+        F.max(F.when(here("null_name"), F.col("metric_value"))).alias("null_percent"),
+        F.max(F.when(here("distinct_name"), F.col("metric_value"))).cast("bigint").alias("distinct_count"),
+    )
+
+
 def stamp(df: DataFrame, captured_at, column: str = "captured_at") -> DataFrame:
     """Add the capture time (A7); a literal so reruns are reproducible."""
     return df.withColumn(column, F.lit(captured_at).cast("timestamp"))

@@ -397,25 +397,63 @@ def sql_numeric_profile(t, src):
     return "\nUNION ALL ".join(parts)
 
 
-CATEGORY_OF = {"orders": ("order_status",), "customers": ("city",), "payments": ("payment_status",), "refunds": ("refund_status",)}
+_CATEGORY_CFG = {"orders": ("order_status", "payment_status"), "payments": ("payment_status",),
+                 "refunds": ("refund_status",), "customers": ("city",)}
+_PK_CFG = {"orders": ("order_id",), "payments": ("payment_id",), "refunds": ("refund_id",), "customers": ("customer_id",)}
+_POS = "('SUCCESS', 'COMPLETED', 'APPROVED', 'ACTIVE')"
+_NEG = "('FAILED', 'PENDING', 'UNKNOWN', 'CANCELLED', 'REJECTED')"
 
+# Values of string columns: the 50 most frequent (ties by value) of those that hold one row in 1,000 are reported.
+TOP_VALUES, LEAST_PART = 50, 1000
 
-def sql_category_profile(t, src):
+
+def sql_value_counts(t, src, null="NULL"):
+    """Rows per value of every string column, with rank among the frequent ones."""
     parts = [
-        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, value, n, CAST(n AS DOUBLE) / CAST(total AS DOUBLE) * 100.0 AS share_pct
-  FROM (SELECT CAST({c} AS VARCHAR) AS value, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total FROM {src} GROUP BY 1)"""
-        for c in CATEGORY_OF[t]
+        f"""SELECT '{c}' AS column_name, COALESCE(CAST({c} AS VARCHAR), {null}) AS value, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS total
+  FROM {src} GROUP BY 2"""
+        for c in _cols(t, "s")
     ]
-    return "\nUNION ALL ".join(parts)
+    return f"""SELECT *, n * {LEAST_PART} >= total AS often,
+  row_number() OVER (PARTITION BY column_name, n * {LEAST_PART} >= total ORDER BY n DESC, value NULLS LAST) AS rank
+FROM ({" UNION ALL ".join(parts)})"""
 
 
-def sql_drift_metrics(t, src):
+def sql_category_profile(t, src):
+    counts = sql_value_counts(t, src)
+    return f"""SELECT '{t}' AS table_name, column_name, CASE WHEN value IS NULL THEN 'null' ELSE 'value' END AS kind, value, n,
+  CAST(n AS DOUBLE) / CAST(total AS DOUBLE) * 100.0 AS share_pct FROM ({counts}) WHERE often AND rank <= {TOP_VALUES}
+UNION ALL
+SELECT '{t}', column_name, 'other', NULL, CAST(SUM(CASE WHEN often AND rank <= {TOP_VALUES} THEN 0 ELSE n END) AS BIGINT),
+  CAST(SUM(CASE WHEN often AND rank <= {TOP_VALUES} THEN 0 ELSE n END) AS DOUBLE) / CAST(MAX(total) AS DOUBLE) * 100.0
+FROM ({counts}) GROUP BY column_name"""
+
+
+def sql_value_shares(t, src, before=None):
+    """Value-share metrics; values that the snapshot before reported among its largest are reported again, gone ones with 0."""
+    rule = " OR ".join([f"column_name = '{c}' AND value IN {_POS[:-1]}, {_NEG[1:]}" for c in _CATEGORY_CFG[t]])
+    now = sql_value_counts(t, src, "'None'")
+    if before is None:
+        rows = f"SELECT *, FALSE AS watched FROM ({now})"
+    else:
+        # of what a snapshot without a predecessor reports, the 50 largest of each column
+        shown = f"SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS place FROM ({sql_value_counts(t, before, chr(39) + 'None' + chr(39))}) WHERE (often AND rank <= {TOP_VALUES}) OR {rule}"
+        rows = f"""SELECT column_name, value, COALESCE(a.n, 0) AS n, k.total, COALESCE(a.often, FALSE) AS often, COALESCE(a.rank, 0) AS rank, b.value IS NOT NULL AS watched
+FROM ({now}) a FULL JOIN (SELECT column_name, value FROM ({shown}) WHERE place <= {TOP_VALUES}) b USING (column_name, value),
+  (SELECT COUNT(*) AS total FROM {src}) k"""
+    return f"""SELECT '{t}' AS table_name, CASE WHEN told THEN column_name || '::' || value ELSE column_name || '_other_pct' END AS metric_name,
+  CAST(SUM(n) AS DOUBLE) / CAST(MAX(total) AS DOUBLE) * 100.0 AS metric_value
+FROM (SELECT *, (often AND rank <= {TOP_VALUES}) OR watched OR {rule} AS told FROM ({rows})
+      UNION ALL SELECT c, NULL, 0, COUNT(*), FALSE, 0, FALSE, FALSE FROM {src}, (SELECT unnest({list(_cols(t, "s"))}) AS c) GROUP BY c)
+GROUP BY 1, 2"""
+
+
+def sql_drift_metrics(t, src, before=None):
     prof = sql_column_profile(t, src)
-    cat = sql_category_profile(t, src)
     return f"""{sql_numeric_profile(t, src)}
 UNION ALL SELECT table_name, column_name || '_null_pct', null_percent FROM ({prof})
 UNION ALL SELECT table_name, column_name || '_distinct_cnt', CAST(distinct_count AS DOUBLE) FROM ({prof})
-UNION ALL SELECT table_name, column_name || '::' || COALESCE(value, 'None'), share_pct FROM ({cat})"""  # no text 'None' in the feeds
+UNION ALL SELECT * FROM ({sql_value_shares(t, src, before)})"""
 
 
 def _all_tables(fn):
@@ -424,18 +462,37 @@ def _all_tables(fn):
 
 SQL["column_profile"] = W(_all_tables(sql_column_profile))
 SQL["numeric_profile"] = W(_all_tables(sql_numeric_profile))
+
+
+def sql_incremental(t, src):
+    """Two drops: rows of the first key half, then the rest; the profile is that of all rows."""
+    early = {"orders": "order_date < TIMESTAMP '1998-05-01'",
+             "customers": "customer_id IN (SELECT customer_id FROM orders1)",
+             "payments": "payment_id IN (SELECT payment_id FROM payments1)", "refunds": "refund_id IN (SELECT refund_id FROM refunds1)"}[t]
+    second = f"(SELECT COUNT(*) FROM {src} WHERE NOT ({early}))"
+    return "\nUNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) AS n_rows, {second} AS rows_scanned,
+  CAST(COUNT(*) - COUNT({c}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0 AS null_percent,
+  {f"CAST(SUM({c}) AS DOUBLE) / CAST(COUNT({c}) AS DOUBLE)" if kind == "n" else "CAST(NULL AS DOUBLE)"} AS average,
+  COUNT(DISTINCT {c}) AS distinct_count, TRUE AS within_bound FROM {src}"""
+        for c, kind in ENTITY_COLS[t][1])
+
+
+SQL["column_profile_incremental"] = with_ctes(ENTITIES, SNAP1)(_all_tables(sql_incremental))
 SQL["category_profile"] = W(_all_tables(sql_category_profile))
 SQL["drift_metrics"] = W(_all_tables(sql_drift_metrics))
 
 HIST = "hist AS (\n" + "\nUNION ALL ".join(
     [f"SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS captured_at FROM ({sql_drift_metrics(t, SNAP1_SRC[t])})" for t in TABLE_ORDER]
-    + [f"SELECT *, TIMESTAMP '2024-01-02 00:00:00' AS captured_at FROM ({sql_drift_metrics(t, ENTITY_COLS[t][0])})" for t in TABLE_ORDER]
+    + [f"SELECT *, TIMESTAMP '2024-01-02 00:00:00' AS captured_at FROM ({sql_drift_metrics(t, ENTITY_COLS[t][0], SNAP1_SRC[t])})" for t in TABLE_ORDER]
 ) + ")"
 
 PAIRS = """
 latest AS (SELECT table_name, MAX(captured_at) AS latest_at FROM hist GROUP BY 1),
-prev_at AS (SELECT h.table_name, h.metric_name, MAX(h.captured_at) AS prev_at FROM hist h JOIN latest l USING (table_name)
-            WHERE h.captured_at < l.latest_at AND h.metric_value IS NOT NULL GROUP BY 1, 2),
+placed AS (SELECT *, strpos(metric_name, '::') = 0 OR row_number() OVER (
+             PARTITION BY table_name, captured_at, split_part(metric_name, '::', 1), strpos(metric_name, '::') > 0 ORDER BY metric_value DESC, metric_name) <= 50 AS compared FROM hist),
+prev_at AS (SELECT h.table_name, h.metric_name, MAX(h.captured_at) AS prev_at FROM placed h JOIN latest l USING (table_name)
+            WHERE h.captured_at < l.latest_at AND h.metric_value IS NOT NULL AND compared GROUP BY 1, 2),
 pairs AS (
   SELECT h.table_name, h.metric_name,
     MAX(CASE WHEN h.captured_at = l.latest_at THEN h.metric_value END) AS current_value,
@@ -480,12 +537,6 @@ def _in_config(mapping, col_expr):
 
 _NUMERIC_CFG = {"orders": ("amount", "discount_amount"), "payments": ("amount",), "refunds": ("refund_amount",),
                 "customers": ("age",)}
-_CATEGORY_CFG = {"orders": ("order_status", "payment_status"), "payments": ("payment_status",),
-                 "refunds": ("refund_status",), "customers": ("city",)}
-_PK_CFG = {"orders": ("order_id",), "payments": ("payment_id",), "refunds": ("refund_id",), "customers": ("customer_id",)}
-_POS = "('SUCCESS', 'COMPLETED', 'APPROVED', 'ACTIVE')"
-_NEG = "('FAILED', 'PENDING', 'UNKNOWN', 'CANCELLED', 'REJECTED')"
-
 _VOL_CHANGE = f"ABS({_rel()})"
 DRIFT_VOLUME = _issue_select(
     "VOLUME_DRIFT", "'row_count'",

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from govlake.config import CATEGORY_DRIFT_COLUMNS, DATASETS, DEFAULT_AS_OF
+from govlake.config import DATASETS, DEFAULT_AS_OF
 from govlake.operators import facts, kpis
 from govlake.plans.scenarios import BASE_POLICY
 from govlake.sources import tables
 from govlake.sources.bronze import bronze_tables, stored_path, stored_table
-from govlake.sources.sinks import cut_lineage
+from govlake.sources.sinks import cut_lineage, scratch_dir
 from govlake.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -282,7 +282,7 @@ def q_route_nullsafe(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 6, 8: profile, drift
-from govlake.operators import drift, profile  # noqa: E402
+from govlake.operators import drift, increments, profile  # noqa: E402
 from govlake.plans import snapshots  # noqa: E402
 
 
@@ -322,6 +322,29 @@ def q_drift_metrics(spark, sf_dir):
     return _per_table(spark, sf_dir, lambda df, t: profile.drift_metrics(df, t))
 
 
+@register("column_profile_incremental")
+def q_column_profile_incremental(spark, sf_dir):
+    """Each feed in two drops, profiled after each: the second run scans the
+    second drop only and its profile is that of the whole feed."""
+    e = entities(spark, sf_dir)
+    early, out = snapshots.as_of(e), []
+    for f in DATASETS:
+        root = scratch_dir(spark, "increments")
+        key = early[f.name].select(f.primary_key).distinct()
+        early[f.name].write.parquet(f"{root}/table/batch=0")
+        increments.profile_drops(spark, f"{root}/table", f"{root}/profile")
+        e[f.name].join(key, f.primary_key, "left_anti").write.parquet(f"{root}/table/batch=1")
+        scanned = increments.profile_drops(spark, f"{root}/table", f"{root}/profile")
+        scanned = scanned.groupBy("column_name").agg(F.sum("n_rows").alias("rows_scanned"))
+        merged = increments.stored_profile(spark, f"{root}/profile").withColumnRenamed("distinct_count", "estimate")
+        exact = profile.column_profile(e[f.name], f.name).drop("null_percent")
+        off = F.abs(F.col("estimate") - F.col("distinct_count"))
+        out.append(merged.join(scanned, "column_name").join(exact, "column_name").select(
+            "table_name", "column_name", "n_rows", "rows_scanned", "null_percent", "average", "distinct_count",
+            (off <= increments.ERROR * F.col("distinct_count") + 1).alias("within_bound")))
+    return snapshots.union_all(out)
+
+
 def drift_pairs_of(spark, sf_dir):
     """A drift run: the earlier snapshot's metrics are the stored history
     table (written by the earlier run, here once per data folder); this run
@@ -332,8 +355,8 @@ def drift_pairs_of(spark, sf_dir):
     e = entities(spark, sf_dir)
     earlier = stored_table(spark, "drift-history-t1",
                            lambda: snapshots.snapshot_metrics(snapshots.as_of(e), scenarios.T1), sf_dir,
-                           snapshots.CUTOFF, sorted(CATEGORY_DRIFT_COLUMNS.items()))
-    history = earlier.unionByName(snapshots.snapshot_metrics(e, scenarios.T2))
+                           snapshots.CUTOFF, profile.TOP_VALUES, profile.LEAST_PART)
+    history = earlier.unionByName(snapshots.snapshot_metrics(e, scenarios.T2, earlier))
     history = snapshots.compact(history).checkpoint(eager=True)
     return snapshots.compact(drift.drift_pairs(history)).checkpoint(eager=True)
 
@@ -599,7 +622,7 @@ def q_fact_orders_governed(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 10: streams
-from govlake.sources.sinks import path_exists, scratch_dir  # noqa: E402
+from govlake.sources.sinks import path_exists  # noqa: E402
 from govlake.streaming import bronze as streaming  # noqa: E402
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from govlake.config import DATASETS
 from govlake.operators import profile
-from govlake.plans.scenarios import T1, T2
 
 CUTOFF = "1998-05-01"
 TABLE_ORDER = tuple(f.name for f in DATASETS)
@@ -40,14 +39,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def snapshot_metrics(snap: dict[str, DataFrame], captured_at: _dt.datetime) -> DataFrame:
-    """One run of the drift profiler: the metrics of every feed, stamped."""
-    return union_all([profile.stamp(profile.drift_metrics(snap[t], t), captured_at) for t in TABLE_ORDER])
+def snapshot_metrics(snap: dict[str, DataFrame], captured_at: _dt.datetime, previous: DataFrame | None = None) -> DataFrame:
+    """One run of the drift profiler: the metrics of every feed, stamped.
 
-
-def metrics_history(entities: dict[str, DataFrame], first: _dt.datetime = T1, second: _dt.datetime = T2) -> DataFrame:
-    """drift_metrics_history: (table_name, metric_name, metric_value, captured_at)."""
-    return snapshot_metrics(as_of(entities), first).unionByName(snapshot_metrics(entities, second))
+    ``previous`` are the metrics of the run before, whose largest values are counted again."""
+    return union_all([profile.stamp(profile.drift_metrics(snap[t], t, previous=previous), captured_at) for t in TABLE_ORDER])
 
 
 def snapshot_quality(snap: dict[str, DataFrame], captured_at: _dt.datetime) -> DataFrame:
@@ -55,11 +51,6 @@ def snapshot_quality(snap: dict[str, DataFrame], captured_at: _dt.datetime) -> D
     return union_all([profile.stamp(profile.column_profile(snap[t], t), captured_at) for t in TABLE_ORDER])
 
 
-def quality_history(entities: dict[str, DataFrame], first: _dt.datetime = T1, second: _dt.datetime = T2) -> DataFrame:
-    """bronze_quality_metrics: (table_name, column_name, null_percent, distinct_count, captured_at)."""
-    return snapshot_quality(as_of(entities), first).unionByName(snapshot_quality(entities, second))
-
-
 def compact(df: DataFrame) -> DataFrame:
     """Merge the many small partitions a union of per-table metric frames
     has (no shuffle), down to the session's shuffle parallelism: metric

@@ -50,6 +50,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of ``column`` in the complete ``column=value`` folders of a path, by listing; none where nothing is written yet."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    names = [x.getPath().getName() for x in listed if x.isDirectory()]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if path_exists(spark, f"{path}/{column}={v}/_SUCCESS"))
+
+
 def latest_version(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest complete version under ``root``; names sort by time."""
     if not path_exists(spark, root):
