@@ -39,6 +39,15 @@ DRIFT_SCHEMA = T.StructType(
 )
 
 
+#: Control tables, one row per decision.
+GUARDIAN_CONTROL_SCHEMA = (
+    "table_name string, allow_processing boolean, severity string, fix_json string, updated_at timestamp"
+)
+DRIFT_CONTROL_SCHEMA = (
+    "table_name string, allow_processing boolean, severity string, agent_result_json string, updated_at timestamp"
+)
+
+
 # --------------------------------------------------------------------------- C1
 def latest_control(ctrl: DataFrame, key: str = "table_name", ts: str = "updated_at") -> DataFrame:
     """The newest row per key, for all keys at once (one aggregate).

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -622,8 +623,10 @@ def q_fact_orders_governed(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- step 10: streams
+from govlake.sources import sinks  # noqa: E402
 from govlake.sources.sinks import path_exists  # noqa: E402
 from govlake.streaming import bronze as streaming  # noqa: E402
+from govlake.streaming import schemas  # noqa: E402
 
 
 def _write_drops(spark, sf_dir, bad_text: bool):
@@ -651,11 +654,24 @@ def _ingest_two_drops(spark, sf_dir, bad_text):
     feed, table, ckpt = f"{root}/feed", f"{root}/bronze", f"{root}/checkpoint"
     first.write.option("header", True).csv(feed)
     streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
-    second.write.mode("append").option("header", True).csv(feed)
+    _deliver(spark, second.write.option("header", True), root, feed)
     streaming.ingest(streaming.bronze_stream(spark, feed), schema, table, ckpt)
     return spark.read.parquet(table).drop("batch")
 
 
+def _deliver(spark, writer, root, feed) -> int:
+    """Files of a drop, named as people name them, put into the feed's folder; how many."""
+    drop = f"{root}/drop-{uuid.uuid4().hex}"
+    writer.csv(drop)
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(drop).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(to_path(feed))
+    files = [f.getPath() for f in fs.listStatus(to_path(drop)) if f.getPath().getName().startswith("part-")]
+    for i, f in enumerate(files):
+        fs.rename(f, to_path(to_path(feed), f"orders [{i}] 100% \u00fcber {uuid.uuid4().hex}.csv"))
+    return len(files)
+
+
 @register("bronze_stream_orders")
 def q_bronze_stream_orders(spark, sf_dir):
     return report(_ingest_two_drops(spark, sf_dir, bad_text=True))
@@ -680,6 +696,63 @@ def q_stream_route(spark, sf_dir):
     return report(routed.select(*[c for c in gate.route(entities(spark, sf_dir)["orders"], dec).columns]))
 
 
+@register("bronze_malformed")
+def q_bronze_malformed(spark, sf_dir):
+    """Drops with quoted line breaks, with surplus fields and with missing ones: every record is kept."""
+    orders = entities(spark, sf_dir)["orders"].select("order_id", "order_status", F.col("amount").cast("string").alias("amount"))
+    root = scratch_dir(spark, "stream")
+    part = F.col("order_id") % 3
+    note = F.concat(F.lit("first, then\nsecond "), "order_status")
+    _deliver(spark, orders.where(part == 0).select("order_id", note.alias("order_status"), "amount").write.option("header", True), root, f"{root}/feed")
+    raw = F.concat_ws(",", F.col("order_id").cast("string"), "order_status", F.when(part == 1, F.concat("amount", F.lit(",late"))))
+    lines = orders.where(part != 0).select(raw.alias("order_id,order_status,amount"))
+    _deliver(spark, lines.write.option("header", True).option("quote", "").option("sep", "\t"), root, f"{root}/feed")
+    schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("order_status", T.StringType()), T.StructField("amount", T.DoubleType())])
+    streaming.ingest(streaming.bronze_stream(spark, f"{root}/feed"), schema, f"{root}/bronze", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/bronze").drop("batch")
+
+
+@register("schema_evolution")
+def q_schema_evolution(spark, sf_dir):
+    """A stream without a schema argument over three drops, started anew for each: whole
+    amounts; amounts with cents and a new column; product ids that do not parse."""
+    orders = entities(spark, sf_dir)["orders"].withColumn("drop", F.when(F.year("order_date") < 1997, 1).when(F.year("order_date") < 1999, 2).otherwise(3))
+    root = scratch_dir(spark, "stream")
+    store = schemas.SchemaStore(spark, f"{root}/schema")
+    bad = F.concat(F.when((F.col("drop") == 3) & (F.col("order_status") == "CANCELLED"), "P").otherwise(""), F.col("product_id").cast("string"))
+    amount = F.when(F.col("drop") == 1, F.floor("amount").cast("string")).otherwise(F.col("amount").cast("string"))
+    rows = orders.select("drop", "order_id", bad.alias("product_id"), "order_date", amount.alias("amount"), F.col("order_status").alias("channel"))
+    for number in (1, 2, 3):
+        some = rows.where(F.col("drop") == number).drop("drop", *(["channel"] if number == 1 else []))
+        _deliver(spark, some.write.option("header", True), root, f"{root}/feed")
+        streaming.ingest(streaming.bronze_stream(spark, f"{root}/feed"), store, f"{root}/bronze", f"{root}/checkpoint")
+    rescued = T.StructField(streaming.RESCUED, T.StringType())
+    out = schemas.read_evolved(spark, f"{root}/bronze", store, (rescued,))
+    kinds = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in store.at().fields)
+    return out.withColumns({"order_id": F.col("order_id").cast("bigint"), "product_id": F.col("product_id").cast("bigint"),
+                            "versions": F.lit(len(store.versions())), "types": F.lit(kinds.replace("order_id:bigint", "order_id:int"))})
+
+
+@register("stream_governed")
+def q_stream_governed(spark, sf_dir):
+    """Two batches of one run; the guardian blocks the orders after the first."""
+    schema, root, first, second = _write_drops(spark, sf_dir, bad_text=False)
+    guardian, drift_control_root = f"{root}/guardian", f"{root}/drift"
+    g, d = scenario_controls(spark)
+    sinks.write_version(g, guardian)
+    sinks.write_version(d, drift_control_root)
+    files = _deliver(spark, first.write.option("header", True), root, f"{root}/feed")
+    _deliver(spark, second.repartition(files).write.option("header", True), root, f"{root}/feed")
+
+    def block(number: int) -> None:
+        if number == 0:
+            sinks.write_version(scenario_controls(spark, _BLOCK)[0], guardian)
+
+    streaming.stream_governed(streaming.bronze_stream(spark, f"{root}/feed", files), schema, "bronze_orders", guardian, drift_control_root,
+                              f"{root}/routed", f"{root}/checkpoint", after=block)
+    return report(spark.read.parquet(f"{root}/routed").drop("control_version", "batch"))
+
+
 @register("inferred_schema")
 def q_inferred_schema(spark, sf_dir):
     """The schema found in a written CSV drop of each feed, with the rows it was found in."""

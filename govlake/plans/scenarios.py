@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as _dt
 import json
 
+from govlake.operators.control import DRIFT_CONTROL_SCHEMA, GUARDIAN_CONTROL_SCHEMA  # noqa: F401
+
 # Policy row rules that keep positive order amounts and positive refunds.
 BASE_POLICY = {
     "strategy": "ENFORCE",
@@ -104,11 +106,3 @@ def drift_control_rows(overrides: dict | None = None) -> list[tuple]:
         rows.append((table, False, "HIGH", json.dumps({"drifts": [], "overall_severity": "HIGH"}), T1))
         rows.append((table, s != "HIGH", s, json.dumps({"drifts": [], "overall_severity": s}), T2))
     return rows
-
-
-GUARDIAN_CONTROL_SCHEMA = (
-    "table_name string, allow_processing boolean, severity string, fix_json string, updated_at timestamp"
-)
-DRIFT_CONTROL_SCHEMA = (
-    "table_name string, allow_processing boolean, severity string, agent_result_json string, updated_at timestamp"
-)

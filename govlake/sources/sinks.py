@@ -61,14 +61,20 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(v for v in values if path_exists(spark, f"{path}/{column}={v}/_SUCCESS"))
 
 
-def latest_version(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest complete version under ``root``; names sort by time."""
+def latest_version_path(spark: SparkSession, root: str) -> str | None:
+    """The newest complete version folder under ``root``; names sort by time."""
     if not path_exists(spark, root):
         return None
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     listed = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
     done = [s for s in sorted(x.getPath().toString() for x in listed) if path_exists(spark, f"{s}/_SUCCESS")]
-    return spark.read.parquet(done[-1]) if done else None
+    return done[-1] if done else None
+
+
+def latest_version(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest complete version of a table that is written whole."""
+    path = latest_version_path(spark, root)
+    return spark.read.parquet(path) if path else None
 
 
 def upsert_table(current: DataFrame, updates: DataFrame, keys: list[str], ts: str, root: str) -> DataFrame:
