@@ -48,7 +48,7 @@ NULL_LABEL = "None"
 #: Longest list of candidates of a column: twice the values that can hold 1 row in ``LEAST_PART``.
 CANDIDATES = 2 * LEAST_PART
 
-VALUES = "column_name string, value string"
+WATCHED = "column_name string, value string, always boolean"
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -165,31 +165,32 @@ def top_values(df: DataFrame, columns: list[str], watched: DataFrame | None = No
     """(column_name, kind, value, n, n_rows): reported values (kind ``value``) and the rest (kind ``other``).
 
     NULL is a value (kind ``null`` unless it has a ``label``, which then joins a
-    text that is spelt so). ``watched`` is (column_name, value); a watched value
-    without rows is reported with n = 0.
+    text that is spelt so). ``watched`` is (column_name, value, always): its
+    values are reported if they have rows, or always.
     """
     found = frequent_values(df, columns)
-    asked = df.sparkSession.createDataFrame([], VALUES) if watched is None else watched.select("column_name", "value")
-    asked = asked.where(F.col("column_name").isin(columns) & F.col("value").isNotNull()).distinct()
+    asked = df.sparkSession.createDataFrame([], WATCHED) if watched is None else watched
+    asked = asked.where(F.col("column_name").isin(columns) & F.col("value").isNotNull())
     # the condition keeps all of a sketch scan's columns here too, so that one scan serves every use of ``found``
     listed = found.where("n_rows > 0 AND non_null > 0").select("column_name", F.explode("items").alias("value")).where(F.col("value").isNotNull())
-    counted = value_counts(df, columns, listed.unionByName(asked).distinct())
-    # watched values without rows, and NULL, whose rows are known already
-    missing = found.withColumn("n", F.col("n_rows") - F.col("non_null")).where("n > 0").select("column_name", F.lit(label).alias("value"), "n")
-    zero = asked.select("column_name", "value", F.lit(0).cast("long").alias("n"))
-    counts = counted.unionByName(zero).unionByName(missing).groupBy("column_name", "value").agg(F.sum("n").alias("n"))
-    asked = asked.select("column_name", "value", F.lit(True).alias("asked"))
-    rows = counts.join(F.broadcast(found.select("column_name", "n_rows")), "column_name").join(F.broadcast(asked), ["column_name", "value"], "left")
-    often = F.col("n") * LEAST_PART >= F.col("n_rows")
-    first = Window.partitionBy("column_name", "often").orderBy(F.col("n").desc(), F.col("value").asc_nulls_last())  # CANDIDATES and the watched, at most
-    ranked = rows.withColumn("often", often).withColumn("rank", F.row_number().over(first))
-    reported = ranked.where((F.col("often") & (F.col("rank") <= TOP_VALUES)) | F.col("asked")).select(
-        "column_name", F.when(F.col("value").isNull(), "null").otherwise("value").alias("kind"), "value", "n", "n_rows")
-    rest = reported.groupBy("column_name").agg(F.sum("n").alias("told")).join(
-        F.broadcast(found.select("column_name", "n_rows")), "column_name", "right")
-    rest = rest.select("column_name", F.lit("other").alias("kind"), F.lit(None).cast("string").alias("value"),
-                       (F.col("n_rows") - F.coalesce("told", F.lit(0))).alias("n"), "n_rows")
-    return reported.unionByName(rest)
+    counted = value_counts(df, columns, listed.unionByName(asked.select("column_name", "value")).distinct())
+    nulls = found.withColumn("n", F.col("n_rows") - F.col("non_null")).where("n > 0")
+    no = F.lit(None).cast("boolean").alias("always")
+    rows = counted.select("column_name", "value", "n", no).unionByName(asked.select("column_name", "value", F.lit(0).cast("long").alias("n"), "always"))
+    rows = rows.unionByName(nulls.select("column_name", F.lit(label).alias("value"), "n", no))
+    rows = rows.groupBy("column_name", "value").agg(F.sum("n").alias("n"), F.max("always").alias("always"))
+    # one short list per column, CANDIDATES and the watched at most: most frequent first, ties by value, NULL last
+    place = F.struct((-F.col("n")).alias("less"), F.col("value").isNull().alias("is_null"), "value", "n", "always")
+    lists = rows.groupBy("column_name").agg(F.array_sort(F.collect_list(place)).alias("items"))
+    per_column = found.select("column_name", "n_rows").join(F.broadcast(lists), "column_name", "left")
+    often = lambda x: x["n"] * LEAST_PART >= F.col("n_rows")
+    shown = F.filter("items", lambda x, i: (often(x) & (i < TOP_VALUES)) | F.coalesce(x["always"] | (x["n"] > 0) & x["always"].isNotNull(), F.lit(False)))
+    per_column = per_column.withColumn("shown", F.coalesce(shown, F.array().cast(lists.schema["items"].dataType)))  # a column without rows
+    total = F.aggregate("shown", F.lit(0).cast("long"), lambda t, x: t + x["n"])
+    line = lambda kind, value, n: F.struct(kind.alias("kind"), value.alias("value"), n.alias("n"))
+    values = F.transform("shown", lambda x: line(F.when(x["value"].isNull(), "null").otherwise("value"), x["value"], x["n"]))
+    rest = F.array(line(F.lit("other"), F.lit(None).cast("string"), F.col("n_rows") - total))
+    return per_column.select("column_name", F.inline(F.concat(values, rest)), "n_rows")
 
 
 def category_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -223,9 +224,9 @@ def reported_before(metrics: DataFrame) -> DataFrame:
 
 
 def rule_values(df: DataFrame, table: str) -> DataFrame:
-    """(column_name, value) that the drift rules read, whatever their share."""
-    rows = [(c, v) for c in CATEGORY_DRIFT_COLUMNS.get(table, ()) if c in df.columns for v in (*POSITIVE_CATEGORIES, *NEGATIVE_CATEGORIES)]
-    return df.sparkSession.createDataFrame(rows, VALUES)
+    """(column_name, value, always) that the drift rules read, whatever their share."""
+    rows = [(c, v, False) for c in CATEGORY_DRIFT_COLUMNS.get(table, ()) if c in df.columns for v in (*POSITIVE_CATEGORIES, *NEGATIVE_CATEGORIES)]
+    return df.sparkSession.createDataFrame(rows, WATCHED)
 
 
 def drift_metrics(df: DataFrame, table: str, approx: bool = False, previous: DataFrame | None = None) -> DataFrame:
@@ -252,12 +253,11 @@ def drift_metrics(df: DataFrame, table: str, approx: bool = False, previous: Dat
         df.agg(F.count(F.lit(1)).cast("double").alias("metric_value")).select(F.lit("row_count").alias("metric_name"), "metric_value"))
     strings = string_columns(df)
     if strings:
-        watched = rule_values(df, table).withColumn("rule", F.lit(True))
+        watched = rule_values(df, table)
         if previous is not None:
-            before = reported_before(previous.where(F.col("table_name") == table)).select("column_name", "value", F.lit(False).alias("rule"))
-            watched = watched.unionByName(before).groupBy("column_name", "value").agg(F.min("rule").alias("rule"))
-        told = top_values(df, strings, watched, NULL_LABEL).join(F.broadcast(watched), ["column_name", "value"], "left")
-        told = told.where((F.col("n") > 0) | ~F.coalesce("rule", F.lit(False)))  # a status that never occurred is no metric
+            before = reported_before(previous.where(F.col("table_name") == table)).select("column_name", "value", F.lit(True).alias("always"))
+            watched = watched.unionByName(before).groupBy("column_name", "value").agg(F.max("always").alias("always"))
+        told = top_values(df, strings, watched, NULL_LABEL)
         name = F.when(F.col("kind") == "other", F.concat("column_name", F.lit(OTHER))).otherwise(F.concat("column_name", F.lit("::"), "value"))
         out = out.unionByName(told.select(name.alias("metric_name"), share(F.col("n"), F.col("n_rows")).alias("metric_value")))
     return out.select(F.lit(table).alias("table_name"), "metric_name", "metric_value")

@@ -1073,3 +1073,54 @@ _CSV_TYPES = {
 SQL["inferred_schema"] = W("\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS type, (SELECT COUNT(*) FROM {ENTITY_COLS[t][0]}) AS rows"
     for t, columns in _CSV_TYPES.items() for c, kind in columns))
+
+# ------------------------------------------------------------ what two pipeline runs leave
+# The earlier run: orders before June 2001, and a third of their refunds.
+SNAP_PIPE = SNAP1.replace("1998-05-01", "2001-06-01").replace(
+    "FROM refunds WHERE", "FROM refunds WHERE refund_id % 3 = 0 AND")
+_GUARD_REJECTS = {
+    "orders": "NOT (amount >= 0.01 AND discount_amount <= amount)", "customers": "NOT (age BETWEEN 0 AND 120)", "refunds": "NOT (refund_amount >= 0.01)"}
+_PIPE_RULES = [("orders", "discount_within_limit", "discount_amount <= amount * 0.06"), ("customers", "adult_or_unknown", "age >= 18 OR age IS NULL"),
+               ("payments", "successful_payment", "payment_status = 'SUCCESS'"), ("refunds", "refund_worth_paying", "refund_amount > 2000")]
+
+
+def _pipe_silver(t, src, closed):
+    """Silver of a table under the guardian decision derived from its rows."""
+    if t == "orders":
+        return f"(SELECT * FROM (SELECT abs(amount) AS amount, coalesce(discount_amount, 0) AS discount_amount FROM {src}) WHERE amount >= 0.01 AND discount_amount <= amount)"
+    keeps = {"customers": "age BETWEEN 0 AND 120", "payments": "TRUE", "refunds": "refund_amount >= 0.01"}[t]
+    return f"(SELECT * FROM {src} WHERE {'FALSE' if t in closed else keeps})"
+
+
+_RUNS = (("2024-01-01", SNAP1_SRC, ()), ("2024-01-03", {t: ENTITY_COLS[t][0] for t in TABLE_ORDER}, ("refunds",)))
+_O1 = "\nUNION ALL ".join(
+    f"SELECT 'O1' AS question, DATE '{day}' AS day, '{t}' AS about, '{'DRIFT_HIGH_SEVERITY' if t in closed else 'GUARDIAN_FILTER_FAILED'}' AS what, "
+    f"COUNT(*) AS n FROM {src[t]} WHERE {'TRUE' if t in closed else bad}"
+    for day, src, closed in _RUNS for t, bad in _GUARD_REJECTS.items())
+_O3 = "SELECT 'O3', NULL, t, rule, CAST(SUM(n) AS BIGINT) FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS t, '{rule}' AS rule, COUNT(*) AS n FROM {_pipe_silver(t, src[t], closed)} WHERE NOT COALESCE({ok}, FALSE)"
+    for _, src, closed in _RUNS for t, rule, ok in _PIPE_RULES) + ") GROUP BY ALL"
+_LOGGED = "\nUNION ALL ".join(
+    f"SELECT '{log}', DATE '{day}', 'bronze_' || t.table_name, 'rows', greatest(COUNT(i.table_name), 1) "
+    f"FROM (VALUES ('orders'), ('customers'), ('payments'), ('refunds')) t(table_name) LEFT JOIN {issues_of} i USING (table_name) GROUP BY t.table_name"
+    for log in ("audit", "events") for day, issues_of in (("2024-01-01", "issues1"), ("2024-01-03", "issues2")))
+SQL["pipeline_governance"] = with_ctes(
+    ENTITIES, SNAP_PIPE, HIST, PAIRS, SHARES, ISSUES, CHECKS_VALUES, sql_failures("fails1", SNAP1_SRC), sql_issues("issues1", "fails1"),
+    sql_failures("fails2", FULL_SRC), sql_issues("issues2", "fails2"))(f"""
+SELECT * FROM (
+{_O1}
+UNION ALL SELECT 'O2', DATE '2024-01-01', issue_type, severity, COUNT(*) FROM issues WHERE severity IN ('MEDIUM', 'HIGH') GROUP BY issue_type, severity
+UNION ALL {_O3}
+UNION ALL {_LOGGED}) WHERE n > 0""")
+
+_SECOND = _RUNS[1][1]
+_DATASETS = [(f"silver_{t}", f"COUNT(*) FROM {_pipe_silver(t, _SECOND[t], ('refunds',))}") for t in TABLE_ORDER]
+_DATASETS += [(f"quarantine_{t}", f"COUNT(*) FROM {_SECOND[t]} WHERE {'TRUE' if t == 'refunds' else _GUARD_REJECTS.get(t, 'FALSE')}") for t in TABLE_ORDER]
+_DATASETS += [(f"gold_quarantine_{t}", f"COUNT(*) FROM {_pipe_silver(t, _SECOND[t], ('refunds',))} WHERE NOT COALESCE({ok}, FALSE)") for t, _, ok in _PIPE_RULES]
+_DATASETS += [("fact_orders", "COUNT(*) FROM fact"), ("kpi_customer_lifetime_value", "COUNT(DISTINCT customer_id) FROM fact"),
+              ("kpi_payment_method_performance", "COUNT(DISTINCT coalesce(payment_method, '')) FROM fact")]
+_DATASETS += [(n, "COUNT(DISTINCT CAST(order_date AS DATE)) FROM fact") for n in (
+    "kpi_daily_order_revenue", "kpi_payment_success_rate", "kpi_refund_rate", "kpi_discount_impact")] + [("insights", "COUNT(*) FROM ins")]
+SQL["pipeline_datasets"] = with_ctes(ENTITIES, SILVER, PIPE_FACT, KPI_DAILY_ALL, DM, TR, SIG, DRV, INS)(
+    "\nUNION ALL ".join(f"SELECT '{name}' AS dataset, {body[:8]} AS rows{body[8:]}" if body.startswith("COUNT(*)") else
+                        f"SELECT '{name}' AS dataset, {body.split(' FROM ')[0]} AS rows FROM {body.split(' FROM ')[1]}" for name, body in _DATASETS))

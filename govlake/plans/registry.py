@@ -855,13 +855,13 @@ def law_table(spark):
     return spark.createDataFrame(rows, "policy_json string, is_active boolean, created_at timestamp")
 
 
-def _pipeline_runs(spark, sf_dir):
+def _pipeline_root(spark, sf_dir):
     """Two runs: over the feeds of two months earlier, when two thirds of the
     refunds had not arrived, and over all of them now. The earlier run is
     stored once per data folder; this one starts from what it left."""
     e = entities(spark, sf_dir)
     day = "2001-06-01"
-    before = stored_path(spark, "pipeline-t1", sf_dir, day)
+    before = stored_path(spark, "pipeline-t1", sf_dir, day, "logs")
     if not path_exists(spark, f"{before}/done/_SUCCESS"):
         early = snapshots.as_of(e, day)
         early["refunds"] = early["refunds"].where("refund_id % 3 = 0")
@@ -869,7 +869,43 @@ def _pipeline_runs(spark, sf_dir):
         _table_list(spark).write.mode("overwrite").parquet(f"{before}/done")
     root = scratch_dir(spark, "pipeline")
     pipeline.carry_over(spark, before, root)
-    return pipeline.run(e, law_table(spark), root, DEFAULT_AS_OF, scenarios.PIPELINE_NAME)
+    return root, pipeline.run(e, law_table(spark), root, DEFAULT_AS_OF, scenarios.PIPELINE_NAME)
+
+
+def _pipeline_runs(spark, sf_dir):
+    return _pipeline_root(spark, sf_dir)[1]
+
+
+@register("pipeline_governance")
+def q_pipeline_governance(spark, sf_dir):
+    """O1-O3 asked of what the two runs left in their logs: quarantined rows per
+    day, table and reason; drift alerts per week; rows per broken rule; and the
+    audit and event rows per run."""
+    root, _ = _pipeline_root(spark, sf_dir)
+    log = lambda name: pipeline.read_log(spark, root, name)
+    row = lambda question, day, about, what, n: [F.lit(question).alias("question"), F.col(day).cast("date").alias("day"), about.alias("about"), what.alias("what"), n.alias("n")]
+    quarantined = log("quarantine").groupBy("quarantine_day", "table_name", "quarantine_reason").agg(F.sum("records").alias("n"))
+    alerts = governance.drift_alerts_weekly(log("drift_audit"))
+    rules = log("failed_rules").groupBy("table_name", "rule_name").agg(F.sum("failed_rows").alias("n")).withColumn("day", F.lit(None).cast("date"))
+    audits = log("guardian_audit").groupBy(F.to_date("event_time").alias("day"), "table_name").agg(F.count(F.lit(1)).alias("n"))
+    events = log("guardian_events").groupBy(F.to_date("event_time").alias("day"), "table_name").agg(F.count(F.lit(1)).alias("n"))
+    return snapshots.union_all([
+        quarantined.select(*row("O1", "quarantine_day", F.col("table_name"), F.col("quarantine_reason"), F.col("n"))),
+        alerts.select(*row("O2", "week_start", F.col("issue_type"), F.col("severity"), F.col("alerts"))),
+        rules.select(*row("O3", "day", F.col("table_name"), F.col("rule_name"), F.col("n"))),
+        audits.select(*row("audit", "day", F.col("table_name"), F.lit("rows"), F.col("n"))),
+        events.select(*row("events", "day", F.col("table_name"), F.lit("rows"), F.col("n"))),
+    ])
+
+
+@register("pipeline_datasets")
+def q_pipeline_datasets(spark, sf_dir):
+    """Rows of every dataset that the second run left."""
+    out = _pipeline_runs(spark, sf_dir)
+    sets = {f"silver_{t}": d for t, d in out.silver.items()} | {f"quarantine_{t}": d for t, d in out.quarantine.items()}
+    sets |= {f"gold_quarantine_{t}": d for t, d in out.gold_quarantine.items()} | {f"kpi_{k}": d for k, d in out.kpis.items()}
+    sets |= {"fact_orders": out.fact, "insights": out.insights}
+    return snapshots.union_all([d.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows") for n, d in sets.items()])
 
 
 @register("pipeline_kpi_daily")

@@ -33,6 +33,15 @@ def append_stamped(df: DataFrame, path: str, as_of: _dt.datetime, ts_col: str =
     return materialise(df.withColumn(ts_col, F.lit(as_of).cast("timestamp")), path, mode="append")
 
 
+#: Partition column of logs and histories: the stamp of the run that wrote a row.
+RUN = "run"
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """Append one run's rows to a log (A7), replacing what an earlier attempt of that run left."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUN}={run}")
+
+
 def write_version(df: DataFrame, root: str) -> str:
     """Write ``df`` as a new version folder under ``root`` and return its path.
 

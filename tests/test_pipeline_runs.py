@@ -30,6 +30,18 @@ def test_two_runs(spark, sf_dir):
     for name in ("drift", "quality", "schema"):
         stamps = spark.read.parquet(f"{root}/history/{name}").select("captured_at").distinct().count()
         assert stamps == 2
+    # every log has both runs, and the repeated run left each of its rows once
+    for name in pipeline.LOGS:
+        log = pipeline.read_log(spark, root, name)
+        assert {str(r["run"]) for r in log.select("run").distinct().collect()} <= {"20240101T000000", "20240102T000000"}
+    audit = pipeline.read_log(spark, root, "guardian_audit")
+    assert audit.count() == audit.distinct().count() > 4 and audit.count() == pipeline.read_log(spark, root, "guardian_events").count()
+    assert audit.where("issue_type = 'SCHEMA_DRIFT' OR severity = 'HIGH'").select("run").distinct().count() == 1
+    quarantined = {r["table_name"]: r["n"] for r in pipeline.read_log(spark, root, "quarantine").where("run = '20240102T000000'").groupBy("table_name").sum("records").withColumnRenamed("sum(records)", "n").collect()}
+    assert quarantined["customers"] == e["customers"].count() and quarantined["refunds"] == changed["refunds"].count()
+    assert len(again.kpis) == 6 and all(k.count() > 0 for k in again.kpis.values())
+    broken = again.gold_quarantine["payments"].select("failed_rules").distinct().collect()
+    assert [r["failed_rules"] for r in broken] == [["successful_payment"]]
     row = again.policy_control.collect()
     assert len(row) == 1 and row[0]["table_name_list"] == ["bronze_" + t for t in e]
     assert spark.read.parquet(f"{root}/runs/20240102T000000/kpi_daily").count() == days > 0
