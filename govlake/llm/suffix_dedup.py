@@ -1,16 +1,13 @@
 """Suffix-array dedup (7): bytes covered by a long string that also starts earlier are removed.
 
-Prefix doubling, in the sparse form: the first round ranks positions by the
-``length // 2`` bytes that follow, the second by the pair of ranks at the
-position and at the offset ``length // 2``, which reaches the threshold, so
-equal pairs are equal ``length``-byte strings. After each round a position
-whose rank is unique drops out. Ranks are names (128-bit hashes) that Spark
-range-sorts and groups; only equality is used, so names need not be dense.
-The first round keeps, of each window, the position whose name is smallest:
-equal windows keep the same one, so a window none of whose kept positions
-repeats is unique, and one sorted row stands for about 26 positions
-(``govlake.llm.repeats``). Positions that survive it are ranked one by one, but
-for equal stretches, which are ranked once.
+The method dealt, prefix doubling with a Spark sort of position ranks at growing
+offsets, is not used here; the search is ``govlake.llm.repeats``'s over bytes. Of
+each ``length // 2``-byte window the position with the smallest hash is a seed:
+equal windows keep the same one, so a window none of whose seeds repeats is
+unique, and one row stands for about 26 positions. Seeds are dealt by hash and
+sorted in each task; windows of ``length`` bytes around repeated seeds are then
+compared by 128-bit hashes, equal stretches once. It finds the strings that the
+doubling would.
 
 A null text is empty. Texts are UTF-8 bytes; matches never cross documents.
 "Earlier" is a smaller id (null is the smallest), on equal ids input order,
