@@ -249,14 +249,11 @@ def PY(c: str) -> str:
 SQL["insight_context"] = WS(f"""
 SELECT COUNT(*) AS days, string_agg(line, '\n' ORDER BY insight_date DESC) AS context_text FROM (
   SELECT insight_date,
-    'Date: ' || {PY('insight_date')} || ', Net Revenue: ' || {NUM('net_revenue')}
-    || ', Net Revenue Week-over-week percent: ' || {NUM('net_revenue_wow_pct')}
-    || ', Orders Count: ' || {PY('orders_count')} || ', Orders week-over-week percent: ' || {NUM('orders_wow_pct')}
-    || ', Payment Success Rate: ' || {NUM('payment_success_rate')} || ', Payment Health : ' || {PY('payment_health')}
-    || ', Refund Rate: ' || {NUM('refund_rate')} || ', Refund Risk: ' || {PY('refund_risk')}
-    || ', Discount Percent: ' || {NUM('discount_pct')} || ', Driver: ' || {PY('revenue_driver')}
-    || ', Risk: ' || CASE WHEN risk_flag THEN 'True' WHEN NOT risk_flag THEN 'False' ELSE 'None' END
-    || chr(10) || 'Summary: ' || {PY('executive_summary')} AS line
+    {PY('insight_date')} || ' | net revenue ' || {NUM('net_revenue')} || ' (week ' || {NUM('net_revenue_wow_pct')} || ' %) | orders '
+    || {PY('orders_count')} || ' (week ' || {NUM('orders_wow_pct')} || ' %) | paid ' || {NUM('payment_success_rate')} || ' % [' || {PY('payment_health')}
+    || '] | refunded ' || {NUM('refund_rate')} || ' % [' || {PY('refund_risk')} || '] | discounts ' || {NUM('discount_pct')}
+    || ' % | moved by ' || {PY('revenue_driver')} || ' | needs attention: '
+    || CASE WHEN risk_flag THEN 'yes' WHEN NOT risk_flag THEN 'no' ELSE 'unknown' END || chr(10) || '  ' || {PY('executive_summary')} AS line
   FROM ins ORDER BY insight_date DESC LIMIT 14)""")
 
 _WS_RE = "[\\t\\n\\x0B\\f\\r ]"
