@@ -24,6 +24,7 @@ result.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +39,7 @@ from govlake.llm.common import U64, mix, pick, ship, table
 
 DIMENSIONS = 1 << 14
 LONGEST = 3
-#: Labelled rows that training may use, all languages together.
+#: Labelled rows that training may use, all languages together; with more languages than this, one row of each.
 SAMPLE = 3000
 EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 0.0005, 0.0005
 UNKNOWN = "und"
@@ -56,7 +57,7 @@ def letters(text: str) -> np.ndarray:
 
 
 def letter_table() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x30000)])
+    return np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)])
 
 
 _letters: list[np.ndarray] = []
@@ -65,7 +66,7 @@ _letters: list[np.ndarray] = []
 def is_letter(code: np.ndarray) -> np.ndarray:
     if not _letters:
         _letters.append(letter_table())
-    return _letters[0][np.minimum(code, 0x2FFFF)]
+    return _letters[0][code]
 
 
 def slots(code: np.ndarray) -> np.ndarray:
@@ -180,14 +181,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     df, total = document_frequencies(rows.select("text"))
     idf = np.log((1 + total) / (1 + df)) + 1
 
-    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(sample).collect()}
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
     each = max(1, sample // max(1, len(counts)))
     # an equal part of each language by hash order: a threshold on the hash first, so that few rows are sorted
     order = F.xxhash64(F.lit("sample"), "id", F.xxhash64("text"))
-    share = F.lit(1.0)
-    for label, n in counts.items():
-        share = F.when(F.col("label") == label, min(1.0, 2.0 * each / n + 100.0 / n)).otherwise(share)
-    near = rows.where(F.col("label").isin(list(counts))).withColumn("at", order).where(F.pmod("at", F.lit(1 << 30)) < share * (1 << 30))
+    part = {label: min(1.0, 2.0 * each / n + 100.0 / n) for label, n in counts.items()}
+    share = F.try_element_at(F.map_from_arrays(F.lit(list(part)), F.lit(list(part.values()))), "label") if part else F.lit(0.0)
+    near = rows.withColumn("at", order).where(F.pmod("at", F.lit(1 << 30)) < share * (1 << 30))
     first = near.withColumn("rank", F.row_number().over(W.partitionBy("label").orderBy("at"))).where(F.col("rank") <= each)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,3 +39,13 @@ def test_every_letter_counts():
     assert "".join(map(chr, lid.letters("A-b  c"))) == " a b c "
     used, counts = lid.features("ab ab")
     assert counts.sum() == 7 + 6 + 5
+    assert "".join(map(chr, lid.letters("\U00030000\U00031350"))) == " \U00030000\U00031350 "
+
+
+def test_more_languages_than_sampled_rows(spark):
+    words = {f"l{k}": chr(0x4E00 + 9 * k) * 3 for k in range(12)}
+    rows = [(i, w, k) for i in range(3) for k, w in words.items()]
+    model = lid.fit(spark.createDataFrame(rows, "id long, text string, label string"), sample=5)
+    assert model.labels == sorted(words)
+    out = lid.identify(spark.createDataFrame([(w, k) for k, w in words.items()], "text string, truth string"), model).collect()
+    assert all(r.lang_pred in words for r in out) and len({r.lang_pred for r in out}) > 1
