@@ -2,16 +2,20 @@
 
 * *Strip.* Markup is removed; each block-level element begins a line. Elements
   that are not article text by their kind (scripts, styles, navigation, forms,
-  footers, asides ...) or by their class or id (adverts, cookie notices,
-  comments, sidebars ...), and lines that are mostly links, leave ``WIDTH``
-  empty lines.
+  footers, asides ...), and lines that are mostly links, leave ``WIDTH`` empty
+  lines. So do those whose class or id says so (adverts, cookie notices,
+  comments, sidebars ...), unless their text says otherwise: a block with the
+  page's title and most of its text stays, and one whose class only begins like
+  furniture's (``ad-hoc``, ``share-price``) stays if it has most of the text or is
+  a paragraph, heading or cell that is not mostly links.
 * *Distribution.* Text lengths are summed over windows of ``WIDTH`` lines.
 * *Surge and dive.* Text runs from a surge, where the sum leaves zero, to a
   dive, where it returns to it. All runs inside ``article`` or ``main`` are
-  kept; on a page without them, each run whose sum exceeds ``SURGE`` somewhere.
+  kept; on a page without them, each run whose sum somewhere exceeds ``SURGE``
+  or, on a short page, half of the page's highest sum.
   Text between the points is kept whole, short lines included.
 
-A page is a small row; work per page is linear in its length. Comments and the
+A page is one row of a task, however long; work per page is linear in its length. Comments and the
 raw contents of scripts, styles and the like are never read as markup. An
 element that is not closed ends where the article or the body does.
 
@@ -27,13 +31,14 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from govlake.llm.common import pick, table
 
-#: Lines of a window, and the sum that a surge must exceed on a page without article markup.
+#: Lines of a window, and the sum that is a surge on a page without article markup, however long the page.
 WIDTH, SURGE = 3, 86
 #: A line with this share of its text in links, and fewer words than LINK_WORDS, is navigation.
 LINK_SHARE, LINK_WORDS = 0.6, 12
@@ -64,35 +69,77 @@ ENDED_BY = {
     "th": {"td", "th", "tr", "tbody", "tfoot", "thead"},
     "option": {"option", "optgroup"},
 }
-NOISE = re.compile(
-    r"^(ads?|adverts?|advertisements?|banners?|cookies?|consent|gdpr|notices?|alerts?|side-?bars?|menus?|nav|navbar|navigation|breadcrumbs?|"
-    r"footer|site-?header|page-?header|masthead|top-?bar|comments?|commentlist|respond|disqus|replies|share|sharing|social|related|"
-    r"recommend(ed|ations)?|promo|promotions?|sponsor(ed)?|newsletter|subscribe|subscription|sign-?up|log-?in|search|pagination|pager|popup|"
-    r"modal|overlay|toolbar|widgets?|hidden|sr-only|skip-link)$|"
-    r"^(ad|ads|advert|advertisement|banner|cookie|consent|gdpr|comment|comments|sidebar|nav|breadcrumb|newsletter|social|share|promo|sponsored|"
-    r"popup|modal)[-_]|[-_](ad|ads|advert|advertisement|banner|notice|cookie|consent|comment|comments|sidebar|nav|menu|navigation|footer|"
-    r"newsletter|popup|modal|promo)$",
-    re.IGNORECASE,
+#: Words that name furniture, alone or as the last word of a class or id (``main-nav``).
+NAMED = (
+    "ads? adverts? advertisements? banners? cookies? consent gdpr notices? alerts? side-?bars? menus? nav navbar navigation breadcrumbs? "
+    "footer site-?header page-?header masthead top-?bar comments? commentlist respond disqus replies share sharing social related "
+    "recommend(?:ed|ations)? promo promotions? sponsor(?:ed)? newsletter subscribe subscription sign-?up log-?in search pagination pager "
+    "popup modal overlay toolbar widgets? hidden sr-only skip-link"
+).split()
+#: Of these, words that a class may also begin with (``comment-list``) or end with (``top-banner``).
+BEGINS = "ads? advert advertisement banner cookie consent gdpr comments? sidebar nav breadcrumb newsletter social share promo sponsored popup modal".split()
+ENDS = "ads? advert advertisement banner notice cookie consent comments? sidebar nav menu navigation footer newsletter popup modal promo".split()
+#: Words for the parts of furniture; a class that begins with a name and goes on with other words is weaker evidence.
+PARTS = (
+    "area author bar block body box button buttons col column container content count first footer form frame group header heading holder "
+    "icon icons inline inner item items label left link links list main media menu message meta nav panel policy popup right row section "
+    "side slot space text thread title toggle tools top unit widget wrap wrapper zone"
+).split()
+#: First words that tell what a page has or lacks, not what an element is (``no-sidebar``).
+STATES = "no not non has have with without is hide show".split()
+STATE = re.compile(rf"^(?:{'|'.join(STATES)})[-_]", re.IGNORECASE)
+STRONG = re.compile(
+    rf"^(?:{'|'.join(NAMED)})$|^(?:{'|'.join(BEGINS)})(?:[-_](?:{'|'.join(BEGINS + ENDS + PARTS)}|[0-9]+))+$|[-_](?:{'|'.join(ENDS)})$", re.IGNORECASE
 )
+WEAK = re.compile(rf"^(?:{'|'.join(BEGINS)})[-_]", re.IGNORECASE)
+#: Elements of running text, which weak evidence removes only if they are mostly links.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 dt dd td th blockquote pre span b i em strong".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[A-Za-z][^>]*+>|<[!?][^>]*+>", re.DOTALL)
 BAD_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 
 
-def is_noise(name: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no article text, by its kind or its class, id and role."""
+KIND, NAME, HINT = 3, 2, 1
+
+
+def evidence(name: str, attributes: str, inside: bool) -> int:
+    """Why an element is no article text: its ``KIND`` (element, role, hidden), a class
+    or id that is furniture's ``NAME``, one that only begins like it (``HINT``), or 0."""
     if name in BOILERPLATE or (name == "header" and not inside):
-        return True
+        return KIND
     if not attributes.strip() or name in ("html", "body", "article", "main"):
-        return False
+        return 0
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    if re.search(r"(?:^|\s)hidden(?:\s|$|/)", attributes) or values.get("aria-hidden") == "true":
-        return True
+    if "hidden" in values or values.get("aria-hidden") == "true":
+        return KIND
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", values.get("style", ""), re.IGNORECASE):
-        return True
+        return KIND
     if values.get("role", "") in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"):
-        return True
-    return any(NOISE.search(x) for k in ("class", "id") for x in values.get(k, "").split())
+        return KIND
+    words = [x for k in ("class", "id") for x in values.get(k, "").split() if not STATE.match(x)]
+    if any(STRONG.search(x) for x in words):
+        return NAME
+    return HINT if any(WEAK.search(x) for x in words) else 0
+
+
+@dataclass
+class Suspect:
+    """A block with a class like furniture's: characters of its text, how many are in
+    links, and whether a heading of the first level is in it."""
+
+    strength: int
+    name: str
+    depth: int
+    chars: int
+    linked: int
+    heading: bool = False
+
+    def is_text(self, total: int) -> bool:
+        """Whether its text is the page's, for all that it is called."""
+        most = 2 * self.chars > total
+        if self.strength == NAME:
+            return most and self.heading
+        return most or (self.name in RUNNING and self.linked < LINK_SHARE * self.chars)
 
 
 class Lines:
@@ -104,11 +151,22 @@ class Lines:
         self.inside: list[bool] = []
         self.parts: list[str] = []
         self.link_chars = 0
+        self.suspects: dict[int, Suspect] = {}  # by the place of the start tag
+        self.chars = self.linked_chars = 0  # of all lines
 
     def add(self, data: str, in_link: bool) -> None:
         self.parts.append(data)
+        n = len(data.strip())
+        self.chars += n
         if in_link:
             self.link_chars += len(data)
+            self.linked_chars += n
+
+    def settle(self, pending: list[Suspect], depth: int) -> None:
+        """Suspects deeper than the open blocks have ended."""
+        while pending and pending[-1].depth > depth:
+            s = pending.pop()
+            s.chars, s.linked = self.chars - s.chars, self.linked_chars - s.linked
 
     def end(self, inside: bool) -> None:
         if self.parts:
@@ -127,19 +185,26 @@ class Lines:
             self.inside += [inside] * WIDTH
 
 
-def lines_of(page: str) -> Lines:
+def lines_of(page: str, weigh: bool = False, text_at: frozenset[int] = frozenset()) -> Lines:
+    """The lines of a page without its furniture. ``weigh``: suspects are kept and
+    weighed; else they are removed but for those that start at ``text_at``."""
     out = Lines()
+    pending: list[Suspect] = []
     at, n = 0, len(page)
+    tail = page.rfind(">") + 1  # no tag ends after it
     landmarks: list[str] = []
     links = 0
     opened: list[str] = []  # blocks that are kept
     count: Counter[str] = Counter()  # of opened
     skip: list[str] = []  # names of open elements inside a removed one, itself first
     while at < n:
-        m = TOKEN.search(page, at)
+        if pending:
+            out.settle(pending, len(opened))
+        m = TOKEN.search(page, at) if at < tail else None
         if m is None:
+            comment = page.find("<!--", max(at, tail))  # one that is not closed
             if not skip:
-                out.add(page[at:], links > 0)
+                out.add(page[at : comment if comment >= 0 else n], links > 0)
             break
         if m.start() > at and not skip:
             out.add(page[at : m.start()], links > 0)
@@ -196,7 +261,22 @@ def lines_of(page: str) -> Lines:
                 close(landmarks, name)
                 out.gap(bool(landmarks))
             continue
-        if is_noise(name, attributes, bool(landmarks)):
+        strength = evidence(name, attributes, bool(landmarks))
+        if strength == HINT and name in RUNNING and name not in BLOCKS:
+            strength = 0
+        elif 0 < strength < KIND and name in BLOCKS:
+            suspect = Suspect(strength, name, len(opened) + 1, out.chars, out.linked_chars)
+            out.suspects[m.start()] = suspect
+            if weigh:
+                pending.append(suspect)
+            if weigh or m.start() in text_at:
+                strength = 0
+        if name == "h1":
+            for s in reversed(pending):
+                if s.heading:  # and so have those around it
+                    break
+                s.heading = True
+        if strength:
             if name not in INLINE:
                 out.gap(bool(landmarks))
             if name in RAW:
@@ -217,9 +297,21 @@ def lines_of(page: str) -> Lines:
         elif name in ("br", "td", "th", "img", "wbr"):
             out.add("" if name == "wbr" else " ", False)
     out.end(bool(landmarks))
+    out.settle(pending, -1)
     return out
 
 
+def read(page: str) -> Lines:
+    """The lines of a page; a class is evidence, and the text of the element decides."""
+    lines = lines_of(page)
+    if lines.suspects:
+        weighed = lines_of(page, weigh=True)
+        text_at = frozenset(at for at, s in weighed.suspects.items() if s.is_text(weighed.chars))
+        if text_at:
+            lines = lines_of(page, text_at=text_at)
+    return lines
+
+
 def close(open_names: list[str], name: str) -> None:
     while open_names.pop() != name:
         pass
@@ -240,16 +332,17 @@ def main_text(page: str | None, width: int = WIDTH, surge: int = SURGE) -> str:
     """The blocks between surge and dive points, joined by line breaks."""
     if not page:
         return ""
-    lines = lines_of(page)
+    lines = read(page)
     marked = any(x and y for x, y in zip(lines.text, lines.inside, strict=True))
     lengths = []
     for text, linked in zip(lines.text, lines.linked, strict=True):
         navigation = not marked and linked >= LINK_SHARE * len(text) and text.count(" ") + 1 < LINK_WORDS
         lengths.append(0 if navigation else len(text))
-    kept: list[str] = []
-    run: list[int] = []
     # window k sums lines k to k + width - 1; a run goes on while the windows over it do
     sums = [sum(lengths[max(0, k) : k + width]) for k in range(1 - width, len(lengths))]
+    least = min(surge, max(sums, default=0) / 2)  # on a short page, half of its highest sum
+    kept: list[str] = []
+    run: list[int] = []
     peak = 0
     for k, total in enumerate(sums):
         line = k  # the window's last line
@@ -260,7 +353,7 @@ def main_text(page: str | None, width: int = WIDTH, surge: int = SURGE) -> str:
         if (not total or k == len(sums) - 1) and run:  # dive
             if marked:
                 kept += [lines.text[i] for i in run if lines.inside[i]]
-            elif peak > surge:
+            elif peak > least:
                 kept += [lines.text[i] for i in run]
             run, peak = [], 0
     return "\n".join(kept)

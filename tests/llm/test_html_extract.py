@@ -61,6 +61,7 @@ LONG = "A sentence of the article that is long enough to stand for itself, with
         ("<article><p title='a>b' data-x=\"<p>\">t</p><p hidden>h</p><p style='display: none'>n</p></article>", "t"),
         ("<article><p>1 < 2 and <3</p><a href=\"x>link</a></article>", "1 < 2 and <3\nlink"),
         (f"<ul><li><a href=x>Home</a><li><a href=y>News</a></ul><div><p>Short.</p><p>{LONG}</p><p>End.</p></div><div id=footer>x</div><p>Legal</p>", f"Short.\n{LONG}\nEnd."),
+        ("<article>a <b>b <i c <!-- d", "a b <i c"), ("<article>a<!-- b <p>c", "a"),
         ("<article>" + "<p>x</p>" * 3000 + "</article>", "\n".join(["x"] * 3000)),
     ],
 )
@@ -84,8 +85,40 @@ def test_removed_elements_without_end_tags(page, text):
     assert main_text(page) == text
 
 
+NOTE = "<body><h1>Title</h1><p>Short text of a brief note.</p></body>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (NOTE, "Title\nShort text of a brief note."),
+        (NOTE + "<nav>x</nav><p>(c) Acme</p>", "Title\nShort text of a brief note."),
+        (f'<div class="layout no-sidebar"><h1>T</h1><p>{LONG}</p></div><div class="sidebar"><p>{LONG}</p></div>', f"T\n{LONG}"),
+        (f'<div class="post has-comments"><h1>T</h1><p>{LONG}</p><div class="comments"><p>{LONG}</p><p>{LONG}</p></div></div>', f"T\n{LONG}"),
+        (f'<div class="ad-hoc"><p>{LONG}</p><p>{LONG}</p></div><div class="ad-leaderboard">Buy</div>', f"{LONG}\n{LONG}"),
+        (f'<div class="content-sidebar"><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div class="ads">Buy</div>', f"T\n{LONG}\n{LONG}"),
+        (f'<main><p title="the hidden cost">{LONG}</p><p hidden>x</p><p HIDDEN="">y</p><p data-hidden=1>End.</p></main>', f"{LONG}\nEnd."),
+        (f'<p>{LONG}</p><p class="share-price">It rose.</p><p class="share-bar">Tell a friend</p><p>End.</p>', f"{LONG}\nIt rose."),
+        (f'<article><p>{LONG}</p><p class="share-price">It rose.</p><p class="share-it"><a href=x>Tell a friend</a></p><p>End.</p></article>', f"{LONG}\nIt rose.\nEnd."),
+        (f'<article><h1>T</h1><p>Short.</p><section class="comments"><p>{LONG}</p><p>{LONG}</p></section></article>', "T\nShort."),
+    ],
+)
+def test_classes_are_evidence_only(page, text):
+    assert main_text(page) == text
+
+
+def test_the_distribution_decides_without_article_markup():
+    page = f"<p>Legal</p><nav>x</nav><p>{LONG}</p><p>{LONG}</p><nav>x</nav><p>A caption of a picture, of medium length.</p><nav>x</nav><p>Top</p>"
+    assert main_text(page) == f"{LONG}\n{LONG}"
+    assert main_text(page, surge=20) == f"{LONG}\n{LONG}\nA caption of a picture, of medium length."
+    assert main_text(page, surge=0) == f"Legal\n{LONG}\n{LONG}\nA caption of a picture, of medium length.\nTop"
+    lines = "".join(f"<p>Line {k} here</p>" for k in range(9))
+    assert main_text(f"{lines}<nav>x</nav><p>{LONG}</p><nav>x</nav>") == LONG
+    assert main_text(f"{lines}<nav>x</nav><p>{LONG}</p><nav>x</nav>", width=6).startswith("Line 0")
+
+
 def test_hostile_markup_is_linear():
-    for page in ("<" * 50000, "<a " * 20000, '<a b="' * 20000, "<!--" * 20000, "<article>" * 5000 + "x", "<div class=ad>" * 20000):
+    for page in ("<" * 50000, "<a " * 20000, '<a b="' * 20000, "<!--" * 20000, "<article>" * 5000 + "x", "<div class=ad>" * 20000, "<div class=ad><h1>" * 5000, "<div class=ad-x>a" * 20000):
         main_text(page)
 
 
