@@ -48,6 +48,23 @@ CARD_FALL_HIGH, CARD_FALL_MEDIUM = 30.0, 15.0
 AVG_FALL_HIGH, AVG_FALL_MEDIUM, AVG_RISE_MEDIUM = 70.0, 40.0, 90.0
 POS_FALL_HIGH, NEG_RISE_HIGH = 30.0, 50.0
 
+# Policy: metrics every silver table of that name has, as aggregate expressions.
+POLICY_METRICS = {
+    "customers": {"total_rows": "count(1)", "invalid_age_count": "sum(CASE WHEN age < 0 OR age > 120 THEN 1 ELSE 0 END)"},
+    "orders": {
+        "total_rows": "count(1)",
+        "invalid_amount": "sum(CASE WHEN amount <= 0 THEN 1 ELSE 0 END)",
+        "invalid_discount": "sum(CASE WHEN discount_amount > amount THEN 1 ELSE 0 END)",
+    },
+    "payments": {
+        "total_rows": "count(1)",
+        "failure_rate": "try_divide(sum(CASE WHEN payment_status IN ('FAILED', 'PENDING') THEN 1 ELSE 0 END) * 100.0D, count(1))",
+    },
+    "refunds": {"total_rows": "count(1)", "invalid_refunds": "sum(CASE WHEN refund_amount <= 0 THEN 1 ELSE 0 END)"},
+}
+# Of a table that is not listed.
+DEFAULT_METRICS = {"total_rows": "count(1)"}
+
 # Business signal bands.
 PAYMENT_HEALTHY, PAYMENT_WARNING = 97, 95
 REFUND_LOW, REFUND_MEDIUM = 3, 8

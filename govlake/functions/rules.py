@@ -12,6 +12,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normalize_expression(text: str) -> str:
@@ -58,12 +59,18 @@ ALLOWED_FUNCTIONS = frozenset(
     "nvl2 pmod power regexp_replace replace right round rpad rtrim sign split_part startswith substr substring to_date "
     "to_timestamp translate trim try_cast try_divide try_to_date ucase upper year".split()
 )
+#: Aggregate functions that a metric may call as well: their state per task does
+#: not grow with the rows (those that collect or sort a group's values are not listed).
+ALLOWED_AGGREGATES = frozenset(
+    "approx_count_distinct approx_percentile avg bool_and bool_or corr count count_if every kurtosis max max_by mean min min_by "
+    "percentile_approx regr_slope skewness some std stddev stddev_pop stddev_samp sum try_avg try_sum var_pop var_samp variance".split()
+)
 #: Words that may stand before a parenthesis without being a function.
 _KEYWORDS = frozenset("and between case decimal else end in is like not numeric or rlike then varchar when".split())
 _LITERALS = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*\"""", re.DOTALL)
 
 
-def refuse_unsafe(text: str) -> None:
+def refuse_unsafe(text: str, allowed: frozenset[str] = ALLOWED_FUNCTIONS) -> None:
     """Refuse rule text that is more than a value expression: subqueries,
     comments, several statements, and functions outside the allow list (such
     as those that call into the JVM or read files)."""
@@ -72,7 +79,7 @@ def refuse_unsafe(text: str) -> None:
         raise ValueError(f"rule text must be a plain condition: {text!r}")
     for called in re.findall(r"((?:`[^`]*`|[\w.])+)\s*\(", bare):
         name = called.replace("`", "").lower()
-        if name not in ALLOWED_FUNCTIONS and name not in _KEYWORDS:
+        if name not in allowed and name not in _KEYWORDS:
             raise ValueError(f"rule text may not call {called}: {text!r}")
 
 
@@ -88,6 +95,18 @@ def validate_expressions(df: DataFrame, texts: Iterable[str]) -> None:
         df.limit(0).select(*[F.expr(t) for t in texts]).schema  # noqa: B018 - forces analysis only
 
 
+def validate_metrics(df: DataFrame, texts: Iterable[str]) -> None:
+    """Refuse metric text that is unsafe, is not one number per table (a bare
+    column, a window, a text), or does not resolve against ``df``; no job is run."""
+    for text in texts:
+        refuse_unsafe(text, ALLOWED_FUNCTIONS | ALLOWED_AGGREGATES)
+        if re.search(r"\b(over|distinct)\b", _LITERALS.sub("''", text), re.IGNORECASE):
+            raise ValueError(f"a metric may not use windows or exact distinct counts (approx_count_distinct may be used): {text!r}")
+        kind = df.limit(0).agg(F.expr(text).alias("metric")).schema["metric"].dataType
+        if not isinstance(kind, T.NumericType):
+            raise ValueError(f"a metric must be a number, not {kind.simpleString()}: {text!r}")
+
+
 def apply_corrections(df: DataFrame, corrections: Iterable[tuple[str, str]] | Mapping[str, str]) -> DataFrame:
     """Replace columns by SQL expressions one at a time.
 

@@ -2,7 +2,9 @@
 
 A policy decision is a JSON document ``{strategy, row_rules, metric_rules}``
 where each rule is a string map. Row rules are SQL conditions per table;
-metric rules compare a table metric with a threshold.
+metric rules compare a table metric with a threshold. A metric is an aggregate
+expression: those of ``POLICY_METRICS``, or the rule's own ``metric_expression``
+over any table. All metrics and row rules of a table are one aggregate.
 """
 
 from __future__ import annotations
@@ -14,8 +16,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from govlake.config import DEFAULT_METRICS, POLICY_METRICS
+from govlake.functions.rules import (
+    and_all, condition_column, normalize_expression, reject, validate_expressions, validate_metrics,
+)
 from govlake.session import checkpoint_dir
-from govlake.functions.rules import and_all, condition_column, normalize_expression, reject, validate_expressions
 
 RULE_MAP = T.MapType(T.StringType(), T.StringType())
 POLICY_SCHEMA = T.StructType(
@@ -27,7 +32,7 @@ POLICY_SCHEMA = T.StructType(
 )
 
 ROW_RULE_KEYS = ("table", "rule_name", "expression", "severity", "on_fail")
-METRIC_RULE_KEYS = ("table", "metric", "threshold_pct", "severity", "on_fail")
+METRIC_RULE_KEYS = ("table", "metric", "threshold_pct", "severity", "on_fail")  # metric_expression may be there too
 
 
 # --------------------------------------------------------------------------- G1
@@ -143,76 +148,72 @@ def failed_rules(df: DataFrame, table: str, rules: Sequence[dict], column: str =
 
 
 # --------------------------------------------------------------------------- E10
-def _count_if(cond: str):
-    return F.sum(F.when(F.expr(cond), 1).otherwise(0)).cast("bigint")
-
-
-def _metric_columns(table: str) -> dict:
-    """The policy agent's metrics of one silver table, as aggregate columns."""
-    if table == "customers":
-        return {"total_rows": F.count(F.lit(1)), "invalid_age_count": _count_if("age < 0 OR age > 120")}
-    if table == "orders":
-        return {
-            "total_rows": F.count(F.lit(1)),
-            "invalid_amount": _count_if("amount <= 0"),
-            "invalid_discount": _count_if("discount_amount > amount"),
-        }
-    if table == "payments":
-        return {
-            "total_rows": F.count(F.lit(1)),
-            "failure_rate": F.try_divide(
-                _count_if("payment_status IN ('FAILED','PENDING')").cast("double") * F.lit(100.0),
-                F.count(F.lit(1)).cast("double"),
-            ),
-        }
-    if table == "refunds":
-        return {"total_rows": F.count(F.lit(1)), "invalid_refunds": _count_if("refund_amount <= 0")}
-    return {"total_rows": F.count(F.lit(1))}
+def table_metrics(table: str, metric_rules: Sequence[dict] = ()) -> dict[str, str]:
+    """Name -> aggregate expression of a table's metrics: the fixed ones, then those
+    that rules bring along (of the same name, a rule's goes before the fixed one).
+
+    Two rules that define one metric differently are refused, and so is a rule
+    on a metric that nothing defines: it could never fire.
+    """
+    rules = [r for r in metric_rules if r.get("table") == table]
+    brought: dict[str, str] = {}
+    for r in rules:
+        text = (r.get("metric_expression") or "").strip()
+        if text and brought.setdefault(r["metric"], text) != text:
+            raise ValueError(f"metric {r['metric']!r} of {table!r} is defined twice: {brought[r['metric']]!r}, {text!r}")
+    metrics = POLICY_METRICS.get(table, DEFAULT_METRICS) | brought
+    for r in rules:
+        if r.get("metric") not in metrics:
+            raise ValueError(f"rule on {table!r} needs a metric_expression for {r.get('metric')!r}")
+    return metrics
 
 
 def _applicable(rules: Sequence[dict], table: str) -> list[dict]:
     return [r for r in rules if r.get("table") == table and (r.get("expression") or "").strip()]
 
 
-def policy_aggregates(tables: dict[str, DataFrame], row_rules: Sequence[dict] = ()) -> DataFrame:
+def policy_aggregates(
+    tables: dict[str, DataFrame], row_rules: Sequence[dict] = (), metric_rules: Sequence[dict] = ()
+) -> DataFrame:
     """All policy figures of the silver tables in one long frame:
     (table, kind, name, expression, value), kind ``metric`` or ``rule``.
 
     One global aggregate per table computes the metrics and the failing-row
-    count of each row rule; a single ``stack`` emits both, so one scan per
+    count of each row rule; one ``inline`` emits both, so one scan per
     table yields every figure (``policy_decision`` checkpoints this small
     frame before splitting it). A row whose rule condition is NULL fails it.
+    A metric that a rule defines carries its ``expression``.
     """
     frames = []
+    own = {(r.get("table"), r.get("metric")) for r in metric_rules if (r.get("metric_expression") or "").strip()}
     for table, df in tables.items():
         rules = _applicable(row_rules, table)
         validate_expressions(df, [normalize_expression(r["expression"]) for r in rules])
-        metrics = _metric_columns(table)
-        aggs = [c.alias(f"m_{name}") for name, c in metrics.items()]
+        metrics = table_metrics(table, metric_rules)
+        validate_metrics(df, metrics.values())
+        aggs = [F.expr(text).cast("double").alias(f"m{i}") for i, text in enumerate(metrics.values())]
         aggs += [
             F.sum(
                 F.when(~F.coalesce(F.expr(f"({normalize_expression(r['expression'])})"), F.lit(False)), 1).otherwise(0)
             ).cast("bigint").alias(f"r{i}")
             for i, r in enumerate(rules)
         ]
-        parts = [f"'metric', '{n}', CAST(NULL AS STRING), CAST(`m_{n}` AS DOUBLE)" for n in metrics]
-        parts += [
-            f"'rule', {json.dumps(r.get('rule_name'))}, {json.dumps(r['expression'])}, CAST(`r{i}` AS DOUBLE)"
-            for i, r in enumerate(rules)
-        ]
-        frames.append(df.agg(*aggs).select(
-            F.lit(table).alias("table"),
-            F.expr(f"stack({len(parts)}, {', '.join(parts)}) AS (kind, name, expression, value)"),
-        ))
+        figure = lambda kind, name, text, value: F.struct(
+            F.lit(kind).alias("kind"), F.lit(name).cast("string").alias("name"), F.lit(text).cast("string").alias("expression"),
+            F.col(value).cast("double").alias("value"))
+        parts = [figure("metric", n, text if (table, n) in own else None, f"m{i}") for i, (n, text) in enumerate(metrics.items())]
+        parts += [figure("rule", r.get("rule_name"), r["expression"], f"r{i}") for i, r in enumerate(rules)]
+        frames.append(df.agg(*aggs).select(F.lit(table).alias("table"), F.inline(F.array(*parts))))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
-def _metrics_long(figures: DataFrame) -> DataFrame:
+def _metrics_long(figures: DataFrame, with_expression: bool = False) -> DataFrame:
     return figures.filter(F.col("kind") == "metric").select(
-        F.col("table").alias("table_name"), F.col("name").alias("metric_name"), F.col("value").alias("metric_value"))
+        F.col("table").alias("table_name"), F.col("name").alias("metric_name"), F.col("value").alias("metric_value"),
+        *(["expression"] if with_expression else []))
 
 
 def policy_metrics(customers: DataFrame, orders: DataFrame, payments: DataFrame, refunds: DataFrame) -> DataFrame:
@@ -233,12 +234,12 @@ def metric_violations(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     are bounded by the number of tables x metrics, so the join is small.
     """
     m = metrics.select(
-        F.col("table_name").alias("table"), F.col("metric_name").alias("metric"), "metric_value"
+        F.col("table_name").alias("table"), F.col("metric_name").alias("metric"), *[c for c in metrics.columns if c not in ("table_name", "metric_name")]
     )
     return (
         rules.join(m, ["table", "metric"], "inner")
         .filter(F.col("metric_value") > F.col("threshold_pct"))
-        .select("table", "metric", "threshold_pct", "metric_value", "severity", "on_fail")
+        .select("table", "metric", "threshold_pct", "metric_value", "severity", "on_fail", *[c for c in ("expression",) if c in metrics.columns])
     )
 
 
@@ -272,8 +273,8 @@ def policy_decision(tables: dict[str, DataFrame], laws: dict) -> DataFrame:
     # the silver tables (exchange reuse across union branches is not
     # guaranteed under AQE).
     checkpoint_dir(spark)
-    aggregates = policy_aggregates(tables, row_laws).coalesce(1).checkpoint(eager=True)
-    metrics = _metrics_long(aggregates)
+    aggregates = policy_aggregates(tables, row_laws, metric_laws).coalesce(1).checkpoint(eager=True)
+    metrics = _metrics_long(aggregates, with_expression=True)
     law_rows = spark.createDataFrame(
         [(r.get("table"), r.get("rule_name"), r.get("severity"), r.get("on_fail")) for r in row_laws],
         "table string, rule_name string, severity string, on_fail string",
@@ -305,7 +306,7 @@ def policy_decision(tables: dict[str, DataFrame], laws: dict) -> DataFrame:
         F.lit("metric").alias("kind"),
         "table",
         F.col("metric").alias("name"),
-        F.lit(None).cast("string").alias("expression"),
+        "expression",
         "threshold_pct",
         F.col("metric_value").alias("observed"),
         "severity",
@@ -334,10 +335,11 @@ def policy_decision_json(decision: DataFrame) -> DataFrame:
 
     def metric_rule(x):
         threshold = F.regexp_replace(x["threshold_pct"].cast("string"), r"\.0$", "")
-        return F.create_map(
-            F.lit("table"), x["table"], F.lit("metric"), x["name"], F.lit("threshold_pct"), threshold,
-            F.lit("severity"), x["severity"], F.lit("on_fail"), x["on_fail"],
+        rule = F.create_map(
+            F.lit("table"), x["table"], F.lit("metric"), x["name"], F.lit("metric_expression"), x["expression"],
+            F.lit("threshold_pct"), threshold, F.lit("severity"), x["severity"], F.lit("on_fail"), x["on_fail"],
         )
+        return F.map_filter(rule, lambda k, v: (k != "metric_expression") | v.isNotNull())
 
     doc = F.struct(
         F.when(F.size("rr") + F.size("mr") > 0, F.lit("ENFORCE")).otherwise(F.lit("ALLOW")).alias("strategy"),

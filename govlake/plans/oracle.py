@@ -851,6 +851,17 @@ SQL["policy_metric_violations"] = WP("""
 SELECT l."table", l.metric, l.threshold_pct, m.metric_value, l.severity, l.on_fail
 FROM mlaws l JOIN pm m ON l."table" = m.table_name AND l.metric = m.metric_name WHERE m.metric_value > l.threshold_pct""")
 SQL["policy_decision"] = WP("SELECT * FROM pdec")
+SQL["policy_metric_laws"] = WP("""
+SELECT * FROM pdec
+UNION ALL
+SELECT 'metric', 'orders', 'unpaid_pct', '100.0D * count_if(order_status <> ''COMPLETED'') / count(1)', 5, v, 'HIGH', 'ALERT'
+FROM (SELECT 100.0::DOUBLE * COUNT(*) FILTER (WHERE order_status <> 'COMPLETED') / COUNT(*) AS v FROM silver_o) WHERE v > 5
+UNION ALL
+SELECT 'metric', 'order_lines', 'returned_pct', '100.0D * count_if(l_returnflag = ''R'') / count(1)', 20, v, 'MEDIUM', 'ALERT'
+FROM (SELECT 100.0::DOUBLE * COUNT(*) FILTER (WHERE l_returnflag = 'R') / COUNT(*) AS v FROM lineitem) WHERE v > 20
+UNION ALL
+SELECT 'metric', 'order_lines', 'largest_quantity', 'max(l_quantity)', 40, v, 'LOW', 'ALERT'
+FROM (SELECT MAX(l_quantity) AS v FROM lineitem) WHERE v > 40""")
 SQL["policy_decision_json"] = WP("""
 SELECT 'ENFORCE' AS strategy, kind, "table", name, expression, threshold_pct, severity, on_fail FROM pdec""")
 SQL["policy_rules"] = WP("""

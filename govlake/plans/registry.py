@@ -590,6 +590,13 @@ def q_policy_rules(spark, sf_dir):
     return policy.policy_rules(policy.policy_decision_json(_policy_decision(spark, sf_dir)))
 
 
+@register("policy_metric_laws")
+def q_policy_metric_laws(spark, sf_dir):
+    """Metric laws with their own expressions, decided over the feeds and a fifth table."""
+    lines = {"order_lines": tables.load(spark, sf_dir, "lineitem")}
+    return policy.policy_decision(silver_tables(spark, sf_dir) | lines, scenarios.METRIC_LAWS)
+
+
 def _gold_quarantine_query(table):
     def q(spark, sf_dir):
         return report(policy.gold_quarantine(silver_tables(spark, sf_dir)[table], table, FULL_POLICY["row_rules"]))

@@ -45,6 +45,23 @@ FULL_POLICY = {
     ],
 }
 
+# Metric laws that bring their own expression, also over a table that is no feed.
+METRIC_LAWS = {
+    "strategy": "ENFORCE",
+    "row_rules": FULL_POLICY["row_rules"],
+    "metric_rules": [
+        *FULL_POLICY["metric_rules"],
+        {"table": "orders", "metric": "unpaid_pct", "threshold_pct": "5",
+         "metric_expression": "100.0D * count_if(order_status <> 'COMPLETED') / count(1)", "severity": "HIGH", "on_fail": "ALERT"},
+        {"table": "order_lines", "metric": "returned_pct", "threshold_pct": "20",
+         "metric_expression": "100.0D * count_if(l_returnflag = 'R') / count(1)", "severity": "MEDIUM", "on_fail": "ALERT"},
+        {"table": "order_lines", "metric": "largest_quantity", "threshold_pct": "40",
+         "metric_expression": "max(l_quantity)", "severity": "LOW", "on_fail": "ALERT"},
+        {"table": "order_lines", "metric": "days_covered", "threshold_pct": "1000000",
+         "metric_expression": "datediff(max(l_shipdate), min(l_shipdate))", "severity": "LOW", "on_fail": "ALERT"},
+    ],
+}
+
 PIPELINE_NAME = "governed_sales"
 FRESHNESS_CHECK = _dt.datetime(2024, 1, 31, 12, 0, 0)
 T1 = _dt.datetime(2024, 1, 1, 0, 0, 0)

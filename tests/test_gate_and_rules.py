@@ -185,6 +185,51 @@ def test_laws_without_row_rules(spark):
     assert policy.read_policy(policy.policy_decision_json(policy.policy_decision(silver, {})))["row_rules"] == []
 
 
+def law(table, metric, text, limit="1"):
+    return {"table": table, "metric": metric, "metric_expression": text, "threshold_pct": limit, "severity": "LOW", "on_fail": "ALERT"}
+
+
+def test_metric_laws_bring_their_expression(spark):
+    from govlake.operators import policy
+
+    silver = {"payments": spark.createDataFrame([("FAILED", 3), ("SUCCESS", 5)], "payment_status string, amount int"),
+              "visits": spark.createDataFrame([(10, "a"), (30, "b"), (None, "it's")], "pages int, who string")}
+    laws = {"metric_rules": [law("visits", "mean_pages", "avg(pages)"), law("visits", "named", "count_if(who LIKE '%''s')", "0"),
+                             law("visits", "seldom", "count(1) - count(pages)", "1"), law("payments", "failure_rate", "sum(amount)", "7")]}
+    decision = policy.policy_decision(silver, laws)
+    got = {(r["table"], r["name"]): (r["observed"], r["expression"]) for r in decision.collect()}
+    assert got == {("visits", "mean_pages"): (20.0, "avg(pages)"), ("visits", "named"): (1.0, "count_if(who LIKE '%''s')"),
+                   ("payments", "failure_rate"): (8.0, "sum(amount)")}
+    # the document carries the expressions, so reading it back decides the same
+    again = policy.read_policy(policy.policy_decision_json(decision))
+    assert sorted(map(str, policy.policy_decision(silver, again).collect())) == sorted(map(str, decision.collect()))
+    plan = policy.policy_aggregates(silver, [], laws["metric_rules"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == len(silver)  # one aggregate per table
+    empty = {"visits": silver["visits"].where("pages > 99")}
+    assert policy.policy_decision(empty, {"metric_rules": [law("visits", "mean_pages", "avg(pages)")]}).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "pages", "max(who)", "count(DISTINCT who)", "sum(pages) OVER ()", "collect_list(pages)", "(SELECT 1)", "avg(unknown)",
+    "java_method('java.lang.System', 'exit', '1')", "max(pages); drop", "reflect('a', 'b')", "count(1) -- x", ""])
+def test_metric_text_is_guarded(spark, text):
+    from pyspark.errors import AnalysisException
+
+    from govlake.operators import policy
+
+    visits = {"visits": spark.createDataFrame([(1, "a")], "pages int, who string")}
+    with pytest.raises((ValueError, AnalysisException)):
+        policy.policy_aggregates(visits, [], [law("visits", "m", text)]).collect()
+
+
+def test_one_metric_has_one_definition(spark):
+    from govlake.operators import policy
+
+    visits = {"visits": spark.createDataFrame([(1,)], "pages int")}
+    with pytest.raises(ValueError, match="twice"):
+        policy.policy_aggregates(visits, [], [law("visits", "m", "max(pages)"), law("visits", "m", "min(pages)")])
+
+
 def test_two_corrections_of_one_column_are_chained(spark):
     from govlake.operators import quality
 
