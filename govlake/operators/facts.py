@@ -6,10 +6,13 @@ no columns (S20): they only multiply the rows of a repeated customer id. Ids
 with one row or none multiply by one, so only the repeated ones are joined;
 that table is small or empty and stored, and its real size decides the join.
 
-Payments and refunds are co-partitioned by ``order_id``. An order with very
-many payments or refunds (``HOT_ROWS``) would put their product into one task;
-such orders are found by a count per order and joined apart, with the larger
-side dealt over ``SALTS`` and the other side repeated per salt.
+Payments and refunds are shuffled once each, by ``order_id``. An order with very
+many of either would put their product into one task: frequent-items sketches
+of the scans name such orders and about how many rows they have, without a
+shuffle by order. In the same join, the rows of a named order's larger side are
+dealt over salts, as many as its estimate asks for, and its other rows repeated
+per salt. Named are all orders with more than both ``HOT_ROWS`` rows and one row
+in ``LEAST_PART`` of their table; one that is named needlessly costs a few rows.
 """
 
 from __future__ import annotations
@@ -31,8 +34,11 @@ FACT_COLUMNS = (
 )
 
 
-#: Payments or refunds of one order from which it is joined apart, and over how many parts.
+#: Payments or refunds of one order from which it is dealt, and over how many parts at most.
 HOT_ROWS, SALTS = 100_000, 64
+#: Orders that a sketch tracks (its estimates are within 3.5 / 2^18 of the rows), the
+#: buckets in which sketches are merged, and the share of rows from which an order is named.
+TRACKED, BUCKETS, LEAST_PART = 1 << 17, 64, 50_000
 
 #: Fact columns taken over from each input, by the fact's name.
 _FROM = {
@@ -59,31 +65,49 @@ def _multiplied(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return joined.withColumn("_each", each).drop("_rows", "_each")
 
 
-def _salted(orders: DataFrame, many: DataFrame, other: DataFrame, key: str, salts: int) -> DataFrame:
-    """Orders x ``many`` x ``other`` with the rows of ``many`` dealt over salts."""
-    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
-    spread = lambda df: df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # every hot order has rows in ``many``, so an inner join loses none
-    return spread(orders).join(dealt, ["order_id", "_salt"]).join(spread(other), ["order_id", "_salt"], "left").drop("_salt")
+def _frequent_orders(side: DataFrame) -> DataFrame:
+    """(order_id, n): at most ``LEAST_PART`` orders, the most frequent first, with their estimated rows."""
+    parts = side.where("order_id IS NOT NULL").groupBy((F.spark_partition_id() % BUCKETS).alias("bucket")).agg(
+        F.expr(f"approx_top_k_accumulate(order_id, {TRACKED})").alias("sketch"))
+    # grouped by a constant: no rows from no rows
+    merged = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
+    items = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {LEAST_PART})")).alias("i"))
+    return items.select(F.col("i.item").alias("order_id"), F.col("i.count").alias("n"))
+
+
+def hot_orders(paid: DataFrame, refunded: DataFrame, hot_rows: int, salts: int) -> DataFrame:
+    """(order_id, _dealt, _salts): the side to deal of each hot order and over how many salts.
+
+    At most ``2 * LEAST_PART`` rows, whatever the tables' sizes.
+    """
+    found = [_frequent_orders(df).where(F.col("n") > hot_rows).withColumn("_dealt", F.lit(name))
+             for df, name in ((paid, "payments"), (refunded, "refunds"))]
+    largest = found[0].unionByName(found[1]).groupBy("order_id").agg(F.max_by("_dealt", F.struct("n", "_dealt")).alias("_dealt"), F.max("n").alias("n"))
+    parts = F.least(F.lit(salts), 1 + F.ceil(F.col("n") / F.lit(hot_rows)))
+    return largest.select("order_id", "_dealt", parts.cast("int").alias("_salts"))
+
+
+def _with_salts(df: DataFrame, hot: DataFrame, side: str | None = None) -> DataFrame:
+    """The rows with a ``_salt``: 0, for a hot order every salt, or the row's own where its ``side`` is dealt."""
+    marked = df.join(F.broadcast(hot), "order_id", "left")  # bounded, see hot_orders
+    each = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    if side is not None:
+        own = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_salts")).cast("int")
+        each = F.when(F.col("_dealt") == side, F.array(own)).otherwise(each)
+        return marked.select(*df.columns, F.explode(each).alias("_salt"), F.lit(side).alias(f"_of_{side}"))
+    return marked.select(*df.columns, "_dealt", F.explode(each).alias("_salt"))
 
 
 def _fan_out(orders: DataFrame, paid: DataFrame, refunded: DataFrame, hot_rows: int, salts: int) -> DataFrame:
     """Orders with every (payment, refund) combination; hot orders are spread over tasks."""
-    plain = lambda o, p, r: o.join(p, "order_id", "left").join(r, "order_id", "left")
-    hot = []
-    for side in (paid, refunded):
-        per_order = side.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-        hot.append(cut_lineage(per_order.select("order_id"), "hot-orders"))
-    hot[1] = hot[1].join(hot[0], "order_id", "left_anti")
-    if hot[0].isEmpty() and hot[1].isEmpty():
-        return plain(orders, paid, refunded)
-    within = lambda keys: [df.join(keys, "order_id", "left_semi") for df in (orders, paid, refunded)]
-    by_payment = _salted(*within(hot[0]), "payment_id", salts)
-    o, p, r = within(hot[1])
-    by_refund = _salted(o, r, p, "refund_id", salts)
-    both = hot[0].unionByName(hot[1])
-    rest = plain(*[df.join(both, "order_id", "left_anti") for df in (orders, paid, refunded)])
-    return rest.unionByName(by_payment.select(rest.columns)).unionByName(by_refund.select(rest.columns))
+    hot = cut_lineage(hot_orders(paid, refunded, hot_rows, salts), "hot-orders")
+    if hot.isEmpty():
+        return orders.join(paid, "order_id", "left").join(refunded, "order_id", "left")
+    keys = ["order_id", "_salt"]
+    rows = _with_salts(orders, hot).join(_with_salts(paid, hot, "payments"), keys, "left").join(_with_salts(refunded, hot, "refunds"), keys, "left")
+    # a dealt side has rows, but not in every salt
+    missed = ((F.col("_dealt") == "payments") & F.col("_of_payments").isNull()) | ((F.col("_dealt") == "refunds") & F.col("_of_refunds").isNull())
+    return rows.where(~F.coalesce(missed, F.lit(False))).drop("_salt", "_dealt", "_of_payments", "_of_refunds")
 
 
 def fact_orders(

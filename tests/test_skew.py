@@ -64,6 +64,26 @@ def test_hot_order_is_spread_and_exact(spark):
     assert spread.columns == list(facts.FACT_COLUMNS)
 
 
+def test_payments_and_refunds_are_shuffled_once(spark):
+    """With and without hot orders; an order that is hot on both sides, one without an order row, and null ids."""
+    o = spark.range(1, 30).selectExpr("id AS order_id", "id % 5 AS customer_id", "TIMESTAMP_NTZ'2024-01-01' AS order_date",
+                                      "'COMPLETED' AS order_status", "CAST(10 AS DECIMAL(18,2)) AS amount", "CAST(1 AS DECIMAL(18,4)) AS discount_amount")
+    c = spark.range(5).selectExpr("id AS customer_id")
+    p = spark.range(90).selectExpr("NULLIF(id, 5) AS payment_id", "CASE WHEN id < 30 THEN 3 WHEN id < 60 THEN 99 WHEN id < 85 THEN NULL ELSE id - 80 END AS order_id",
+                                   "'SUCCESS' AS payment_status", "'CARD' AS payment_method", "CAST(10 AS DECIMAL(18,2)) AS amount")
+    r = spark.range(50).selectExpr("id AS refund_id", "CASE WHEN id < 40 THEN 3 ELSE id - 30 END AS order_id",
+                                   "'APPROVED' AS refund_status", "CAST(2 AS DECIMAL(18,4)) AS refund_amount", "'LATE' AS refund_reason")
+    hot = {x["order_id"]: (x["_dealt"], x["_salts"]) for x in facts.hot_orders(p, r, 20, 7).collect()}
+    assert hot == {3: ("refunds", 3), 99: ("payments", 3)}
+    plain = facts.fact_orders(o, c, p, r)
+    spread = facts.fact_orders(o, c, p, r, hot_rows=20, salts=7)
+    assert fbag(spread) == fbag(plain) and plain.where("order_id = 3").count() == 30 * 40
+    assert facts.hot_orders(p.limit(0), r.limit(0), 20, 7).count() == 0
+    for fact in (plain, spread):
+        text = fact._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("payment_id") and text.count("Range (0, 90") == 1 and text.count("Range (0, 50") == 1
+
+
 def test_kpis_do_not_join_all_orders_on_the_customer(spark):
     """A hot customer: with unique customers nothing is shuffled on customer_id."""
     o = spark.range(3000).selectExpr("id AS order_id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS customer_id", "TIMESTAMP_NTZ'2024-01-01' AS order_date",
