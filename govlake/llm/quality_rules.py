@@ -8,6 +8,8 @@ and a (line key, words) array; the line statistics work on that:
   texts that have it are counted, so exact copies of a document count once.
 * Lines in more than ``max(min_docs, max_share`` of the host's distinct texts)
   are removed. The limit is a share, so it means the same at every size.
+* The result names the removed lines of a document by number and, if asked, has
+  its text without them; op8's columns are derived from it.
 * A document that keeps less than ``min_left`` percent of its words is rejected,
   as is one that fails the base rules.
 
@@ -15,7 +17,8 @@ Counting is partial before each shuffle, and the removed lines are a stored
 table that is joined back, so neither a hot host nor a hot line meets in a task.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. A null or empty text has no words and fails the
-base rules. A null host is a host of its own. Repeated rows are separate
+base rules; the text without lines is empty too. A very long text is one row, and
+its line numbers one array. A null host is a host of its own. Repeated rows are separate
 documents with one text between them. Null ids are kept; extra columns are
 ignored; an empty table gives an empty result. Window and line keys are 64-bit
 hashes; windows are compared only within one text.
@@ -59,10 +62,11 @@ def with_repeated_words(rows: DataFrame, words: str, n: int = WINDOW) -> DataFra
     return rows.withColumn("n_repeat_words", total.cast("long")).drop("hashed", "keys", "some", "pairs", "starts")
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, host, base figures and the lines of every document; one pass over the texts."""
     text = F.coalesce("text", F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
+    numbered = F.transform(F.split(text, "\n"), lambda x, i: F.struct(x.alias("line"), i.alias("number")))
+    with_words = F.filter(numbered, lambda x: F.regexp_like(x["line"], F.lit(WORD)))
     normal = lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.lower(x), F.lit(f"{SPACE}+"), F.lit(" ")), F.lit("[0-9]"), F.lit("0")))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -71,8 +75,8 @@ def measured(docs: DataFrame) -> DataFrame:
         F.xxhash64(text).alias("text_key"),
         text.alias("text"),
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
-        lines.alias("lines"),
-    )
+        with_words.alias("numbered"),
+    ).withColumn("lines", F.col("numbered.line"))
     key = lambda x: F.xxhash64("host", normal(x))
     return with_repeated_words(rows, "words").select(
         "row",
@@ -84,7 +88,10 @@ def measured(docs: DataFrame) -> DataFrame:
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
-        F.transform("lines", lambda x: F.struct(key(x).alias("line"), F.regexp_count(x, F.lit(WORD)).alias("words"))).alias("lines"),
+        F.transform(
+            "numbered", lambda x: F.struct(key(x["line"]).alias("line"), F.regexp_count(x["line"], F.lit(WORD)).alias("words"), x["number"])
+        ).alias("lines"),
+        *(["text"] if with_text else []),
     )
 
 
@@ -96,11 +103,14 @@ def quality_rules(
     min_docs: int = MIN_DOCS,
     max_share: float = MAX_SHARE,
     min_left: int = MIN_LEFT,
+    with_text: bool = False,
 ) -> DataFrame:
-    """Per document its base figures, words in removed lines and the verdict ``kept``."""
-    rows = stored(measured(pick(docs, doc_id=id_col, text=text_col, host=host_col)), "measured")
+    """Per document its base figures, words in removed lines, the verdict ``kept`` and
+    ``removed_lines``, the numbers (from 0, in order) of the removed lines of its text
+    split at \\n; ``with_text`` adds ``text``, the other lines joined by \\n."""
+    rows = stored(measured(pick(docs, doc_id=id_col, text=text_col, host=host_col), with_text), "measured")
     lines = rows.select("row", "host", "text_key", F.explode("lines").alias("l")).select(
-        "row", "host", "text_key", F.col("l.line").alias("line"), F.col("l.words").alias("words")
+        "row", "host", "text_key", F.col("l.line").alias("line"), F.col("l.words").alias("words"), F.col("l.number").alias("number")
     )
     texts = rows.groupBy("host", "text_key").agg(F.lit(1).alias("one")).groupBy("host").agg(F.sum("one").alias("n_texts"))
     sharing = lines.groupBy("host", "line", "text_key").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.sum("one").alias("n_docs"))
@@ -110,18 +120,24 @@ def quality_rules(
     over = stored(
         common.join(limits, common["host"].eqNullSafe(limits["host"])).where(F.col("n_docs") > F.col("limit")).select("line"), "removed-lines"
     )
-    removed = lines.join(over, "line").groupBy("row").agg(F.sum("words").cast("long").alias("n_line_words"))
+    removed = lines.join(over, "line").groupBy("row").agg(
+        F.sum("words").cast("long").alias("n_line_words"), F.sort_array(F.collect_list("number")).alias("removed_lines")  # of one document
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     out = rows.drop("lines", "text_key").join(removed, "row", "left").withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0).cast("long")))
     depleted = 100 * (F.col("n_words") - F.col("n_line_words")) < min_left * F.col("n_words")
+    gone = F.coalesce("removed_lines", F.array().cast("array<int>"))
+    split = F.split("text", "\n")
+    stays = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "n_line_words",
+        failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "n_line_words", gone.alias("removed_lines"),
+        *([F.array_join(F.transform(stays, lambda i: F.get(split, i)), "\n").alias("text")] if with_text else []),
     )
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents")).drop("removed_lines")
 
 
 SQL = r"""

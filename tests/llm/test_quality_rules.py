@@ -8,7 +8,7 @@ SCHEMA = "doc_id long, text string, source string, line string, words int, row i
 
 def result(spark, docs, **more):
     df = spark.createDataFrame([(d, t, h, "x", 1, 2) for d, t, h in docs], SCHEMA).repartition(3)
-    return sorted((tuple(r) for r in q.quality_rules(df, **more).collect()), key=repr)
+    return sorted((tuple(r) for r in q.quality_rules(df, **more).drop("removed_lines").collect()), key=repr)
 
 
 def test_odd_rows(spark, odd):
@@ -31,6 +31,20 @@ def test_shared_lines_and_copies(spark):
     assert result(spark, docs) == expected
 
 
+def test_texts_without_removed_lines(spark):
+    notice = "Page {} of our site and six more words that fill it"
+    docs = [(i, f"own line {chr(97 + i // 6) * (1 + i % 6)} of text\n\n{notice.format(i)}\n  \nlast words {'abcdefghijklmnopqrstuvwxyz'[i % 26] * (1 + i // 26)}\n{notice.format(7)}\n", "h") for i in range(40)]
+    docs += [(100, None, "h"), (101, "", "h"), (102, notice.format(3), "other"), (103, notice.format(3), "h"), (103, notice.format(3), "h"), (None, "a b\n\nc", None)]
+    df = spark.createDataFrame([(d, t, h, "x", 1, 2) for d, t, h in docs], SCHEMA).repartition(3)
+    got = {(r.doc_id, r.text): r for r in q.quality_rules(df, with_text=True).collect()}
+    for d, t, h in docs:
+        lines = (t or "").split("\n")
+        gone = [k for k, x in enumerate(lines) if h == "h" and x.startswith("Page")]
+        r = got[d, "\n".join(x for k, x in enumerate(lines) if k not in gone)]
+        assert r.removed_lines == gone and r.n_line_words == sum(len(lines[k].split()) for k in gone)
+    assert sum(r.doc_id == 103 for r in q.quality_rules(df).collect()) == 2 and len(got) == len(docs) - 1
+
+
 def test_empty_table(spark):
     assert result(spark, []) == []
 
