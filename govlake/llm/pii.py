@@ -13,7 +13,8 @@ entities share its format.
 Kinds and what a surrogate keeps:
 
 * email: lengths, character classes, case, the top-level domain and reserved
-  example domains; one domain has one surrogate
+  example domains; a domain is an entity of its own, so one domain has one
+  surrogate, no two domains share one, and none is a real domain of the corpus
 * phone, ssn, card, ip: layout and digit counts; country code; the issuer digit
   and the Luhn check of a card; private address ranges (ssn: never-issued areas)
 * iban: country, layout, valid check digits
@@ -25,7 +26,8 @@ Kinds and what a surrogate keeps:
 
 A null text stays null, an empty one empty. Repeated rows are replaced alike.
 Texts without entities are returned unchanged, and all other columns as they
-are, whatever their names. An empty table gives an empty result.
+are, whatever their names, but for an ``n_replaced`` of the input, in whose place
+the count comes. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +40,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window as W
 
 from govlake.llm.common import pick, stored, table
 
@@ -329,12 +330,15 @@ class Stream:
 
 
 def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
-    """The surrogate of a canonical form, in canonical form."""
+    """The surrogate of a canonical form, in canonical form; of an email the domain stays, which has its own."""
     r = Stream(key, kind, canonical, attempt)
     more = max(0, attempt - WIDER + 2) // 2
     if kind == "email":
         local, domain = canonical.rsplit("@", 1)
-        return f"{r.like(local + 'a' * more)}@{domain_surrogate(key, domain, attempt)}"
+        return f"{r.like(local + 'a' * more)}@{domain}"
+    if kind == "domain":
+        labels, fixed = domain_parts(canonical)
+        return ".".join([r.like(x + "a" * more * (k == 0)) for k, x in enumerate(labels)] + fixed)
     if kind == "ip":
         octets = canonical.split(".")
         fixed = 1 if octets[0] in ("10", "127") else 2 if octets[0] in ("192", "172") and octets[1] in ("168", *map(str, range(16, 32))) else 0
@@ -385,13 +389,11 @@ def first_octet(r: Stream, low: int, high: int) -> str:
     return str(v)
 
 
-def domain_surrogate(key: str, domain: str, attempt: int) -> str:
+def domain_parts(domain: str) -> tuple[list[str], list[str]]:
+    """The labels that a surrogate replaces, and those that stay: the top level, and ``example`` before it."""
     labels = domain.split(".")
-    keep = 2 if len(labels) > 1 and labels[-2] == "example" else 1
-    fixed, rest = labels[len(labels) - keep :], labels[: len(labels) - keep]
-    r = Stream(key, "domain", domain, 0)
-    del attempt  # one domain has one surrogate
-    return ".".join([r.like(x) for x in rest] + fixed)
+    keep = 2 if labels[-2] == "example" else 1
+    return labels[: len(labels) - keep], labels[len(labels) - keep :]
 
 
 def rendered(kind: str, value: str, mention: str) -> str:
@@ -421,10 +423,16 @@ def replaced(text: str, found: list[Entity], value: Callable[[str, str], str]) -
 
 
 # ------------------------------------------------------------------ the corpus
+def judged(text: str) -> set[tuple[str, str]]:
+    """(kind, canonical) of all that needs a surrogate of its own: the entities, and the domains of emails."""
+    found = {(kind, c) for _, _, kind, c in entities(text)}
+    return found | {("domain", c.rsplit("@", 1)[1]) for kind, c in found if kind == "email"}
+
+
 def distinct_entities(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {(kind, c) for t in batch.column(0) for _, _, kind, c in entities(t.as_py() or "")}
+            seen = set().union(*(judged(t.as_py() or "") for t in batch.column(0)))
             kinds, forms = zip(*seen, strict=True) if seen else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(forms, pa.string())], names=["kind", "canonical"])
 
@@ -432,27 +440,41 @@ def distinct_entities(texts: DataFrame) -> DataFrame:
 
 
 def attempts(found: DataFrame, key: str) -> DataFrame:
-    """(kind, canonical, attempt, surrogate) without collisions; ``found`` is a stored table."""
+    """(kind, canonical, attempt, surrogate) without collisions; ``found`` is a stored table.
+
+    Each attempt is judged once. Of those that propose one surrogate the first by
+    (canonical, kind) has it, a minimum that each task takes of its own rows before
+    they are shuffled, so a name that very many propose is no hot key; whom it
+    left out is told by entity. A surrogate given in an earlier attempt is taken.
+    Domains that stay as they are take no part, but no other becomes one of them.
+    """
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [surrogate(key, *x) for x in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(values, pa.string())], names=["kind", "canonical", "attempt", "surrogate"])
+            rows = [x for x in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True) if x[0] != "domain" or domain_parts(x[1])[0]]
+            kinds, forms, tries = zip(*rows, strict=True) if rows else ((), (), ())
+            columns = [pa.array(kinds, pa.string()), pa.array(forms, pa.string()), pa.array(tries, pa.int32()), pa.array([surrogate(key, *x) for x in rows], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "canonical", "attempt", "surrogate"])
 
     schema = "kind string, canonical string, attempt int, surrogate string"
-    now = stored(found.withColumn("attempt", F.lit(0)).mapInArrow(propose, schema), "surrogates")
+    columns, entity, value = ["kind", "canonical", "attempt", "surrogate"], ["kind", "canonical"], ["space", "surrogate"]
     # given names of every gender share one set of surrogates
-    space = lambda: F.regexp_extract("kind", "^[a-z]+", 0).alias("space")
-    real = found.select(space(), F.col("canonical").alias("surrogate"), F.lit(True).alias("real")).distinct()
-    order = W.partitionBy("space", "surrogate").orderBy("attempt", "canonical", "kind")
+    space = F.regexp_extract("kind", "^[a-z]+", 0)
+    real = found.select(space.alias("space"), F.col("canonical").alias("surrogate")).distinct()
+    taken = None
+    tried = found.withColumn("attempt", F.lit(0))
     while True:
-        judged = now.withColumn("space", space()).withColumn("place", F.row_number().over(order)).join(real, ["space", "surrogate"], "left")
-        judged = stored(judged.withColumn("lost", (F.col("place") > 1) | F.col("real").isNotNull()), "judged")
-        if judged.where("lost").isEmpty():
-            return now
-        again = judged.where("lost").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt")).mapInArrow(propose, schema)
-        kept = judged.where("NOT lost").select("kind", "canonical", "attempt", "surrogate")
-        now = stored(kept.unionByName(again), "surrogates")
+        tried = stored(tried.select(*entity, "attempt").mapInArrow(propose, schema), "proposed")
+        first = tried.withColumn("space", space).groupBy(*value).agg(F.min(F.struct("canonical", "kind", "attempt")).alias("first"))
+        won = first.join(real, value, "left_anti").select(*value, "first.*").select(*columns)
+        if taken is not None:
+            won = won.withColumn("space", space).join(taken.withColumn("space", space), value, "left_anti").select(*columns)
+        won = stored(won, "surrogates")
+        taken = won if taken is None else taken.unionByName(won)
+        lost = tried.join(won, entity, "left_anti")
+        if lost.isEmpty():
+            return taken
+        tried = lost.withColumn("attempt", F.col("attempt") + 1)
 
 
 def replace_pii(docs: DataFrame, key: str = DEMO_KEY, text_col: str = "text", sent: int = SENT) -> DataFrame:
@@ -477,7 +499,7 @@ def replace_pii(docs: DataFrame, key: str = DEMO_KEY, text_col: str = "text", se
 
     def mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(r, kind, c) for r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for _, _, kind, c in entities(t or "")]
+            rows = [(r, kind, c) for r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for kind, c in judged(t or "")]
             ids, kinds, forms = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(forms, pa.string())], names=["__row", "kind", "canonical"])
 
@@ -492,14 +514,21 @@ def replacing(key: str, at: int, tries_of: Callable, columns: list[str]) -> Call
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple[str, str, int], str] = {}
 
-        def value(kind: str, canonical: str, attempt: int) -> str:
+        def known_value(kind: str, canonical: str, tries: dict[tuple[str, str], int]) -> str:
             if len(known) > 100_000:
                 known.clear()
-            k = (kind, canonical, attempt)
+            k = (kind, canonical, tries.get((kind, canonical), 0))
             if k not in known:
                 known[k] = surrogate(key, *k)
             return known[k]
 
+        def value(kind: str, canonical: str, tries: dict[tuple[str, str], int]) -> str:
+            new = known_value(kind, canonical, tries)
+            if kind != "email":
+                return new
+            local, domain = new.rsplit("@", 1)
+            return f"{local}@{known_value('domain', domain, tries)}"
+
         for batch in batches:
             own = batch.column(len(columns)).to_pylist() if batch.num_columns > len(columns) else [None] * batch.num_rows
             texts, counts = [], []
@@ -508,7 +537,7 @@ def replacing(key: str, at: int, tries_of: Callable, columns: list[str]) -> Call
                 found = entities(text or "")
                 if found:
                     tries = tries_of(r)
-                    text = replaced(text, found, lambda kind, c: value(kind, c, tries.get((kind, c), 0)))  # noqa: B023
+                    text = replaced(text, found, lambda kind, c: value(kind, c, tries))  # noqa: B023
                 texts.append(text)
                 counts.append(len(found))
             arrays = list(batch.columns[: len(columns)])

@@ -89,6 +89,46 @@ def test_crowded_formats_find_free_surrogates(spark):
     assert all(r.n_replaced == 1 for r in out.values()) and all(x.startswith(("192.168.", "10.")) for x in new[:81])
 
 
+def test_domains_stay_distinct(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    domains = [f"{a}{b}.org" for a in letters for b in letters] + ["example.com", "mail.example.com"]
+    out = run(spark, [f"x@{d} and info@{d.upper()}" for d in domains] + ["X@aa.org"])
+    new = [re.fullmatch(r"\w@([\w.]+) and \w{4}@([\w.]+)", out[k].text).groups() for k in range(len(domains))]
+    assert all(a == b.lower() for a, b in new)
+    assert len({a for a, _ in new}) == len(domains)  # every two-letter name is a real one, so all became longer
+    assert not {a for a, _ in new[:-2]} & set(domains) and new[-2][0] == "example.com" and new[-1][0].endswith(".example.com")
+    assert out[len(domains)].text.lower() == out[0].text.split()[0]
+
+
+def test_attempts_equal_brute_force(spark):
+    rnd = random.Random(3)
+    texts = [f"{rnd.choice('ab')}{rnd.choice('cd')}@{rnd.choice('efg')}{rnd.choice('hi')}.net Herr {n} and 10.{rnd.randrange(3)}.0.{rnd.randrange(40)}"
+             for n in ("Quux", "Zorblat", "Weber", "Meyer", "Schmidt", "Fischer") for _ in range(20)]
+    found = set().union(*map(pii.judged, texts))
+    space = lambda kind: re.match("[a-z]+", kind)[0]
+    real, given, open_, attempt = {(space(k), c) for k, c in found}, {}, found, 0
+    while open_:
+        lost = set()
+        for kind, c in sorted(open_, key=lambda x: x[::-1]):
+            new = (space(kind), pii.surrogate(KEY, kind, c, attempt))
+            if new in real or new in {x[0] for x in given.values()}:
+                lost.add((kind, c))
+            else:
+                given[kind, c] = (new, attempt)
+        open_, attempt = lost, attempt + 1
+    table = pii.stored(spark.createDataFrame(sorted(found), "kind string, canonical string"), "found")
+    rows = pii.attempts(table, KEY).collect()
+    assert {(r.kind, r.canonical): ((space(r.kind), r.surrogate), r.attempt) for r in rows} == given and len(rows) == len(given)
+
+
+def test_repeated_rows_and_clashing_names(spark):
+    rows = [(1, "a@b.co", 7, 8, "x"), (1, "a@b.co", 7, 8, "x"), (2, None, 7, 8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_replaced int, __row int, surrogate string")
+    out = sorted(pii.replace_pii(df, KEY, sent=0).select("doc_id", "text", "__row", "surrogate", "n_replaced").collect())
+    assert out[0] == out[1] and out[0].text != "a@b.co" and (out[0]["__row"], out[0].surrogate, out[0].n_replaced) == (8, "x", 1)
+    assert tuple(out[2]) == (2, None, 8, None, 0)
+
+
 def test_untitled_persons_and_all_their_mentions(spark):
     texts = ["Emma Thompson met EMMA's friend. Later Thompson left; emma stayed.", "Mary Jane Watson and Dr Mary Jane Watson; Watson, Jane.", "Hans Weber came. HANS was late, Weber's car too.",
              "Prof. Dr. Klaus Meyer-Lang, Ludwig van Beethoven, Dr. J. Smith. Lang and Beethoven", "my name is Zorblat Quux. Quux!", "Thompson is no name here, nor is Emma"]
