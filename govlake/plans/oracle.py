@@ -1132,3 +1132,19 @@ _DATASETS += [(n, "COUNT(DISTINCT CAST(order_date AS DATE)) FROM fact") for n in
 SQL["pipeline_datasets"] = with_ctes(ENTITIES, SILVER, PIPE_FACT, KPI_DAILY_ALL, DM, TR, SIG, DRV, INS)(
     "\nUNION ALL ".join(f"SELECT '{name}' AS dataset, {body[:8]} AS rows{body[8:]}" if body.startswith("COUNT(*)") else
                         f"SELECT '{name}' AS dataset, {body.split(' FROM ')[0]} AS rows FROM {body.split(' FROM ')[1]}" for name, body in _DATASETS))
+
+# ------------------------------------------------------------ datasets that follow their drops
+SQL["kpi_daily_incremental"] = WK("""
+SELECT k.order_date, total_orders, CAST(gross_revenue AS DOUBLE) AS gross_revenue, CAST(net_revenue AS DOUBLE) AS net_revenue,
+  total_payments, successful_payments, payment_success_rate, refunded_orders,
+  CAST(total_refund_amount AS DOUBLE) AS total_refund_amount, refund_rate, CAST(total_discount AS DOUBLE) AS total_discount,
+  CAST(CASE WHEN strftime(k.order_date, '%Y-%m') IN (SELECT strftime(order_date, '%Y-%m') FROM sales_orders o JOIN refunds r ON o.order_id = r.order_id
+    WHERE year(order_date) = 1996 AND month(order_date) = 6 AND refund_id % 10 = 3) THEN 2 WHEN year(k.order_date) <= 1997 THEN 0 ELSE 1 END AS INT) AS computed_in
+FROM kpi_all k""")
+
+SQL["bucket_upsert"] = W("""
+SELECT strftime(order_date, '%Y-%m') AS order_month, order_id,
+  CASE WHEN year(order_date) > 1997 OR (year(order_date) = 1997 AND order_id % 3 <> 0) THEN 'SHIPPED' ELSE order_status END AS order_status,
+  CAST(amount AS DOUBLE) AS amount,
+  CASE WHEN year(order_date) > 1997 AND order_id % 3 = 0 THEN order_date - INTERVAL 1 DAY ELSE order_date END AS updated_at
+FROM sales_orders""")

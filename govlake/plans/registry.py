@@ -964,3 +964,42 @@ def q_drift_control(spark, sf_dir):
         "table_name", "overall_severity", "updated_at", "drift.issue_type", "drift.column", F.col("drift.severity").alias("drift_severity"),
         "drift.recommended_action")
     return parsed.join(ctrl.select("table_name", "allow_processing", "severity"), "table_name")
+
+
+# ---------------------------------------------------------------- datasets that follow their drops
+from govlake.operators.periods import BATCH, BY_MONTH, PERIOD, PeriodStore  # noqa: E402
+from govlake.sources.buckets import BucketedTable  # noqa: E402
+
+
+@register("kpi_daily_incremental")
+def q_kpi_daily_incremental(spark, sf_dir):
+    """Orders up to 1997, later ones, then late refunds of 1996: after three drops the daily
+    KPIs are those of a full run, and each month tells the drop that computed it last."""
+    e = entities(spark, sf_dir)
+    early = e["orders"].where(F.year("order_date") <= 1997)
+    year = e["orders"].groupBy("order_id").agg(F.min(F.year("order_date")).alias("year"))
+    dated = {n: e[n].join(year, "order_id", "left") for n in ("payments", "refunds")}
+    late = (F.col("year") == 1996) & (F.month("order_date") == 6) & (F.col("refund_id") % 10 == 3)
+    june = e["orders"].select("order_id", "order_date").dropDuplicates(["order_id"])
+    refunds = dated["refunds"].join(june, "order_id", "left").withColumn("drop", F.when(late, 2).when(F.col("year") <= 1997, 0).otherwise(1))
+    store = PeriodStore(spark, scratch_dir(spark, "periods"), {n: df.schema for n, df in e.items()}, BASE_POLICY["row_rules"], BY_MONTH)
+    some = lambda n: refunds.where(F.col("drop") == n)
+    store.add(0, {"orders": early, "customers": e["customers"], "payments": dated["payments"].where("year <= 1997"), "refunds": some(0)})
+    store.add(1, {"orders": e["orders"].where(F.year("order_date") > 1997), "payments": dated["payments"].where("year > 1997"), "refunds": some(1)})
+    store.add(2, {"refunds": some(2)})
+    last = store.changes().groupBy(PERIOD).agg(F.max(BATCH).alias("computed_in"))
+    kpi = store.dataset("kpi").withColumn(PERIOD, store.period_of("order_date"))
+    return report(kpi.join(last, PERIOD).drop(PERIOD))
+
+
+@register("bucket_upsert")
+def q_bucket_upsert(spark, sf_dir):
+    """Orders up to 1997, upserted by those from 1997 on with their status set; every third
+    update is older than the row it meets. Buckets follow the month, so 1996 and before stay."""
+    orders = entities(spark, sf_dir)["orders"].select(
+        F.date_format("order_date", "yyyy-MM").alias("order_month"), "order_id", "order_status", "amount", F.col("order_date").cast("timestamp").alias("updated_at"))
+    base = orders.where("order_month < '1998'")
+    older = F.when(F.col("order_id") % 3 == 0, F.expr("updated_at - INTERVAL 1 DAY")).otherwise(F.col("updated_at"))
+    updates = orders.where("order_month >= '1997'").withColumns({"order_status": F.lit("SHIPPED"), "updated_at": older})
+    table = BucketedTable.create(base, scratch_dir(spark, "buckets"), ["order_month", "order_id"], "updated_at", 64, cluster="order_month")
+    return report(table.upsert(updates).read())
