@@ -83,3 +83,20 @@ def test_odd_rows_and_empty_tables(spark, sf_small, odd):
                 docs = spark.createDataFrame(out.collect(), SCHEMA)
             else:
                 out.collect()
+
+
+def test_rejects_and_clashing_names(spark, sf_small):
+    """Texts without a letter go; columns named like the stages' own come through untouched."""
+    known = spark.read.parquet(f"{sf_small}/documents.parquet").where("text IS NOT NULL").limit(60).select(COLUMNS).collect()
+    bad = [(-1, "1234 5678 -- 90", "en", "s", 15), (-2, "", "en", "s", 0), (-3, None, "en", "s", None), (-4, "\u2003 !? \n", None, None, 5)]
+    extra = "lang_pred string, Score int, n_replaced string, __row string, __row_0 int"
+    rows = [(*r, "p", i, "n", "r", i) for i, r in enumerate([*map(tuple, known), *bad])]
+    docs = spark.createDataFrame(rows, f"{SCHEMA}, {extra}")
+    want = {r[0]: tuple(r[5:]) for r in rows}
+    names = docs.columns
+    for name, f in cp.STAGES[:4]:
+        out = f(spark, docs, sf_small)
+        got = out.collect()
+        assert out.columns == names and got and all(tuple(r)[5:] == want[r.doc_id] for r in got), name
+        assert not {r.doc_id for r in got} & {-1, -2, -3, -4}
+        docs = spark.createDataFrame(got, docs.schema)
