@@ -12,6 +12,8 @@ order_id), which stays distributed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -203,15 +205,17 @@ def kpi_customer_lifetime_value_orders(contrib: DataFrame) -> DataFrame:
 
 
 def kpi_payment_method_performance_orders(orders: DataFrame, customers: DataFrame, payments: DataFrame,
-                                          refunds: DataFrame, rules=()) -> DataFrame:
+                                          refunds: DataFrame, rules=(), by: Sequence[Column] = ()) -> DataFrame:
     """E15 without the fan-out: payments pre-aggregated per (order, method)
     and left-joined to the orders, so an order without payments is one row
-    of the NULL method group, as its fact row has no method."""
+    of the NULL method group, as its fact row has no method.
+
+    ``by``: further groups, expressions of ``order_date``; their rows add up."""
     p, _ = apply_row_rules(payments, "payments", rules)
     per_method = p.groupBy("order_id", "payment_method").agg(*_pay_aggs())
     rows = _with_payments(_order_base(orders, customers, refunds, rules), per_method)
     cm, rm = F.col("cm"), F.col("rm")
-    return rows.groupBy("payment_method").agg(
+    return rows.groupBy(*by, "payment_method").agg(
         F.sum(cm * F.col("p_ids") * rm).cast("bigint").alias("total_transactions"),
         F.sum(cm * F.col("p_success") * rm).cast("bigint").alias("successful_transactions"),
         F.sum(cm * rm * _net(F.col("p_sum"), F.col("p_amts"), F.col("discount_amount"))).alias("total_revenue"),

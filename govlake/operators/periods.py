@@ -1,14 +1,15 @@
-"""Datasets that follow their drops (A6, E11-E13, E16, E17, H1): only changed periods are computed again.
+"""Datasets that follow their drops (A6, E11-E13, E15-E17, H1): only changed periods are computed again.
 
 Orders belong to a period, the day of ``order_date`` (or what ``pattern`` makes of
 it); payments and refunds to the periods of their orders. A drop brings new rows of
 any feed. Its rows are written under their periods, the periods it changed are
-found from them, and fact and daily KPIs of those periods are replaced; no other
-period is read or written::
+found from them, and fact, daily KPIs and sums per payment method of those periods
+are replaced; no other period is read or written::
 
     <feed>/batch=<drop>/period=<p>/    orders, payments, refunds as they came
     customers/batch=<drop>/
-    fact/period=<p>/, kpi/period=<p>/  replaced by dynamic partition overwrite
+    fact/period=<p>/, kpi/period=<p>/, method/period=<p>/
+                                       replaced by dynamic partition overwrite
     drops/batch=<drop>/                the periods that the drop changed; written last
 
 The result is that of a full run over all drops, whatever order the rows came in:
@@ -73,6 +74,11 @@ class PeriodStore:
         """``fact`` or ``kpi`` as the last drop left it."""
         return self.spark.read.parquet(f"{self.root}/{name}").drop(PERIOD)
 
+    def method_performance(self) -> DataFrame:
+        """E15 over all periods, added up from one row per period and method."""
+        names = kpis.KPIS["payment_method_performance"][1]
+        return self.dataset("method").groupBy("payment_method").agg(*[F.sum(n).alias(n) for n in names])
+
     def changes(self) -> DataFrame:
         """(period, batch): which periods each drop changed."""
         return self.spark.read.schema(f"{PERIOD} string, {BATCH} int").parquet(f"{self.root}/drops")
@@ -111,8 +117,9 @@ class PeriodStore:
         own_id = F.regexp_replace("order_id", f"{MARK}[^{MARK}]*$", "").cast(own_type)
         fact = facts.fact_orders(o, customers, p, r, as_of=self.as_of).withColumn("order_id", own_id)
         kpi = kpis.kpi_daily_all_orders(kpis.order_contributions(o, customers, p, r))
-        for name, df in (("fact", fact), ("kpi", kpi)):
-            rows = df.withColumn(PERIOD, self.period_of("order_date"))
+        period = self.period_of("order_date").alias(PERIOD)
+        method = kpis.kpi_payment_method_performance_orders(o, customers, p, r, by=[period])
+        for name, rows in (("fact", fact.withColumn(PERIOD, period)), ("kpi", kpi.withColumn(PERIOD, period)), ("method", method)):
             rows.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(f"{self.root}/{name}")
 
     # ------------------------------------------------------------------ parts

@@ -1142,6 +1142,8 @@ SELECT k.order_date, total_orders, CAST(gross_revenue AS DOUBLE) AS gross_revenu
     WHERE year(order_date) = 1996 AND month(order_date) = 6 AND refund_id % 10 = 3) THEN 2 WHEN year(k.order_date) <= 1997 THEN 0 ELSE 1 END AS INT) AS computed_in
 FROM kpi_all k""")
 
+SQL["kpi_payment_method_incremental"] = SQL["kpi_payment_method_performance"]
+
 SQL["bucket_upsert"] = W("""
 SELECT strftime(order_date, '%Y-%m') AS order_month, order_id,
   CASE WHEN year(order_date) > 1997 OR (year(order_date) = 1997 AND order_id % 3 <> 0) THEN 'SHIPPED' ELSE order_status END AS order_status,

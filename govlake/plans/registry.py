@@ -992,6 +992,17 @@ def q_kpi_daily_incremental(spark, sf_dir):
     return report(kpi.join(last, PERIOD).drop(PERIOD))
 
 
+@register("kpi_payment_method_incremental")
+def q_kpi_payment_method_incremental(spark, sf_dir):
+    """E15 added up over periods after a drop of orders and a later one of payments and refunds."""
+    e = entities(spark, sf_dir)
+    store = PeriodStore(spark, scratch_dir(spark, "periods"), {n: df.schema for n, df in e.items()}, BASE_POLICY["row_rules"], BY_MONTH)
+    late = F.col("order_id") % 50 == 7
+    store.add(0, {"orders": e["orders"], "customers": e["customers"], "payments": e["payments"].where(~late), "refunds": e["refunds"].where(~late)})
+    store.add(1, {"payments": e["payments"].where(late), "refunds": e["refunds"].where(late)})
+    return report(store.method_performance())
+
+
 @register("bucket_upsert")
 def q_bucket_upsert(spark, sf_dir):
     """Orders up to 1997, upserted by those from 1997 on with their status set; every third

@@ -81,6 +81,8 @@ def test_every_drop_equals_a_full_run(spark):
             want = kpis.over_fact(fact, "daily_all")
             # an id on two days is one order a day in both
             assert told(store.dataset("kpi").select(*want.columns)) == told(want) == told(kpi.select(*want.columns))
+            want = kpis.over_fact(fact, "payment_method_performance")
+            assert told(store.method_performance().select(*want.columns)) == told(want)
     with pytest.raises(ValueError, match="does not follow"):
         store.add(9, {})
 
