@@ -24,7 +24,8 @@ Kinds and what a surrogate keeps:
   capitals; parts are mapped one by one, particles and initials stay. Every
   other capitalised mention of a part in the same document is that name too
 
-A null text stays null, an empty one empty. Repeated rows are replaced alike.
+A null text stays null, an empty one empty. A very long text is one row of a task
+and is replaced whole, in linear time. Repeated rows are replaced alike.
 Texts without entities are returned unchanged, and all other columns as they
 are, whatever their names, but for an ``n_replaced`` of the input, in whose place
 the count comes. An empty table gives an empty result.
