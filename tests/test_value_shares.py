@@ -106,3 +106,13 @@ def test_wide_exact_profile_is_batched(spark):
     df = spark.range(40).selectExpr(*[f"id % {i + 1} AS c{i}" for i in range(40)])
     plan = profile.column_profile(df, "wide")._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("Expand") == 40 // profile.BATCH
+
+
+def test_sketches_do_not_share_an_aggregate_with_an_exact_count(spark):
+    """Else every key would be shuffled with a sketch buffer per column."""
+    df = spark.range(40).selectExpr("id AS payment_id", "id % 3 AS order_id", "CAST(id % 2 AS STRING) AS payment_status")
+    prof = profile.column_profile(df, "payments", approx=True)
+    plan = prof._jdf.queryExecution().sparkPlan().toString()
+    by_key = [line for line in plan.split("\n") if "keys=[payment_id" in line]
+    assert by_key and not any("approx_count_distinct" in line for line in by_key)
+    assert {r["column_name"]: r["distinct_count"] for r in prof.collect()} == {"payment_id": 40, "order_id": 3, "payment_status": 2}
