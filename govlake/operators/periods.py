@@ -43,8 +43,8 @@ PERIOD, BATCH = "period", "batch"
 UNDATED, UNPLACED = "undated", "unplaced"
 SIDES = ("payments", "refunds")
 BY_DAY, BY_MONTH = "yyyy-MM-dd", "yyyy-MM"
-#: Joins an order id and its period to the key under which its rows meet.
-MARK = "@"
+#: An id on two days has its payments under both: rows meet by id and period.
+KEYS = ("order_id", PERIOD)
 
 
 class PeriodStore:
@@ -65,10 +65,11 @@ class PeriodStore:
         if name != "customers":
             schema = T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())])
         if upto < 0:
-            return self.spark.createDataFrame([], schema)
+            return self._nothing(schema)
         schema = T.StructType([*schema.fields, T.StructField(BATCH, T.IntegerType())])
-        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}").where(F.col(BATCH) <= upto).drop(BATCH)
-        return rows if periods is None else rows.where(F.col(PERIOD).isin(periods))
+        rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        rows = rows if periods is None else rows.where(F.col(PERIOD).isin(periods))
+        return rows.where(F.col(BATCH) <= upto).drop(BATCH)
 
     def dataset(self, name: str) -> DataFrame:
         """``fact`` or ``kpi`` as the last drop left it."""
@@ -89,7 +90,7 @@ class PeriodStore:
         last = max(self.drops(), default=-1)
         if drop not in (last, last + 1):
             raise ValueError(f"drop {drop} does not follow drop {last}")
-        new = {n: feeds[n].select(*s.names) if n in feeds else self.spark.createDataFrame([], s) for n, s in self.schemas.items()}
+        new = {n: feeds[n].select(*s.names) if n in feeds else self._nothing(s) for n, s in self.schemas.items()}
         orders = new["orders"].withColumn(PERIOD, self.period_of("order_date"))
         self._write(orders, "orders", drop)
         new["customers"].write.mode("overwrite").parquet(f"{self.root}/customers/{BATCH}={drop}")
@@ -110,19 +111,21 @@ class PeriodStore:
             return
         valid = {n: apply_row_rules(self.feed(n, drop, periods), n, self.rules)[0] for n in ("orders", *SIDES)}
         customers = apply_row_rules(self.feed("customers", drop), "customers", self.rules)[0]
-        # an id on two days has its payments under both: rows meet by id and period
-        key = F.concat(F.col("order_id").cast("string"), F.lit(MARK), PERIOD)
-        o, p, r = (valid[n].withColumn("order_id", key).drop(PERIOD) for n in ("orders", *SIDES))
-        own_type = self.schemas["orders"]["order_id"].dataType
-        own_id = F.regexp_replace("order_id", f"{MARK}[^{MARK}]*$", "").cast(own_type)
-        fact = facts.fact_orders(o, customers, p, r, as_of=self.as_of).withColumn("order_id", own_id)
-        kpi = kpis.kpi_daily_all_orders(kpis.order_contributions(o, customers, p, r))
+        feeds = [valid["orders"], customers, valid["payments"], valid["refunds"]]
+        fact = facts.fact_orders(*feeds, as_of=self.as_of, keys=KEYS)
+        # the feeds are joined once for both sums
+        joined = cut_lineage(kpis.method_contributions(*feeds, keys=KEYS), "period-contributions")
+        kpi = kpis.kpi_daily_all_orders(kpis.order_contributions(*feeds, keys=KEYS, joined=joined))
         period = self.period_of("order_date").alias(PERIOD)
-        method = kpis.kpi_payment_method_performance_orders(o, customers, p, r, by=[period])
+        method = kpis.kpi_payment_method_performance_orders(*feeds, by=[period], keys=KEYS, joined=joined)
         for name, rows in (("fact", fact.withColumn(PERIOD, period)), ("kpi", kpi.withColumn(PERIOD, period)), ("method", method)):
             rows.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(f"{self.root}/{name}")
 
     # ------------------------------------------------------------------ parts
+    def _nothing(self, schema: T.StructType) -> DataFrame:
+        """No rows, which the optimizer knows: joins with them are not run."""
+        return self.spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
     def period_of(self, column: str) -> Column:
         return F.coalesce(F.date_format(column, self.pattern), F.lit(UNDATED))
 

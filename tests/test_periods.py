@@ -96,3 +96,39 @@ def test_scans_and_writes_are_pruned_to_the_changed_periods(spark):
     assert {f.split("period=")[1].split("/")[0] for f in before ^ after} == {"2024-01-01"}
     plan = store.feed("payments", 1, ["2024-01-01"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-01" in plan.split("PartitionFilters")[1]
+
+
+def _counted(monkeypatch):
+    """Calls that join orders with refunds for KPIs."""
+    calls, join = [], kpis._order_base
+    monkeypatch.setattr(kpis, "_order_base", lambda *a: calls.append(1) or join(*a))
+    return calls
+
+
+def test_the_feeds_of_changed_periods_are_joined_once_for_the_sums(spark, monkeypatch):
+    calls, store = _counted(monkeypatch), store_of(spark)
+    store.add(0, frames(spark, DROPS[:1]))
+    assert len(calls) == 1
+
+
+def test_a_first_drop_reads_nothing_before_it(spark):
+    """No rows are a relation that the optimizer folds away, not one scanned by Python tasks."""
+    store = store_of(spark)
+    nothing = store.feed("orders", -1)
+    assert nothing.schema == spark.createDataFrame([], nothing.schema).schema and nothing.count() == 0
+    plan = nothing.join(frames(spark, DROPS[:1])["payments"], "order_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "ExistingRDD" not in plan
+
+
+def test_daily_figures_join_the_feeds_once_in_the_pipeline(spark, monkeypatch):
+    from govlake.plans import pipeline
+
+    calls = _counted(monkeypatch)
+    inputs = list(frames(spark, DROPS[:2]).values())
+    store = pipeline.Store(spark, sinks.scratch_dir(spark, "test-kpis"), dt.datetime(2024, 1, 9))
+    daily, six = pipeline._kpis(store, inputs, RULES)
+    assert len(calls) == 1
+    fact = facts.fact_orders(*inputs, RULES)
+    assert told(daily.select(*(names := kpis.over_fact(fact, "daily_all").columns))) == told(kpis.over_fact(fact, "daily_all").select(*names))
+    for k in ("customer_lifetime_value", "payment_method_performance"):
+        assert told(six[k]) == told(kpis.over_fact(fact, k))

@@ -95,3 +95,37 @@ def test_kpis_do_not_join_all_orders_on_the_customer(spark):
     contrib.collect()
     plan = contrib._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [customer_id" in plan and "hashpartitioning(customer_id" not in plan
+
+
+def _feeds(spark):
+    """Orders with payments by several methods and by none, an order that comes twice, ids that are NULL."""
+    o = spark.range(12).selectExpr("NULLIF(IF(id = 11, 3, id), 10) AS order_id", "id % 3 AS customer_id", "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(CAST(id % 2 AS INT)) AS order_date",
+                                   "'COMPLETED' AS order_status", "CAST(10 AS DECIMAL(18,2)) AS amount", "CAST(NULLIF(id, 5) AS DECIMAL(18,4)) AS discount_amount")
+    c = spark.createDataFrame([(1,), (1,), (2,)], "customer_id long")
+    p = spark.range(40).selectExpr("id AS payment_id", "NULLIF(id % 9, 8) AS order_id", "IF(id % 4 = 0, 'FAILED', 'SUCCESS') AS payment_status",
+                                   "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 < 3 THEN 'CARD' ELSE 'UPI' END AS payment_method",
+                                   "CAST(IF(id % 9 = 2, NULL, id) AS DECIMAL(18,2)) AS amount")
+    r = spark.range(9).selectExpr("id AS refund_id", "id % 4 AS order_id", "'APPROVED' AS refund_status", "CAST(2 AS DECIMAL(18,4)) AS refund_amount", "'LATE' AS refund_reason")
+    return o, c, p, r
+
+
+def test_one_join_gives_both_kinds_of_contributions(spark):
+    feeds = _feeds(spark)
+    joined = kpis.method_contributions(*feeds)
+    own, read = kpis.order_contributions(*feeds), kpis.order_contributions(*feeds, joined=joined)
+    assert read.dtypes == own.dtypes and fbag(read) == fbag(own)
+    own, read = (kpis.kpi_payment_method_performance_orders(*feeds, joined=j) for j in (None, joined))
+    assert read.dtypes == own.dtypes and fbag(read) == fbag(own) == fbag(kpis.over_fact(facts.fact_orders(*feeds), "payment_method_performance"))
+
+
+def test_hot_orders_meet_by_all_keys(spark):
+    """Order 3 is hot under one day and has no payments, or none at all, under others."""
+    day = lambda df, *days: df.crossJoin(spark.createDataFrame([(d,) for d in days], "day string"))
+    o, c, p, r = _feeds(spark)
+    o, p, r = day(o, "a", "b", "c"), day(p, "a").unionByName(day(p.where("order_id <> 3"), "b")), day(r, "a", "b")
+    keys = ("order_id", "day")
+    plain, spread = facts.fact_orders(o, c, p, r, keys=keys), facts.fact_orders(o, c, p, r, hot_rows=3, salts=3, keys=keys)
+    text = F.concat(F.col("order_id").cast("string"), F.lit("@"), "day")
+    by_text = facts.fact_orders(o.withColumn("order_id", text), c, p.withColumn("order_id", text), r.withColumn("order_id", text))
+    want = by_text.withColumn("order_id", F.split("order_id", "@")[0].cast("long"))
+    assert fbag(spread) == fbag(plain) == fbag(want)
