@@ -26,6 +26,8 @@ from govlake.session import checkpoint_dir
 U64 = np.uint64
 #: UTF-8 text per chunk row; a longer document is a chunk of its own.
 CHUNK_BYTES = 2_000_000
+#: Parquet looks at sizes every 100 rows, which may be 200 MB of chunks; a batch of the reader ends with its row group.
+CHUNK_FILES = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 CHUNK_SCHEMA = "chunk long, ids array<long>, texts array<string>, nulls array<boolean>"
 
 
@@ -33,11 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
+def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back; ``options`` are the writer's."""
     spark, schema = df.sparkSession, df.schema
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -107,7 +109,7 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield chunk_row(base + count, held)
 
     frame = pick(docs, id=id_col, text=text_col).select(F.col("id").cast("long"), "text")
-    return stored(frame.mapInArrow(build, CHUNK_SCHEMA), "chunks")
+    return stored(frame.mapInArrow(build, CHUNK_SCHEMA), "chunks", **CHUNK_FILES)
 
 
 def text_lengths(texts: pa.Array) -> np.ndarray:

@@ -26,6 +26,7 @@ an equal one starts anywhere else.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from govlake.llm.common import U64, Rolling, minimizers, mix, partitions, releas
 
 #: Decisions about a run: bit 1, every window is marked; bit 2, its windows are compared one by one.
 MARK, OPEN = 1, 2
+#: Decisions that a task holds until it gives them out.
+HELD = 1 << 18
 KEYS = "h long, x long, id long, chunk long, place int, many boolean"
 FOUND = "chunk long, places binary, codes binary"
 
@@ -204,58 +207,101 @@ def decide(keys: DataFrame, n: int, earlier: bool, whole: bool) -> DataFrame:
     """Sort the keys by hash and decide each against its equals, per chunk.
 
     ``whole``: only marked places are returned (of windows); else also open runs.
-    A partition holds the keys of its hash range, one row per key and chunk.
+    Spark sorts the keys of a hash range, with room on disk; a task reads them
+    in that order and holds one batch and ``HELD`` decisions, however many keys
+    there are and however many share a hash.
     """
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        h, x, ids, chunk, place = (t.column(c).to_numpy() for c in ("h", "x", "id", "chunk", "place"))
-        many = t.column("many").to_numpy()
-        del t, held
-        order = np.lexsort((x, h))
-        h, x = h[order], x[order]
-        new_h = np.diff(h, prepend=~h[:1]) != 0
-        new = new_h | (np.diff(x, prepend=~x[:1]) != 0)
-        group, seed_group = np.cumsum(new) - 1, np.cumsum(new_h) - 1
-        size = np.bincount(group)
-        texts = np.bincount(seed_group[new])  # different run texts per seed
-        # only groups that are not alone need an order among their rows
-        busy = (size[group] > 1) | (texts[seed_group] > 1) | many[order]
-        order, group, seed_group = order[busy], group[busy], seed_group[busy]
-        again = np.lexsort((place[order], chunk[order], ids[order], group))
-        order, group, seed_group = order[again], group[again], seed_group[again]
-        if len(order) == 0:
-            return
-        first = np.diff(group, prepend=-1) != 0
-        if earlier:
-            mark = ~first
+        held, count = [], 0
+        for found in judged(batches, earlier, whole):
+            held.append(found)
+            count += len(found[2])
+            if count >= HELD:
+                yield found_rows(held)
+                held, count = [], 0
+        if count:
+            yield found_rows(held)
+
+    ordered = keys.repartition(n, "h").sortWithinPartitions("h", "x", "id", "chunk", "place")
+    return ordered.drop("id").mapInArrow(reduce, FOUND)
+
+
+def judged(batches: Iterator[pa.RecordBatch], earlier: bool, whole: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Chunk, place and decision of sorted keys, of those that have one.
+
+    A key needs the keys before and after it: the last of a batch waits for the
+    next batch. The first key of a seed is open if another text follows its
+    equals, so it waits until they end.
+    """
+    rest = before = waiting = None
+    for batch in chain(batches, [None]):
+        if batch is None:
+            if rest is None:
+                return
+            columns, k = rest, 1
+        elif batch.num_rows:
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "x", "chunk", "place", "many")]
+            if rest is not None:
+                columns = [np.concatenate(pair) for pair in zip(rest, columns, strict=True)]
+            k = len(columns[0]) - 1
         else:
-            certain = (size > 1) | (np.bincount(group, many[order], len(size)) > 0)
-            mark = certain[group]
+            continue
+        h, x, chunk, place, many = columns
+        new_h, new = np.ones((2, len(h)), bool)
+        new_h[1:] = h[1:] != h[:-1]
+        new[1:] = new_h[1:] | (x[1:] != x[:-1])
+        if before is not None:
+            new_h[0] = h[0] != before[0]
+            new[0] = new_h[0] or x[0] != before[1]
+        mark = ~new[:k]
+        if not earlier:
+            mark = mark | ~np.append(new, True)[1 : k + 1] | many[:k]
         code = mark.astype(np.uint8) * MARK
-        if not whole:
-            code |= (first & (texts[seed_group] > 1)).astype(np.uint8) * OPEN
+        if not whole and new.any():
+            starts = np.flatnonzero(new)
+            joins = ~new_h[starts]  # a further text of the seed
+            if waiting is not None:
+                yield told(*waiting, joins[0])
+                waiting = None
+            opened = starts[joins | np.append(joins[1:], False)]
+            code[opened[opened < k]] |= OPEN
+            at = starts[-1]
+            if at < k and not joins[-1]:
+                waiting = chunk[at : at + 1].copy(), place[at : at + 1].copy(), code[at : at + 1].copy()
+                code[at] = 0
         keep = code > 0
-        order, code = order[keep], code[keep]
-        if len(order) == 0:
-            return
-        by = np.argsort(chunk[order], kind="stable")
-        order, code = order[by], code[by]
-        edges = np.flatnonzero(np.diff(chunk[order], prepend=-1))
-        rows = list(zip(edges, np.append(edges[1:], len(order)), strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(chunk[order][edges]),
-                pa.array([place[order[a:b]].astype("<i4").tobytes() for a, b in rows], pa.binary()),
-                pa.array([code[a:b].tobytes() for a, b in rows], pa.binary()),
-            ],
-            names=["chunk", "places", "codes"],
-        )
-
-    return keys.repartition(n, "h").mapInArrow(reduce, FOUND)
+        if keep.any():
+            yield chunk[:k][keep], place[:k][keep], code[keep]
+        if k:
+            before = h[k - 1], x[k - 1]
+        rest = [c[k:].copy() for c in columns]
+    if waiting is not None:
+        yield told(*waiting, False)
+
+
+def told(chunk: np.ndarray, place: np.ndarray, code: np.ndarray, opened: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A key that waited, which may have no decision."""
+    code |= np.uint8(OPEN * bool(opened))
+    keep = code > 0
+    return chunk[keep], place[keep], code[keep]
+
+
+def found_rows(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A row per chunk of the decisions."""
+    chunk, place, code = (np.concatenate(x) for x in zip(*held, strict=True))
+    by = np.argsort(chunk, kind="stable")
+    chunk, place, code = chunk[by], place[by].astype("<i4"), code[by]
+    edges = np.flatnonzero(np.diff(chunk, prepend=~chunk[:1]) != 0)
+    rows = list(zip(edges, np.append(edges[1:], len(chunk)), strict=True))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(chunk[edges]),
+            pa.array([place[a:b].tobytes() for a, b in rows], pa.binary()),
+            pa.array([code[a:b].tobytes() for a, b in rows], pa.binary()),
+        ],
+        names=["chunk", "places", "codes"],
+    )
 
 
 def gathered(found: DataFrame, name: str) -> DataFrame:
